@@ -77,6 +77,12 @@ def recode(c: ColumnOrName, mapping: Mapping, default: ColumnOrName | None = Non
     return F.coalesce(F.try_element_at(m, col(c)), fallback)
 
 
+def lookup(c: ColumnOrName, mapping: Mapping) -> Column:
+    """Dictionary lookup; unmatched values become null (no pass-through)."""
+    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.try_element_at(m, col(c))
+
+
 def case_match(c: ColumnOrName, cases: Sequence[tuple[Iterable, object]],
                default: object = None) -> Column:
     """``case_match``: first list containing the value wins, else ``default``.

@@ -67,7 +67,7 @@ def with_fiscal_period(df, date_col: str, fy: str = "fy", q: str = "q",
 def split_period(df, period: str = "period", fy: str = "fy", quarter: str = "quarter"):
     """Split "2024 Q4" into fy (int) and quarter ("Q4"), keeping the original."""
     return df.withColumns({
-        fy: F.try_cast(F.split_part(F.col(period), F.lit(" "), F.lit(1)), "int"),
+        fy: F.split_part(F.col(period), F.lit(" "), F.lit(1)).try_cast("int"),
         quarter: F.split_part(F.col(period), F.lit(" "), F.lit(2)),
     })
 

@@ -38,7 +38,7 @@ def align(df: DataFrame, contract: Contract) -> DataFrame:
     for f in contract.schema.fields:
         if f.name in out.columns:
             src = out.schema[f.name].dataType
-            c = F.col(f.name) if src == f.dataType else F.try_cast(F.col(f.name), f.dataType)
+            c = F.col(f.name) if src == f.dataType else F.col(f.name).try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))

@@ -7,9 +7,6 @@ Aggregates are aliased identically on both sides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions.domain import site_type
@@ -21,50 +18,9 @@ from indicata.operators.measures import cumulative_share, group_sum, sum_when
 from indicata.operators.reshape import pivot_sum
 from indicata.plans import proxy
 from indicata.plans import rules as R
-from indicata.plans.proxy import ORACLE_CTE
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = ORACLE_CTE + sql
-        return fn
-    return deco
-
-
-# Scoring period of the proxy queries (the last complete fiscal year's Q4).
-PERIOD = "2000 Q4"
-
-# Proxy partner names for the mechanism (market segment) column.
-PROXY_PARTNER = {"AUTOMOBILE": "ECHO", "BUILDING": "FGH", "FURNITURE": "MISAU",
-                 "HOUSEHOLD": "EGPAF", "MACHINERY": "Passos"}
-
-
-def _sql_band(v: str, bands) -> str:
-    parts = []
-    for b in bands:
-        if b[1] == "between":
-            parts.append(f"WHEN {v} BETWEEN {b[2]} AND {b[3]} THEN {b[0]}")
-        else:
-            parts.append(f"WHEN {v} {b[1]} {b[2]} THEN {b[0]}")
-    return "CASE " + " ".join(parts) + " ELSE 0 END"
-
-
-def _sql_ratio(n: str, d: str) -> str:
-    n, d = f"({n})", f"({d})"
-    return (f"CASE WHEN {d} <> 0 THEN {n} / {d} WHEN {n} > 0 THEN CAST('Infinity' AS DOUBLE) "
-            f"WHEN {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END")
-
-
-def _sql_recode(c: str, mapping) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {c} {whens} ELSE {c} END"
-
+from indicata.plans.registry import (ORACLE, PERIOD, PROXY_PARTNER, QUERIES,  # noqa: F401
+                                     _sql_band, _sql_ratio, _sql_recode, _sql_values,
+                                     register)
 
 # ---------------------------------------------------------------------------
 # Fiscal period and reporting date
@@ -284,12 +240,6 @@ PROXY_DEDUP_MAP = [
 ]
 
 
-def _sql_values(rows) -> str:
-    def lit(v):
-        return "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
-    return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-
-
 @register("indicator_map", f"""
 , m(indicator, standardizeddisaggregate, indicator_new) AS (VALUES {_sql_values(PROXY_DEDUP_MAP)})
 SELECT m.indicator_new AS indicator, count(*) AS n, sum(d.value) AS v
@@ -320,3 +270,10 @@ def not_in_q(spark, sf_dir):
     return (f.filter(not_in("standardizeddisaggregate", ["1-URGENT", "2-HIGH"]))
             .groupBy("standardizeddisaggregate")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v")))
+
+
+# Further query families register themselves on import.
+from indicata.plans import catalog_reshape  # noqa: E402,F401
+from indicata.plans import catalog_rules  # noqa: E402,F401
+from indicata.plans import catalog_scores  # noqa: E402,F401
+from indicata.plans import catalog_pipelines  # noqa: E402,F401

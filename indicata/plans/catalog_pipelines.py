@@ -1,0 +1 @@
+"""Composite pipeline queries."""

@@ -32,6 +32,12 @@ PROXY_INDICATOR_DEFAULT = "TX_PVLS"
 PROXY_NULL_PRIORITY = "4-NOT SPECIFIED"
 INDICATORS = ["TX_CURR", "TX_PVLS_D", "TX_PVLS"]
 
+# Proxy clinical partner of a site, from its province (one province maps to
+# no partner, one to the ministry), and partner of a mechanism.
+PROXY_SITE_PARTNER = {"AFRICA": "ECHO", "AMERICA": "FGH", "ASIA": "MISAU", "EUROPE": "ICAP"}
+PROXY_MECH_PARTNER = {"AUTOMOBILE": "ECHO", "BUILDING": "FGH", "FURNITURE": "MISAU",
+                      "HOUSEHOLD": "EGPAF", "MACHINERY": "Passos"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -39,13 +45,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Site dimension: supplier with its district and province names."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey",
+                                                "s_acctbal")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
     return (s.join(geo, s.s_nationkey == geo.n_nationkey)
              .select(F.col("s_suppkey").alias("site_uid"), F.col("s_name").alias("sitename"),
-                     F.col("n_name").alias("psnu"), F.col("r_name").alias("snu1")))
+                     F.col("n_name").alias("psnu"), F.col("r_name").alias("snu1"),
+                     F.col("s_acctbal").alias("acctbal")))
 
 
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
@@ -56,7 +64,7 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     derived ``period`` filter is then redundant but kept exact.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
     ts = F.col("l_shipdate")
     if periods:
         cond = None
@@ -72,7 +80,8 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderpriority",
                                                       "c_mktsegment")
     joined = (li.join(oc, li.l_orderkey == oc.o_orderkey)
-                .join(sites(spark, sf_dir), F.col("l_suppkey") == F.col("site_uid")))
+                .join(sites(spark, sf_dir).drop("acctbal"),
+                      F.col("l_suppkey") == F.col("site_uid")))
     out = joined.select(
         "site_uid", "sitename", "psnu", "snu1",
         F.col("c_mktsegment").alias("mech_name"),
@@ -83,7 +92,8 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
          .alias("standardizeddisaggregate"),
         F.to_date("l_shipdate").alias("ship_date"),
         F.col("l_quantity").alias("value"),
-        F.col("l_orderkey").alias("order_key"))
+        F.col("l_orderkey").alias("order_key"),
+        F.col("l_partkey").alias("part_key"))
     out = with_fiscal_period(out, "ship_date")
     if periods:
         out = out.filter(F.col("period").isin(list(periods)))
@@ -103,7 +113,8 @@ WITH fact AS (
          CAST(year(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INT) AS fy,
          CAST(quarter(CAST(l.l_shipdate AS DATE) + INTERVAL 3 MONTH) AS INT) AS q,
          l.l_quantity AS value,
-         l.l_orderkey AS order_key
+         l.l_orderkey AS order_key,
+         l.l_partkey AS part_key
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -115,7 +126,8 @@ dated AS (
                    CASE q WHEN 1 THEN 12 WHEN 2 THEN 3 WHEN 3 THEN 6 ELSE 9 END, 20) AS date
   FROM fact),
 site_dim AS (
-  SELECT s.s_suppkey AS site_uid, s.s_name AS sitename, n.n_name AS psnu, r.r_name AS snu1
+  SELECT s.s_suppkey AS site_uid, s.s_name AS sitename, n.n_name AS psnu, r.r_name AS snu1,
+         s.s_acctbal AS acctbal
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)
 """
