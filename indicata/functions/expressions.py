@@ -42,9 +42,10 @@ def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     * the quotient otherwise.
     """
     n, d = col(num), col(den)
+    zero = d == 0
     return (F.when(d != 0, F.try_divide(n, d))
-            .when(n > 0, F.lit(float("inf")))
-            .when(n < 0, F.lit(float("-inf"))))
+            .when(zero & (n > 0), F.lit(float("inf")))
+            .when(zero & (n < 0), F.lit(float("-inf"))))
 
 
 def nz(c: ColumnOrName) -> Column:

@@ -1 +1,133 @@
-"""Site score queries."""
+"""Site score queries.
+
+The Spark side computes every score in one aggregation
+(``operators.scoring.score_sites``); the DuckDB oracle is written the way
+the reference computes them — one filtered aggregation per score, joined to
+the site list — so the check also proves the two formulations equal.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from indicata.functions.expressions import is_in, lookup, recode
+from indicata.operators.joins import enrich
+from indicata.operators.scoring import composite, score_sites
+from indicata.plans import proxy
+from indicata.plans import rules as R
+from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_ratio,
+                                     _sql_recode, register)
+
+# Proxy age split: the two highest priorities stand for the "<15" band.
+PED_PRIORITIES = ["1-URGENT", "2-HIGH"]
+
+PROXY_SCORES = [
+    {"name": "txcurr", "kind": "sum", "num": "TX_CURR", "rows": "period", "bands": R.BANDS_TXCURR},
+    {"name": "txcurr_ped", "kind": "sum", "num": "TX_CURR", "rows": "period", "ped": True,
+     "bands": R.BANDS_TXCURR_PED},
+    {"name": "vlc", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
+     "fill0": True, "bands": R.BANDS_VLC},
+    {"name": "vlc_ped", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
+     "ped": True, "fill0": True, "bands": R.BANDS_VLC},
+    {"name": "vls", "kind": "ratio", "num": "TX_PVLS", "den": "TX_PVLS_D", "rows": "period",
+     "fill0": True, "bands": R.BANDS_VLS},
+    {"name": "pmtct_pos", "kind": "sum", "num": "TX_PVLS", "rows": "window",
+     "bands": R.BANDS_PMTCT_POS},
+    {"name": "hei_pos", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_PVLS", "rows": "window",
+     "fill0": False, "num_fill0": True, "ped": True, "bands": R.BANDS_HEI_POS},
+    {"name": "eid_u2m", "kind": "ratio", "num": "TX_PVLS", "den": "TX_CURR", "rows": "window",
+     "fill0": False, "ped": True, "bands": R.BANDS_EID_U2M},
+    {"name": "txtb", "kind": "ratio", "num": "TX_PVLS", "den": "TX_CURR", "rows": "txtb",
+     "fill0": True, "bands": R.BANDS_TXTB},
+    {"name": "txml", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
+     "fill0": True, "bands": R.BANDS_TXML},
+]
+
+
+def score_base(spark, sf_dir):
+    """Long scoring base: results rows of scored partners, null values removed."""
+    f = proxy.fact(spark, sf_dir)
+    partner = recode("mech_name", PROXY_PARTNER)
+    return (f.filter(is_in(partner, R.SCORE_PARTNERS) & F.col("value").isNotNull())
+             .select("site_uid", "indicator", "value", "period", "date",
+                     F.when(is_in("standardizeddisaggregate", PED_PRIORITIES), F.lit("<15"))
+                      .otherwise(F.lit("15+")).alias("agecoarse")))
+
+
+def scored_sites(spark, sf_dir):
+    """Site list: sites whose clinical partner is known and not the ministry."""
+    s = proxy.sites(spark, sf_dir)
+    partner = lookup("snu1", proxy.PROXY_SITE_PARTNER)
+    return s.filter(partner != "MISAU").select("site_uid")
+
+
+@register("site_scores", None)
+def site_scores(spark, sf_dir):
+    base = score_base(spark, sf_dir)
+    scores = score_sites(base, site="site_uid", period=PERIOD, scores=PROXY_SCORES,
+                         window_months=R.SCORE_WINDOW_MONTHS)
+    out = enrich(scored_sites(spark, sf_dir), scores, "site_uid")
+    out = composite(out, subset_patterns=R.SCORE_WO_VOLUME_PATTERNS)
+    return out.withColumn("period", F.lit(PERIOD))
+
+
+def _sql_score_cte(s) -> str:
+    name, num = s["name"], s["num"]
+    rows = {"period": f"period = '{PERIOD}'",
+            "window": "date BETWEEN (SELECT d FROM wmx) - INTERVAL 9 MONTH AND (SELECT d FROM wmx)",
+            "txtb": ("date = (SELECT d FROM mx)" if PERIOD.endswith(("Q2", "Q4"))
+                     else "date = (SELECT d FROM mx) - INTERVAL 3 MONTH")}[s["rows"]]
+    if s.get("ped"):
+        rows += " AND agecoarse = '<15'"
+    if s["kind"] == "sum":
+        return (f"s_{name} AS (SELECT site_uid, sum(value) AS value_{name} FROM base "
+                f"WHERE indicator = '{num}' AND {rows} GROUP BY site_uid)")
+    den = s["den"]
+    if s.get("fill0", True):
+        n = f"coalesce(sum(CASE WHEN indicator = '{num}' THEN value END), 0)"
+        d = f"coalesce(sum(CASE WHEN indicator = '{den}' THEN value END), 0)"
+    else:
+        n = f"sum(CASE WHEN indicator = '{num}' THEN value END)"
+        if s.get("num_fill0"):
+            n = f"coalesce({n}, 0)"
+        d = f"sum(CASE WHEN indicator = '{den}' THEN value END)"
+    return (f"s_{name} AS (SELECT site_uid, {_sql_ratio(n, d)} AS value_{name} FROM base "
+            f"WHERE indicator IN ('{num}', '{den}') AND {rows} GROUP BY site_uid)")
+
+
+def _site_scores_sql() -> str:
+    names = [s["name"] for s in PROXY_SCORES]
+    sub = [f"score_{n}" for n in names
+           if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
+    ctes = ",\n".join(_sql_score_cte(s) for s in PROXY_SCORES)
+    joins = "\n".join(f"LEFT JOIN s_{n} ON st.site_uid = s_{n}.site_uid" for n in names)
+    values = ", ".join(f"s_{n}.value_{n}" for n in names)
+    bands = ", ".join(f"{_sql_band(f's_{n}.value_{n}', s['bands'])} AS score_{n}"
+                      for n, s in zip(names, PROXY_SCORES))
+    site_partner = ("CASE " + " ".join(f"WHEN snu1 = '{k}' THEN '{v}'"
+                                       for k, v in proxy.PROXY_SITE_PARTNER.items()) + " END")
+    return f"""
+, base AS (
+  SELECT site_uid, indicator, value, period, date,
+         CASE WHEN standardizeddisaggregate IN ({_sql_in(PED_PRIORITIES)}) THEN '<15' ELSE '15+' END
+           AS agecoarse
+  FROM dated
+  WHERE {_sql_recode('mech_name', PROXY_PARTNER)} IN ({_sql_in(R.SCORE_PARTNERS)})
+    AND value IS NOT NULL),
+mx AS (SELECT max(date) AS d FROM base WHERE period = '{PERIOD}'),
+wmx AS (SELECT max(date) AS d FROM base),
+{ctes},
+st AS (SELECT site_uid FROM site_dim WHERE {site_partner} <> 'MISAU'),
+j AS (SELECT st.site_uid, {values}, {bands} FROM st
+{joins})
+SELECT *, {' + '.join(f'score_{n}' for n in names)} AS score_clin,
+       {' + '.join(sub) if sub else '0'} AS score_clin_wo_volume,
+       '{PERIOD}' AS period
+FROM j
+"""
+
+
+from indicata.plans.proxy import ORACLE_CTE  # noqa: E402
+from indicata.plans.registry import ORACLE  # noqa: E402
+
+ORACLE["site_scores"] = ORACLE_CTE + _site_scores_sql()

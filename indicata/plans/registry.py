@@ -45,8 +45,9 @@ def _sql_band(v: str, bands, default=0) -> str:
 
 def _sql_ratio(n: str, d: str) -> str:
     n, d = f"({n})", f"({d})"
-    return (f"CASE WHEN {d} <> 0 THEN {n} / {d} WHEN {n} > 0 THEN CAST('Infinity' AS DOUBLE) "
-            f"WHEN {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END")
+    return (f"CASE WHEN {d} <> 0 THEN {n} / {d} "
+            f"WHEN {d} = 0 AND {n} > 0 THEN CAST('Infinity' AS DOUBLE) "
+            f"WHEN {d} = 0 AND {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END")
 
 
 def _sql_recode(c: str, mapping) -> str:
