@@ -28,11 +28,15 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     quote is not an escape (``escape_double=FALSE``).  Unparsable values
     become null (PERMISSIVE) rather than failing the job.
     """
-    return (spark.read.option("header", True).option("sep", sep)
-            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-            .option("nullValue", null_value).option("emptyValue", None)
-            .option("escape", "\\").option("quote", '"').option("mode", "PERMISSIVE")
-            .schema(schema).csv(path if isinstance(path, str) else list(path)))
+    df = (spark.read.option("header", True).option("sep", sep)
+          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+          .option("nullValue", null_value)
+          .option("escape", "\\").option("quote", '"').option("mode", "PERMISSIVE")
+          .schema(schema).csv(path if isinstance(path, str) else list(path)))
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not strings:
+        return df
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in strings})
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
