@@ -72,6 +72,14 @@ def split_period(df, period: str = "period", fy: str = "fy", quarter: str = "qua
     })
 
 
+def fiscal_period_columns(df, column: str, *, from_date: bool = False) -> tuple[Column, Column]:
+    """(fy, q) columns from a period string ("2024 Q4") or from a calendar date."""
+    if from_date:
+        return fiscal_year(column), fiscal_quarter(column)
+    return (F.split_part(F.col(column), F.lit(" "), F.lit(1)).try_cast("int"),
+            quarter_number(column))
+
+
 def period_range(period: str) -> tuple[str, str]:
     """Calendar [start, end) of a fiscal period string, for source pushdown."""
     fy_s, q_s = period.split(" Q")

@@ -52,13 +52,12 @@ def derive_indicators(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
     the current layer starts a new one.  Source columns absent from the
     input (an indicator with no rows) are treated as all-null.
     """
-    needed = set()
+    missing, written = set(), set()
     for r in rules:
-        needed |= _rule_expr(r)[1]
-    missing = sorted(c for c in needed if c not in df.columns
-                     and c not in {r["out"] for r in rules})
+        missing |= {c for c in _rule_expr(r)[1] if c not in df.columns and c not in written}
+        written.add(r["out"])
     if missing:
-        df = df.withColumns({c: F.lit(None).cast("double") for c in missing})
+        df = df.withColumns({c: F.lit(None).cast("double") for c in sorted(missing)})
     layer: dict[str, Column] = {}
     for r in rules:
         expr, reads = _rule_expr(r)

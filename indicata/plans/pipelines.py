@@ -1,0 +1,312 @@
+"""Composite pipelines over canonical schemas.
+
+Each is a function of DataFrames (plus rule data) returning a DataFrame;
+callers persist with :mod:`indicata.sources.files`.  Column names follow the
+canonical extract (``orgunituid``, ``indicator``, ``numeratordenom``,
+``standardizeddisaggregate``, ``otherdisaggregate``, ``fiscal_year``,
+``qtr1..qtr4``, ``cumulative``, ``targets``, ...).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from indicata.functions.columns import cols, relocate
+from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agency,
+                                       null_for_pregnancy, pop_type, unknown_label)
+from indicata.functions.expressions import is_in, not_in, ratio, recode
+from indicata.functions.periods import (fiscal_period_columns, period_date, period_label,
+                                        quarter_number, suffix_denominator)
+from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
+                                        shift_period)
+from indicata.operators.derive import apply_corrections, derive_indicators
+from indicata.operators.joins import enrich, map_indicator
+from indicata.operators.measures import (cumulative_share, group_sum, period_bounds,
+                                         sum_when)
+from indicata.operators.reshape import gather, reshape_long, spread
+from indicata.operators.scoring import composite, score_sites, site_volume
+from indicata.operators.select import apply_exclusions, drop_all_zero, fill_zero
+from indicata.operators.union import Contract, align, union_all
+from indicata.plans import rules as R
+
+# ---------------------------------------------------------------------------
+# Yearly extracts -> one fact
+# ---------------------------------------------------------------------------
+
+
+def union_extracts(extracts: Sequence[tuple[DataFrame, Contract]], *,
+                   mech_recode: Mapping[str, str] = R.MECH_NAME_RECODE,
+                   modality_recode: Mapping[str, str] = R.MODALITY_RECODE,
+                   corrections=None) -> DataFrame:
+    """Align each year's extract to the contract, bind, recode, correct."""
+    df = union_all([align(d, c) for d, c in extracts])
+    df = df.withColumn("mech_name", recode("mech_name", mech_recode))
+    if "modality" in df.columns:
+        df = df.withColumn("modality", recode("modality", modality_recode))
+    return apply_corrections(df, corrections) if corrections else df
+
+
+# ---------------------------------------------------------------------------
+# Results table
+# ---------------------------------------------------------------------------
+
+
+def attribute_partner(df: DataFrame, *, clinical: Sequence[str] = R.CLINICAL_INDICATORS,
+                      site_partner: str = "partner_pepfar_clinical",
+                      indicator: str = "indicator", mech: str = "mech_name") -> Column:
+    """Clinical indicators take the site's clinical partner (or the ministry
+    when the site has none); others keep the mechanism (D5)."""
+    is_clin = is_in(indicator, clinical)
+    return (F.when(is_clin & F.col(site_partner).isNotNull(), F.col(site_partner))
+             .when(is_clin, F.lit("MISAU")).otherwise(F.col(mech)))
+
+
+def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *,
+                 exclusions=R.EXCLUSIONS, shifts=R.COHORT_SHIFTS) -> DataFrame:
+    """Mapped, attributed, long, de-noised, cohort-shifted and dated fact."""
+    df = map_indicator(dg, dedup_map)
+    df = enrich(df, site_partner, "datim_uid", left_on="orgunituid")
+    df = df.withColumn("partner_recode", attribute_partner(df)).drop("datim_uid")
+    df = df.withColumn("fy", F.col("fiscal_year").cast("int"))
+    df = reshape_long(df.drop("fiscal_year"), fiscal_year="fy")
+    qn = quarter_number("period")
+    df = df.withColumns({"quarter": F.when(qn.isNotNull(), F.concat(F.lit("Q"), qn.cast("string"))),
+                         "q": qn,
+                         "indicator_temp": suffix_denominator("indicator", "numeratordenom")})
+    df = apply_exclusions(df, exclusions)
+    df = shift_period(df, shifts, indicator="indicator_temp", fy="fy", q="q")
+    return (df.withColumns({"period": period_label("fy", "q"), "date": period_date("fy", "q")})
+              .drop("indicator", "quarter", "q", "partner_pepfar_clinical"))
+
+
+def results_table(dg: DataFrame, dedup_map: DataFrame, site_map: DataFrame,
+                  indicator_names: Sequence[str], *, cohort=R.PMTCT_ART_COHORT,
+                  derived=R.DERIVED_INDICATORS, facility: str = "Facility") -> DataFrame:
+    """The wide results table.
+
+    ``indicator_names`` lists every ``indicator_temp`` value to spread into a
+    column (from the rule set: mapped indicators, their ``_D`` forms, shift
+    and cohort labels) so no scan is needed to discover them.
+    """
+    long = results_long(dg, dedup_map, site_map.select("datim_uid", "partner_pepfar_clinical"))
+    b = period_bounds(long, where=(F.col("indicator_temp") == "TX_CURR")
+                      & (F.col("period_type") == "results"))
+    # PMTCT_ART 12-month cohorts, one scan, labelled per window
+    art = long.filter(F.col("indicator_temp") == cohort["indicator"])
+    w = relative_windows(art, "date", b["max_date"], cohort["windows"], window_col="__k")
+    cohorts = (label_windows(w, "__k", fixed={0: (b["max_date"], b["max_period"])})
+               .drop("__k").withColumn("indicator_temp", F.lit(cohort["label"])))
+    full = long.unionByName(cohorts)
+    wide = spread(full, "indicator_temp", "value", indicator_names)
+    wide = (wide.withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse"})
+                .drop("numeratordenom")
+                .filter(((F.col("date") >= b["min_date"]) & (F.col("date") <= b["max_date"]))
+                        | F.col("period").isNull()))
+    # Site volume at the latest period, facilities only
+    vol_rows = wide.filter((F.col("sitetype") == facility) & (F.col("date") == b["max_date"]))
+    vol = site_volume(vol_rows, site="orgunituid", value="TX_CURR", bands=R.SITE_VOLUME_BANDS,
+                      default=R.SITE_VOLUME_DEFAULT)
+    wide = derive_indicators(wide, derived)
+    out = (wide.filter(F.col("period_type").isin("results", "cumulative"))
+               .drop(*[c for c in ("statushiv", "statustb", "statuscx", "hiv_treatment_status")
+                       if c in wide.columns])
+               .withColumnRenamed("orgunituid", "datim_uid"))
+    out = enrich(out, site_map, "datim_uid")
+    out = enrich(out, vol.withColumnRenamed("orgunituid", "datim_uid"), "datim_uid")
+    fam = cols(out, starts=["his_", "grm_", "security_", "program_"])
+    out = fill_zero(out, fam)
+    front = (cols(out, contains="_uid") + ["funding_agency", "mech_name"]
+             + cols(out, starts="partner_") + cols(out, starts="snu") + cols(out, starts="psnu")
+             + ["sitename", "period_type", "fiscal_year", "period", "date", "site_volume"])
+    front = [c for i, c in enumerate(front) if c in out.columns and c not in front[:i]]
+    return out.select(*front, *[c for c in out.columns if c not in front])
+
+
+# ---------------------------------------------------------------------------
+# Tables derived from the results table
+# ---------------------------------------------------------------------------
+
+
+def tb_summary(results: DataFrame, measures: Sequence[str] = ("TB_STAT", "TB_STAT_POS")) -> DataFrame:
+    """C4: TB measures summed by province, date, partner and period."""
+    r = results.filter(F.col("period_type") == "results").select(
+        "snu1", "date", F.col("partner_pepfar_clinical").alias("partner"), "period", *measures)
+    return group_sum(r, ["snu1", "date", "partner", "period"], list(measures))
+
+
+def supply_triangulation(results: DataFrame, max_date: Column) -> DataFrame:
+    """TX_CURR per site at the latest date, lower-case columns."""
+    r = results.filter((F.col("date") == max_date) & F.col("TX_CURR").isNotNull())
+    g = group_sum(r, ["period", "datim_uid", "snu1", "psnu", "sitename"], ["TX_CURR"])
+    return g.toDF(*[c.lower() for c in g.columns])
+
+
+def waterfall(results: DataFrame, *, start: str = R.WATERFALL_START_DATE,
+              losses=R.WATERFALL_LOSSES,
+              measures: Sequence[str] = ("TX_NEW", "TX_RTT", "TX_ML", "TX_NET_NEW")) -> DataFrame:
+    """Treatment cascade in long form with TX_ML split by outcome."""
+    keys = ["datim_uid", "period", "funding_agency", "partner_recode", "snu1", "psnu",
+            "sitename", "sex", "ageasentered", "agecoarse", "otherdisaggregate"]
+    r = results.filter((F.col("date") >= F.to_date(F.lit(start))) & F.col("date").isNotNull()
+                       & not_in("ageasentered", R.WATERFALL_EXCLUDED_AGES))
+    r = r.select(*keys, *measures)
+    r = r.withColumn("ageasentered", age_band_50plus("ageasentered", period="period",
+                                                     only_periods=R.WATERFALL_50_PLUS_PERIODS))
+    r = r.withColumns({name: F.when(F.col("otherdisaggregate") == label, F.col("TX_ML"))
+                       for name, label in losses})
+    tx = [c for c in r.columns if c.startswith("TX_")]
+    long = gather(r, keys, tx, names_to="indicator", values_to="value")
+    return long.filter(F.col("indicator") != "TX_ML")
+
+
+# ---------------------------------------------------------------------------
+# Site scores
+# ---------------------------------------------------------------------------
+
+
+def site_scores(results: DataFrame, sites: DataFrame, period: str, *,
+                scores=R.SITE_SCORES, partners=R.SCORE_PARTNERS, extra: DataFrame | None = None,
+                wo_volume=R.SCORE_WO_VOLUME_PATTERNS) -> DataFrame:
+    """Banded scores per site, one aggregation; ``extra`` adds scores
+    computed elsewhere (e.g. TPT, keyed by datim_uid)."""
+    ids = ["datim_uid", "snu1", "psnu", "sitename", "funding_agency", "mech_name", "period",
+           "date", "sex", "ageasentered", "agecoarse", "standardizeddisaggregate",
+           "otherdisaggregate"]
+    base = results.filter(F.col("period_type") == "results")
+    present = [c for c in R.SCORE_INDICATORS if c in base.columns]
+    long = gather(base.select(*[c for c in ids if c in base.columns], *present),
+                  [c for c in ids if c in base.columns], present)
+    long = long.filter(is_in("mech_name", partners))
+    sc = score_sites(long, site="datim_uid", period=period, scores=scores,
+                     window_months=R.SCORE_WINDOW_MONTHS)
+    site_list = (sites.filter(F.col("partner_pepfar_clinical") != "MISAU")
+                      .withColumnRenamed("partner_pepfar_clinical", "partner"))
+    out = enrich(site_list, sc, "datim_uid")
+    if extra is not None:
+        out = enrich(out, extra, "datim_uid")
+    out = composite(out, subset_patterns=wo_volume).withColumn("period", F.lit(period))
+    out = relocate(out, cols(out, starts="score"))
+    out = relocate(out, ["period"], after="datim_uid")
+    return out.drop("snu", "psnu", "sitename", "partner").orderBy("score_clin")
+
+
+# ---------------------------------------------------------------------------
+# Running share of patients and the regional roll-up
+# ---------------------------------------------------------------------------
+
+SHARE_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+                  "PMTCT_EID_D"]
+
+
+def running_share(results: DataFrame, period: str, *, measures=SHARE_MEASURES,
+                  site_partner: DataFrame | None = None) -> DataFrame:
+    """C11: site sums in a period, all-zero sites removed, cumulative share
+    of TX_CURR (0/0 -> 1), HEI positivity (0/0 -> 0), site type."""
+    r = results.filter((F.col("period") == period) & (F.col("period_type") == "results")
+                       & F.col("sitetype").isin("Facility", "Military"))
+    present = [m for m in measures if m in r.columns]
+    g = drop_all_zero(group_sum(r, ["datim_uid", "snu1", "psnu", "sitename"], present), present)
+    g = cumulative_share(g, "TX_CURR", ["datim_uid"], zero_total_share=1.0)
+    g = g.withColumn("PMTCT_HEI_POS_per",
+                     F.coalesce(ratio("PMTCT_HEI_POS", "PMTCT_EID_D"), F.lit(0.0)))
+    if site_partner is not None:
+        g = enrich(g, site_partner, "datim_uid")
+        g = g.withColumn("site_type", F.when(is_in("mech_name", R.CLINICAL_PARTNERS_SITE_TYPE),
+                                             F.lit("99-AJUDA")).otherwise(F.lit("01-Sustainability")))
+    return g.withColumn("partner_alt", F.lit(None).cast("string"))
+
+
+def regional_rollup(site_level: DataFrame) -> DataFrame:
+    """Patients and sites by province and support type, with shares."""
+    sus = F.col("site_type") == "01-Sustainability"
+    aj = F.col("site_type") == "99-AJUDA"
+    out = sum_when(site_level.filter(F.col("TX_CURR") > 0), ["snu1"], {
+        "TX_CURR": (F.lit(True), "TX_CURR"), "TX_CURR_SUS": (sus, "TX_CURR"),
+        "TX_CURR_AJUDA": (aj, "TX_CURR"), "SITE_SUS": (sus, 1.0), "SITE_AJUDA": (aj, 1.0)})
+    out = out.withColumn("SITE_TOTAL", F.col("SITE_SUS") + F.col("SITE_AJUDA"))
+    return out.withColumns({"TX_CURR_AJUDA_PER": ratio("TX_CURR_AJUDA", "TX_CURR"),
+                            "SITE_AJUDA_PER": ratio("SITE_AJUDA", "SITE_TOTAL")})
+
+
+# ---------------------------------------------------------------------------
+# C14-C17: supplemental submissions and the viral-load crosswalk
+# ---------------------------------------------------------------------------
+
+
+def transfer_in(history: DataFrame, site_removal: Sequence[str] = ()) -> DataFrame:
+    """C15 (part): transfer-in history in long form with harmonised labels."""
+    ids = [c for c in history.columns if not c.startswith("TX_")]
+    long = gather(history, ids, [c for c in history.columns if c.startswith("TX_")])
+    long = long.withColumns({
+        "indicator": recode("indicator", R.TRN_INDICATOR_RECODE),
+        "funding_agency": funding_agency("partner"),
+        "agecoarse": age_coarse("ageasentered"),
+        "ageasentered": unknown_label("ageasentered", "Unknown Age"),
+        "sex": unknown_label("sex", "Unknown Sex")})
+    long = long.withColumnsRenamed({"snu": "snu1", "partner": "partner_recode"})
+    return long.filter(not_in("datim_uid", site_removal) & F.col("datim_uid").isNotNull())
+
+
+def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFrame,
+                 psnu_map: DataFrame, *, anchors=R.VL_ANCHORS, months_back=R.VL_MONTHS_BACK,
+                 start=R.VL_MER_START) -> DataFrame:
+    """C17: programme, supplemental and laboratory viral-load series on one grain.
+
+    The laboratory series is copied to every trailing window of the anchor
+    list and re-dated to the window's own last period/date (one scan, not
+    one filtered copy per anchor).
+    """
+    start_c = F.to_date(F.lit(start))
+    m = mer.filter((F.col("date") >= start_c) & (F.col("partner_recode") != "MISAU"))
+    tx = ["TX_CURR_6MO_PRIOR", "TX_PVLS", "TX_PVLS_D", "TX_PVLS_PLW", "TX_PVLS_PLW_D"]
+    ids = ["datim_uid", "partner_recode", "snu1", "psnu", "sitename", "period", "date", "sex",
+           "ageasentered", "otherdisaggregate"]
+    m = gather(m.select(*ids, *[t for t in tx if t in m.columns]), ids,
+               [t for t in tx if t in m.columns])
+    m = m.select(
+        "datim_uid", F.col("partner_recode").alias("partner"), F.col("snu1").alias("snu"), "psnu",
+        "sitename", "period", "date", "sex",
+        age_band_50plus("ageasentered").alias("ageasentered"),
+        F.regexp_replace("indicator", "_PLW", "").alias("indicator"),
+        pop_type("otherdisaggregate").alias("pop_type"), F.lit("MER").alias("source"), "value")
+    s = sup.filter(F.col("pop_type") != "KeyPop").select(
+        "datim_uid", F.col("partner_pepfar_clinical").alias("partner"), "snu", "psnu", "sitename",
+        "period", "sex", F.col("age").alias("ageasentered"),
+        F.col("pop_subtype").alias("pop_type"), "source", "indicator", "value")
+    fy, q = fiscal_period_columns(s, "period")
+    s = s.withColumns({
+        "date": period_date(fy, q),
+        "indicator": recode("indicator", R.VL_INDICATOR_RECODE),
+        "pop_type": F.coalesce(F.col("pop_type"), F.lit("Age/Sex")),
+        "ageasentered": age_band_50plus(unknown_label("ageasentered", "Unknown Age",
+                                                      all_to_null=True)),
+        "sex": unknown_label("sex", "Unknown Sex"),
+        "source": recode("source", R.VL_SOURCE_RECODE)}).filter(F.col("date") >= start_c)
+    lo = F.add_months(start_c, -months_back)
+    d = gather(disa.select("datim_uid", "partner", "snu", "psnu", "sitename",
+                           F.col("period").alias("date"), F.col("age").alias("ageasentered"),
+                           F.col("group").alias("pop_type"), "sex",
+                           F.col("VL").alias("TX_PVLS_D"), F.col("VLS").alias("TX_PVLS")),
+               ["datim_uid", "partner", "snu", "psnu", "sitename", "date", "ageasentered",
+                "pop_type", "sex"], ["TX_PVLS_D", "TX_PVLS"])
+    d = d.filter((F.col("date") >= lo) & (F.col("date") <= mer.agg(F.max("date")).scalar())
+                 & (F.col("value") > 0))
+    d = d.withColumns({
+        "source": F.lit("DISA"),
+        "pop_type": F.when(F.col("pop_type") == "Age", F.lit("Age/Sex")).otherwise(F.col("pop_type")),
+        "period": period_label(*fiscal_period_columns(d, "date", from_date=True))})
+    d = d.withColumns({"ageasentered": null_for_pregnancy("ageasentered", "pop_type"),
+                       "sex": null_for_pregnancy("sex", "pop_type")})
+    d = d.join(sites.select("datim_uid").distinct(), "datim_uid", "left_semi")
+    windows = label_windows(anchor_windows(d, "date", anchors, months_back), "anchor").drop("anchor")
+    combined = union_all([m, s, windows]).drop("partner", "snu", "psnu", "sitename")
+    combined = enrich(combined, sites, "datim_uid")
+    return enrich(combined, psnu_map.select("psnu", "psnuuid"), "psnu")
+
+
+__all__ = ["union_extracts", "attribute_partner", "results_long", "results_table",
+           "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
+           "regional_rollup", "transfer_in", "vl_crosswalk"]

@@ -1,0 +1,94 @@
+"""Golden checks of the composite pipelines on the synthetic fixture."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from indicata.plans import pipelines as P
+from tests import fixtures as X
+
+
+def _results(spark):
+    dg = spark.createDataFrame(X.extract_rows(), X.EXTRACT)
+    m = spark.createDataFrame(X.MAP_ROWS, "indicator string, standardizeddisaggregate string, "
+                                          "indicator_new string")
+    sites = spark.createDataFrame(X.SITE_ROWS, X.SITE_MAP)
+    return P.results_table(dg, m, sites, X.NAMES)
+
+
+def _sum(df, col, **eq):
+    q = df
+    for k, v in eq.items():
+        q = q.filter(F.col(k) == v)
+    return q.agg(F.sum(col)).first()[0]
+
+
+def test_results_table_golden(spark):
+    r = _results(spark).cache()
+    # unmapped indicator dropped, excluded MISAU/FY2024 row removed
+    assert "UNMAPPED" not in r.columns
+    assert _sum(r, "TX_NEW") is None
+    # bounds: TX_CURR results from 2023 Q4 (2023-09-20) to 2024 Q4 (2024-09-20)
+    assert r.filter("period_type = 'results'").agg(F.min("date"), F.max("date")).first() == \
+        (dt.date(2023, 9, 20), dt.date(2024, 9, 20))
+    # partner attribution: clinical indicator at a site without partner -> MISAU
+    assert _sum(r, "TX_CURR", datim_uid="s2", partner_recode="MISAU", period="2024 Q1") == 50.0
+    # shifts: TX_CURR 2024 Q1 (100) appears as 3-month-prior in Q2 and 6-month-prior in Q3
+    assert _sum(r, "TX_CURR_3MO_PRIOR", datim_uid="s1", period="2024 Q2") == 100.0
+    assert _sum(r, "TX_CURR_6MO_PRIOR", datim_uid="s1", period="2024 Q3") == 100.0
+    # 2024 Q4 + 3 months is 2025 Q1: beyond the max date, filtered out
+    assert r.filter("period = '2025 Q1'").count() == 0
+    # TB_PREV_D 2024 Q2 moved six months later -> 2023 Q4, inside the bounds
+    assert _sum(r, "TB_PREV_D_6MO_AFTER", period="2023 Q4") == 7.0
+    assert _sum(r, "TB_PREV_D_6MO_AFTER_New", period="2023 Q4") == 7.0
+    # derived: recoded IIT label, patient loss excludes transfers, null label -> null
+    assert _sum(r, "TX_ML_IIT") == 4.0 and _sum(r, "TX_CIRA") == 4.0
+    assert _sum(r, "TX_PatientLoss") == 4.0
+    # PMTCT_ART cohorts: latest window (date > max-12mo) labelled with the bounds
+    latest = r.filter("period = '2024 Q4'")
+    assert _sum(latest, "PMTCT_ART_12MO") == 3.0 + 4.0 + 5.0 + 6.0
+    assert _sum(r, "PMTCT_ART_12MO", period="2024 Q3") == 2.0 + 3.0 + 4.0 + 5.0
+    assert _sum(r, "PMTCT_ART_Already") == 2.0      # the 2023 Q3 row is before the bounds
+    # cumulative rows kept with null period (the TX_CURR row and its two shifted
+    # copies, whose fiscal year becomes null as in the reference); targets dropped
+    cum = r.filter("period_type = 'cumulative'")
+    assert cum.count() == 3 and cum.filter("period IS NULL AND fiscal_year IS NULL").count() == 2
+    assert r.filter("period_type = 'targets'").count() == 0
+    # site volume, enrichment and zero-filled flags
+    vol = {x.datim_uid: x.site_volume for x in r.select("datim_uid", "site_volume").distinct().collect()}
+    assert vol["s1"] == "Low"
+    assert r.filter(F.col("his_epts").isNull()).count() == 0
+    assert r.columns[:4] == ["datim_uid", "funding_agency", "mech_name", "partner_recode"]
+
+
+def test_tb_triangulation_waterfall(spark):
+    r = _results(spark)
+    tri = P.supply_triangulation(r, r.agg(F.max("date")).scalar())
+    assert {c for c in tri.columns} == {"period", "datim_uid", "snu1", "psnu", "sitename", "tx_curr"}
+    assert tri.agg(F.sum("tx_curr")).first()[0] == 130.0
+    wf = P.waterfall(r.withColumns({"TX_RTT": F.lit(None).cast("double"),
+                                    "TX_NET_NEW": F.lit(None).cast("double")}))
+    got = {(x.indicator, x.value) for x in wf.collect()}
+    assert ("TX_ML_Interruption_u3", 4.0) in got and ("TX_ML_Interruption_Transfer_Out", 2.0) in got
+    assert not any(i == "TX_ML" for i, _ in got)
+
+
+def test_union_extracts_with_drift_and_corrections(spark):
+    from pyspark.sql import types as T
+    from indicata.operators.union import Contract
+    from indicata.plans import rules as R
+    canon = T.StructType([T.StructField(c, T.StringType()) for c in
+                          ("orgunituid", "mech_name", "sitename", "snu1", "psnu", "psnuuid",
+                           "modality")])
+    y21 = spark.createDataFrame([("siMZUtd2cJW", "Ariel", "x", "s", "p", "u", "Index")],
+                                "orgunituid string, mech_name string, sitename string, snu1 string, "
+                                "psnu string, psnuuid string, modality string")
+    y22 = spark.createDataFrame([("EslaBcDD5mZ", "Friends in Global Health", "y", "s", "q", "u")],
+                                "orgunituid string, mech_name string, sitename string, snu1 string, "
+                                "snu2 string, psnuuid string")
+    out = P.union_extracts([(y21, Contract(canon)),
+                            (y22, Contract(canon, rename={"snu2": "psnu"}))],
+                           corrections=R.CORRECTIONS)
+    got = sorted((r.orgunituid, r.mech_name, r.sitename, r.psnu, r.modality) for r in out.collect())
+    assert got == [("oX9C1fOEzSk", "ARIEL", "Cadeia Central PS", "Matola", "Index Facility"),
+                   ("wmXdfKNX0qT", "FGH", "Inhamizua CS", "q", None)]
