@@ -61,15 +61,15 @@ def period_bounds(df: DataFrame, *, date: str = "date", period: str = "period",
                   where: Column | None = None) -> dict[str, Column]:
     """Reporting bounds as lazy scalar sub-queries.
 
-    Returns ``{"min_date", "max_date", "max_period"}`` Columns that can be used
-    in any later expression; Spark runs each as one small aggregate job and
-    substitutes the literal, so no cross join and no driver round trip in the
-    operator.
+    Returns ``{"min_date", "max_date", "max_period"}`` Columns usable in any
+    later expression.  All three are fields of one struct-valued scalar
+    sub-query, which Spark plans once (one small aggregate job) and reuses
+    wherever a bound appears: no cross join, no driver round trip.
     """
     base = df.filter(where) if where is not None else df
-    bounds = base.agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
-                      F.max(period).alias("max_period"))
-    return {c: bounds.select(c).scalar() for c in ("min_date", "max_date", "max_period")}
+    b = base.agg(F.struct(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
+                          F.max(period).alias("max_period")).alias("b")).scalar()
+    return {c: b.getField(c) for c in ("min_date", "max_date", "max_period")}
 
 
 def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:

@@ -14,7 +14,8 @@ from indicata.functions.expressions import band_score, not_in, ratio, recode
 from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
                                         shift_period)
 from indicata.operators.joins import map_indicator
-from indicata.operators.measures import cumulative_share, group_sum, sum_when
+from indicata.operators.measures import cumulative_share, group_sum
+from indicata.plans import pipelines as P
 from indicata.operators.reshape import pivot_sum
 from indicata.plans import proxy
 from indicata.plans import rules as R
@@ -211,19 +212,7 @@ def regional_rollup(spark, sf_dir):
     per_site = group_sum(f.filter(F.col("site_type") != "non-clinical"),
                          ["site_uid", "snu1", "site_type"], ["value"]) \
         .withColumnRenamed("value", "TX_CURR")
-    sus = F.col("site_type") == "01-Sustainability"
-    ajuda = F.col("site_type") == "99-AJUDA"
-    out = sum_when(per_site.filter(F.col("TX_CURR") > 0), ["snu1"], {
-        "TX_CURR": (F.lit(True), "TX_CURR"),
-        "TX_CURR_SUS": (sus, "TX_CURR"),
-        "TX_CURR_AJUDA": (ajuda, "TX_CURR"),
-        "SITE_SUS": (sus, 1.0),
-        "SITE_AJUDA": (ajuda, 1.0),
-    })
-    out = out.withColumn("SITE_TOTAL", F.col("SITE_SUS") + F.col("SITE_AJUDA"))
-    return out.withColumns({
-        "TX_CURR_AJUDA_PER": ratio("TX_CURR_AJUDA", "TX_CURR"),
-        "SITE_AJUDA_PER": ratio("SITE_AJUDA", "SITE_TOTAL")})
+    return P.regional_rollup(per_site)
 
 
 # ---------------------------------------------------------------------------

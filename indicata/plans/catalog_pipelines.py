@@ -1 +1,305 @@
-"""Composite pipeline queries."""
+"""Composite pipeline queries (C3-C6, C11) on the canonical extract derived
+from the test tables.
+
+The Spark side runs the library pipelines unchanged
+(:mod:`indicata.plans.pipelines`); the DuckDB oracle re-states the whole
+chain step by step (map, attribute, reshape, exclude, shift, date, bound,
+cohort, spread, filter, volume, derive, enrich) so every stage is checked.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from indicata.plans import pipelines as P
+from indicata.plans import proxy
+from indicata.plans import rules as R
+from indicata.plans.proxy import ORACLE_CTE
+from indicata.plans.registry import (ORACLE, QUERIES, _sql_band, _sql_in, _sql_values)
+
+# ---------------------------------------------------------------------------
+# Spark side
+# ---------------------------------------------------------------------------
+
+RT_MEASURES = ["TX_CURR", "TX_CURR_D", "TX_ML", "TX_PVLS", "TX_PVLS_D", "PMTCT_ART",
+               "TX_CURR_3MO_PRIOR", "TX_ML_3MO_PRIOR", "TX_CURR_6MO_PRIOR", "PMTCT_ART_12MO",
+               "TX_ML_IIT", "TX_ML_IIT_3_Months_Less", "TX_PatientLoss", "TX_CURR_FemaleAdult",
+               "PMTCT_ART_Already", "TX_CIRA", "TX_CURR_Expected", "his_epts"]
+RT_KEYS = ["period_type", "period", "date", "partner_recode", "site_volume"]
+WATERFALL_START = "2000-06-20"
+WATERFALL_PLUS = ["2000 Q4", "2001 Q1", "2001 Q2"]
+
+
+def results_table_proxy(spark, sf_dir):
+    dg = proxy.canonical_extract(spark, sf_dir)
+    m = spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
+                                                 "string, indicator_new string")
+    return P.results_table(dg, m, proxy.site_map(spark, sf_dir), proxy.PROXY_NAMES)
+
+
+def _nsum(df, keys, measures):
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                 *[F.sum(c).alias(c) for c in measures])
+
+
+def q_results_table(spark, sf_dir):
+    return _nsum(results_table_proxy(spark, sf_dir), RT_KEYS, RT_MEASURES)
+
+
+def q_tb_summary(spark, sf_dir):
+    return P.tb_summary(results_table_proxy(spark, sf_dir), measures=("TX_CURR", "TX_PVLS"))
+
+
+def q_supply_triangulation(spark, sf_dir):
+    r = results_table_proxy(spark, sf_dir)
+    return P.supply_triangulation(r, r.agg(F.max("date")).scalar())
+
+
+def q_waterfall(spark, sf_dir):
+    wf = P.waterfall(results_table_proxy(spark, sf_dir), start=WATERFALL_START,
+                     plus_periods=WATERFALL_PLUS)
+    return wf.groupBy("period", "indicator", "ageasentered").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+
+
+def q_running_share(spark, sf_dir):
+    r = results_table_proxy(spark, sf_dir)
+    measures = ["TX_CURR", "TX_PVLS", "PMTCT_ART"]
+    g = P.running_share(r, "2000 Q4", measures=measures)
+    return g.drop("partner_alt")
+
+
+# ---------------------------------------------------------------------------
+# Oracle: the results-table chain in SQL
+# ---------------------------------------------------------------------------
+
+def _lookup(c, mapping) -> str:
+    return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
+K = ["orgunituid", "sitename", "snu1", "psnu", "mech_name", "indicator", "numeratordenom",
+     "standardizeddisaggregate", "fiscal_year", "otherdisaggregate", "sex", "ageasentered",
+     "sitetype", "trendscoarse", "partner_recode"]
+
+
+def _long_part(col, ptype, q) -> str:
+    qexpr = str(q) if q else "CAST(NULL AS INTEGER)"
+    return f"SELECT {', '.join(K)}, '{ptype}' AS period_type, {qexpr} AS q, {col} AS value FROM attr"
+
+
+def _shift_part(k, src, label) -> str:
+    idx = f"(fy * 4 + q - 1 + ({k}))"
+    return (f"SELECT * REPLACE ('{label}' AS indicator_temp, CAST(floor({idx} / 4) AS INT) AS fy, "
+            f"CAST({idx} % 4 + 1 AS INT) AS q) FROM excl WHERE indicator_temp = '{src}'")
+
+
+def _excl_sql(rule) -> str:
+    terms = []
+    for c, op, *arg in rule[0]:
+        a = arg[0] if arg else None
+        if op == "==":
+            terms.append(f"{c} = {repr(a) if isinstance(a, str) else a}")
+        elif op == "in":
+            terms.append(f"{c} IN ({_sql_in(a)})")
+        elif op == "not_in":
+            terms.append(f"NOT coalesce({c} IN ({_sql_in(a)}), false)")
+        else:
+            raise ValueError(op)
+    return "NOT coalesce(" + " AND ".join(terms) + ", false)"
+
+
+def _cohort_part(k, lo, hi) -> str:
+    cond = (f"d2.date > b.mx - INTERVAL {lo} MONTH" if hi is None else
+            f"d2.date BETWEEN b.mx - INTERVAL {lo} MONTH AND b.mx - INTERVAL {hi} MONTH")
+    return f"SELECT d2.*, {k} AS k FROM d2, b WHERE d2.indicator_temp = 'PMTCT_ART' AND {cond}"
+
+
+_IIT_ALL = ["IIT 0-3m ART", "IIT 3-5m ART", "IIT 6+m ART", "IIT 3+m ART"]
+
+
+def _results_chain() -> str:
+    shifts = [_shift_part(k, s, lab) for k, m in R.COHORT_SHIFTS for s, lab in m.items()]
+    onehot = ", ".join(f"CASE WHEN indicator_temp = '{n}' THEN value END AS {n}"
+                       for n in proxy.PROXY_NAMES)
+    recode = ("CASE otherdisaggregate " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in R.OTHERDISAGGREGATE_RECODE.items())
+        + " ELSE otherdisaggregate END")
+    return f"""
+, ext AS (
+  SELECT CAST(site_uid AS VARCHAR) AS orgunituid, sitename, snu1, psnu, mech_name, indicator,
+         numeratordenom, standardizeddisaggregate, fy AS fiscal_year,
+         sum(CASE WHEN q = 1 THEN value END) AS qtr1, sum(CASE WHEN q = 2 THEN value END) AS qtr2,
+         sum(CASE WHEN q = 3 THEN value END) AS qtr3, sum(CASE WHEN q = 4 THEN value END) AS qtr4,
+         sum(value) AS cumulative, sum(CASE WHEN numeratordenom = 'D' THEN value END) AS targets
+  FROM dated
+  GROUP BY site_uid, sitename, snu1, psnu, mech_name, indicator, numeratordenom,
+           standardizeddisaggregate, fy),
+ext2 AS (
+  SELECT *, {_lookup('standardizeddisaggregate', proxy.PROXY_OTHERDISAGG)} AS otherdisaggregate,
+         CASE WHEN numeratordenom = 'D' THEN 'Female' ELSE 'Male' END AS sex,
+         {_lookup('mech_name', proxy.PROXY_AGE)} AS ageasentered,
+         CASE WHEN snu1 = 'MIDDLE EAST' THEN 'Community' ELSE 'Facility' END AS sitetype
+  FROM ext),
+ext3 AS (
+  SELECT *, CASE WHEN ageasentered IN ({_sql_in(R.AGES_UNDER_15)}) THEN '<15'
+                 WHEN ageasentered = 'Unknown' THEN 'Unknown Age' ELSE '15+' END AS trendscoarse
+  FROM ext2),
+dmap(indicator, standardizeddisaggregate, indicator_new) AS (VALUES {_sql_values(proxy.PROXY_DEDUP)}),
+mapped AS (
+  SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
+  FROM ext3 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
+   AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
+  WHERE m.indicator_new IS NOT NULL),
+smap AS (
+  SELECT CAST(site_uid AS VARCHAR) AS datim_uid,
+         {_lookup('snu1', proxy.PROXY_SITE_PARTNER)} AS partner_pepfar_clinical,
+         CASE WHEN acctbal > 5000 THEN CAST(1 AS DOUBLE) END AS his_epts
+  FROM site_dim),
+attr AS (
+  SELECT mp.*,
+         CASE WHEN mp.indicator IN ({_sql_in(R.CLINICAL_INDICATORS)})
+                   AND s.partner_pepfar_clinical IS NOT NULL THEN s.partner_pepfar_clinical
+              WHEN mp.indicator IN ({_sql_in(R.CLINICAL_INDICATORS)}) THEN 'MISAU'
+              ELSE mp.mech_name END AS partner_recode
+  FROM mapped mp LEFT JOIN smap s ON mp.orgunituid = s.datim_uid),
+long AS (
+  {_long_part('qtr1', 'results', 1)}
+  UNION ALL {_long_part('qtr2', 'results', 2)}
+  UNION ALL {_long_part('qtr3', 'results', 3)}
+  UNION ALL {_long_part('qtr4', 'results', 4)}
+  UNION ALL {_long_part('cumulative', 'cumulative', None)}
+  UNION ALL {_long_part('targets', 'targets', None)}),
+long2 AS (
+  SELECT *, indicator || CASE WHEN numeratordenom = 'D' THEN '_D' ELSE '' END AS indicator_temp,
+         fiscal_year AS fy, CASE WHEN q IS NOT NULL THEN 'Q' || CAST(q AS VARCHAR) END AS quarter
+  FROM long WHERE value IS NOT NULL),
+excl AS (
+  SELECT * FROM long2 WHERE {' AND '.join(_excl_sql(r) for r in R.EXCLUSIONS)}),
+sh AS (
+  SELECT * FROM excl
+  UNION ALL {chr(10).join('  UNION ALL ' + s if i else s for i, s in enumerate(shifts))}),
+d2 AS (
+  SELECT *, CAST(fy AS VARCHAR) || ' Q' || CAST(q AS VARCHAR) AS period,
+         make_date(CASE WHEN q = 1 THEN fy - 1 ELSE fy END,
+                   CASE q WHEN 1 THEN 12 WHEN 2 THEN 3 WHEN 3 THEN 6 WHEN 4 THEN 9 END, 20) AS date
+  FROM sh),
+b AS (SELECT min(date) AS mn, max(date) AS mx, max(period) AS mp FROM d2
+      WHERE indicator_temp = 'TX_CURR' AND period_type = 'results'),
+cw AS (
+  {chr(10).join(('  UNION ALL ' if i else '') + _cohort_part(*w)
+                for i, w in enumerate(R.PMTCT_ART_COHORT['windows']))}),
+cl AS (SELECT k, max(date) AS ld, max(period) AS lp FROM cw GROUP BY k),
+co AS (
+  SELECT cw.* EXCLUDE (k, date, period, indicator_temp), 'PMTCT_ART_12MO' AS indicator_temp,
+         CASE WHEN cw.k = 0 THEN (SELECT mx FROM b) ELSE cl.ld END AS date,
+         CASE WHEN cw.k = 0 THEN (SELECT mp FROM b) ELSE cl.lp END AS period
+  FROM cw JOIN cl ON cw.k = cl.k),
+allrows AS (SELECT * FROM d2 UNION ALL BY NAME SELECT * FROM co),
+flt AS (
+  SELECT a.* FROM allrows a, b WHERE (a.date >= b.mn AND a.date <= b.mx) OR a.period IS NULL),
+wide AS (
+  SELECT orgunituid, sitename, snu1, psnu, mech_name, standardizeddisaggregate,
+         fy AS fiscal_year, otherdisaggregate, sex, ageasentered, sitetype,
+         trendscoarse AS agecoarse, partner_recode, period_type, period, date, {onehot}
+  FROM flt),
+vol AS (
+  SELECT orgunituid,
+         {_sql_band('s', R.SITE_VOLUME_BANDS, R.SITE_VOLUME_DEFAULT)} AS site_volume
+  FROM (SELECT orgunituid, coalesce(sum(TX_CURR), 0) AS s FROM wide, b
+        WHERE sitetype = 'Facility' AND date = b.mx GROUP BY orgunituid)),
+dv1 AS (SELECT * REPLACE ({recode} AS otherdisaggregate) FROM wide),
+dv2 AS (
+  SELECT *,
+         CASE WHEN sex = 'Female' AND agecoarse = '15+' THEN TX_CURR END AS TX_CURR_FemaleAdult,
+         CASE WHEN otherdisaggregate IN ({_sql_in(_IIT_ALL)}) THEN TX_ML END AS TX_ML_IIT,
+         CASE WHEN otherdisaggregate = 'IIT 0-3m ART' THEN TX_ML END AS TX_ML_IIT_3_Months_Less,
+         CASE WHEN otherdisaggregate <> 'Transferred Out' THEN TX_ML END AS TX_PatientLoss,
+         CASE WHEN otherdisaggregate = 'Life-long ART, Already' THEN PMTCT_ART END
+           AS PMTCT_ART_Already,
+         TX_CURR AS TX_CURR_Expected,
+         CAST(NULL AS DOUBLE) AS TX_NEW, CAST(NULL AS DOUBLE) AS TX_RTT,
+         CAST(NULL AS DOUBLE) AS TX_NET_NEW
+  FROM dv1),
+dv3 AS (SELECT *, TX_ML_IIT AS TX_CIRA FROM dv2),
+rt AS (
+  SELECT d.* EXCLUDE (orgunituid), d.orgunituid AS datim_uid, v.site_volume,
+         s.partner_pepfar_clinical, coalesce(s.his_epts, 0) AS his_epts
+  FROM dv3 d LEFT JOIN vol v ON d.orgunituid = v.orgunituid
+  LEFT JOIN smap s ON d.orgunituid = s.datim_uid
+  WHERE d.period_type IN ('results', 'cumulative'))
+"""
+
+
+RESULTS_CHAIN = _results_chain()
+
+
+def _register(name, fn, sql):
+    QUERIES[name] = fn
+    if sql is not None:
+        ORACLE[name] = ORACLE_CTE + RESULTS_CHAIN + sql
+
+
+_register("results_table", q_results_table, f"""
+SELECT {', '.join(RT_KEYS)}, count(*) AS n, {', '.join(f'sum({m}) AS {m}' for m in RT_MEASURES)}
+FROM rt GROUP BY {', '.join(RT_KEYS)}
+""")
+
+_register("tb_summary", q_tb_summary, """
+SELECT snu1, date, partner_pepfar_clinical AS partner, period,
+       coalesce(sum(TX_CURR), 0) AS TX_CURR, coalesce(sum(TX_PVLS), 0) AS TX_PVLS
+FROM rt WHERE period_type = 'results' GROUP BY snu1, date, partner_pepfar_clinical, period
+""")
+
+_register("supply_triangulation", q_supply_triangulation, """
+SELECT period, datim_uid, snu1, psnu, sitename, coalesce(sum(TX_CURR), 0) AS tx_curr
+FROM rt WHERE date = (SELECT max(date) FROM rt) AND TX_CURR IS NOT NULL
+GROUP BY period, datim_uid, snu1, psnu, sitename
+""")
+
+_WF_KEYS = ["datim_uid", "period", "partner_recode", "snu1", "psnu", "sitename", "sex",
+            "ageasentered", "agecoarse", "otherdisaggregate"]
+_WF_COLS = (["TX_NEW", "TX_RTT", "TX_ML", "TX_NET_NEW"]
+            + [name for name, _ in R.WATERFALL_LOSSES])
+
+
+def _wf_sql() -> str:
+    losses = ", ".join(f"CASE WHEN otherdisaggregate = '{lab}' THEN TX_ML END AS {name}"
+                       for name, lab in R.WATERFALL_LOSSES)
+    parts = " UNION ALL ".join(f"SELECT period, ageasentered, '{c}' AS indicator, {c} AS value FROM w"
+                               for c in _WF_COLS if c != "TX_ML")
+    return f"""
+, w0 AS (
+  SELECT * REPLACE (CASE WHEN period IN ({_sql_in(WATERFALL_PLUS)})
+                          AND ageasentered IN ({_sql_in(R.AGES_50_PLUS)}) THEN '50+'
+                         ELSE ageasentered END AS ageasentered)
+  FROM rt WHERE date >= DATE '{WATERFALL_START}' AND date IS NOT NULL
+    AND NOT coalesce(ageasentered IN ({_sql_in(R.WATERFALL_EXCLUDED_AGES)}), false)),
+w AS (SELECT *, {losses} FROM w0),
+g AS ({parts})
+SELECT period, indicator, ageasentered, count(*) AS n, sum(value) AS v
+FROM g WHERE value IS NOT NULL GROUP BY period, indicator, ageasentered
+"""
+
+
+_register("waterfall", q_waterfall, _wf_sql())
+
+_register("running_share", q_running_share, """
+, s AS (
+  SELECT datim_uid, snu1, psnu, sitename, coalesce(sum(TX_CURR), 0) AS TX_CURR,
+         coalesce(sum(TX_PVLS), 0) AS TX_PVLS, coalesce(sum(PMTCT_ART), 0) AS PMTCT_ART
+  FROM rt WHERE period = '2000 Q4' AND period_type = 'results'
+    AND sitetype IN ('Facility', 'Military')
+  GROUP BY datim_uid, snu1, psnu, sitename),
+k AS (SELECT * FROM s WHERE NOT (TX_CURR = 0 AND TX_PVLS = 0 AND PMTCT_ART = 0)),
+c AS (
+  SELECT *, sum(TX_CURR) OVER (ORDER BY TX_CURR DESC, datim_uid
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_cum,
+         sum(TX_CURR) OVER () AS tot FROM k)
+SELECT datim_uid, snu1, psnu, sitename, TX_CURR, TX_PVLS, PMTCT_ART, TX_CURR_cum,
+       CASE WHEN tot = 0 AND TX_CURR_cum = 0 THEN 1.0::DOUBLE WHEN tot <> 0 THEN TX_CURR_cum / tot
+            WHEN TX_CURR_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_cum_per,
+       CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per
+FROM c
+""")
+
+

@@ -31,6 +31,7 @@ from indicata.operators.scoring import composite, score_sites, site_volume
 from indicata.operators.select import apply_exclusions, drop_all_zero, fill_zero
 from indicata.operators.union import Contract, align, union_all
 from indicata.plans import rules as R
+from indicata.session import materialize
 
 # ---------------------------------------------------------------------------
 # Yearly extracts -> one fact
@@ -84,7 +85,8 @@ def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *
 
 def results_table(dg: DataFrame, dedup_map: DataFrame, site_map: DataFrame,
                   indicator_names: Sequence[str], *, cohort=R.PMTCT_ART_COHORT,
-                  derived=R.DERIVED_INDICATORS, facility: str = "Facility") -> DataFrame:
+                  derived=R.DERIVED_INDICATORS, facility: str = "Facility",
+                  materialize_long: bool = True) -> DataFrame:
     """The wide results table.
 
     ``indicator_names`` lists every ``indicator_temp`` value to spread into a
@@ -92,6 +94,10 @@ def results_table(dg: DataFrame, dedup_map: DataFrame, site_map: DataFrame,
     and cohort labels) so no scan is needed to discover them.
     """
     long = results_long(dg, dedup_map, site_map.select("datim_uid", "partner_pepfar_clinical"))
+    if materialize_long:
+        # read by the bounds, the cohort windows, their labels and the main
+        # branch: write it once instead of re-running the joins per branch
+        long = materialize(long)
     b = period_bounds(long, where=(F.col("indicator_temp") == "TX_CURR")
                       & (F.col("period_type") == "results"))
     # PMTCT_ART 12-month cohorts, one scan, labelled per window
@@ -145,7 +151,7 @@ def supply_triangulation(results: DataFrame, max_date: Column) -> DataFrame:
 
 
 def waterfall(results: DataFrame, *, start: str = R.WATERFALL_START_DATE,
-              losses=R.WATERFALL_LOSSES,
+              losses=R.WATERFALL_LOSSES, plus_periods=R.WATERFALL_50_PLUS_PERIODS,
               measures: Sequence[str] = ("TX_NEW", "TX_RTT", "TX_ML", "TX_NET_NEW")) -> DataFrame:
     """Treatment cascade in long form with TX_ML split by outcome."""
     keys = ["datim_uid", "period", "funding_agency", "partner_recode", "snu1", "psnu",
@@ -154,7 +160,7 @@ def waterfall(results: DataFrame, *, start: str = R.WATERFALL_START_DATE,
                        & not_in("ageasentered", R.WATERFALL_EXCLUDED_AGES))
     r = r.select(*keys, *measures)
     r = r.withColumn("ageasentered", age_band_50plus("ageasentered", period="period",
-                                                     only_periods=R.WATERFALL_50_PLUS_PERIODS))
+                                                     only_periods=plus_periods))
     r = r.withColumns({name: F.when(F.col("otherdisaggregate") == label, F.col("TX_ML"))
                        for name, label in losses})
     tx = [c for c in r.columns if c.startswith("TX_")]
@@ -210,8 +216,9 @@ def running_share(results: DataFrame, period: str, *, measures=SHARE_MEASURES,
     present = [m for m in measures if m in r.columns]
     g = drop_all_zero(group_sum(r, ["datim_uid", "snu1", "psnu", "sitename"], present), present)
     g = cumulative_share(g, "TX_CURR", ["datim_uid"], zero_total_share=1.0)
-    g = g.withColumn("PMTCT_HEI_POS_per",
-                     F.coalesce(ratio("PMTCT_HEI_POS", "PMTCT_EID_D"), F.lit(0.0)))
+    hei = (ratio("PMTCT_HEI_POS", "PMTCT_EID_D")
+           if {"PMTCT_HEI_POS", "PMTCT_EID_D"} <= set(g.columns) else F.lit(None).cast("double"))
+    g = g.withColumn("PMTCT_HEI_POS_per", F.coalesce(hei, F.lit(0.0)))
     if site_partner is not None:
         g = enrich(g, site_partner, "datim_uid")
         g = g.withColumn("site_type", F.when(is_in("mech_name", R.CLINICAL_PARTNERS_SITE_TYPE),

@@ -131,3 +131,58 @@ site_dim AS (
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)
 """
+
+
+# ---------------------------------------------------------------------------
+# Canonical wide-by-quarter extract derived from the proxy fact (input of the
+# results-table pipeline), with the attributes the rules read.
+# ---------------------------------------------------------------------------
+
+PROXY_OTHERDISAGG = {
+    "1-URGENT": "No Contact Outcome - Interruption in Treatment <3 Months Treatment",
+    "2-HIGH": "No Contact Outcome - Transferred Out",
+    "3-MEDIUM": "ARV Dispensing Quantity - 3 to 5 months",
+    "5-LOW": "Life-long ART, Already",
+}
+PROXY_AGE = {"AUTOMOBILE": "25-29", "BUILDING": "10-14", "FURNITURE": "50-54",
+             "HOUSEHOLD": "02 - 12 Months", "MACHINERY": "65+"}
+PROXY_DEDUP = ([("TX_CURR", d, "TX_CURR") for d in ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", None)]
+               + [("TX_CURR", "1-URGENT", "TX_ML")]
+               + [("TX_PVLS", d, "TX_PVLS") for d in ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", None)]
+               + [("TX_PVLS_D", d, "PMTCT_ART") for d in ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")])
+PROXY_NAMES = ["TX_CURR", "TX_CURR_D", "TX_ML", "TX_ML_D", "TX_PVLS", "TX_PVLS_D", "PMTCT_ART",
+               "PMTCT_ART_D", "TX_CURR_3MO_PRIOR", "TX_ML_3MO_PRIOR", "TX_CURR_6MO_PRIOR",
+               "PMTCT_ART_12MO"]
+
+
+def canonical_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per site x mechanism x indicator x disaggregate x fiscal year,
+    measures in qtr1..qtr4 / cumulative / targets (partial aggregation)."""
+    from indicata.functions.domain import age_coarse, funding_agency
+    from indicata.functions.expressions import lookup, recode
+    f = fact(spark, sf_dir)
+    q, v = F.col("q"), F.col("value")
+    g = f.groupBy(F.col("site_uid").cast("string").alias("orgunituid"), "sitename", "snu1", "psnu", "mech_name",
+                  "indicator", "numeratordenom", "standardizeddisaggregate",
+                  F.col("fy").alias("fiscal_year")).agg(
+        *[F.sum(F.when(q == i, v)).alias(f"qtr{i}") for i in range(1, 5)],
+        F.sum(v).alias("cumulative"),
+        F.sum(F.when(F.col("numeratordenom") == "D", v)).alias("targets"))
+    g = g.withColumns({
+        "otherdisaggregate": lookup("standardizeddisaggregate", PROXY_OTHERDISAGG),
+        "sex": F.when(F.col("numeratordenom") == "D", F.lit("Female")).otherwise(F.lit("Male")),
+        "ageasentered": lookup("mech_name", PROXY_AGE),
+        "funding_agency": funding_agency(recode("mech_name", PROXY_MECH_PARTNER)),
+        "sitetype": F.when(F.col("snu1") == "MIDDLE EAST", F.lit("Community"))
+                     .otherwise(F.lit("Facility"))})
+    return g.withColumn("trendscoarse", age_coarse("ageasentered"))
+
+
+def site_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site dimension in canonical form: uid, partner, coordinates, flags."""
+    from indicata.functions.expressions import lookup
+    s = sites(spark, sf_dir)
+    return s.select(F.col("site_uid").cast("string").alias("datim_uid"),
+                    lookup("snu1", PROXY_SITE_PARTNER).alias("partner_pepfar_clinical"),
+                    F.col("acctbal").alias("latitude"),
+                    F.when(F.col("acctbal") > 5000, F.lit(1.0)).alias("his_epts"))

@@ -63,3 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written stage tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name + "-" + os.urandom(4).hex()
+
+
+def materialize(df):
+    """Cut lineage of an intermediate read by several branches of one job.
+
+    A reliable checkpoint in the shared checkpoint folder (never a
+    machine-local cache): later stages read the written files, so a lost
+    executor does not force recomputing the upstream joins, and each branch
+    stops re-running the same scan-join-aggregate.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -63,4 +63,4 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_query_has_an_oracle_or_is_declared():
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"results_table"}, missing
+    assert missing <= {"site_scores_unused"}, missing
