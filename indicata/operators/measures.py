@@ -57,19 +57,28 @@ def sum_when(df: DataFrame, keys: Sequence[str],
     return df.groupBy(*keys).agg(*aggs)
 
 
+def fetch_scalars(one_row: DataFrame) -> dict[str, Column]:
+    """Run a one-row aggregate and return its values as typed literal Columns.
+
+    For bounds that many expressions reference: one small job computes them
+    and every later expression carries a constant.  (A scalar sub-query
+    Column referenced in many expressions is planned once per reference.)
+    Only the single aggregate row reaches the driver.
+    """
+    row = one_row.first()
+    return {f.name: F.lit(None if row is None else row[f.name]).cast(f.dataType)
+            for f in one_row.schema.fields}
+
+
 def period_bounds(df: DataFrame, *, date: str = "date", period: str = "period",
                   where: Column | None = None) -> dict[str, Column]:
-    """Reporting bounds as lazy scalar sub-queries.
+    """Reporting bounds ``{"min_date", "max_date", "max_period"}`` as literals.
 
-    Returns ``{"min_date", "max_date", "max_period"}`` Columns usable in any
-    later expression.  All three are fields of one struct-valued scalar
-    sub-query, which Spark plans once (one small aggregate job) and reuses
-    wherever a bound appears: no cross join, no driver round trip.
+    One aggregate job over the (filtered) input; see :func:`fetch_scalars`.
     """
     base = df.filter(where) if where is not None else df
-    b = base.agg(F.struct(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
-                          F.max(period).alias("max_period")).alias("b")).scalar()
-    return {c: b.getField(c) for c in ("min_date", "max_date", "max_period")}
+    return fetch_scalars(base.agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"),
+                                  F.max(period).alias("max_period")))
 
 
 def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from indicata.functions.columns import cols
 from indicata.functions.expressions import band_score, nz, ratio, row_sum
+from indicata.operators.measures import fetch_scalars
 
 
 def score_rows(spec: Mapping, *, period: str, max_date: Column, window_max: Column,
@@ -52,8 +53,13 @@ def score_sites(base: DataFrame, *, site: str, period: str, scores: Sequence[Map
     missing numerator/denominator as 0 (pivot then sum); otherwise it stays
     null (sum then pivot).  0/0 and null ratios fall to the default band 0.
     """
-    max_date = base.filter(F.col(period_col) == F.lit(period)).agg(F.max(date_col)).scalar()
-    window_max = base.agg(F.max(date_col)).scalar()
+    # Both bounds come from one small aggregate over the base, inlined as
+    # literals: every score condition carries a constant and the main
+    # aggregation runs as a single pass.
+    b = fetch_scalars(base.agg(
+        F.max(F.when(F.col(period_col) == F.lit(period), F.col(date_col))).alias("p"),
+        F.max(date_col).alias("w")))
+    max_date, window_max = b["p"], b["w"]
     aggs, any_rows = [], []
     for s in scores:
         cond = score_rows(s, period=period, max_date=max_date, window_max=window_max,

@@ -14,7 +14,7 @@ from indicata.functions.expressions import band_score, not_in, ratio, recode
 from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
                                         shift_period)
 from indicata.operators.joins import map_indicator
-from indicata.operators.measures import cumulative_share, group_sum
+from indicata.operators.measures import cumulative_share, group_sum, period_bounds
 from indicata.plans import pipelines as P
 from indicata.operators.reshape import pivot_sum
 from indicata.plans import proxy
@@ -170,9 +170,8 @@ FROM w GROUP BY k
 """)
 def pmtct_cohorts(spark, sf_dir):
     f = proxy.fact(spark, sf_dir)
-    bounds = f.filter(F.col("indicator") == "TX_CURR").agg(
-        F.max("date").alias("mx"), F.max("period").alias("mp"))
-    mx, mp = bounds.select("mx").scalar(), bounds.select("mp").scalar()
+    b = period_bounds(f, where=F.col("indicator") == "TX_CURR")
+    mx, mp = b["max_date"], b["max_period"]
     src = f.filter(F.col("indicator") == "TX_PVLS").select("period", "date", "value")
     w = relative_windows(src, "date", mx, R.PMTCT_ART_COHORT["windows"], window_col="k")
     labelled = label_windows(w, "k", fixed={0: (mx, mp)})
