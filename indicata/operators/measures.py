@@ -93,7 +93,8 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
                      zero_total_share: float | None = None) -> DataFrame:
     """Running sum of ``measure`` in descending order, and its share of the total.
 
-    Order: ``measure`` descending, then ``tie_keys`` ascending (a total order
+    Order: ``measure`` descending, then ``tie_keys`` ascending with nulls
+    last (a total order
     when the tie keys are unique, which makes the result deterministic).
 
     ``method="window"`` is the textbook global window; Spark runs it in a
@@ -107,7 +108,8 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     """
     cum_col = cum_col or f"{measure}_cum"
     share_col = share_col or f"{measure}_cum_per"
-    order = [F.col(measure).desc()] + [F.col(k).asc() for k in tie_keys]
+    # ties follow the key order with nulls last, as R sorts groups
+    order = [F.col(measure).desc()] + [F.col(k).asc_nulls_last() for k in tie_keys]
     if method == "window":
         w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         total = F.sum(measure).over(Window.partitionBy())

@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 from indicata.functions.columns import cols, relocate
 from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agency,
-                                       null_for_pregnancy, pop_type, unknown_label)
+                                       null_for_pregnancy, pop_type, support_class,
+                                       unknown_label)
 from indicata.functions.expressions import is_in, not_in, ratio, recode
 from indicata.functions.periods import (fiscal_period_columns, period_date, period_label,
                                         quarter_number, suffix_denominator)
 from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
                                         shift_period)
-from indicata.operators.derive import apply_corrections, derive_indicators
-from indicata.operators.joins import enrich, map_indicator
-from indicata.operators.measures import (cumulative_share, group_sum, period_bounds,
-                                         sum_when)
+from indicata.operators.derive import apply_corrections, derive_indicators, derive_long
+from indicata.operators.joins import (enrich, keep_with_any, map_indicator, orphans,
+                                      qa_missing_key, refresh_attrs)
+from indicata.operators.measures import (cumulative_share, group_sum, group_sum_rest,
+                                         period_bounds, sum_when)
 from indicata.operators.reshape import gather, reshape_long, spread
 from indicata.operators.scoring import composite, score_sites, site_volume
 from indicata.operators.select import apply_exclusions, drop_all_zero, fill_zero
@@ -314,6 +316,146 @@ def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFra
     return enrich(combined, psnu_map.select("psnu", "psnuuid"), "psnu")
 
 
+# ---------------------------------------------------------------------------
+# Targets table (PSNU extract)
+# ---------------------------------------------------------------------------
+
+
+def targets_table(dg_psnu: DataFrame, dedup_map: DataFrame, *, long_rules=R.LONG_DERIVED) -> DataFrame:
+    """Cumulative and target values per row, long-form derived indicators
+    appended, restricted to indicators that have any target."""
+    df = map_indicator(dg_psnu, dedup_map)
+    df = df.withColumn("fy", F.col("fiscal_year").cast("int"))
+    df = reshape_long(df.drop("fiscal_year"), fiscal_year="fy")
+    df = df.filter(F.col("period_type").isin("cumulative", "targets")).withColumn(
+        "indicator_temp", suffix_denominator("indicator", "numeratordenom"))
+    df = derive_long(df, long_rules)
+    wide = spread(df.drop("period"), "period_type", "value", ["cumulative", "targets"])
+    drop = [c for c in ("numeratordenom", "hiv_treatment_status", "indicator") if c in wide.columns]
+    wide = (wide.drop(*drop)
+                .withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse",
+                                     "indicator_temp": "indicator"}))
+    return keep_with_any(wide, "indicator", "targets")
+
+
+# ---------------------------------------------------------------------------
+# Histories of processed quarters and partner submissions
+# ---------------------------------------------------------------------------
+
+
+def refreshed_history(history: DataFrame, site_map: DataFrame, *,
+                      attrs: Sequence[str] = ("snu", "psnu", "sitename"),
+                      front: Sequence[str] = ("datim_uid", "period")) -> DataFrame:
+    """C9 / C14 / C16 tail: replace stale site attributes with the site map's
+    and put identifiers first."""
+    out = refresh_attrs(history, site_map, "datim_uid", [a for a in attrs if a in site_map.columns]
+                        + [c for c in site_map.columns if c not in ("datim_uid", *attrs)])
+    lead = [c for c in front if c in out.columns]
+    return out.select(*lead, *[c for c in out.columns if c not in lead])
+
+
+def kp_quarter(submissions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C14 head: sum the TX_ measures over all other columns, and the QA table
+    of rows without a site uid."""
+    summed = group_sum_rest(submissions, "TX_")
+    uncoded = qa_missing_key(summed, "datim_uid").select(
+        *[c for c in ("datim_uid", "snu", "psnu", "sitename") if c in summed.columns]).distinct()
+    return summed, uncoded
+
+
+def vl_quarter(submissions: DataFrame, site_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """C16 head: the quarter's rows, and the QA table of submitted sites that
+    are not in the site map (anti-join)."""
+    sites = submissions.select("datim_uid", "snu", "psnu", "sitename").distinct()
+    return submissions, orphans(sites, site_map, "datim_uid")
+
+
+# ---------------------------------------------------------------------------
+# Running share, first version (from the site fact)
+# ---------------------------------------------------------------------------
+
+V1_INDICATORS = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+                 "PMTCT_EID"]
+
+
+def running_share_v1(dg: DataFrame, dedup_map: DataFrame, partner_alt: DataFrame, *,
+                     period: str, remove_sites: Sequence[str] = (),
+                     mech_overrides: Mapping[str, str] | None = None,
+                     indicators=V1_INDICATORS) -> DataFrame:
+    """Running share of TX_CURR by site from the site fact, with the
+    clinical site type; ``period`` is the extract's label (e.g. "FY22Q4")."""
+    df = dg.filter(is_in("indicator", indicators) & not_in("orgunituid", remove_sites))
+    df = map_indicator(df, dedup_map)
+    df = reshape_long(df.withColumn("fiscal_year", F.col("fiscal_year").cast("int")))
+    df = df.filter((F.col("period_type") == "results") & (F.col("period") == period)
+                   & F.col("sitetype").isin("Facility", "Military"))
+    df = df.withColumn("indicator", suffix_denominator("indicator", "numeratordenom"))
+    mech = F.col("mech_name")
+    for uid, m in (mech_overrides or {}).items():
+        mech = F.when(F.col("orgunituid") == uid, F.lit(m)).otherwise(mech)
+    df = df.withColumn("mech_name", mech)
+    df = df.withColumn("site_type", F.when(is_in("mech_name", R.CLINICAL_PARTNERS_SITE_TYPE),
+                                           F.lit("99-AJUDA"))
+                       .when(F.col("mech_name") == "MISAU", F.lit("01-Sustainability"))
+                       .otherwise(F.lit("non-clinical")))
+    df = df.filter(F.col("site_type") != "non-clinical")
+    measures = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+                "PMTCT_EID_D"]
+    wide = spread(df, "indicator", "value", measures)
+    wide = enrich(wide, partner_alt, "datim_uid", left_on="orgunituid")
+    keys = ["orgunituid", "snu1", "psnu", "sitename", "site_type", "mech_name", "partner_alt"]
+    g = group_sum(fill_zero(wide, measures), keys, measures).withColumnRenamed("orgunituid",
+                                                                              "datim_uid")
+    g = cumulative_share(g, "TX_CURR", ["datim_uid", "snu1", "psnu", "sitename", "site_type",
+                                        "mech_name", "partner_alt"])
+    return g.withColumn("PMTCT_HEI_POS_per",
+                        F.coalesce(ratio("PMTCT_HEI_POS", "PMTCT_EID_D"), F.lit(0.0)))
+
+
+# ---------------------------------------------------------------------------
+# Site support list
+# ---------------------------------------------------------------------------
+
+
+def support_list(tx_curr_sites: DataFrame, other_partners: DataFrame,
+                 case_finding: DataFrame) -> DataFrame:
+    """Support classification of each site from two partner lists, with
+    the rounded case-finding potential (half to even; non-numbers -> null)."""
+    cf = case_finding.select(F.col("orgunituid").alias("datim_uid"),
+                             F.bround(F.col("Case Finding Potential").try_cast("double"))
+                              .alias("cfp"))
+    out = enrich(enrich(tx_curr_sites, other_partners, "datim_uid"), cf, "datim_uid")
+    out = out.withColumn("partner_code", support_class("partner_pepfar_clinical",
+                                                       "partner_nonpepfar_sustain"))
+    return relocate(out, cols(out, starts="partner"), after="sitename") \
+        if "sitename" in out.columns else out
+
+
+# ---------------------------------------------------------------------------
+# MI extract
+# ---------------------------------------------------------------------------
+
+
+def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
+               start: str = R.VL_MER_START,
+               drop: Sequence[str] = ("sisma_uid", "sisma_uid_datim_map", "site_nid", "numdenom",
+                                      "program_ap3", "program_mi")) -> DataFrame:
+    """MI series in long form since ``start``, enriched from the site and
+    district maps."""
+    ids = [c for c in mi.columns if not c.startswith("cv")]
+    long = gather(mi, ids, [c for c in mi.columns if c.startswith("cv")])
+    long = long.withColumn("period", F.to_date("period")).filter(
+        F.col("period") >= F.to_date(F.lit(start)))
+    long = long.drop(*[c for c in drop if c in long.columns]).withColumnRenamed("age", "ageasentered")
+    long = long.withColumns({"source": F.lit("MI"), "sex": F.lit(None).cast("string")})
+    extra = [c for c in ("datim_uid", "sisma_uid", "site_nid", "his_emr", "his_epts", "his_idart",
+                         "his_disa") if c in site_map.columns]
+    long = enrich(long, site_map.select(*extra), "datim_uid")
+    return enrich(long, psnu_map.select("psnu", "psnuuid"), "psnu")
+
+
 __all__ = ["union_extracts", "attribute_partner", "results_long", "results_table",
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
-           "regional_rollup", "transfer_in", "vl_crosswalk"]
+           "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",
+           "refreshed_history", "kp_quarter", "vl_quarter", "running_share_v1", "support_list",
+           "mi_extract"]

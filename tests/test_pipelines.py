@@ -1,6 +1,7 @@
 """Golden checks of the composite pipelines on the synthetic fixture."""
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -92,3 +93,146 @@ def test_union_extracts_with_drift_and_corrections(spark):
     got = sorted((r.orgunituid, r.mech_name, r.sitename, r.psnu, r.modality) for r in out.collect())
     assert got == [("oX9C1fOEzSk", "ARIEL", "Cadeia Central PS", "Matola", "Index Facility"),
                    ("wmXdfKNX0qT", "FGH", "Inhamizua CS", "q", None)]
+
+
+def test_targets_table_keeps_indicators_with_targets(spark):
+    from pyspark.sql import types as T
+    schema = ("indicator string, standardizeddisaggregate string, numeratordenom string, "
+              "statushiv string, statustb string, hiv_treatment_status string, "
+              "otherdisaggregate string, trendscoarse string, fiscal_year int, "
+              "cumulative double, targets double")
+    dg = spark.createDataFrame([
+        ("TB_STAT", "Age/Sex", "N", "Positive", None, None, "Newly Identified", "15+", 2024, 5.0, 8.0),
+        ("TX_TB", "Age/Sex", "D", None, "Negative", "New", None, "15+", 2024, 3.0, None),
+        ("HTS_TST", "Age/Sex", "N", None, None, None, None, "15+", 2024, 9.0, None)], schema)
+    m = spark.createDataFrame([("TB_STAT", "Age/Sex", "TB_STAT"), ("TX_TB", "Age/Sex", "TX_TB"),
+                               ("HTS_TST", "Age/Sex", "HTS_TST")],
+                              "indicator string, standardizeddisaggregate string, indicator_new string")
+    out = P.targets_table(dg, m)
+    got = {(r.indicator, r.cumulative, r.targets) for r in out.collect()}
+    # TB_STAT copies carry targets; TX_TB_D and HTS_TST have none and are dropped
+    assert got == {("TB_STAT", 5.0, None), ("TB_STAT", None, 8.0), ("TB_STAT_POS", 5.0, None),
+                   ("TB_STAT_POS", None, 8.0), ("TB_STAT_POS_NEW", 5.0, None),
+                   ("TB_STAT_POS_NEW", None, 8.0)}
+    assert "agecoarse" in out.columns and "fiscal_year" in out.columns
+
+
+def test_transfer_in_labels(spark):
+    hist = spark.createDataFrame([
+        ("u1", "S", "P", "n", "2024 Q1", "JHPIEGO-DoD", "Unknown", "05-09", 3.0, 1.0),
+        ("u2", "S", "P", "n", "2024 Q1", "ECHO", "Female", "Unknown", None, 2.0),
+        (None, "S", "P", "n", "2024 Q1", "FGH", "Male", "20-24", 1.0, 1.0)],
+        "datim_uid string, snu string, psnu string, sitename string, period string, "
+        "partner string, sex string, ageasentered string, TX_RTT double, TX_NEW double")
+    out = P.transfer_in(hist, site_removal=["u9"])
+    got = sorted((r.datim_uid, r.indicator, r.funding_agency, r.agecoarse, r.ageasentered, r.sex,
+                  r.value) for r in out.collect())
+    assert got == [("u1", "TX_NEW", "DOD", "<15", "05-09", "Unknown Sex", 1.0),
+                   ("u1", "TX_RTT_SUP", "DOD", "<15", "05-09", "Unknown Sex", 3.0),
+                   ("u2", "TX_NEW", "USAID", "Unknown Age", "Unknown Age", "Female", 2.0)]
+    assert {"snu1", "partner_recode"} <= set(out.columns)
+
+
+def test_vl_crosswalk_three_sources(spark):
+    mer = spark.createDataFrame([
+        ("s1", "ECHO", "A", "P1", "n1", "2023 Q1", dt.date(2022, 12, 20), "Female", "55-59",
+         "Pregnant", 10.0, 8.0, None),
+        ("s1", "MISAU", "A", "P1", "n1", "2023 Q1", dt.date(2022, 12, 20), "Male", "25-29",
+         None, 1.0, 1.0, None),
+        ("s1", "ECHO", "A", "P1", "n1", "2023 Q2", dt.date(2023, 3, 20), "Male", "25-29",
+         None, None, None, 5.0)],
+        "datim_uid string, partner_recode string, snu1 string, psnu string, sitename string, "
+        "period string, date date, sex string, ageasentered string, otherdisaggregate string, "
+        "TX_PVLS_D double, TX_PVLS double, TX_CURR_6MO_PRIOR double")
+    sup = spark.createDataFrame([
+        ("s1", "ECHO", "A", "P1", "n1", "2023 Q2", "Unknown", "All", None, "Clinical Module",
+         "TX_PVLS_N", 4.0, "Age"),
+        ("s1", "ECHO", "A", "P1", "n1", "2023 Q2", "F", "20-24", "PW", "Lab Module", "TX_PVLS_D",
+         6.0, "KeyPop")],
+        "datim_uid string, partner_pepfar_clinical string, snu string, psnu string, "
+        "sitename string, period string, sex string, age string, pop_subtype string, "
+        "source string, indicator string, value double, pop_type string")
+    disa = spark.createDataFrame([
+        ("s1", "X", "A", "P1", "n1", dt.date(2022, 2, 15), "25-29", "Age", "Male", 3.0, 2.0),
+        ("s1", "X", "A", "P1", "n1", dt.date(2022, 1, 15), "25-29", "Age", "Male", 9.0, 9.0),
+        ("s1", "X", "A", "P1", "n1", dt.date(2022, 11, 15), "", "PW", "Female", 1.0, 0.0),
+        ("s9", "X", "A", "P1", "n1", dt.date(2022, 11, 15), "25-29", "Age", "Male", 7.0, 7.0)],
+        "datim_uid string, partner string, snu string, psnu string, sitename string, period date, "
+        "age string, group string, sex string, VL double, VLS double")
+    sites = spark.createDataFrame([("s1", "ECHO", "A", "P1", "n1")],
+                                  "datim_uid string, partner string, snu string, psnu string, "
+                                  "sitename string")
+    psnu = spark.createDataFrame([("P1", "pu1")], "psnu string, psnuuid string")
+    out = P.vl_crosswalk(mer, sup, disa, sites, psnu, anchors=["2022-12-20", "2023-03-20"],
+                         months_back=11, start="2022-12-20").cache()
+    mer_rows = {(r.period, r.indicator, r.pop_type, r.ageasentered, r.value)
+                for r in out.filter("source = 'MER'").collect()}
+    assert mer_rows == {("2023 Q1", "TX_PVLS_D", "PW", "50+", 10.0),
+                        ("2023 Q1", "TX_PVLS", "PW", "50+", 8.0),
+                        ("2023 Q2", "TX_CURR_6MO_PRIOR", "Age/Sex", "25-29", 5.0)}
+    sup_rows = {(r.source, r.indicator, r.ageasentered, r.sex, r.pop_type, r.date)
+                for r in out.filter("source <> 'MER' AND source <> 'DISA'").collect()}
+    assert sup_rows == {("EPTS-Clinical", "TX_PVLS", None, "Unknown Sex", "Age/Sex",
+                         dt.date(2023, 3, 20))}
+    disa_rows = Counter((r.period, r.date, r.indicator, r.sex, r.value)
+                        for r in out.filter("source = 'DISA'").collect())
+    # the February test is only in the first window (11 months back from 2022-12-20),
+    # the November one in both, re-dated to each window's last period and date; the
+    # January one is before the first window, zero values and unknown sites are dropped
+    assert disa_rows == Counter([
+        ("2023 Q1", dt.date(2022, 11, 15), "TX_PVLS_D", "Male", 3.0),
+        ("2023 Q1", dt.date(2022, 11, 15), "TX_PVLS", "Male", 2.0),
+        ("2023 Q1", dt.date(2022, 11, 15), "TX_PVLS_D", None, 1.0),
+        ("2023 Q1", dt.date(2022, 11, 15), "TX_PVLS_D", None, 1.0)])
+    assert set(out.select("psnuuid").distinct().toPandas()["psnuuid"]) == {"pu1"}
+
+
+def test_kp_vl_quarters_and_history(spark):
+    kp = spark.createDataFrame([("u1", "S", "P", "n", "2024 Q1", "MSM", 1.0, 2.0),
+                                ("u1", "S", "P", "n", "2024 Q1", "MSM", 3.0, None),
+                                (None, "S", "P", "x", "2024 Q1", "FSW", 1.0, 1.0)],
+                               "datim_uid string, snu string, psnu string, sitename string, "
+                               "period string, keypop string, TX_CURR double, tx_new double")
+    summed, uncoded = P.kp_quarter(kp)
+    assert sorted((r.datim_uid, r.TX_CURR, r.tx_new) for r in summed.collect()
+                  if r.datim_uid) == [("u1", 4.0, 2.0)]
+    assert [r.sitename for r in uncoded.collect()] == ["x"]
+    site_map = spark.createDataFrame([("u1", "S2", "P2", "N2", "ECHO")],
+                                     "datim_uid string, snu string, psnu string, sitename string, "
+                                     "partner_pepfar_clinical string")
+    hist = P.refreshed_history(summed, site_map)
+    r = hist.filter("datim_uid = 'u1'").first()
+    assert (r.snu, r.sitename, r.partner_pepfar_clinical) == ("S2", "N2", "ECHO")
+    assert hist.columns[:2] == ["datim_uid", "period"]
+    vl = spark.createDataFrame([("u1", "S", "P", "n", 1.0), ("u7", "S", "P", "m", 2.0)],
+                               "datim_uid string, snu string, psnu string, sitename string, value double")
+    _, orphan_sites = P.vl_quarter(vl, site_map)
+    assert [r.datim_uid for r in orphan_sites.collect()] == ["u7"]
+
+
+def test_running_share_v1_support_list_mi(spark):
+    dg = spark.createDataFrame(X.extract_rows(), X.EXTRACT)
+    m = spark.createDataFrame(X.MAP_ROWS, "indicator string, standardizeddisaggregate string, "
+                                          "indicator_new string")
+    alt = spark.createDataFrame([("s1", "GF")], "datim_uid string, partner_alt string")
+    out = P.running_share_v1(dg, m, alt, period="FY24Q4")
+    rows = [(r.datim_uid, r.TX_CURR, r.TX_CURR_cum, r.TX_CURR_cum_per, r.partner_alt)
+            for r in out.orderBy(F.col("TX_CURR").desc()).collect()]
+    assert rows == [("s1", 130.0, 130.0, 1.0, "GF")]
+    sites = spark.createDataFrame([("s1", "n1", "ECHO"), ("s2", "n2", None), ("s3", "n3", None)],
+                                  "datim_uid string, sitename string, partner_pepfar_clinical string")
+    other = spark.createDataFrame([("s3", "GF")], "datim_uid string, partner_nonpepfar_sustain string")
+    cf = spark.createDataFrame([("s1", "2.5"), ("s2", "n/a")],
+                               "orgunituid string, `Case Finding Potential` string")
+    sl = {r.datim_uid: (r.partner_code, r.cfp) for r in P.support_list(sites, other, cf).collect()}
+    assert sl == {"s1": ("AJUDA", 2.0), "s2": ("No Support", None),
+                  "s3": ("Other Donor Support", None)}
+    mi = spark.createDataFrame([("s1", "2022-12-20", "P1", "15+", "x", 0.5, None),
+                                ("s1", "2022-09-20", "P1", "15+", "x", 0.7, 0.1)],
+                               "datim_uid string, period string, psnu string, age string, "
+                               "numdenom string, cv_a double, cv_b double")
+    smap = spark.createDataFrame([("s1", "SM1", 1.0)], "datim_uid string, sisma_uid string, his_epts double")
+    pmap = spark.createDataFrame([("P1", "pu")], "psnu string, psnuuid string")
+    got = P.mi_extract(mi, smap, pmap).collect()
+    assert [(r.indicator, r.value, r.sisma_uid, r.psnuuid, r.source) for r in got] == \
+        [("cv_a", 0.5, "SM1", "pu", "MI")]
