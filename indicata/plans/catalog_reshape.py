@@ -285,3 +285,79 @@ def period_bounds_q(spark, sf_dir):
     return latest.agg(F.count(F.lit(1)).alias("n_latest")).select(
         b["min_date"].alias("min_date"), b["max_date"].alias("max_date"),
         b["max_period"].alias("max_period"), "n_latest")
+
+
+# ---------------------------------------------------------------------------
+# Delimited files with drifting column order -> history
+# ---------------------------------------------------------------------------
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SUBMISSION = T.StructType([
+    T.StructField("datim_uid", T.LongType()), T.StructField("period", T.StringType()),
+    T.StructField("mech_name", T.StringType()), T.StructField("disagg", T.StringType()),
+    T.StructField("TX_CURR", T.DoubleType()), T.StructField("TX_PVLS", T.DoubleType()),
+])
+
+
+@register("sources_roundtrip", """
+SELECT mech_name, period, count(*) AS n, sum(TX_CURR) AS TX_CURR, sum(TX_PVLS) AS TX_PVLS,
+       count(disagg) AS n_disagg
+FROM (SELECT site_uid, period, mech_name, standardizeddisaggregate AS disagg,
+             sum(CASE WHEN indicator = 'TX_CURR' THEN value END) AS TX_CURR,
+             sum(CASE WHEN indicator = 'TX_PVLS' THEN value END) AS TX_PVLS
+      FROM dated GROUP BY site_uid, period, mech_name, standardizeddisaggregate) s
+GROUP BY mech_name, period
+""")
+def sources_roundtrip(spark, sf_dir):
+    from indicata.session import materialize, scratch_path
+    from indicata.sources.files import read_folder, upsert_period, write_tsv
+    f = proxy.fact(spark, sf_dir)
+    sums = f.groupBy(F.col("site_uid").alias("datim_uid"), "period", "mech_name",
+                     F.col("standardizeddisaggregate").alias("disagg")).agg(
+        F.sum(F.when(F.col("indicator") == "TX_CURR", F.col("value"))).alias("TX_CURR"),
+        F.sum(F.when(F.col("indicator") == "TX_PVLS", F.col("value"))).alias("TX_PVLS"))
+    sums = materialize(sums)                      # six writes read it: compute once
+    folder = scratch_path(spark, "submissions")
+    names = [fld.name for fld in SUBMISSION.fields]
+    for i, seg in enumerate(SEGMENTS):            # one partner file per mechanism,
+        order = names[i:] + names[:i]             # each with its own column order
+        write_tsv(sums.filter(F.col("mech_name") == seg).select(*order), f"{folder}/{seg}",
+                  na="NA")
+    rest = sums.filter(~F.col("mech_name").isin(SEGMENTS) | F.col("mech_name").isNull())
+    write_tsv(rest.select(*names), f"{folder}/OTHER", na="")
+    history = upsert_period(read_folder(spark, f"{folder}/*/*.csv", Contract(SUBMISSION)),
+                            scratch_path(spark, "history"))
+    return history.groupBy("mech_name", "period").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TX_CURR").alias("TX_CURR"),
+        F.sum("TX_PVLS").alias("TX_PVLS"), F.count("disagg").alias("n_disagg"))
+
+
+# ---------------------------------------------------------------------------
+# Trailing windows on a daily (non-quarter) series, re-dated per window
+# ---------------------------------------------------------------------------
+
+DAILY_ANCHORS = ["2000-12-20", "2001-03-20", "2001-06-20", "2001-09-20"]
+
+
+@register("daily_windows", """
+, daily AS (SELECT site_uid, ship_date AS date,
+                   CAST(year(ship_date + INTERVAL 3 MONTH) AS VARCHAR) || ' Q'
+                     || CAST(quarter(ship_date + INTERVAL 3 MONTH) AS VARCHAR) AS period,
+                   sum(value) AS value
+            FROM dated WHERE indicator = 'TX_PVLS_D' GROUP BY site_uid, ship_date),
+anchors AS (SELECT CAST(a AS DATE) AS anchor FROM (VALUES """
+          + ", ".join(f"('{a}')" for a in DAILY_ANCHORS) + """) t(a)),
+win AS (SELECT a.anchor, d.* FROM daily d JOIN anchors a
+        ON d.date >= a.anchor - INTERVAL 11 MONTH AND d.date <= a.anchor),
+lab AS (SELECT anchor, max(period) AS lp, max(date) AS ld FROM win GROUP BY anchor)
+SELECT lab.lp AS period, lab.ld AS date, count(*) AS n, sum(win.value) AS v
+FROM win JOIN lab ON win.anchor = lab.anchor GROUP BY lab.lp, lab.ld
+""")
+def daily_windows(spark, sf_dir):
+    from indicata.functions.periods import fiscal_quarter, fiscal_year, period_label
+    from indicata.operators.cohorts import anchor_windows, label_windows
+    f = proxy.fact(spark, sf_dir).filter(F.col("indicator") == "TX_PVLS_D")
+    daily = f.groupBy("site_uid", F.col("ship_date").alias("date")).agg(F.sum("value").alias("value"))
+    daily = daily.withColumn("period", period_label(fiscal_year("date"), fiscal_quarter("date")))
+    w = label_windows(anchor_windows(daily, "date", DAILY_ANCHORS, 11), "anchor")
+    return w.groupBy("period", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
