@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.functions.expressions import ratio
-from indicata.session import checkpoint_dir
+from indicata.session import materialize
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -117,10 +117,8 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     elif method == "two_phase":
         spark = df.sparkSession
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        checkpoint_dir(spark)
-        ranged = (df.repartitionByRange(n, *order)
-                    .withColumn("_pid", F.spark_partition_id())
-                    .checkpoint(eager=True))
+        ranged = materialize(df.repartitionByRange(n, *order)
+                               .withColumn("_pid", F.spark_partition_id()), how="checkpoint")
         part = ranged.groupBy("_pid").agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
         # `part` has one row per range partition (bounded by n): the window
         # over it and the broadcast below are small by construction.

@@ -65,13 +65,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name + "-" + os.urandom(4).hex()
 
 
-def materialize(df):
+def materialize(df, *, how: str = "table"):
     """Cut lineage of an intermediate read by several branches of one job.
 
-    A reliable checkpoint in the shared checkpoint folder (never a
-    machine-local cache): later stages read the written files, so a lost
-    executor does not force recomputing the upstream joins, and each branch
-    stops re-running the same scan-join-aggregate.
+    ``how="table"`` (default) writes Parquet into the shared checkpoint
+    folder and reads it back: every branch then gets column pruning and
+    predicate pushdown on the intermediate, and a lost executor does not
+    force recomputing the upstream joins.  ``how="checkpoint"`` is Spark's
+    reliable checkpoint (same folder), which also keeps the physical
+    partitioning (used where partition ids must stay fixed).  Never a
+    machine-local cache or folder.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
