@@ -261,7 +261,7 @@ def transfer_in(history: DataFrame, site_removal: Sequence[str] = ()) -> DataFra
 
 def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFrame,
                  psnu_map: DataFrame, *, anchors=R.VL_ANCHORS, months_back=R.VL_MONTHS_BACK,
-                 start=R.VL_MER_START) -> DataFrame:
+                 start=R.VL_PROGRAMME_START) -> DataFrame:
     """C17: programme, supplemental and laboratory viral-load series on one grain.
 
     The laboratory series is copied to every trailing window of the anchor
@@ -280,7 +280,7 @@ def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFra
         "sitename", "period", "date", "sex",
         age_band_50plus("ageasentered").alias("ageasentered"),
         F.regexp_replace("indicator", "_PLW", "").alias("indicator"),
-        pop_type("otherdisaggregate").alias("pop_type"), F.lit("MER").alias("source"), "value")
+        pop_type("otherdisaggregate").alias("pop_type"), F.lit(R.VL_SOURCE_PROGRAMME).alias("source"), "value")
     s = sup.filter(F.col("pop_type") != "KeyPop").select(
         "datim_uid", F.col("partner_pepfar_clinical").alias("partner"), "snu", "psnu", "sitename",
         "period", "sex", F.col("age").alias("ageasentered"),
@@ -304,7 +304,7 @@ def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFra
     d = d.filter((F.col("date") >= lo) & (F.col("date") <= mer.agg(F.max("date")).scalar())
                  & (F.col("value") > 0))
     d = d.withColumns({
-        "source": F.lit("DISA"),
+        "source": F.lit(R.VL_SOURCE_LAB),
         "pop_type": F.when(F.col("pop_type") == "Age", F.lit("Age/Sex")).otherwise(F.col("pop_type")),
         "period": period_label(*fiscal_period_columns(d, "date", from_date=True))})
     d = d.withColumns({"ageasentered": null_for_pregnancy("ageasentered", "pop_type"),
@@ -437,7 +437,7 @@ def support_list(tx_curr_sites: DataFrame, other_partners: DataFrame,
 
 
 def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
-               start: str = R.VL_MER_START,
+               start: str = R.VL_PROGRAMME_START,
                drop: Sequence[str] = ("sisma_uid", "sisma_uid_datim_map", "site_nid", "numdenom",
                                       "program_ap3", "program_mi")) -> DataFrame:
     """MI series in long form since ``start``, enriched from the site and
@@ -447,7 +447,7 @@ def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
     long = long.withColumn("period", F.to_date("period")).filter(
         F.col("period") >= F.to_date(F.lit(start)))
     long = long.drop(*[c for c in drop if c in long.columns]).withColumnRenamed("age", "ageasentered")
-    long = long.withColumns({"source": F.lit("MI"), "sex": F.lit(None).cast("string")})
+    long = long.withColumns({"source": F.lit(R.VL_SOURCE_MI), "sex": F.lit(None).cast("string")})
     extra = [c for c in ("datim_uid", "sisma_uid", "site_nid", "his_emr", "his_epts", "his_idart",
                          "his_disa") if c in site_map.columns]
     long = enrich(long, site_map.select(*extra), "datim_uid")

@@ -183,7 +183,11 @@ PMTCT_ART_COHORT = {
 VL_ANCHORS = ["2022-12-20", "2023-03-20", "2023-06-20", "2023-09-20",
               "2023-12-20", "2024-03-20", "2024-06-20"]
 VL_MONTHS_BACK = 11
-VL_MER_START = "2022-12-20"
+VL_PROGRAMME_START = "2022-12-20"
+# Source labels of the three viral-load series in the crosswalk.
+VL_SOURCE_PROGRAMME = "MER"
+VL_SOURCE_LAB = "DISA"
+VL_SOURCE_MI = "MI"
 
 # ---------------------------------------------------------------------------
 # Site volume bands (TX_CURR at the latest period).

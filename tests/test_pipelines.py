@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from indicata.plans import pipelines as P
+from indicata.plans import rules as R
 from tests import fixtures as X
 
 
@@ -166,16 +167,16 @@ def test_vl_crosswalk_three_sources(spark):
     out = P.vl_crosswalk(mer, sup, disa, sites, psnu, anchors=["2022-12-20", "2023-03-20"],
                          months_back=11, start="2022-12-20").cache()
     mer_rows = {(r.period, r.indicator, r.pop_type, r.ageasentered, r.value)
-                for r in out.filter("source = 'MER'").collect()}
+                for r in out.filter(F.col("source") == R.VL_SOURCE_PROGRAMME).collect()}
     assert mer_rows == {("2023 Q1", "TX_PVLS_D", "PW", "50+", 10.0),
                         ("2023 Q1", "TX_PVLS", "PW", "50+", 8.0),
                         ("2023 Q2", "TX_CURR_6MO_PRIOR", "Age/Sex", "25-29", 5.0)}
     sup_rows = {(r.source, r.indicator, r.ageasentered, r.sex, r.pop_type, r.date)
-                for r in out.filter("source <> 'MER' AND source <> 'DISA'").collect()}
+                for r in out.filter(~F.col("source").isin(R.VL_SOURCE_PROGRAMME, R.VL_SOURCE_LAB)).collect()}
     assert sup_rows == {("EPTS-Clinical", "TX_PVLS", None, "Unknown Sex", "Age/Sex",
                          dt.date(2023, 3, 20))}
     disa_rows = Counter((r.period, r.date, r.indicator, r.sex, r.value)
-                        for r in out.filter("source = 'DISA'").collect())
+                        for r in out.filter(F.col("source") == R.VL_SOURCE_LAB).collect())
     # the February test is only in the first window (11 months back from 2022-12-20),
     # the November one in both, re-dated to each window's last period and date; the
     # January one is before the first window, zero values and unknown sites are dropped
