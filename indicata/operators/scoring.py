@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from indicata.functions.columns import cols
 from indicata.functions.expressions import band_score, nz, ratio, row_sum
 from indicata.operators.measures import fetch_scalars
+from indicata.session import materialize
 
 
 def score_rows(spec: Mapping, *, period: str, max_date: Column, window_max: Column,
@@ -43,7 +44,7 @@ def score_sites(base: DataFrame, *, site: str, period: str, scores: Sequence[Map
                 window_months: int = 9, indicator: str = "indicator", value: str = "value",
                 period_col: str = "period", date_col: str = "date",
                 ped_col: str = "agecoarse", ped_value: str = "<15") -> DataFrame:
-    """All fact-based scores per site in one aggregation.
+    """All fact-based scores per site in one aggregation (one pass over the fact).
 
     ``base`` is the long base (site, indicator, value, period, date, ...)
     with null values already removed.  Returns one row per site having rows
@@ -53,13 +54,17 @@ def score_sites(base: DataFrame, *, site: str, period: str, scores: Sequence[Map
     missing numerator/denominator as 0 (pivot then sum); otherwise it stays
     null (sum then pivot).  0/0 and null ratios fall to the default band 0.
     """
-    # Both bounds come from one small aggregate over the base, inlined as
-    # literals: every score condition carries a constant and the main
-    # aggregation runs as a single pass.
-    b = fetch_scalars(base.agg(
+    # One pass over the fact: pre-aggregate to the scoring grain (site x
+    # indicator x period x date x age band), written once to the shared
+    # folder.  The bounds and the conditional sums then read that small table,
+    # instead of each re-reading the fact.
+    keys = [site, indicator, period_col, date_col] + ([ped_col] if ped_col in base.columns else [])
+    grain = materialize(base.groupBy(*keys).agg(F.sum(value).alias(value)))
+    b = fetch_scalars(grain.agg(
         F.max(F.when(F.col(period_col) == F.lit(period), F.col(date_col))).alias("p"),
         F.max(date_col).alias("w")))
     max_date, window_max = b["p"], b["w"]
+    base = grain
     aggs, any_rows = [], []
     for s in scores:
         cond = score_rows(s, period=period, max_date=max_date, window_max=window_max,

@@ -67,3 +67,34 @@ def test_no_python_udf_and_no_cartesian_in_any_query(spark):
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
                      "BroadcastNestedLoopJoin"):
             assert node not in p, (name, node)
+
+
+def test_hot_site_key_join_is_split_by_aqe(spark):
+    from indicata.operators.joins import enrich
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        # a third of the fact rows belong to site 0
+        fact = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("site"),
+            F.col("id").cast("double").alias("v"))
+        dim = spark.range(500).select(F.col("id").alias("site"), F.lit("x").alias("name"))
+        out = enrich(fact, dim, "site")
+        qe = out._jdf.queryExecution()
+        qe.toRdd().count()                       # run this plan: AQE finalises it
+        assert "skew=true" in qe.executedPlan().toString()
+        assert out.count() == 30000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
