@@ -303,3 +303,158 @@ FROM c
 """)
 
 
+
+
+# ---------------------------------------------------------------------------
+# C17: viral-load crosswalk of three sources (programme, supplemental, lab)
+# ---------------------------------------------------------------------------
+
+VL_START = "1999-12-20"
+VL_ANCHORS = ["1999-12-20", "2000-03-20", "2000-06-20", "2000-09-20", "2000-12-20",
+              "2001-03-20", "2001-06-20"]
+SUP_AGE = {"AUTOMOBILE": "Unknown", "BUILDING": "All", "FURNITURE": "60-64",
+           "HOUSEHOLD": "25-29", "MACHINERY": "10-14"}
+SUP_SUBTYPE = {"1-URGENT": "PW", "2-HIGH": "LW"}
+SUP_SOURCE = {"AUTOMOBILE": "Clinical Module", "BUILDING": "Lab Module",
+              "HOUSEHOLD": "Clinical Module", "MACHINERY": "Lab Module"}
+LAB_GROUP = {"1-URGENT": "PW", "5-LOW": "LW"}
+VL_KEYS = ["source", "period", "date", "indicator", "pop_type", "ageasentered", "sex", "psnuuid"]
+
+
+def _vl_inputs(spark, sf_dir):
+    from indicata.functions.expressions import lookup
+    f = proxy.fact(spark, sf_dir)
+    uid = F.col("site_uid").cast("string").alias("datim_uid")
+    s0 = f.groupBy("site_uid", "snu1", "psnu", "sitename", "period", "mech_name",
+                   "numeratordenom", "standardizeddisaggregate", "indicator").agg(
+        F.sum("value").alias("value"))
+    sup = s0.select(
+        uid, lookup("snu1", proxy.PROXY_SITE_PARTNER).alias("partner_pepfar_clinical"),
+        F.col("snu1").alias("snu"), "psnu", "sitename", "period",
+        F.when(F.col("numeratordenom") == "D", F.lit("Unknown")).otherwise(F.lit("Female"))
+         .alias("sex"),
+        lookup("mech_name", SUP_AGE).alias("age"),
+        F.when(F.col("mech_name") == "FURNITURE", F.lit("KeyPop")).otherwise(F.lit("Age"))
+         .alias("pop_type"),
+        lookup("standardizeddisaggregate", SUP_SUBTYPE).alias("pop_subtype"),
+        lookup("mech_name", SUP_SOURCE).alias("source"),
+        F.when(F.col("indicator") == "TX_PVLS", F.lit("TX_PVLS_N")).otherwise(F.col("indicator"))
+         .alias("indicator"), "value")
+    ind = F.col("indicator")
+    d0 = f.groupBy("site_uid", "snu1", "psnu", "sitename", "ship_date", "mech_name",
+                   "standardizeddisaggregate").agg(
+        F.coalesce(F.sum(F.when(ind == "TX_PVLS_D", F.col("value"))), F.lit(0.0)).alias("VL"),
+        F.coalesce(F.sum(F.when(ind == "TX_PVLS", F.col("value"))), F.lit(0.0)).alias("VLS"))
+    disa = d0.select(
+        uid, F.col("mech_name").alias("partner"), F.col("snu1").alias("snu"), "psnu", "sitename",
+        F.col("ship_date").alias("period"), lookup("mech_name", proxy.PROXY_AGE).alias("age"),
+        F.coalesce(lookup("standardizeddisaggregate", LAB_GROUP), F.lit("Age")).alias("group"),
+        F.when(F.col("mech_name") == "BUILDING", F.lit("Female")).otherwise(F.lit("Male"))
+         .alias("sex"), "VL", "VLS")
+    sites = proxy.sites(spark, sf_dir).select(
+        uid, "sitename", "psnu", F.col("snu1").alias("snu"),
+        lookup("snu1", proxy.PROXY_SITE_PARTNER).alias("partner_pepfar_clinical"))
+    nation = proxy.table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("psnu"), F.col("n_nationkey").cast("string").alias("psnuuid"))
+    return sup, disa, sites, nation
+
+
+def q_vl_crosswalk(spark, sf_dir):
+    sup, disa, sites, nation = _vl_inputs(spark, sf_dir)
+    out = P.vl_crosswalk(results_table_proxy(spark, sf_dir), sup, disa, sites, nation,
+                         anchors=VL_ANCHORS, months_back=R.VL_MONTHS_BACK, start=VL_START)
+    return out.groupBy(*VL_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+
+
+def _vl_sql() -> str:
+    age50 = _sql_in(R.AGES_50_PLUS)
+    mer_parts = " UNION ALL ".join(
+        f"SELECT datim_uid, period, date, sex, ageasentered, otherdisaggregate, "
+        f"'{c}' AS indicator, {c} AS value FROM m0" for c in
+        ("TX_CURR_6MO_PRIOR", "TX_PVLS", "TX_PVLS_D"))
+    anchors = ", ".join(f"('{a}')" for a in VL_ANCHORS)
+    return f"""
+, m0 AS (SELECT * FROM rt WHERE date >= DATE '{VL_START}' AND partner_recode <> 'MISAU'),
+m1 AS ({mer_parts}),
+mer AS (
+  SELECT datim_uid, period, date, sex,
+         CASE WHEN ageasentered IN ({age50}) THEN '50+' ELSE ageasentered END AS ageasentered,
+         replace(indicator, '_PLW', '') AS indicator,
+         CASE WHEN otherdisaggregate LIKE '%Breastfeeding%' THEN 'LW'
+              WHEN otherdisaggregate LIKE '%Pregnant%' THEN 'PW' ELSE 'Age/Sex' END AS pop_type,
+         '{R.VL_SOURCE_PROGRAMME}' AS source, value
+  FROM m1 WHERE value IS NOT NULL),
+s0 AS (SELECT site_uid, period, mech_name, numeratordenom, standardizeddisaggregate, indicator,
+              sum(value) AS value
+       FROM dated GROUP BY site_uid, snu1, psnu, sitename, period, mech_name, numeratordenom,
+                           standardizeddisaggregate, indicator),
+s1 AS (
+  SELECT CAST(site_uid AS VARCHAR) AS datim_uid, period,
+         CASE WHEN numeratordenom = 'D' THEN 'Unknown' ELSE 'Female' END AS sex,
+         {_lookup('mech_name', SUP_AGE)} AS age,
+         CASE WHEN mech_name = 'FURNITURE' THEN 'KeyPop' ELSE 'Age' END AS pop_type0,
+         {_lookup('standardizeddisaggregate', SUP_SUBTYPE)} AS pop_subtype,
+         {_lookup('mech_name', SUP_SOURCE)} AS source0,
+         CASE WHEN indicator = 'TX_PVLS' THEN 'TX_PVLS_N' ELSE indicator END AS indicator0, value
+  FROM s0),
+sup AS (
+  SELECT datim_uid, period,
+         make_date(CASE WHEN q = 1 THEN fy - 1 ELSE fy END,
+                   CASE q WHEN 1 THEN 12 WHEN 2 THEN 3 WHEN 3 THEN 6 WHEN 4 THEN 9 END, 20) AS date,
+         CASE WHEN sex = 'Unknown' THEN 'Unknown Sex' ELSE sex END AS sex,
+         CASE WHEN age = 'Unknown' THEN 'Unknown Age' WHEN age = 'All' THEN NULL
+              WHEN age IN ({age50}) THEN '50+' ELSE age END AS ageasentered,
+         CASE WHEN indicator0 = 'TX_PVLS_N' THEN 'TX_PVLS' ELSE indicator0 END AS indicator,
+         coalesce(pop_subtype, 'Age/Sex') AS pop_type,
+         CASE source0 WHEN 'Clinical Module' THEN 'EPTS-Clinical' WHEN 'Lab Module' THEN 'EPTS-Lab'
+              ELSE source0 END AS source,
+         value
+  FROM (SELECT *, CAST(split_part(period, ' ', 1) AS INTEGER) AS fy,
+               CAST(regexp_extract(period, 'Q([1-4])', 1) AS INTEGER) AS q FROM s1)
+  WHERE pop_type0 <> 'KeyPop'),
+sup2 AS (SELECT * FROM sup WHERE date >= DATE '{VL_START}'),
+sm AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid, psnu FROM site_dim),
+pm AS (SELECT n_name AS psnu, CAST(n_nationkey AS VARCHAR) AS psnuuid FROM nation),
+l0 AS (SELECT site_uid, ship_date, mech_name, standardizeddisaggregate,
+              coalesce(sum(CASE WHEN indicator = 'TX_PVLS_D' THEN value END), 0) AS VL,
+              coalesce(sum(CASE WHEN indicator = 'TX_PVLS' THEN value END), 0) AS VLS
+       FROM dated GROUP BY site_uid, snu1, psnu, sitename, ship_date, mech_name,
+                           standardizeddisaggregate),
+l1 AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid, ship_date AS date,
+              {_lookup('mech_name', proxy.PROXY_AGE)} AS age,
+              coalesce({_lookup('standardizeddisaggregate', LAB_GROUP)}, 'Age') AS grp,
+              CASE WHEN mech_name = 'BUILDING' THEN 'Female' ELSE 'Male' END AS sex0, VL, VLS
+       FROM l0),
+l2 AS (SELECT datim_uid, date, age, grp, sex0, 'TX_PVLS_D' AS indicator, VL AS value FROM l1
+       UNION ALL SELECT datim_uid, date, age, grp, sex0, 'TX_PVLS' AS indicator, VLS AS value FROM l1),
+l3 AS (
+  SELECT datim_uid, date, indicator, value,
+         CASE WHEN grp IN ('PW', 'LW') THEN NULL ELSE age END AS ageasentered,
+         CASE WHEN grp = 'Age' THEN 'Age/Sex' ELSE grp END AS pop_type,
+         CASE WHEN grp IN ('PW', 'LW') THEN NULL ELSE sex0 END AS sex,
+         CAST(year(date + INTERVAL 3 MONTH) AS VARCHAR) || ' Q'
+           || CAST(quarter(date + INTERVAL 3 MONTH) AS VARCHAR) AS period
+  FROM l2
+  WHERE date >= DATE '{VL_START}' - INTERVAL {R.VL_MONTHS_BACK} MONTH
+    AND date <= (SELECT max(date) FROM rt) AND value > 0
+    AND datim_uid IN (SELECT datim_uid FROM sm)),
+anchors AS (SELECT CAST(a AS DATE) AS anchor FROM (VALUES {anchors}) t(a)),
+lw AS (SELECT a.anchor, l3.* FROM l3 JOIN anchors a
+       ON l3.date >= a.anchor - INTERVAL {R.VL_MONTHS_BACK} MONTH AND l3.date <= a.anchor),
+ll AS (SELECT anchor, max(period) AS lp, max(date) AS ld FROM lw GROUP BY anchor),
+lab AS (SELECT lw.datim_uid, ll.lp AS period, ll.ld AS date, lw.sex, lw.ageasentered,
+               lw.indicator, lw.pop_type, '{R.VL_SOURCE_LAB}' AS source, lw.value
+        FROM lw JOIN ll ON lw.anchor = ll.anchor),
+allv AS (
+  SELECT datim_uid, period, date, sex, ageasentered, indicator, pop_type, source, value FROM mer
+  UNION ALL SELECT datim_uid, period, date, sex, ageasentered, indicator, pop_type, source, value
+            FROM sup2
+  UNION ALL SELECT datim_uid, period, date, sex, ageasentered, indicator, pop_type, source, value
+            FROM lab),
+fin AS (SELECT a.*, pm.psnuuid FROM allv a LEFT JOIN sm ON a.datim_uid = sm.datim_uid
+        LEFT JOIN pm ON sm.psnu = pm.psnu)
+SELECT {', '.join(VL_KEYS)}, count(*) AS n, sum(value) AS v FROM fin GROUP BY {', '.join(VL_KEYS)}
+"""
+
+
+_register("vl_crosswalk", q_vl_crosswalk, _vl_sql())
