@@ -458,3 +458,144 @@ SELECT {', '.join(VL_KEYS)}, count(*) AS n, sum(value) AS v FROM fin GROUP BY {'
 
 
 _register("vl_crosswalk", q_vl_crosswalk, _vl_sql())
+
+
+# ---------------------------------------------------------------------------
+# Running share, first version, from the site-level extract
+# ---------------------------------------------------------------------------
+
+V1_OVERRIDES = {"1": "ICAP", "2": "FGH"}
+V1_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+               "PMTCT_EID_D"]
+
+
+def _partner_alt(spark, sf_dir):
+    s = proxy.sites(spark, sf_dir).filter(F.col("acctbal") > 5000)
+    return s.select(F.col("site_uid").cast("string").alias("datim_uid"),
+                    F.lit("GF").alias("partner_alt"))
+
+
+def q_running_share_v1(spark, sf_dir):
+    from indicata.functions.expressions import recode
+    dg = proxy.canonical_extract(spark, sf_dir).withColumn(
+        "mech_name", recode("mech_name", proxy.PROXY_MECH_PARTNER))
+    m = spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
+                                                 "string, indicator_new string")
+    return P.running_share_v1(dg, m, _partner_alt(spark, sf_dir), period="FY00Q4",
+                              mech_overrides=V1_OVERRIDES)
+
+
+def _v1_sql() -> str:
+    mech = ("CASE mech_name " + " ".join(f"WHEN '{k}' THEN '{v}'"
+                                         for k, v in proxy.PROXY_MECH_PARTNER.items())
+            + " ELSE mech_name END")
+    override = ("CASE " + " ".join(f"WHEN orgunituid = '{k}' THEN '{v}'"
+                                   for k, v in V1_OVERRIDES.items()) + " ELSE mech_name END")
+    onehot = ", ".join(f"CASE WHEN ind2 = '{c}' THEN value END AS {c}" for c in V1_MEASURES)
+    sums = ", ".join(f"coalesce(sum(coalesce({c}, 0)), 0) AS {c}" for c in V1_MEASURES)
+    keys = "datim_uid, snu1, psnu, sitename, site_type, mech_name, partner_alt"
+    return f"""
+, v0 AS (SELECT * REPLACE ({mech} AS mech_name) FROM ext3
+         WHERE indicator IN ({_sql_in(P.V1_INDICATORS)})),
+vm AS (SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
+       FROM v0 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
+        AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
+       WHERE m.indicator_new IS NOT NULL),
+vl AS (SELECT *, indicator || CASE WHEN numeratordenom = 'D' THEN '_D' ELSE '' END AS ind2,
+              qtr4 AS value
+       FROM vm WHERE fiscal_year = 2000 AND qtr4 IS NOT NULL
+         AND sitetype IN ('Facility', 'Military')),
+vl2 AS (SELECT * REPLACE ({override} AS mech_name) FROM vl),
+vl3 AS (SELECT *, CASE WHEN mech_name IN ({_sql_in(R.CLINICAL_PARTNERS_SITE_TYPE)}) THEN '99-AJUDA'
+                       WHEN mech_name = 'MISAU' THEN '01-Sustainability'
+                       ELSE 'non-clinical' END AS site_type FROM vl2),
+pa AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid, 'GF' AS partner_alt FROM site_dim
+       WHERE acctbal > 5000),
+vl4 AS (SELECT vl3.orgunituid AS datim_uid, snu1, psnu, sitename, site_type, mech_name,
+               pa.partner_alt, {onehot}
+        FROM vl3 LEFT JOIN pa ON vl3.orgunituid = pa.datim_uid
+        WHERE site_type <> 'non-clinical'),
+g AS (SELECT {keys}, {sums} FROM vl4 GROUP BY {keys}),
+c AS (SELECT *, sum(TX_CURR) OVER (ORDER BY TX_CURR DESC, {keys.replace(', ', ' ASC NULLS LAST, ')}
+                                      ASC NULLS LAST
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_cum,
+              sum(TX_CURR) OVER () AS tot FROM g)
+SELECT * EXCLUDE (tot),
+       CASE WHEN tot <> 0 THEN TX_CURR_cum / tot WHEN tot = 0 AND TX_CURR_cum > 0
+            THEN 'Infinity'::DOUBLE END AS TX_CURR_cum_per,
+       coalesce(CASE WHEN PMTCT_EID_D <> 0 THEN PMTCT_HEI_POS / PMTCT_EID_D
+                     WHEN PMTCT_EID_D = 0 AND PMTCT_HEI_POS > 0 THEN 'Infinity'::DOUBLE END, 0)
+         AS PMTCT_HEI_POS_per
+FROM c
+"""
+
+
+_register("running_share_v1", q_running_share_v1, _v1_sql())
+
+
+# ---------------------------------------------------------------------------
+# Yearly extracts with drifting layouts -> one site fact (recodes, corrections)
+# ---------------------------------------------------------------------------
+
+LONG_MECH = {"AUTOMOBILE": "Efficiencies for Clinical HIV Outcomes (ECHO)",
+             "BUILDING": "Friends in Global Health", "FURNITURE": "Ministry of Health Mozambique",
+             "HOUSEHOLD": "JHPIEGO CORPORATION", "MACHINERY": "SCIP Zambezia"}
+PROXY_FACT_CORRECTIONS = [
+    ({"orgunituid": "3", "mech_name": "FGH"}, {"orgunituid": "5", "sitename": "Corrected 5"}),
+    ({"orgunituid": "5", "mech_name": "MISAU"}, {"orgunituid": "3", "psnu": "SWAPPED"}),
+]
+
+
+def q_site_fact_union(spark, sf_dir):
+    from pyspark.sql import types as T
+    from indicata.functions.expressions import lookup
+    from indicata.operators.union import Contract
+    e = proxy.canonical_extract(spark, sf_dir).select(
+        "orgunituid", "sitename", "psnu", lookup("mech_name", LONG_MECH).alias("mech_name"),
+        F.when(F.col("indicator") == "TX_PVLS", F.lit("Index"))
+         .when(F.col("indicator") == "TX_PVLS_D", F.lit("IndexMod")).alias("modality"),
+        "fiscal_year", "cumulative")
+    canon = T.StructType([T.StructField(c, t) for c, t in [
+        ("orgunituid", T.StringType()), ("sitename", T.StringType()), ("psnu", T.StringType()),
+        ("mech_name", T.StringType()), ("modality", T.StringType()),
+        ("fiscal_year", T.IntegerType()), ("cumulative", T.DoubleType())]])
+    fy = F.col("fiscal_year")
+    y1 = e.filter(fy <= 1997).withColumnRenamed("psnu", "snu2")
+    y2 = e.filter(fy.between(1998, 1999)).withColumn("fiscal_year", fy.cast("string")) \
+          .withColumnRenamed("psnu", "cop22_psnu")
+    y3 = e.filter(fy >= 2000).withColumn("extra_column", F.lit("x"))
+    out = P.union_extracts([(y1, Contract(canon, rename={"snu2": "psnu"})),
+                            (y2, Contract(canon, rename={"cop22_psnu": "psnu"})),
+                            (y3, Contract(canon, drop=["extra_column"]))],
+                           corrections=PROXY_FACT_CORRECTIONS)
+    return (out.groupBy("orgunituid", "sitename", "psnu", "mech_name", "modality", "fiscal_year")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("v")))
+
+
+def _c1_sql() -> str:
+    longm = _lookup("mech_name", LONG_MECH)
+    rec = ("CASE mech0 " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN '{v}'"
+                                    for k, v in R.MECH_NAME_RECODE.items()) + " ELSE mech0 END")
+    return f"""
+, u0 AS (SELECT orgunituid, sitename, psnu, {longm} AS mech0,
+                CASE WHEN indicator = 'TX_PVLS' THEN 'Index'
+                     WHEN indicator = 'TX_PVLS_D' THEN 'IndexMod' END AS modality0,
+                fiscal_year, cumulative FROM ext3),
+u1 AS (SELECT orgunituid, sitename, psnu, {rec} AS mech_name,
+              CASE modality0 WHEN 'Index' THEN 'Index Facility' WHEN 'IndexMod' THEN 'Index Community'
+                   ELSE modality0 END AS modality, fiscal_year, cumulative FROM u0),
+u2 AS (SELECT * REPLACE (
+         CASE WHEN orgunituid = '3' AND mech_name = 'FGH' THEN '5' ELSE orgunituid END AS orgunituid,
+         CASE WHEN orgunituid = '3' AND mech_name = 'FGH' THEN 'Corrected 5' ELSE sitename END
+           AS sitename) FROM u1),
+u3 AS (SELECT * REPLACE (
+         CASE WHEN orgunituid = '5' AND mech_name = 'MISAU' THEN '3' ELSE orgunituid END AS orgunituid,
+         CASE WHEN orgunituid = '5' AND mech_name = 'MISAU' THEN 'SWAPPED' ELSE psnu END AS psnu)
+       FROM u2)
+SELECT orgunituid, sitename, psnu, mech_name, modality, fiscal_year, count(*) AS n,
+       sum(cumulative) AS v
+FROM u3 GROUP BY orgunituid, sitename, psnu, mech_name, modality, fiscal_year
+"""
+
+
+_register("site_fact_union", q_site_fact_union, _c1_sql())
