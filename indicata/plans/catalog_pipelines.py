@@ -599,3 +599,55 @@ FROM u3 GROUP BY orgunituid, sitename, psnu, mech_name, modality, fiscal_year
 
 
 _register("site_fact_union", q_site_fact_union, _c1_sql())
+
+
+# ---------------------------------------------------------------------------
+# Site scores with the bundled score rule set, on the results table
+# ---------------------------------------------------------------------------
+
+SCORE_PERIOD = "2000 Q4"
+
+
+def q_site_scores_pipeline(spark, sf_dir):
+    from indicata.functions.expressions import recode
+    r = results_table_proxy(spark, sf_dir).withColumn(
+        "mech_name", recode("mech_name", proxy.PROXY_MECH_PARTNER))
+    sites = proxy.site_map(spark, sf_dir).select("datim_uid", "partner_pepfar_clinical")
+    return P.site_scores(r, sites, SCORE_PERIOD)
+
+
+def _c8_sql() -> str:
+    from indicata.plans.catalog_scores import _sql_score_cte
+    present = [c for c in R.SCORE_INDICATORS if c in proxy.PROXY_NAMES]
+    mech = ("CASE mech_name " + " ".join(f"WHEN '{k}' THEN '{v}'"
+                                         for k, v in proxy.PROXY_MECH_PARTNER.items())
+            + " ELSE mech_name END")
+    parts = " UNION ALL ".join(
+        f"SELECT datim_uid, period, date, agecoarse, {mech} AS mech, '{c}' AS indicator, "
+        f"{c} AS value FROM rt WHERE period_type = 'results'" for c in present)
+    names = [s["name"] for s in R.SITE_SCORES]
+    sub = [f"score_{n}" for n in names if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
+    ctes = ",\n".join(_sql_score_cte(s) for s in R.SITE_SCORES)
+    joins = "\n".join(f"LEFT JOIN s_{n} ON st.site_uid = s_{n}.site_uid" for n in names)
+    values = ", ".join(f"s_{n}.value_{n}" for n in names)
+    bands = ", ".join(f"{_sql_band(f's_{n}.value_{n}', s['bands'])} AS score_{n}"
+                      for n, s in zip(names, R.SITE_SCORES))
+    return f"""
+, base AS (
+  SELECT datim_uid AS site_uid, indicator, value, period, date, agecoarse
+  FROM ({parts}) x
+  WHERE value IS NOT NULL AND mech IN ({_sql_in(R.SCORE_PARTNERS)})),
+mx AS (SELECT max(date) AS d FROM base WHERE period = '{SCORE_PERIOD}'),
+wmx AS (SELECT max(date) AS d FROM base),
+{ctes},
+st AS (SELECT datim_uid AS site_uid FROM smap WHERE partner_pepfar_clinical <> 'MISAU'),
+j AS (SELECT st.site_uid AS datim_uid, {values}, {bands} FROM st
+{joins})
+SELECT *, {' + '.join(f'score_{n}' for n in names)} AS score_clin,
+       {' + '.join(sub) if sub else '0'} AS score_clin_wo_volume,
+       '{SCORE_PERIOD}' AS period
+FROM j
+"""
+
+
+_register("site_scores_pipeline", q_site_scores_pipeline, _c8_sql())
