@@ -82,4 +82,4 @@ def materialize(df, *, how: str = "table"):
         return df.checkpoint(eager=True)
     path = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
