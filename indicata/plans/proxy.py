@@ -8,7 +8,8 @@ nulls), ship date = reporting quarter, quantity = value.
 Join plan (chosen for scale, see README):
   * nation and region have a fixed size (25 / 5 rows): broadcast.
   * orders x customer is joined first (orders is ~1/4 of lineitem), so the
-    lineitem side is shuffled once on the order key.
+    lineitem side is shuffled once on the order key; that join is a hinted
+    shuffled hash join (never a broadcast: both sides grow with the data).
   * supplier and customer grow with the data: no broadcast hint; AQE turns
     the join into a broadcast at run time only when the measured side is
     below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
@@ -78,11 +79,18 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
-         ship_from: str | None = None) -> DataFrame:
+         ship_from: str | None = None, order_join: str = "shuffle_hash") -> DataFrame:
     """Long indicator fact with fiscal fields (fy, q, period, date).
 
     ``periods`` / ``ship_from`` restrict the lineitem scan by ship date; the
     derived ``period`` filter is then redundant but kept exact.
+
+    ``order_join`` is the strategy of the lineitem x orders join.  Both sides
+    grow with the data, so it is a shuffled join on the order key at every
+    scale: left to itself, AQE broadcasts whichever side is just under the
+    threshold (at small scale the *lineitem* side, built on the driver).
+    ``shuffle_hash`` builds on the orders side (unique key, no skew); use
+    ``merge`` where executor memory per shuffle partition is tight.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
@@ -100,7 +108,7 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderpriority",
                                                       "c_mktsegment")
-    joined = (li.join(oc, li.l_orderkey == oc.o_orderkey)
+    joined = (li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
                 .join(sites(spark, sf_dir).drop("acctbal"),
                       F.col("l_suppkey") == F.col("site_uid")))
     out = joined.select(

@@ -82,4 +82,11 @@ def materialize(df, *, how: str = "table"):
         return df.checkpoint(eager=True)
     path = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    # A small intermediate may come back as a few files (AQE coalesced the
+    # shuffle before the write); spread it so the branches reading it use
+    # every core.  A large one has at least as many files as cores: no-op.
+    cores = spark.sparkContext.defaultParallelism
+    if out.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores)
+    return out
