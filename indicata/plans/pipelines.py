@@ -18,7 +18,7 @@ from indicata.functions.columns import cols, relocate
 from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agency,
                                        null_for_pregnancy, pop_type, support_class,
                                        unknown_label)
-from indicata.functions.expressions import is_in, not_in, ratio, recode
+from indicata.functions.expressions import band_score, is_in, not_in, ratio, recode
 from indicata.functions.periods import (fiscal_period_columns, period_date, period_label,
                                         quarter_number, suffix_denominator)
 from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
@@ -201,6 +201,14 @@ def site_scores(results: DataFrame, sites: DataFrame, period: str, *,
     return out.drop("snu", "psnu", "sitename", "partner").orderBy("score_clin")
 
 
+def tpt_scores(tpt: DataFrame, *, bands=R.BANDS_TPT) -> DataFrame:
+    """C8 (TPT): completion rate per site from its own series, banded; sites
+    without a value are dropped (then score 0 after the join)."""
+    t = tpt.select(F.col("orgunituid").alias("datim_uid"),
+                   F.col("TPT_CUM_PER").cast("double").alias("value_tpt")).dropna(subset=["value_tpt"])
+    return t.withColumn("score_tpt", band_score("value_tpt", bands))
+
+
 # ---------------------------------------------------------------------------
 # Running share of patients and the regional roll-up
 # ---------------------------------------------------------------------------
@@ -458,4 +466,4 @@ __all__ = ["union_extracts", "attribute_partner", "results_long", "results_table
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
            "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",
            "refreshed_history", "kp_quarter", "vl_quarter", "running_share_v1", "support_list",
-           "mi_extract"]
+           "mi_extract", "tpt_scores"]

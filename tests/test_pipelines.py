@@ -237,3 +237,26 @@ def test_running_share_v1_support_list_mi(spark):
     got = P.mi_extract(mi, smap, pmap).collect()
     assert [(r.indicator, r.value, r.sisma_uid, r.psnuuid, r.source) for r in got] == \
         [("cv_a", 0.5, "SM1", "pu", "MI")]
+
+
+def test_site_scores_with_tpt_and_wo_volume(spark):
+    r = _results(spark)
+    sites = spark.createDataFrame(X.SITE_ROWS, X.SITE_MAP).select("datim_uid",
+                                                                 "partner_pepfar_clinical")
+    tpt = spark.createDataFrame([("s1", 0.95), ("s2", None)], "orgunituid string, TPT_CUM_PER double")
+    out = P.site_scores(r, sites, "2024 Q4", partners=["ECHO", "MISAU"],
+                        extra=P.tpt_scores(tpt)).collect()
+    # s2 has no clinical partner (null != 'MISAU' is null): dropped like the R filter
+    assert [x.datim_uid for x in out] == ["s3", "s1"]                 # ordered by score_clin
+    s1 = [x for x in out if x.datim_uid == "s1"][0]
+    assert s1.value_txcurr == 130.0 and s1.score_txcurr == 5          # < 700
+    assert s1.score_tpt == 5                                          # > 0.9
+    assert s1.value_txml is not None and s1.value_txml == 0.0         # no TX_ML in 2024 Q4
+    # without-volume total sums the columns whose name contains a listed pattern
+    assert s1.score_clin_wo_volume == s1.score_tpt + s1.score_txtb + s1.score_txml \
+        + s1.score_vlc + s1.score_vlc_ped + s1.score_vls + s1.score_vls_ped + s1.score_vls_pw
+    assert s1.score_clin == sum(v for k, v in s1.asDict().items()
+                                if k.startswith("score_") and k not in ("score_clin",
+                                                                        "score_clin_wo_volume"))
+    s3 = [x for x in out if x.datim_uid == "s3"][0]
+    assert s3.score_clin == 0 and s3.value_txcurr is None
