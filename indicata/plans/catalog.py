@@ -52,7 +52,9 @@ SELECT d.site_uid, d.sitename, s.num, s.den, s.value_vlc,
 FROM site_dim d LEFT JOIN scored s ON d.site_uid = s.site_uid
 """)
 def coverage_score(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir, periods=[PERIOD])
+    # per-site sums straight from the lines; the left join from the site
+    # list below keeps exactly the listed sites, so no per-line site join
+    f = proxy.fact(spark, sf_dir, periods=[PERIOD], with_sites=False)
     sides = pivot_sum(f, ["site_uid"], "indicator", "value", ["TX_PVLS_D", "TX_CURR"],
                       fill_zero=True)
     scored = sides.select("site_uid", F.col("TX_PVLS_D").alias("num"),

@@ -323,11 +323,13 @@ VL_KEYS = ["source", "period", "date", "indicator", "pop_type", "ageasentered",
 
 def _vl_inputs(spark, sf_dir):
     from indicata.functions.expressions import lookup
-    f = proxy.fact(spark, sf_dir)
+    # aggregate the lines first, then attach site attributes to the aggregates
+    f = proxy.fact(spark, sf_dir, with_sites=False)
+    site_attrs = proxy.sites(spark, sf_dir).drop("acctbal")
     uid = F.col("site_uid").cast("string").alias("datim_uid")
-    s0 = f.groupBy("site_uid", "snu1", "psnu", "sitename", "period", "mech_name",
-                   "numeratordenom", "standardizeddisaggregate", "indicator").agg(
-        F.sum("value").alias("value"))
+    s0 = f.groupBy("site_uid", "period", "mech_name", "numeratordenom",
+                   "standardizeddisaggregate", "indicator").agg(
+        F.sum("value").alias("value")).join(site_attrs, "site_uid")
     sup = s0.select(
         uid, lookup("snu1", proxy.PROXY_SITE_PARTNER).alias("partner_pepfar_clinical"),
         F.col("snu1").alias("snu"), "psnu", "sitename", "period",
@@ -341,10 +343,10 @@ def _vl_inputs(spark, sf_dir):
         F.when(F.col("indicator") == "TX_PVLS", F.lit("TX_PVLS_N")).otherwise(F.col("indicator"))
          .alias("indicator"), "value")
     ind = F.col("indicator")
-    d0 = f.groupBy("site_uid", "snu1", "psnu", "sitename", "ship_date", "mech_name",
-                   "standardizeddisaggregate").agg(
+    d0 = f.groupBy("site_uid", "ship_date", "mech_name", "standardizeddisaggregate").agg(
         F.coalesce(F.sum(F.when(ind == "TX_PVLS_D", F.col("value"))), F.lit(0.0)).alias("VL"),
-        F.coalesce(F.sum(F.when(ind == "TX_PVLS", F.col("value"))), F.lit(0.0)).alias("VLS"))
+        F.coalesce(F.sum(F.when(ind == "TX_PVLS", F.col("value"))), F.lit(0.0)).alias("VLS")
+    ).join(site_attrs, "site_uid")
     disa = d0.select(
         uid, F.col("mech_name").alias("partner"), F.col("snu1").alias("snu"), "psnu", "sitename",
         F.col("ship_date").alias("period"), lookup("mech_name", proxy.PROXY_AGE).alias("age"),

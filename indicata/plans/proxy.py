@@ -79,7 +79,8 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
-         ship_from: str | None = None, order_join: str = "shuffle_hash") -> DataFrame:
+         ship_from: str | None = None, order_join: str = "shuffle_hash",
+         with_sites: bool = True) -> DataFrame:
     """Long indicator fact with fiscal fields (fy, q, period, date).
 
     ``periods`` / ``ship_from`` restrict the lineitem scan by ship date; the
@@ -91,6 +92,11 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     threshold (at small scale the *lineitem* side, built on the driver).
     ``shuffle_hash`` builds on the orders side (unique key, no skew); use
     ``merge`` where executor memory per shuffle partition is tight.
+
+    ``with_sites=False`` leaves out the site join (``site_uid`` is the
+    line's supplier key, site attributes absent): callers that aggregate
+    by site first then join the aggregate to :func:`sites` (same rows for
+    any per-site aggregate, far less data through the join).
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
@@ -108,11 +114,15 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderpriority",
                                                       "c_mktsegment")
-    joined = (li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
-                .join(sites(spark, sf_dir).drop("acctbal"),
-                      F.col("l_suppkey") == F.col("site_uid")))
+    joined = li.join(oc.hint(order_join), li.l_orderkey == oc.o_orderkey)
+    if with_sites:
+        joined = joined.join(sites(spark, sf_dir).drop("acctbal"),
+                             F.col("l_suppkey") == F.col("site_uid"))
+        site_cols = ["site_uid", "sitename", "psnu", "snu1"]
+    else:
+        site_cols = [F.col("l_suppkey").alias("site_uid")]
     out = joined.select(
-        "site_uid", "sitename", "psnu", "snu1",
+        *site_cols,
         F.col("c_mktsegment").alias("mech_name"),
         case_match("l_returnflag", PROXY_INDICATOR, PROXY_INDICATOR_DEFAULT).alias("indicator"),
         F.when(F.col("l_linestatus") == "O", F.lit("D")).otherwise(F.lit("N"))
@@ -189,14 +199,17 @@ def canonical_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures in qtr1..qtr4 / cumulative / targets (partial aggregation)."""
     from indicata.functions.domain import age_coarse, funding_agency
     from indicata.functions.expressions import lookup, recode
-    f = fact(spark, sf_dir)
+    # aggregate first (map-side partial sums), then attach site attributes
+    # to the aggregate: the site join sees one row per group, not per line
+    f = fact(spark, sf_dir, with_sites=False)
     q, v = F.col("q"), F.col("value")
-    g = f.groupBy(F.col("site_uid").cast("string").alias("orgunituid"), "sitename", "snu1", "psnu", "mech_name",
-                  "indicator", "numeratordenom", "standardizeddisaggregate",
-                  F.col("fy").alias("fiscal_year")).agg(
+    g = f.groupBy("site_uid", "mech_name", "indicator", "numeratordenom",
+                  "standardizeddisaggregate", F.col("fy").alias("fiscal_year")).agg(
         *[F.sum(F.when(q == i, v)).alias(f"qtr{i}") for i in range(1, 5)],
         F.sum(v).alias("cumulative"),
         F.sum(F.when(F.col("numeratordenom") == "D", v)).alias("targets"))
+    g = g.join(sites(spark, sf_dir).drop("acctbal"), "site_uid").withColumn(
+        "orgunituid", F.col("site_uid").cast("string")).drop("site_uid")
     g = g.withColumns({
         "otherdisaggregate": lookup("standardizeddisaggregate", PROXY_OTHERDISAGG),
         "sex": F.when(F.col("numeratordenom") == "D", F.lit("Female")).otherwise(F.lit("Male")),
