@@ -243,3 +243,29 @@ def test_align_and_union_with_drift(spark):
     out = union_all([a2, b], schema=canon)
     assert out.schema == canon
     assert rows(out, "uid", "psnu", "fy") == [("u1", "P", 2021), ("u2", None, 2023)]
+
+
+def test_property_window_copies_equal_rolling_sum(spark):
+    """Summing the copies of a 4-quarter trailing window equals the rolling
+    4-row sum wherever all four quarters are present (SURVEY §5)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    quarters = [dt.date(2022, 12, 20), dt.date(2023, 3, 20), dt.date(2023, 6, 20),
+                dt.date(2023, 9, 20), dt.date(2023, 12, 20), dt.date(2024, 3, 20),
+                dt.date(2024, 6, 20)]
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.integers(0, 50), min_size=len(quarters), max_size=len(quarters)))
+    def check(values):
+        rows = [("s", d, float(v)) for d, v in zip(quarters, values)]
+        df = spark.createDataFrame(rows, "site string, date date, v double")
+        anchors = [d.isoformat() for d in quarters]
+        win = anchor_windows(df, "date", anchors, 9).groupBy("anchor").agg(
+            F.sum("v").alias("w"), F.count(F.lit(1)).alias("n"))
+        roll = rolling_sum(df, ["site"], "date", "v", 4)
+        got = {r.anchor: r.w for r in win.filter("n = 4").collect()}
+        want = {r.date: r.v_roll4 for r in roll.filter(F.col("v_roll4").isNotNull()).collect()}
+        assert got == want and len(got) == len(quarters) - 3
+
+    check()
