@@ -64,19 +64,36 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(r.path for r in rows)
 
 
+def file_headers(spark: SparkSession, pattern: str) -> dict[str, str]:
+    """First line of every file matching ``pattern``, in one distributed job.
+
+    A file's first split (block start 0) is read by one task in line order,
+    and ``monotonically_increasing_id`` grows within a task, so the header is
+    the line with the smallest id among that file's block-0 lines.  One row
+    per file reaches the driver.
+    """
+    lines = (spark.read.text(pattern)
+             .select(F.input_file_name().alias("path"),
+                     F.input_file_block_start().alias("block"),
+                     F.monotonically_increasing_id().alias("i"), "value")
+             .filter(F.col("block") == 0))
+    first = lines.groupBy("path").agg(F.min_by("value", "i").alias("header"))
+    return {r.path: r.header for r in first.collect()}
+
+
 def read_folder(spark: SparkSession, pattern: str, contract: Contract, *,
                 sep: str = "\t", null_value: str = READ_NULL) -> DataFrame:
     """Read every delimited file matching ``pattern`` and row-bind them by name.
 
     Spark's multi-file CSV read aligns columns by position, so files are
-    grouped by header layout (one small header read per file), each group
-    is read in a single scan, aligned to ``contract`` by name, and the
-    groups are unioned.
+    grouped by header layout (all headers come from one distributed job,
+    :func:`file_headers`), each group is read in a single scan, aligned to
+    ``contract`` by name, and the groups are unioned.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in list_files(spark, pattern):
-        header = spark.read.option("header", True).option("sep", sep).csv(path).columns
-        groups.setdefault(tuple(header), []).append(path)
+    for path, header in sorted(file_headers(spark, pattern).items()):
+        cols = tuple(h.strip().strip('"') for h in header.split(sep))
+        groups.setdefault(cols, []).append(path)
     if not groups:
         return spark.createDataFrame([], contract.schema)
     parts = []
