@@ -86,7 +86,10 @@ def materialize(df, *, how: str = "table"):
     # A small intermediate may come back as a few files (AQE coalesced the
     # shuffle before the write); spread it so the branches reading it use
     # every core.  A large one has at least as many files as cores: no-op.
-    cores = spark.sparkContext.defaultParallelism
-    if out.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if out.rdd.getNumPartitions() < cores:
+            out = out.repartition(cores)
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD view
+        pass
     return out
