@@ -27,6 +27,7 @@ RT_MEASURES = ["TX_CURR", "TX_CURR_D", "TX_ML", "TX_PVLS", "TX_PVLS_D", "PMTCT_A
                "PMTCT_ART_Already", "TX_CIRA", "TX_CURR_Expected", "his_epts"]
 RT_KEYS = ["period_type", "period", "date", "partner_recode", "site_volume"]
 WATERFALL_START = "2000-06-20"
+SHARE_MEASURES_PROXY = ["TX_CURR_FemaleAdult", "TX_ML", "PMTCT_ART_Already"]
 WATERFALL_PLUS = ["2000 Q4", "2001 Q1", "2001 Q2"]
 
 
@@ -64,8 +65,9 @@ def q_waterfall(spark, sf_dir):
 
 def q_running_share(spark, sf_dir):
     r = results_table_proxy(spark, sf_dir)
-    measures = ["TX_CURR", "TX_PVLS", "PMTCT_ART"]
-    g = P.running_share(r, "2000 Q4", measures=measures)
+    # measures chosen so that some sites sum to zero on all of them
+    g = P.running_share(r, "2000 Q4", measures=SHARE_MEASURES_PROXY,
+                        share_measure=SHARE_MEASURES_PROXY[0])
     return g.drop("partner_alt")
 
 
@@ -285,19 +287,21 @@ _register("waterfall", q_waterfall, _wf_sql())
 
 _register("running_share", q_running_share, """
 , s AS (
-  SELECT datim_uid, snu1, psnu, sitename, coalesce(sum(TX_CURR), 0) AS TX_CURR,
-         coalesce(sum(TX_PVLS), 0) AS TX_PVLS, coalesce(sum(PMTCT_ART), 0) AS PMTCT_ART
+  SELECT datim_uid, snu1, psnu, sitename,
+         coalesce(sum(TX_CURR_FemaleAdult), 0) AS TX_CURR_FemaleAdult,
+         coalesce(sum(TX_ML), 0) AS TX_ML,
+         coalesce(sum(PMTCT_ART_Already), 0) AS PMTCT_ART_Already
   FROM rt WHERE period = '2000 Q4' AND period_type = 'results'
     AND sitetype IN ('Facility', 'Military')
   GROUP BY datim_uid, snu1, psnu, sitename),
-k AS (SELECT * FROM s WHERE NOT (TX_CURR = 0 AND TX_PVLS = 0 AND PMTCT_ART = 0)),
+k AS (SELECT * FROM s WHERE NOT (TX_CURR_FemaleAdult = 0 AND TX_ML = 0 AND PMTCT_ART_Already = 0)),
 c AS (
-  SELECT *, sum(TX_CURR) OVER (ORDER BY TX_CURR DESC, datim_uid
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_cum,
-         sum(TX_CURR) OVER () AS tot FROM k)
-SELECT datim_uid, snu1, psnu, sitename, TX_CURR, TX_PVLS, PMTCT_ART, TX_CURR_cum,
-       CASE WHEN tot = 0 AND TX_CURR_cum = 0 THEN 1.0::DOUBLE WHEN tot <> 0 THEN TX_CURR_cum / tot
-            WHEN TX_CURR_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_cum_per,
+  SELECT *, sum(TX_CURR_FemaleAdult) OVER (ORDER BY TX_CURR_FemaleAdult DESC, datim_uid
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_FemaleAdult_cum,
+         sum(TX_CURR_FemaleAdult) OVER () AS tot FROM k)
+SELECT datim_uid, snu1, psnu, sitename, TX_CURR_FemaleAdult, TX_ML, PMTCT_ART_Already, TX_CURR_FemaleAdult_cum,
+       CASE WHEN tot = 0 AND TX_CURR_FemaleAdult_cum = 0 THEN 1.0::DOUBLE WHEN tot <> 0 THEN TX_CURR_FemaleAdult_cum / tot
+            WHEN TX_CURR_FemaleAdult_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_FemaleAdult_cum_per,
        CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per
 FROM c
 """)
@@ -305,6 +309,7 @@ FROM c
 
 
 
+
 # ---------------------------------------------------------------------------
 # C17: viral-load crosswalk of three sources (programme, supplemental, lab)
 # ---------------------------------------------------------------------------

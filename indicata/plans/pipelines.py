@@ -218,14 +218,15 @@ SHARE_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMT
 
 
 def running_share(results: DataFrame, period: str, *, measures=SHARE_MEASURES,
+                  share_measure: str = "TX_CURR",
                   site_partner: DataFrame | None = None) -> DataFrame:
     """C11: site sums in a period, all-zero sites removed, cumulative share
-    of TX_CURR (0/0 -> 1), HEI positivity (0/0 -> 0), site type."""
+    of ``share_measure`` (0/0 -> 1), HEI positivity (0/0 -> 0), site type."""
     r = results.filter((F.col("period") == period) & (F.col("period_type") == "results")
                        & F.col("sitetype").isin("Facility", "Military"))
     present = [m for m in measures if m in r.columns]
     g = drop_all_zero(group_sum(r, ["datim_uid", "snu1", "psnu", "sitename"], present), present)
-    g = cumulative_share(g, "TX_CURR", ["datim_uid"], zero_total_share=1.0)
+    g = cumulative_share(g, share_measure, ["datim_uid"], zero_total_share=1.0)
     hei = (ratio("PMTCT_HEI_POS", "PMTCT_EID_D")
            if {"PMTCT_HEI_POS", "PMTCT_EID_D"} <= set(g.columns) else F.lit(None).cast("double"))
     g = g.withColumn("PMTCT_HEI_POS_per", F.coalesce(hei, F.lit(0.0)))
