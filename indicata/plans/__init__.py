@@ -1 +1 @@
-"""Rule sets, proxy inputs, composite pipelines and the query catalog."""
+"""Rule sets, proxy inputs, composite report tables and the query catalog."""

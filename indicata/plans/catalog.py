@@ -15,7 +15,7 @@ from indicata.operators.cohorts import (anchor_windows, label_windows, relative_
                                         shift_period)
 from indicata.operators.joins import map_indicator
 from indicata.operators.measures import cumulative_share, group_sum, period_bounds
-from indicata.plans import pipelines as P
+from indicata.plans import reports as P
 from indicata.operators.reshape import pivot_sum
 from indicata.plans import proxy
 from indicata.plans import rules as R
@@ -266,4 +266,4 @@ def not_in_q(spark, sf_dir):
 from indicata.plans import catalog_reshape  # noqa: E402,F401
 from indicata.plans import catalog_rules  # noqa: E402,F401
 from indicata.plans import catalog_scores  # noqa: E402,F401
-from indicata.plans import catalog_pipelines  # noqa: E402,F401
+from indicata.plans import catalog_reports  # noqa: E402,F401

@@ -1,8 +1,8 @@
-"""Composite pipeline queries (C3-C6, C11) on the canonical extract derived
+"""Composite report queries (C1, C3-C8, C10, C11, C17) on the canonical extract derived
 from the test tables.
 
-The Spark side runs the library pipelines unchanged
-(:mod:`indicata.plans.pipelines`); the DuckDB oracle re-states the whole
+The Spark side runs the library report functions unchanged
+(:mod:`indicata.plans.reports`); the DuckDB oracle re-states the whole
 chain step by step (map, attribute, reshape, exclude, shift, date, bound,
 cohort, spread, filter, volume, derive, enrich) so every stage is checked.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from indicata.plans import pipelines as P
+from indicata.plans import reports as P
 from indicata.plans import proxy
 from indicata.plans import rules as R
 from indicata.plans.proxy import ORACLE_CTE
@@ -615,7 +615,7 @@ _register("site_fact_union", q_site_fact_union, _c1_sql())
 SCORE_PERIOD = "2000 Q4"
 
 
-def q_site_scores_pipeline(spark, sf_dir):
+def q_site_scores_bundled(spark, sf_dir):
     from indicata.functions.expressions import recode
     r = results_table_proxy(spark, sf_dir).withColumn(
         "mech_name", recode("mech_name", proxy.PROXY_MECH_PARTNER))
@@ -657,4 +657,4 @@ FROM j
 """
 
 
-_register("site_scores_pipeline", q_site_scores_pipeline, _c8_sql())
+_register("site_scores_bundled", q_site_scores_bundled, _c8_sql())

@@ -181,7 +181,7 @@ SELECT tx.site_uid, tx.TX_CURR, sp.partner_pepfar_clinical, sp.partner_nonpepfar
 FROM tx LEFT JOIN sp ON tx.site_uid = sp.site_uid
 """)
 def support_class_q(spark, sf_dir):
-    from indicata.plans import pipelines as P
+    from indicata.plans import reports as P
     f = proxy.fact(spark, sf_dir, periods=[PERIOD]).filter(F.col("indicator") == "TX_CURR")
     tx = group_sum(f, ["site_uid"], ["value"]).withColumnRenamed("value", "TX_CURR")
     sp = _site_partners(spark, sf_dir)

@@ -1,4 +1,4 @@
-"""Composite pipelines over canonical schemas.
+"""Composite report tables over canonical schemas.
 
 Each is a function of DataFrames (plus rule data) returning a DataFrame;
 callers persist with :mod:`indicata.sources.files`.  Column names follow the

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from indicata.plans import pipelines as P
+from indicata.plans import reports as P
 from indicata.plans import rules as R
 from tests import fixtures as X
 
