@@ -78,3 +78,24 @@ def test_export_period_folders(spark, tmp_dir):
     export_period(df, out)
     names = sorted(os.path.basename(p) for p in glob.glob(out + "/period=*"))
     assert names == ["period=2024 Q1", "period=2024 Q2"]
+
+
+def test_read_csv_and_source_tagging(spark, tmp_dir):
+    from indicata.sources.files import read_csv, with_source_file
+    p = os.path.join(tmp_dir, "sites.csv")
+    _write(p, "datim_uid,snu,psnu,sitename\nu1,S,P,n1\nu2,S,P,\n")
+    df = with_source_file(read_csv(spark, p, "datim_uid string, snu string, psnu string, "
+                                               "sitename string"))
+    rows = sorted((r.datim_uid, r.sitename) for r in df.collect())
+    assert rows == [("u1", "n1"), ("u2", None)]
+    assert all(r.source_file.endswith("sites.csv") for r in df.collect())
+
+
+def test_file_headers_one_job(spark, tmp_dir):
+    from indicata.sources.files import file_headers
+    d = os.path.join(tmp_dir, "h")
+    os.makedirs(d)
+    for i in range(5):
+        _write(os.path.join(d, f"f{i}.txt"), f"c{i}\tx\n" + "1\t2\n" * 50)
+    got = {os.path.basename(k): v for k, v in file_headers(spark, d + "/*.txt").items()}
+    assert got == {f"f{i}.txt": f"c{i}\tx" for i in range(5)}
