@@ -658,3 +658,68 @@ FROM j
 
 
 _register("site_scores_bundled", q_site_scores_bundled, _c8_sql())
+
+
+# ---------------------------------------------------------------------------
+# Transfer-in submission history in long form with harmonised labels
+# ---------------------------------------------------------------------------
+
+TRN_AGE = {"AUTOMOBILE": "05-09", "BUILDING": "Unknown", "FURNITURE": "25-29",
+           "HOUSEHOLD": "10-14", "MACHINERY": "65+"}
+TRN_REMOVED = ["7"]
+TRN_KEYS = ["indicator", "funding_agency", "agecoarse", "ageasentered", "sex", "partner_recode"]
+
+
+def q_transfer_in(spark, sf_dir):
+    from indicata.functions.expressions import lookup, recode
+    f = proxy.fact(spark, sf_dir)
+    ind = F.col("indicator")
+    hist = f.groupBy(
+        F.when(F.col("standardizeddisaggregate").isNotNull(), F.col("site_uid").cast("string"))
+         .alias("datim_uid"),
+        F.col("snu1").alias("snu"), "psnu", "sitename", "period",
+        recode("mech_name", proxy.PROXY_MECH_PARTNER).alias("partner"),
+        F.when(F.col("numeratordenom") == "D", F.lit("Unknown")).otherwise(F.lit("Male"))
+         .alias("sex"),
+        lookup("mech_name", TRN_AGE).alias("ageasentered")).agg(
+        F.sum(F.when(ind == "TX_PVLS", F.col("value"))).alias("TX_RTT"),
+        F.sum(F.when(ind == "TX_CURR", F.col("value"))).alias("TX_NEW"))
+    out = P.transfer_in(hist, site_removal=TRN_REMOVED)
+    return out.groupBy(*TRN_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+
+
+def _trn_sql() -> str:
+    mech = ("CASE mech_name " + " ".join(f"WHEN '{k}' THEN '{v}'"
+                                         for k, v in proxy.PROXY_MECH_PARTNER.items())
+            + " ELSE mech_name END")
+    return f"""
+, h AS (
+  SELECT CASE WHEN standardizeddisaggregate IS NOT NULL THEN CAST(site_uid AS VARCHAR) END
+           AS datim_uid,
+         snu1 AS snu, psnu, sitename, period, {mech} AS partner,
+         CASE WHEN numeratordenom = 'D' THEN 'Unknown' ELSE 'Male' END AS sex,
+         {_lookup('mech_name', TRN_AGE)} AS ageasentered,
+         sum(CASE WHEN indicator = 'TX_PVLS' THEN value END) AS TX_RTT,
+         sum(CASE WHEN indicator = 'TX_CURR' THEN value END) AS TX_NEW
+  FROM dated GROUP BY ALL),
+l AS (SELECT *, 'TX_RTT' AS indicator, TX_RTT AS value FROM h
+      UNION ALL SELECT *, 'TX_NEW' AS indicator, TX_NEW AS value FROM h),
+t AS (
+  SELECT CASE WHEN indicator = 'TX_RTT' THEN 'TX_RTT_SUP' ELSE indicator END AS indicator,
+         CASE WHEN partner = 'ECHO' THEN 'USAID' WHEN partner = 'JHPIEGO-DoD' THEN 'DOD'
+              ELSE 'HHS/CDC' END AS funding_agency,
+         CASE WHEN ageasentered IN ({_sql_in(R.AGES_UNDER_15)}) THEN '<15'
+              WHEN ageasentered = 'Unknown' THEN 'Unknown Age' ELSE '15+' END AS agecoarse,
+         CASE WHEN ageasentered = 'Unknown' THEN 'Unknown Age' ELSE ageasentered END
+           AS ageasentered,
+         CASE WHEN sex = 'Unknown' THEN 'Unknown Sex' ELSE sex END AS sex,
+         partner AS partner_recode, value
+  FROM l
+  WHERE value IS NOT NULL AND datim_uid IS NOT NULL
+    AND NOT coalesce(datim_uid IN ({_sql_in(TRN_REMOVED)}), false))
+SELECT {', '.join(TRN_KEYS)}, count(*) AS n, sum(value) AS v FROM t GROUP BY {', '.join(TRN_KEYS)}
+"""
+
+
+QUERIES["transfer_in"] = q_transfer_in
+ORACLE["transfer_in"] = ORACLE_CTE + _trn_sql()
