@@ -723,3 +723,59 @@ SELECT {', '.join(TRN_KEYS)}, count(*) AS n, sum(value) AS v FROM t GROUP BY {',
 
 QUERIES["transfer_in"] = q_transfer_in
 ORACLE["transfer_in"] = ORACLE_CTE + _trn_sql()
+
+
+# ---------------------------------------------------------------------------
+# C14: key-population submissions summed per quarter, attributes refreshed
+# ---------------------------------------------------------------------------
+
+KEYPOP = {"AUTOMOBILE": "MSM", "BUILDING": "FSW", "FURNITURE": "PWID", "HOUSEHOLD": "TG",
+          "MACHINERY": "PRI"}
+
+
+def q_kp_history(spark, sf_dir):
+    from indicata.functions.expressions import lookup
+    f = proxy.fact(spark, sf_dir)
+    ind = F.col("indicator")
+    sub = f.select(
+        F.when(F.col("standardizeddisaggregate").isNotNull(), F.col("site_uid").cast("string"))
+         .alias("datim_uid"),
+        F.col("snu1").alias("snu"), "psnu", "sitename", "period",
+        F.lit("KeyPop").alias("pop_type"), lookup("mech_name", KEYPOP).alias("keypop"),
+        lookup("mech_name", TRN_AGE).alias("age"),
+        F.when(ind == "TX_CURR", F.col("value")).alias("TX_CURR"),
+        F.when(ind == "TX_PVLS", F.col("value")).alias("TX_PVLS"))
+    summed, _uncoded = P.kp_quarter(sub)
+    site_map = proxy.sites(spark, sf_dir).select(
+        F.col("site_uid").cast("string").alias("datim_uid"), F.col("snu1").alias("snu"),
+        "psnu", "sitename")
+    hist = P.refreshed_history(summed, site_map)
+    return hist.groupBy("snu", "period", "keypop").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TX_CURR").alias("TX_CURR"),
+        F.sum("TX_PVLS").alias("TX_PVLS"))
+
+
+def _kp_sql() -> str:
+    return f"""
+, sub AS (
+  SELECT CASE WHEN standardizeddisaggregate IS NOT NULL THEN CAST(site_uid AS VARCHAR) END
+           AS datim_uid,
+         snu1 AS snu, psnu, sitename, period, 'KeyPop' AS pop_type,
+         {_lookup('mech_name', KEYPOP)} AS keypop, {_lookup('mech_name', TRN_AGE)} AS age,
+         CASE WHEN indicator = 'TX_CURR' THEN value END AS TX_CURR,
+         CASE WHEN indicator = 'TX_PVLS' THEN value END AS TX_PVLS
+  FROM dated),
+summed AS (
+  SELECT datim_uid, snu, psnu, sitename, period, pop_type, keypop, age,
+         coalesce(sum(TX_CURR), 0) AS TX_CURR, coalesce(sum(TX_PVLS), 0) AS TX_PVLS
+  FROM sub GROUP BY datim_uid, snu, psnu, sitename, period, pop_type, keypop, age),
+sm AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid, snu1 AS snu, psnu, sitename FROM site_dim),
+hist AS (SELECT s.period, s.keypop, s.TX_CURR, s.TX_PVLS, sm.snu
+         FROM summed s LEFT JOIN sm ON s.datim_uid = sm.datim_uid)
+SELECT snu, period, keypop, count(*) AS n, sum(TX_CURR) AS TX_CURR, sum(TX_PVLS) AS TX_PVLS
+FROM hist GROUP BY snu, period, keypop
+"""
+
+
+QUERIES["kp_history"] = q_kp_history
+ORACLE["kp_history"] = ORACLE_CTE + _kp_sql()
