@@ -779,3 +779,60 @@ FROM hist GROUP BY snu, period, keypop
 
 QUERIES["kp_history"] = q_kp_history
 ORACLE["kp_history"] = ORACLE_CTE + _kp_sql()
+
+
+# ---------------------------------------------------------------------------
+# MI series, long form since a start date, enriched from site and district maps
+# ---------------------------------------------------------------------------
+
+MI_START = "2000-01-01"
+
+
+def q_mi_extract(spark, sf_dir):
+    from indicata.functions.expressions import lookup
+    f = proxy.fact(spark, sf_dir)
+    ind = F.col("indicator")
+    mi = f.groupBy(F.col("site_uid").cast("string").alias("datim_uid"),
+                   F.col("ship_date").cast("string").alias("period"), "psnu",
+                   lookup("mech_name", TRN_AGE).alias("age"),
+                   F.col("numeratordenom").alias("numdenom")).agg(
+        F.sum(F.when(ind == "TX_CURR", F.col("value"))).alias("cv_tx"),
+        F.sum(F.when(ind == "TX_PVLS", F.col("value"))).alias("cv_pvls"))
+    s = proxy.sites(spark, sf_dir)
+    site_map = s.select(F.col("site_uid").cast("string").alias("datim_uid"),
+                        F.concat(F.lit("S"), F.col("site_uid").cast("string")).alias("sisma_uid"))
+    psnu_map = proxy.table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("psnu"), F.col("n_nationkey").cast("string").alias("psnuuid"))
+    out = P.mi_extract(mi, site_map, psnu_map, start=MI_START)
+    return out.groupBy("indicator", "ageasentered", "psnuuid", "source",
+                       F.year("period").cast("int").alias("yr")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"),
+        F.count("sisma_uid").alias("n_sisma"))
+
+
+def _mi_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT datim_uid, CAST(period AS DATE) AS period, psnu, age AS ageasentered, "
+        f"'{c}' AS indicator, {c} AS value FROM mi" for c in ("cv_tx", "cv_pvls"))
+    return f"""
+, mi AS (
+  SELECT CAST(site_uid AS VARCHAR) AS datim_uid, CAST(ship_date AS VARCHAR) AS period, psnu,
+         {_lookup('mech_name', TRN_AGE)} AS age, numeratordenom AS numdenom,
+         sum(CASE WHEN indicator = 'TX_CURR' THEN value END) AS cv_tx,
+         sum(CASE WHEN indicator = 'TX_PVLS' THEN value END) AS cv_pvls
+  FROM dated GROUP BY ALL),
+ml AS ({parts}),
+mf AS (SELECT * FROM ml WHERE value IS NOT NULL AND period >= DATE '{MI_START}'),
+smi AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid,
+               'S' || CAST(site_uid AS VARCHAR) AS sisma_uid FROM site_dim),
+pm AS (SELECT n_name AS psnu, CAST(n_nationkey AS VARCHAR) AS psnuuid FROM nation)
+SELECT mf.indicator, mf.ageasentered, pm.psnuuid, '{R.VL_SOURCE_MI}' AS source,
+       CAST(year(mf.period) AS INTEGER) AS yr, count(*) AS n, sum(mf.value) AS v,
+       count(smi.sisma_uid) AS n_sisma
+FROM mf LEFT JOIN smi ON mf.datim_uid = smi.datim_uid LEFT JOIN pm ON mf.psnu = pm.psnu
+GROUP BY mf.indicator, mf.ageasentered, pm.psnuuid, CAST(year(mf.period) AS INTEGER)
+"""
+
+
+QUERIES["mi_extract"] = q_mi_extract
+ORACLE["mi_extract"] = ORACLE_CTE + _mi_sql()
