@@ -836,3 +836,30 @@ GROUP BY mf.indicator, mf.ageasentered, pm.psnuuid, CAST(year(mf.period) AS INTE
 
 QUERIES["mi_extract"] = q_mi_extract
 ORACLE["mi_extract"] = ORACLE_CTE + _mi_sql()
+
+
+# ---------------------------------------------------------------------------
+# Viral-load submissions of a quarter; QA of sites missing from the site map
+# ---------------------------------------------------------------------------
+
+
+def q_vl_orphans(spark, sf_dir):
+    f = proxy.fact(spark, sf_dir, periods=[SCORE_PERIOD])
+    sub = f.select(F.col("site_uid").cast("string").alias("datim_uid"),
+                   F.col("snu1").alias("snu"), "psnu", "sitename", "indicator", "value")
+    site_map = proxy.sites(spark, sf_dir).filter(F.col("acctbal") >= 0).select(
+        F.col("site_uid").cast("string").alias("datim_uid"))
+    _rows, orphan_sites = P.vl_quarter(sub, site_map)
+    return orphan_sites
+
+
+_VL_ORPHANS_SQL = f"""
+SELECT DISTINCT CAST(site_uid AS VARCHAR) AS datim_uid, snu1 AS snu, psnu, sitename
+FROM dated
+WHERE period = '{SCORE_PERIOD}'
+  AND CAST(site_uid AS VARCHAR) NOT IN (SELECT CAST(site_uid AS VARCHAR) FROM site_dim
+                                        WHERE acctbal >= 0)
+"""
+
+QUERIES["vl_orphans"] = q_vl_orphans
+ORACLE["vl_orphans"] = ORACLE_CTE + _VL_ORPHANS_SQL
