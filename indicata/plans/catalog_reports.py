@@ -863,3 +863,50 @@ WHERE period = '{SCORE_PERIOD}'
 
 QUERIES["vl_orphans"] = q_vl_orphans
 ORACLE["vl_orphans"] = ORACLE_CTE + _VL_ORPHANS_SQL
+
+
+# ---------------------------------------------------------------------------
+# Targets table through the report function (cumulative and targets per row)
+# ---------------------------------------------------------------------------
+
+
+def q_targets_report(spark, sf_dir):
+    from indicata.plans.catalog_reshape import PROXY_LONG_DERIVED
+    dg = proxy.canonical_extract(spark, sf_dir)
+    m = spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
+                                                 "string, indicator_new string")
+    t = P.targets_table(dg, m, long_rules=PROXY_LONG_DERIVED)
+    return t.groupBy("indicator", "fiscal_year").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("cumulative"),
+        F.sum("targets").alias("targets"))
+
+
+_TARGETS_SQL = """
+, tmap AS (SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
+           FROM ext3 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
+            AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
+           WHERE m.indicator_new IS NOT NULL),
+tl AS (SELECT indicator, numeratordenom, standardizeddisaggregate, fiscal_year,
+              'cumulative' AS period_type, cumulative AS value FROM tmap
+       UNION ALL SELECT indicator, numeratordenom, standardizeddisaggregate, fiscal_year,
+              'targets' AS period_type, targets AS value FROM tmap),
+tl2 AS (SELECT *, indicator || CASE WHEN numeratordenom = 'D' THEN '_D' ELSE '' END AS indicator_temp
+        FROM tl WHERE value IS NOT NULL),
+tc AS (
+  SELECT indicator_temp AS ind, fiscal_year, period_type, value FROM tl2
+  UNION ALL SELECT CASE WHEN indicator_temp = 'TX_CURR' THEN 'TX_CURR_URGENT' ELSE indicator_temp END,
+         fiscal_year, period_type, value FROM tl2
+         WHERE indicator = 'TX_CURR' AND standardizeddisaggregate = '1-URGENT'
+  UNION ALL SELECT 'TX_CURR_D_HIGH', fiscal_year, period_type, value FROM tl2
+         WHERE indicator_temp = 'TX_CURR_D' AND standardizeddisaggregate = '2-HIGH'
+  UNION ALL SELECT 'TX_PVLS_NODIS', fiscal_year, period_type, value FROM tl2
+         WHERE indicator_temp = 'TX_PVLS' AND standardizeddisaggregate IS NULL),
+tw AS (SELECT ind AS indicator, fiscal_year,
+              CASE WHEN period_type = 'cumulative' THEN value END AS cumulative,
+              CASE WHEN period_type = 'targets' THEN value END AS targets FROM tc)
+SELECT indicator, fiscal_year, count(*) AS n, sum(cumulative) AS cumulative, sum(targets) AS targets
+FROM tw WHERE indicator IN (SELECT indicator FROM tw WHERE targets IS NOT NULL)
+GROUP BY indicator, fiscal_year
+"""
+
+_register("targets_report", q_targets_report, _TARGETS_SQL)
