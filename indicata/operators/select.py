@@ -44,7 +44,3 @@ def drop_all_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     return df.filter(~F.coalesce(if_all(columns, lambda c: c == 0), F.lit(False)))
 
-
-def keep_nonnull(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``drop_na(cols)``."""
-    return df.dropna(subset=list(columns))

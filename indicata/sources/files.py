@@ -58,12 +58,6 @@ def write_tsv(df: DataFrame, path: str, *, na: str = "NA", sep: str = "\t",
     w.csv(path)
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a glob (file metadata only; contents are not read)."""
-    rows = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    return sorted(r.path for r in rows)
-
-
 def file_headers(spark: SparkSession, pattern: str) -> dict[str, str]:
     """First line of every file matching ``pattern``, in one distributed job.
 
