@@ -13,7 +13,7 @@ from indicata.functions.domain import site_type
 from indicata.functions.expressions import band_score, not_in, ratio, recode
 from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
                                         shift_period)
-from indicata.operators.joins import map_indicator
+from indicata.operators.joins import map_indicator, restrict_to
 from indicata.operators.measures import cumulative_share, group_sum, period_bounds
 from indicata.plans import reports as P
 from indicata.operators.reshape import pivot_sum
@@ -79,7 +79,10 @@ SELECT site_uid, v,
 FROM s
 """)
 def cumulative_share_sites(spark, sf_dir):
-    s = group_sum(proxy.fact(spark, sf_dir), ["site_uid"], ["value"]).withColumnRenamed("value", "v")
+    # sum the lines per site first; the semi-join keeps the fact's inner-join
+    # semantics (only listed sites) on one row per site
+    s = group_sum(proxy.fact(spark, sf_dir, with_sites=False), ["site_uid"], ["value"])
+    s = restrict_to(s, proxy.site_keys(spark, sf_dir), "site_uid").withColumnRenamed("value", "v")
     return cumulative_share(s, "v", ["site_uid"], cum_col="v_cum", share_col="v_cum_per")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from indicata.functions.periods import split_period, suffix_denominator
 from indicata.operators.cohorts import rolling_sum
 from indicata.operators.derive import derive_long
-from indicata.operators.joins import keep_with_any
+from indicata.operators.joins import keep_with_any, restrict_to
 from indicata.operators.measures import (distinct_values, freq, group_sum, group_sum_rest,
                                          period_bounds)
 from indicata.operators.reshape import gather, pivot_sum, reshape_long, spread
@@ -68,8 +68,10 @@ SELECT site_uid, period,
 FROM dated GROUP BY site_uid, period
 """)
 def spread_sum(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir).select("site_uid", "period", "indicator", "value")
-    return group_sum(spread(f, "indicator", "value", IND), ["site_uid", "period"], IND)
+    f = proxy.fact(spark, sf_dir, with_sites=False).select("site_uid", "period", "indicator",
+                                                           "value")
+    return restrict_to(group_sum(spread(f, "indicator", "value", IND), ["site_uid", "period"], IND),
+                       proxy.site_keys(spark, sf_dir), "site_uid")
 
 
 # ---------------------------------------------------------------------------
@@ -262,8 +264,10 @@ FROM g
 WINDOW w AS (PARTITION BY site_uid ORDER BY date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
 """)
 def rolling_sum_q(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir).filter(F.col("indicator") == "TX_CURR")
-    return rolling_sum(f, ["site_uid"], "date", "value", 4)
+    f = proxy.fact(spark, sf_dir, with_sites=False).filter(F.col("indicator") == "TX_CURR")
+    # per-site windows: dropping unlisted sites after the window changes nothing else
+    return restrict_to(rolling_sum(f, ["site_uid"], "date", "value", 4),
+                       proxy.site_keys(spark, sf_dir), "site_uid")
 
 
 # ---------------------------------------------------------------------------

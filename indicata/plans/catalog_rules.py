@@ -253,9 +253,10 @@ SELECT s.orgunituid, s.v, d.sitename, d.psnu, d.snu1
 FROM s LEFT JOIN site_dim d ON s.orgunituid = d.site_uid
 """)
 def enrich_q(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir).filter(F.col("indicator") == "TX_CURR")
-    s = group_sum(f, ["site_uid"], ["value"]).select(
-        F.col("site_uid").alias("orgunituid"), F.col("value").alias("v"))
+    f = proxy.fact(spark, sf_dir, with_sites=False).filter(F.col("indicator") == "TX_CURR")
+    s = restrict_to(group_sum(f, ["site_uid"], ["value"]), proxy.site_keys(spark, sf_dir),
+                    "site_uid").select(F.col("site_uid").alias("orgunituid"),
+                                       F.col("value").alias("v"))
     dim = proxy.sites(spark, sf_dir).select("site_uid", "sitename", "psnu", "snu1")
     return enrich(s, dim, "site_uid", left_on="orgunituid")
 

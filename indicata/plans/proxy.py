@@ -78,6 +78,11 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("s_acctbal").alias("acctbal")))
 
 
+def site_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the site dimension (for semi-joins after aggregating lines)."""
+    return sites(spark, sf_dir).select("site_uid")
+
+
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
          ship_from: str | None = None, order_join: str = "shuffle_hash",
          with_sites: bool = True) -> DataFrame:
