@@ -52,12 +52,15 @@ def derive_indicators(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
     the current layer starts a new one.  Source columns absent from the
     input (an indicator with no rows) are treated as all-null.
     """
-    missing, written = set(), set()
+    missing, written, measures = set(), set(), set()
     for r in rules:
         missing |= {c for c in _rule_expr(r)[1] if c not in df.columns and c not in written}
+        measures |= ({r["src"]} if "src" in r else set()) | {c for c, _ in r.get("coalesce", [])}
         written.add(r["out"])
     if missing:
-        df = df.withColumns({c: F.lit(None).cast("double") for c in sorted(missing)})
+        # an absent indicator is an all-null measure; an absent label is an all-null string
+        df = df.withColumns({c: F.lit(None).cast("double" if c in measures else "string")
+                             for c in sorted(missing)})
     layer: dict[str, Column] = {}
     for r in rules:
         expr, reads = _rule_expr(r)
