@@ -69,3 +69,45 @@ def test_predicate_three_valued(spark):
     assert got == [None, 1, None]             # null label -> null, as case_when
     p2 = predicate([[("o", "==", "EID First Test")], [("o", "is_null")]])
     assert [r.x for r in df.select(F.when(p2, 1).alias("x")).collect()] == [None, None, 1]
+
+
+def test_ratio_and_bands_match_r_semantics_on_random_edges(spark):
+    """Random numerators/denominators concentrated on band edges, scored by
+    every band table, against a direct statement of the R semantics."""
+    import random
+    random.seed(5)
+
+    def r_ratio(n, d):
+        if n is None or d is None:
+            return None
+        if d == 0:
+            return None if n == 0 else (math.inf if n > 0 else -math.inf)
+        return n / d
+
+    def r_band(v, bands):
+        if v is None:
+            return 0
+        for score, op, *args in bands:
+            if (op == ">" and v > args[0]) or (op == "<" and v < args[0]) or \
+               (op == "between" and args[0] <= v <= args[1]):
+                return score
+        return 0
+
+    tables = [R.BANDS_TXCURR, R.BANDS_TXCURR_PED, R.BANDS_VLC, R.BANDS_VLS, R.BANDS_PMTCT_POS,
+              R.BANDS_HEI_POS, R.BANDS_EID_U2M, R.BANDS_TXTB, R.BANDS_TXML, R.BANDS_TPT]
+    edges = sorted({x for t in tables for b in t for x in b[2:]})
+    rows = []
+    for _ in range(400):
+        d = random.choice([None, 0.0, 1.0, 2.0, 20.0, 100.0, 1000.0])
+        e = random.choice(edges)
+        n = random.choice([None, 0.0, e * (d or 1.0), e * (d or 1.0) + 1, 3.0])
+        rows.append((n, d))
+    df = spark.createDataFrame(rows, "n double, d double")
+    cols = [ratio("n", "d").alias("r")] + [band_score(ratio("n", "d"), t).alias(f"b{i}")
+                                            for i, t in enumerate(tables)]
+    for (n, d), out in zip(rows, df.select(*cols).collect()):
+        want = r_ratio(n, d)
+        assert out.r == want or (out.r is not None and want is not None
+                                 and math.isclose(out.r, want))
+        for i, t in enumerate(tables):
+            assert out[f"b{i}"] == r_band(out.r, t), (n, d, i)
