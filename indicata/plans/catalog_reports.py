@@ -15,7 +15,8 @@ from indicata.plans import reports as P
 from indicata.plans import proxy
 from indicata.plans import rules as R
 from indicata.plans.proxy import ORACLE_CTE
-from indicata.plans.registry import (ORACLE, QUERIES, _sql_band, _sql_in, _sql_values)
+from indicata.plans.registry import (ORACLE, QUERIES, _sql_band, _sql_in, _sql_lookup,
+                                     _sql_values)
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -75,10 +76,6 @@ def q_running_share(spark, sf_dir):
 # Oracle: the results-table chain in SQL
 # ---------------------------------------------------------------------------
 
-def _lookup(c, mapping) -> str:
-    return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
-
-
 K = ["orgunituid", "sitename", "snu1", "psnu", "mech_name", "indicator", "numeratordenom",
      "standardizeddisaggregate", "fiscal_year", "otherdisaggregate", "sex", "ageasentered",
      "sitetype", "trendscoarse", "partner_recode"]
@@ -137,9 +134,9 @@ def _results_chain() -> str:
   GROUP BY site_uid, sitename, snu1, psnu, mech_name, indicator, numeratordenom,
            standardizeddisaggregate, fy),
 ext2 AS (
-  SELECT *, {_lookup('standardizeddisaggregate', proxy.PROXY_OTHERDISAGG)} AS otherdisaggregate,
+  SELECT *, {_sql_lookup('standardizeddisaggregate', proxy.PROXY_OTHERDISAGG)} AS otherdisaggregate,
          CASE WHEN numeratordenom = 'D' THEN 'Female' ELSE 'Male' END AS sex,
-         {_lookup('mech_name', proxy.PROXY_AGE)} AS ageasentered,
+         {_sql_lookup('mech_name', proxy.PROXY_AGE)} AS ageasentered,
          CASE WHEN snu1 = 'MIDDLE EAST' THEN 'Community' ELSE 'Facility' END AS sitetype
   FROM ext),
 ext3 AS (
@@ -154,7 +151,7 @@ mapped AS (
   WHERE m.indicator_new IS NOT NULL),
 smap AS (
   SELECT CAST(site_uid AS VARCHAR) AS datim_uid,
-         {_lookup('snu1', proxy.PROXY_SITE_PARTNER)} AS partner_pepfar_clinical,
+         {_sql_lookup('snu1', proxy.PROXY_SITE_PARTNER)} AS partner_pepfar_clinical,
          CASE WHEN acctbal > 5000 THEN CAST(1 AS DOUBLE) END AS his_epts
   FROM site_dim),
 attr AS (
@@ -398,10 +395,10 @@ s0 AS (SELECT site_uid, period, mech_name, numeratordenom, standardizeddisaggreg
 s1 AS (
   SELECT CAST(site_uid AS VARCHAR) AS datim_uid, period,
          CASE WHEN numeratordenom = 'D' THEN 'Unknown' ELSE 'Female' END AS sex,
-         {_lookup('mech_name', SUP_AGE)} AS age,
+         {_sql_lookup('mech_name', SUP_AGE)} AS age,
          CASE WHEN mech_name = 'FURNITURE' THEN 'KeyPop' ELSE 'Age' END AS pop_type0,
-         {_lookup('standardizeddisaggregate', SUP_SUBTYPE)} AS pop_subtype,
-         {_lookup('mech_name', SUP_SOURCE)} AS source0,
+         {_sql_lookup('standardizeddisaggregate', SUP_SUBTYPE)} AS pop_subtype,
+         {_sql_lookup('mech_name', SUP_SOURCE)} AS source0,
          CASE WHEN indicator = 'TX_PVLS' THEN 'TX_PVLS_N' ELSE indicator END AS indicator0, value
   FROM s0),
 sup AS (
@@ -428,8 +425,8 @@ l0 AS (SELECT site_uid, ship_date, mech_name, standardizeddisaggregate,
        FROM dated GROUP BY site_uid, snu1, psnu, sitename, ship_date, mech_name,
                            standardizeddisaggregate),
 l1 AS (SELECT CAST(site_uid AS VARCHAR) AS datim_uid, ship_date AS date,
-              {_lookup('mech_name', proxy.PROXY_AGE)} AS age,
-              coalesce({_lookup('standardizeddisaggregate', LAB_GROUP)}, 'Age') AS grp,
+              {_sql_lookup('mech_name', proxy.PROXY_AGE)} AS age,
+              coalesce({_sql_lookup('standardizeddisaggregate', LAB_GROUP)}, 'Age') AS grp,
               CASE WHEN mech_name = 'BUILDING' THEN 'Female' ELSE 'Male' END AS sex0, VL, VLS
        FROM l0),
 l2 AS (SELECT datim_uid, date, age, grp, sex0, 'TX_PVLS_D' AS indicator, VL AS value FROM l1
@@ -580,7 +577,7 @@ def q_site_fact_union(spark, sf_dir):
 
 
 def _c1_sql() -> str:
-    longm = _lookup("mech_name", LONG_MECH)
+    longm = _sql_lookup("mech_name", LONG_MECH)
     rec = ("CASE mech0 " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN '{v}'"
                                     for k, v in R.MECH_NAME_RECODE.items()) + " ELSE mech0 END")
     return f"""
@@ -698,7 +695,7 @@ def _trn_sql() -> str:
            AS datim_uid,
          snu1 AS snu, psnu, sitename, period, {mech} AS partner,
          CASE WHEN numeratordenom = 'D' THEN 'Unknown' ELSE 'Male' END AS sex,
-         {_lookup('mech_name', TRN_AGE)} AS ageasentered,
+         {_sql_lookup('mech_name', TRN_AGE)} AS ageasentered,
          sum(CASE WHEN indicator = 'TX_PVLS' THEN value END) AS TX_RTT,
          sum(CASE WHEN indicator = 'TX_CURR' THEN value END) AS TX_NEW
   FROM dated GROUP BY ALL),
@@ -761,7 +758,7 @@ def _kp_sql() -> str:
   SELECT CASE WHEN standardizeddisaggregate IS NOT NULL THEN CAST(site_uid AS VARCHAR) END
            AS datim_uid,
          snu1 AS snu, psnu, sitename, period, 'KeyPop' AS pop_type,
-         {_lookup('mech_name', KEYPOP)} AS keypop, {_lookup('mech_name', TRN_AGE)} AS age,
+         {_sql_lookup('mech_name', KEYPOP)} AS keypop, {_sql_lookup('mech_name', TRN_AGE)} AS age,
          CASE WHEN indicator = 'TX_CURR' THEN value END AS TX_CURR,
          CASE WHEN indicator = 'TX_PVLS' THEN value END AS TX_PVLS
   FROM dated),
@@ -817,7 +814,7 @@ def _mi_sql() -> str:
     return f"""
 , mi AS (
   SELECT CAST(site_uid AS VARCHAR) AS datim_uid, CAST(ship_date AS VARCHAR) AS period, psnu,
-         {_lookup('mech_name', TRN_AGE)} AS age, numeratordenom AS numdenom,
+         {_sql_lookup('mech_name', TRN_AGE)} AS age, numeratordenom AS numdenom,
          sum(CASE WHEN indicator = 'TX_CURR' THEN value END) AS cv_tx,
          sum(CASE WHEN indicator = 'TX_PVLS' THEN value END) AS cv_pvls
   FROM dated GROUP BY ALL),

@@ -18,8 +18,8 @@ from indicata.operators.scoring import site_volume
 from indicata.operators.select import apply_exclusions
 from indicata.plans import proxy
 from indicata.plans import rules as R
-from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_recode,
-                                     register)
+from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_lookup,
+                                     _sql_recode, register)
 
 IND = proxy.INDICATORS
 
@@ -162,10 +162,6 @@ def _site_partners(spark, sf_dir):
                     F.when(F.col("acctbal") > 5000, F.lit("GF")).alias("partner_nonpepfar_sustain"))
 
 
-def _sql_lookup(c: str, mapping) -> str:
-    return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
-
-
 @register("support_class", f"""
 , tx AS (SELECT site_uid, sum(value) AS TX_CURR FROM dated
          WHERE period = '{PERIOD}' AND indicator = 'TX_CURR' GROUP BY site_uid),

@@ -15,8 +15,8 @@ from indicata.operators.joins import enrich
 from indicata.operators.scoring import composite, score_sites
 from indicata.plans import proxy
 from indicata.plans import rules as R
-from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_ratio,
-                                     _sql_recode, register)
+from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_lookup,
+                                     _sql_ratio, _sql_recode, register)
 
 # Proxy age split: the two highest priorities stand for the "<15" band.
 PED_PRIORITIES = ["1-URGENT", "2-HIGH"]
@@ -104,8 +104,7 @@ def _site_scores_sql() -> str:
     values = ", ".join(f"s_{n}.value_{n}" for n in names)
     bands = ", ".join(f"{_sql_band(f's_{n}.value_{n}', s['bands'])} AS score_{n}"
                       for n, s in zip(names, PROXY_SCORES))
-    site_partner = ("CASE " + " ".join(f"WHEN snu1 = '{k}' THEN '{v}'"
-                                       for k, v in proxy.PROXY_SITE_PARTNER.items()) + " END")
+    site_partner = _sql_lookup("snu1", proxy.PROXY_SITE_PARTNER)
     return f"""
 , base AS (
   SELECT site_uid, indicator, value, period, date,

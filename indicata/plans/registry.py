@@ -50,6 +50,11 @@ def _sql_ratio(n: str, d: str) -> str:
             f"WHEN {d} = 0 AND {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END")
 
 
+def _sql_lookup(c: str, mapping) -> str:
+    """Dictionary lookup in SQL; unmatched values become NULL (no pass-through)."""
+    return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
+
+
 def _sql_recode(c: str, mapping) -> str:
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
     return f"CASE {c} {whens} ELSE {c} END"
