@@ -168,7 +168,7 @@ def _site_partners(spark, sf_dir):
 sp AS (SELECT site_uid, acctbal, {_sql_lookup('snu1', proxy.PROXY_SITE_PARTNER)} AS partner_pepfar_clinical,
               CASE WHEN acctbal > 5000 THEN 'GF' END AS partner_nonpepfar_sustain FROM site_dim)
 SELECT tx.site_uid, tx.TX_CURR, sp.partner_pepfar_clinical, sp.partner_nonpepfar_sustain,
-       round_even(sp.acctbal / 1000, 0) AS cfp,
+       round_even(sp.acctbal / 1000, 0) + CAST(0 AS DOUBLE) AS cfp,  -- no negative zero
        CASE WHEN partner_pepfar_clinical IS NULL AND partner_nonpepfar_sustain IS NULL THEN 'No Support'
             WHEN partner_pepfar_clinical IS NULL AND partner_nonpepfar_sustain IS NOT NULL
               THEN 'Other Donor Support'
