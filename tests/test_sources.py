@@ -99,3 +99,11 @@ def test_file_headers_one_job(spark, tmp_dir):
         _write(os.path.join(d, f"f{i}.txt"), f"c{i}\tx\n" + "1\t2\n" * 50)
     got = {os.path.basename(k): v for k, v in file_headers(spark, d + "/*.txt").items()}
     assert got == {f"f{i}.txt": f"c{i}\tx" for i in range(5)}
+
+
+def test_export_period_parquet(spark, tmp_dir):
+    df = spark.createDataFrame([("u1", "2024 Q1", 1.0), ("u2", "2024 Q2", 2.0)], SCHEMA)
+    out = os.path.join(tmp_dir, "export_pq")
+    export_period(df, out, fmt="parquet")
+    back = read_stage(spark, out).filter(F.col("period") == "2024 Q2")
+    assert [(r.uid, r.TX_CURR) for r in back.collect()] == [("u2", 2.0)]
