@@ -2,11 +2,14 @@
 orphan detection and attribute refresh.
 
 Broadcast policy: a side is hinted for broadcast only when its size is
-bounded by construction (``bounded=True``: rule tables, anchor lists,
-fixed-size geographies).  Any other dimension is joined plainly and AQE
+bounded by construction (``bounded=True``: anchor lists, fixed-size
+geographies) or checked (:func:`broadcast_if_small` for rule tables).  Any
+other dimension is joined plainly and AQE
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``) turns the join into a
 broadcast at run time only if the measured side is small, keeping a
-sort-merge join otherwise.
+sort-merge join otherwise.  A join of two tables that both grow with the
+data carries an explicit shuffle hint instead (see ``proxy.fact``), so that
+neither side is ever broadcast from the driver.
 """
 
 from __future__ import annotations
