@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import exact_index, poisson_mix, rule_ledger
+from indicata.llm import (byte_cnn, exact_index, pairwise_quality, poisson_mix, rule_ledger,
+                          simhash_bktree, substring_rk)
 from indicata.llm.common import table
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -106,6 +107,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op6_poisson_mix": op6_poisson_mix,
+
+def op2_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups of ``documents``."""
+    found = simhash_bktree.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry quality score of ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    model = pairwise_quality.learn(docs, table(spark, sf_dir, "labels"))
+    return pairwise_quality.rank(docs, model).select(
+        "doc_id", pairwise_quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_substring_rk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 35-word windows of ``documents`` removed."""
+    found = substring_rk.repeated_spans(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed",
+                        F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of ``documents``."""
+    found = byte_cnn.language_id(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {"op2_simhash_bktree": op2_simhash_bktree, "op3_pairwise_quality": op3_pairwise_quality,
+           "op9_substring_rk": op9_substring_rk, "op10_byte_cnn": op10_byte_cnn,
+           "op5_exact_dedup": op5_exact_dedup, "op6_poisson_mix": op6_poisson_mix,
            "op7_rule_ledger": op7_rule_ledger}
 ORACLE = {"op5_exact_dedup": OP5_SQL, "op6_poisson_mix": OP6_SQL, "op7_rule_ledger": OP7_SQL}

@@ -1,0 +1,134 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from indicata.llm import queries as Q
+from indicata.llm import simhash_bktree as S
+from indicata.llm import substring_rk as R
+from indicata.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_fp(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = WORD.findall(low)
+    grams = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else \
+        [" ".join(w)] if w else []
+    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_groups(pairs):
+    """pairs: (id, fp); smallest id reachable over links of 2 bits at most."""
+    fps = sorted({f for _, f in pairs})
+    top = {f: f for f in fps}
+
+    def find(x):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1:]:
+            if (a ^ b).bit_count() <= 2:
+                top[find(a)] = find(b)
+    low = {}
+    for i, f in pairs:
+        if i is not None:
+            low[find(f)] = min(i, low.get(find(f), i))
+    return [(i, f, low.get(find(f))) for i, f in pairs]
+
+
+def brute_substring(rows, n=35):
+    words = [WORD.findall(t or "") for _, t in rows]
+    seen = Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for (i, _), w in zip(rows, words):
+        gone = set()
+        for j in range(len(w) - n + 1):
+            if seen[tuple(w[j:j + n])] > 1:
+                gone.update(range(j, j + n))
+        kept = " ".join(x for j, x in enumerate(w) if j not in gone)
+        out.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def test_simhash_query_equals_brute_force(spark):
+    rows = table(spark, SF, "documents").select("doc_id", "text").collect()
+    want = [(i, f"{f:016x}", c) for i, f, c in brute_groups([(r[0], brute_fp(r[1])) for r in rows])]
+    assert ordered(Q.op2_simhash_bktree(spark, SF).collect()) == ordered(want)
+
+
+def test_simhash_edges(spark, edge_docs, no_docs):
+    rows = edge_docs.select("doc_id", "text").collect()
+    want = brute_groups([(r[0], brute_fp(r[1])) for r in rows])
+    got = S.near_groups(edge_docs).collect()
+    assert ordered((i, f % 2**64, c) for i, f, c in got) == ordered(want)
+    assert S.near_groups(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("tree_size", [2, 4096])
+def test_links_join_what_all_pairs_join(spark, tree_size):
+    rng = random.Random(tree_size)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = {0, 1, 3, 2**64 - 1, *base}
+    for b in base:                              # dense shards, and chains of near prints
+        for _ in range(12):
+            for _ in range(rng.randint(1, 3)):
+                b ^= 1 << rng.randrange(64)
+            fps.add(b)
+    fps |= {f ^ (1 << i) ^ (1 << j) for f in base[:2] for i in range(20) for j in range(i)}
+    rows = [(i, f) for i, f in enumerate(sorted(fps))]
+    signed = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp bigint")
+    top = {a % 2**64: b % 2**64 for a, b in S.stars(S.links(signed, 2, tree_size)).collect()}
+    mine = {}
+    for i, f in rows:
+        mine.setdefault(top.get(f, f), []).append(i)
+    want = {}
+    for i, _, c in brute_groups(rows):
+        want.setdefault(c, []).append(i)
+    assert ordered(mine.values()) == ordered(want.values())
+
+
+def test_tree_edges_are_distances_and_search_is_complete():
+    rng = np.random.default_rng(1)
+    fp = np.unique(rng.integers(0, 2**10, 300).astype(np.uint64))
+    tree = np.sort(rng.integers(0, 3, len(fp)))
+    root, edges, children = S.build_trees(tree, fp)
+    assert (np.bitwise_count(fp[edges // 65] ^ fp[children]) == edges % 65).all()
+    assert len(np.unique(edges)) == len(edges)
+    q, v = S.search_trees(fp, root, edges, children, np.arange(len(fp)), 2)
+    want = {(i, j) for i in range(len(fp)) for j in range(len(fp))
+            if tree[i] == tree[j] and int(fp[i] ^ fp[j]).bit_count() <= 2}
+    assert set(zip(q.tolist(), v.tolist())) == want and len(q) == len(want)
+
+
+def test_substring_query_equals_brute_force(spark):
+    rows = table(spark, SF, "documents").select("doc_id", "text").collect()
+    assert ordered(Q.op9_substring_rk(spark, SF).collect()) == ordered(brute_substring(rows))
+
+
+def test_substring_edges_small_blocks(spark, edge_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(R, "RANGE_BYTES", 2000)
+    rows = edge_docs.select("doc_id", "text").collect()
+    got = R.repeated_spans(edge_docs, window=5).collect()
+    want = brute_substring(rows, 5)
+    assert ordered((r[0], r[1], r[2], hashlib.sha256(r[4].encode()).hexdigest()) for r in got) \
+        == ordered(want)
+    for r in got:
+        assert sum(s.end - s.start for s in r.removed) == r.n_removed
+        assert all(a.end < b.start for a, b in zip(r.removed, r.removed[1:]))
+    assert R.repeated_spans(no_docs).count() == 0
