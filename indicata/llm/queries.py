@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import (byte_cnn, exact_index, pairwise_quality, poisson_mix, rule_ledger,
-                          simhash_bktree, substring_rk)
-from indicata.llm.common import table
+from indicata.llm import (byte_cnn, drr_packing, exact_index, pairwise_quality, pii_bootstrap,
+                          poisson_mix, rule_ledger, simhash_bktree, substring_rk, token_cache)
+from indicata.llm.common import stage_path, table
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -108,6 +109,15 @@ FROM f
 """
 
 
+def op1_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of ``documents``, through a cache that starts empty."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = token_cache.count_tokens(table(spark, sf_dir, "documents"), path,
+                                     stage_path(spark, "token-cache"))
+    return found.select("doc_id", "n_bytes", "n_tokens",
+                        (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op2_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of ``documents``."""
     found = simhash_bktree.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -124,6 +134,24 @@ def op3_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of ``documents``; the counts and the digest are of the base spans."""
+    found = pii_bootstrap.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+              for k in pii_bootstrap.KINDS]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(pii_bootstrap.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii_bootstrap.spans_text(F.col("spans")).alias("spans"))
+
+
+def op8_drr_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 4096 tokens, each source by its share."""
+    return drr_packing.pack(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
+
+
 def op9_substring_rk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 35-word windows of ``documents`` removed."""
     found = substring_rk.repeated_spans(table(spark, sf_dir, "documents"), window=35)
@@ -137,8 +165,7 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op2_simhash_bktree": op2_simhash_bktree, "op3_pairwise_quality": op3_pairwise_quality,
-           "op9_substring_rk": op9_substring_rk, "op10_byte_cnn": op10_byte_cnn,
-           "op5_exact_dedup": op5_exact_dedup, "op6_poisson_mix": op6_poisson_mix,
-           "op7_rule_ledger": op7_rule_ledger}
+QUERIES = {f.__name__: f for f in (
+    op1_token_cache, op2_simhash_bktree, op3_pairwise_quality, op4_pii_bootstrap, op5_exact_dedup,
+    op6_poisson_mix, op7_rule_ledger, op8_drr_packing, op9_substring_rk, op10_byte_cnn)}
 ORACLE = {"op5_exact_dedup": OP5_SQL, "op6_poisson_mix": OP6_SQL, "op7_rule_ledger": OP7_SQL}
