@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from indicata.session import checkpoint_dir
 
+#: Bytes of input in a bucket, the greatest number of buckets.
+BUCKET_BYTES, MAX_BUCKETS = 32 << 20, 50_000
+
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
@@ -42,6 +45,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, col: str, size: int) -> DataFrame:
+    """``df`` written as a table bucketed by ``col``, so that joins on it move only the other side.
+
+    There are as many buckets as shuffle partitions at least (Spark deals a
+    table with fewer anew), and more where ``size`` bytes ask for it.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, max(1, least, -(-size // BUCKET_BYTES)))
+    full = f"indicata_{name}_{uuid.uuid4().hex}"
+    (df.write.bucketBy(buckets, col).option("path", stage_path(spark, name)).saveAsTable(full))
+    return spark.table(full)
+
+
 @atexit.register
 def _remove_stages() -> None:
     for spark, path in _WRITTEN:

@@ -15,7 +15,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import stage_path
+from indicata.llm.common import bucketed
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -33,8 +32,8 @@ BYTE_KEYS = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 BYTE_KEYS[SPACE] = 0
-#: Bytes of text in a block, a range and a bucket of blocks; the greatest number of buckets.
-BLOCK_BYTES, RANGE_BYTES, BUCKET_BYTES, MAX_BUCKETS = 8 << 20, 8 << 20, 32 << 20, 50_000
+#: Bytes of text in a block and in a range.
+BLOCK_BYTES, RANGE_BYTES = 8 << 20, 8 << 20
 PIECE = 1 << 20
 
 
@@ -130,7 +129,7 @@ def _unpack(data: bytes) -> np.ndarray:
         .view(np.uint64).ravel()
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def _blocks(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"block bigint, ids array<{kind}>, texts array<string>"
 
@@ -159,10 +158,7 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFr
             yield block(id_type)
 
     rows = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(gather, schema)
-    name = f"indicata_blocks_{uuid.uuid4().hex}"
-    (rows.write.bucketBy(buckets, "block").option("path", stage_path(docs.sparkSession, "blocks"))
-     .saveAsTable(name))
-    return docs.sparkSession.table(name)
+    return bucketed(rows, "blocks", "block", size)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -178,8 +174,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
-    buckets = min(MAX_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
-    blocks = _blocks(docs, id_col, text_col, buckets)
+    blocks = _blocks(docs, id_col, text_col, size)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
