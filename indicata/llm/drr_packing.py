@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
@@ -30,30 +29,45 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import stage, stage_path, worker_store
+from indicata.llm.common import bucketed, stage, worker_store
 
-#: Tokens of a block, bytes of text for each bucket of blocks, the greatest number of buckets.
-BLOCK_TOKENS, BUCKET_BYTES, MAX_BUCKETS = 1 << 21, 32 << 20, 50_000
+#: Tokens of a block.
+BLOCK_TOKENS = 1 << 21
 #: Partitions in one group of the prefix sums.
 GROUP = 1024
 MEMO_ENTRIES, MEMO_CHARS = 800_000, 64
-WORD = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 #: Fixed value: the pattern by which this kind of tokenizer splits words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The same for printable lower-case ASCII.
-ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PLAIN = re.compile(r"[!-~]+")
+#: Characters with one code point in lower case and no other composed form.
+PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]+")
+
+
+class Words(dict):
+    """Ids of words as bytes; a word that is not there is encoded, and kept while there is room."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.encode(word)
+        if len(self) < MEMO_ENTRIES and len(word) <= MEMO_CHARS:
+            self[word] = ids
+        return ids
 
 
 class Encoder:
     """Token ids of whole texts as bytes of ``dtype``.
 
     Where the tokenizer drops white space and splits words by SPLIT, a text's
-    ids are those of its words, which a bounded memo keeps.
+    ids are those of its words one after another, and a word's ids those that
+    the library's model gives its parts.
     """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
@@ -63,47 +77,37 @@ class Encoder:
             spec = json.load(f)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         norm = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.words = (norm == ["NFC", "Replace", "Lowercase"] and bool(steps)
-                      and steps[0].get("pattern") == {"Regex": SPLIT} and steps[0]["invert"]
-                      and not any(t["lstrip"] or t["rstrip"] or t["single_word"]
-                                  or WORD.fullmatch(t["content"]) is None
-                                  for t in spec.get("added_tokens", [])))
-        self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _word(self, word: str) -> bytes | None:
-        """Of printable ASCII, by the library's model on each part of the word."""
-        if not PLAIN.fullmatch(word) or any(s in word for s in self.special):
-            return None
-        out = []
-        for part in ASCII_SPLIT.findall(word.lower()):
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = np.array([t.id for t in self.tok.model.tokenize(part)], self.dtype).tobytes()
-                if len(self.parts) < MEMO_ENTRIES and len(part) <= MEMO_CHARS:
-                    self.parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        added = spec.get("added_tokens", [])
+        self.special = [t["content"].encode() for t in added]
+        self.by_word = (norm == ["NFC", "Replace", "Lowercase"] and len(steps) == 2
+                        and steps[0].get("pattern") == {"Regex": SPLIT} and steps[0]["invert"]
+                        and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"]
+                        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+                        and not any(len(s.split()) != 1 for s in self.special))
+        self.split = regex.compile(SPLIT).findall
+        self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.words = Words(self._word)
+        self.parts = Words(self._part)
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, self.dtype).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = self.to_bytes(part)[0][0]
+        return np.array([t.id for t in self.tok.model.tokenize(part)], self.dtype).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if not PLAIN.fullmatch(text) or any(s in word for s in self.special):
+            return self._whole(text)
+        return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.words:
-            return self._whole(texts)
-        words = [WORD.findall(t) for t in texts]
-        memo = self.memo
-        found = {w: self._word(w) for own in words for w in own if w not in memo}
-        hard = [w for w, ids in found.items() if ids is None]
-        found.update(zip(hard, self._whole(hard)) if hard else ())
-        if len(memo) + len(found) <= MEMO_ENTRIES and all(len(w) <= MEMO_CHARS for w in found):
-            memo.update(found)
-            found = memo
-        else:
-            found |= {w: memo[w] for own in words for w in own if w in memo}
-        return [b"".join(map(found.__getitem__, own)) for own in words]
+        if not self.by_word:
+            return list(map(self._whole, texts))
+        return [b"".join(map(self.words.__getitem__, t.encode().split())) for t in texts]
 
 
 def _encoder(path: str) -> Encoder:
@@ -117,7 +121,6 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, source_co
             text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = min(MAX_BUCKETS, max(1, -(-size // BUCKET_BYTES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(tokenizer)
@@ -158,10 +161,7 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, source_co
         .repartition(F.xxhash64(id_col, text_col))
     rows = dealt.mapInArrow(run, f"block bigint, ids array<{kind}>, sources array<string>, "
                                  "lengths array<bigint>, tokens binary")
-    name = f"indicata_packing_{uuid.uuid4().hex}"
-    (rows.write.bucketBy(buckets, "block").option("path", stage_path(docs.sparkSession, "tokens"))
-     .saveAsTable(name))
-    return docs.sparkSession.table(name)
+    return bucketed(rows, "tokens", "block", size)
 
 
 def _before(rows: DataFrame, key: list[str], value: str, out: str) -> DataFrame:
