@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F, SparkSession
 from pyspark.sql import types as T
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -57,6 +58,12 @@ def cols(df: DataFrame, *, starts: str | Sequence[str] | None = None,
     return out
 
 
+def with_null_measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add each absent column as a null double, for callers that declare them so."""
+    absent = [c for c in columns if c not in df.columns]
+    return df.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else df
+
+
 def relocate(df: DataFrame, columns: Sequence[str], *, after: str | None = None,
              before: str | None = None) -> DataFrame:
     """Move ``columns`` after/before an anchor column, or to the end."""

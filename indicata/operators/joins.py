@@ -3,8 +3,7 @@ orphan detection and attribute refresh.
 
 Broadcast policy: a side is hinted for broadcast only when its size is
 bounded by construction (``bounded=True``: anchor lists, fixed-size
-geographies) or checked (:func:`broadcast_if_small` for rule tables).  Any
-other dimension is joined plainly and AQE
+geographies).  Any other dimension, rule tables included, is joined plainly and AQE
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``) turns the join into a
 broadcast at run time only if the measured side is small, keeping a
 sort-merge join otherwise.  A join of two tables that both grow with the
@@ -21,24 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Largest rule table broadcast after a size check.
-RULE_TABLE_MAX_ROWS = 100_000
-
-
 def _side(dim: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(dim) if bounded else dim
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = RULE_TABLE_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the table's size.
-
-    For rule tables (indicator maps, dictionaries) whose size is set by the
-    rule set, not by the data.  The count is one small job; above
-    ``max_rows`` the table is joined plainly and AQE picks the strategy.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], *,
            left_on: str | Sequence[str] | None = None, how: str = "left",
            bounded: bool = False) -> DataFrame:
@@ -66,14 +51,13 @@ def map_indicator(df: DataFrame, mapping: DataFrame, *, new: str = "indicator_ne
 
     A null key matches a null key (as in R's joins).  A key may map to several
     new indicators (deliberate fan-out).  Rows without a mapped indicator are
-    dropped, the old ``target`` column is replaced by the new one.  The map
-    is a rule table: it is broadcast after a size check
-    (:func:`broadcast_if_small`).
+    dropped, the old ``target`` column is replaced by the new one.  Spark
+    chooses the join by the measured size of the map.
     """
     shared = [c for c in mapping.columns if c in df.columns and c != new]
     m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in shared], F.col(new))
     cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(m[f"__m_{c}"]) for c in shared])
-    out = df.join(broadcast_if_small(m), cond, "inner").filter(F.col(new).isNotNull())
+    out = df.join(m, cond, "inner").filter(F.col(new).isNotNull())
     out = out.drop(*[f"__m_{c}" for c in shared])
     if target in out.columns:
         out = out.drop(target)

@@ -22,14 +22,13 @@ def group_sum(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> Dat
         F.coalesce(F.sum(c), F.lit(0).cast("double")).alias(c) for c in columns])
 
 
-def group_sum_rest(df: DataFrame, measure_prefix: str) -> DataFrame:
+def group_sum_rest(df: DataFrame, part: str) -> DataFrame:
     """Group by every column that is not a measure, summing the measures.
 
-    Measures are the columns whose name starts with ``measure_prefix``
-    (case-insensitive); all other columns are keys.
+    Measures are the columns whose name contains ``part`` anywhere, case
+    ignored (as ``contains``); all other columns are keys.
     """
-    p = measure_prefix.lower()
-    measures = [c for c in df.columns if c.lower().startswith(p)]
+    measures = [c for c in df.columns if part.lower() in c.lower()]
     keys = [c for c in df.columns if c not in measures]
     return group_sum(df, keys, measures)
 
@@ -89,7 +88,7 @@ def share_of_total(df: DataFrame, measure: str, name: str) -> DataFrame:
 
 def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
                      cum_col: str | None = None, share_col: str | None = None,
-                     method: str = "two_phase", num_partitions: int | None = None,
+                     num_partitions: int | None = None,
                      zero_total_share: float | None = None) -> DataFrame:
     """Running sum of ``measure`` in descending order, and its share of the total.
 
@@ -97,44 +96,34 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     last (a total order
     when the tie keys are unique, which makes the result deterministic).
 
-    ``method="window"`` is the textbook global window; Spark runs it in a
-    single partition, so it is only for inputs known to be small.
-    ``method="two_phase"`` (default) scales: range-partition on the sort
-    keys (balanced even when many rows share a value, because the tie keys
-    split them), pin the partitioning with a reliable checkpoint, sum each
-    partition (one row per partition), turn those sums into offsets on a
-    tiny table, and add each row's in-partition running sum to its
-    partition's offset.
+    It scales: range-partition on the sort keys (balanced even when many rows
+    share a value, because the tie keys split them), pin the partitioning with
+    a reliable checkpoint, sum each partition (one row per partition), turn
+    those sums into offsets on a tiny table, and add each row's in-partition
+    running sum to its partition's offset.
     """
     cum_col = cum_col or f"{measure}_cum"
     share_col = share_col or f"{measure}_cum_per"
     # ties follow the key order with nulls last, as R sorts groups
     order = [F.col(measure).desc()] + [F.col(k).asc_nulls_last() for k in tie_keys]
-    if method == "window":
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        total = F.sum(measure).over(Window.partitionBy())
-        out = df.withColumn(cum_col, F.sum(measure).over(w)).withColumn("_total", total)
-    elif method == "two_phase":
-        spark = df.sparkSession
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranged = materialize(df.repartitionByRange(n, *order)
-                               .withColumn("_pid", F.spark_partition_id()), how="checkpoint")
-        part = ranged.groupBy("_pid").agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
-        # `part` has one row per range partition (bounded by n): the window
-        # over it and the broadcast below are small by construction.
-        before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = part.select(
-            "_pid",
-            F.coalesce(F.sum("_psum").over(before), F.lit(0.0)).alias("_offset"),
-            F.sum("_psum").over(Window.partitionBy()).alias("_total"))
-        local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        out = (ranged.withColumn("_local", F.sum(measure).over(local))
-                     .join(F.broadcast(offsets), "_pid")
-                     .withColumn(cum_col, F.col("_local") + F.col("_offset"))
-                     .drop("_pid", "_local", "_offset"))
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order)
+                           .withColumn("_pid", F.spark_partition_id()), how="checkpoint")
+    part = ranged.groupBy("_pid").agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
+    # `part` has one row per range partition (bounded by n): the window
+    # over it and the broadcast below are small by construction.
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = part.select(
+        "_pid",
+        F.coalesce(F.sum("_psum").over(before), F.lit(0.0)).alias("_offset"),
+        F.sum("_psum").over(Window.partitionBy()).alias("_total"))
+    local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = (ranged.withColumn("_local", F.sum(measure).over(local))
+                 .join(F.broadcast(offsets), "_pid")
+                 .withColumn(cum_col, F.col("_local") + F.col("_offset"))
+                 .drop("_pid", "_local", "_offset"))
     share = ratio(F.col(cum_col), F.col("_total"))
     if zero_total_share is not None:
         share = F.when((F.col("_total") == 0) & (F.col(cum_col) == 0),

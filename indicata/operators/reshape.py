@@ -36,13 +36,20 @@ def reshape_long(df: DataFrame, *, fiscal_year: str = "fiscal_year",
 
 
 def spread(df: DataFrame, key: str, value: str, names: Sequence[str], *,
-           drop: bool = True) -> DataFrame:
+           drop: bool = True, strict: bool = True) -> DataFrame:
     """Long -> one-hot wide, row-preserving (``pivot_wider`` on a row id).
 
     Each row keeps its identity; column ``n`` holds ``value`` where
     ``key == n`` and null elsewhere.  A projection: no row id, no shuffle.
-    ``names`` come from the rule set, never from a scan of the data.
+    ``names`` come from the rule set, never from a scan of the data; a row
+    with a key outside them fails the query, as its value would be lost
+    (``strict=False`` lets such rows pass with nulls).
     """
+    if strict:
+        known = F.col(key).isNull() | F.col(key).isin(list(names))
+        df = df.filter(F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit(f"spread: {key} is not a listed name: "), F.col(key).cast("string")))
+            .cast("boolean")))
     cols = [F.when(F.col(key) == F.lit(n), F.col(value)).alias(n) for n in names]
     base = [c for c in df.columns if not (drop and c in (key, value)) and c not in names]
     return df.select(*base, *cols)
@@ -51,11 +58,14 @@ def spread(df: DataFrame, key: str, value: str, names: Sequence[str], *,
 def gather(df: DataFrame, ids: Sequence[str], columns: Sequence[str], *,
            names_to: str = "indicator", values_to: str = "value",
            drop_null: bool = True) -> DataFrame:
-    """Wide -> long over ``columns`` (``pivot_longer``), nulls dropped by default."""
-    present = [c for c in columns if c in df.columns]
-    if not present:
-        raise ValueError("gather: none of the columns is present")
-    out = df.unpivot(list(ids), present, names_to, values_to)
+    """Wide -> long over ``columns`` (``pivot_longer``), nulls dropped by default.
+
+    An absent column is an error, as it is in ``all_of``.
+    """
+    absent = [c for c in columns if c not in df.columns]
+    if absent or not columns:
+        raise ValueError(f"gather: absent columns: {', '.join(absent) or 'none given'}")
+    out = df.unpivot(list(ids), list(columns), names_to, values_to)
     return out.filter(F.col(values_to).isNotNull()) if drop_null else out
 
 

@@ -35,12 +35,15 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                            for c in present})
 
 
-def drop_all_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows whose given measures are all exactly 0 (``if_all(.. == 0)``).
+def drop_all_zero(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Drop every row of a key that has a row whose measures are all exactly 0.
 
-    Applied to rows that are already at the key grain (one row per site), so
-    removing a site's row is the same as removing the site: no list of keys
-    is collected.
+    A key may have several rows (a corrected name differs by mechanism): one
+    all-zero row removes all of them.  The keys are found by a filter and
+    applied by an anti-join; no list of keys is collected.  A null key is
+    removed by its own all-zero rows only.
     """
-    return df.filter(~F.coalesce(if_all(columns, lambda c: c == 0), F.lit(False)))
+    zero = F.coalesce(if_all(columns, lambda c: c == 0), F.lit(False))
+    gone = df.filter(zero).select(key).distinct()
+    return df.filter(~zero).join(gone, key, "left_anti")
 

@@ -28,7 +28,7 @@ RT_MEASURES = ["TX_CURR", "TX_CURR_D", "TX_ML", "TX_PVLS", "TX_PVLS_D", "PMTCT_A
                "PMTCT_ART_Already", "TX_CIRA", "TX_CURR_Expected", "his_epts"]
 RT_KEYS = ["period_type", "period", "date", "partner_recode", "site_volume"]
 WATERFALL_START = "2000-06-20"
-SHARE_MEASURES_PROXY = ["TX_CURR_FemaleAdult", "TX_ML", "PMTCT_ART_Already"]
+SHARE_MEASURES_PROXY = ["TX_CURR", "TX_ML", "PMTCT_ART_Already"]
 WATERFALL_PLUS = ["2000 Q4", "2001 Q1", "2001 Q2"]
 
 
@@ -66,9 +66,10 @@ def q_waterfall(spark, sf_dir):
 
 def q_running_share(spark, sf_dir):
     r = results_table_proxy(spark, sf_dir)
-    # measures chosen so that some sites sum to zero on all of them
-    g = P.running_share(r, "2000 Q4", measures=SHARE_MEASURES_PROXY,
-                        share_measure=SHARE_MEASURES_PROXY[0])
+    partner = proxy.site_map(spark, sf_dir).select(
+        "datim_uid", F.col("partner_pepfar_clinical").alias("mech_name"))
+    g = P.running_share(r, "2000 Q4", measures=SHARE_MEASURES_PROXY, share_measure="TX_CURR",
+                        site_partner=partner)
     return g.drop("partner_alt")
 
 
@@ -282,31 +283,31 @@ FROM g WHERE value IS NOT NULL GROUP BY period, indicator, ageasentered
 
 _register("waterfall", q_waterfall, _wf_sql())
 
-_register("running_share", q_running_share, """
+_register("running_share", q_running_share, f"""
 , s AS (
-  SELECT datim_uid, snu1, psnu, sitename,
-         coalesce(sum(TX_CURR_FemaleAdult), 0) AS TX_CURR_FemaleAdult,
+  SELECT datim_uid, snu1, psnu, sitename, coalesce(sum(TX_CURR), 0) AS TX_CURR,
          coalesce(sum(TX_ML), 0) AS TX_ML,
          coalesce(sum(PMTCT_ART_Already), 0) AS PMTCT_ART_Already
   FROM rt WHERE period = '2000 Q4' AND period_type = 'results'
     AND sitetype IN ('Facility', 'Military')
   GROUP BY datim_uid, snu1, psnu, sitename),
-k AS (SELECT * FROM s WHERE NOT (TX_CURR_FemaleAdult = 0 AND TX_ML = 0 AND PMTCT_ART_Already = 0)),
+k AS (SELECT * FROM s WHERE datim_uid NOT IN (
+        SELECT datim_uid FROM s WHERE TX_CURR = 0 AND TX_ML = 0 AND PMTCT_ART_Already = 0)),
 c AS (
-  SELECT *, sum(TX_CURR_FemaleAdult) OVER (ORDER BY TX_CURR_FemaleAdult DESC, datim_uid
-                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_FemaleAdult_cum,
-         sum(TX_CURR_FemaleAdult) OVER () AS tot FROM k)
-SELECT datim_uid, snu1, psnu, sitename, TX_CURR_FemaleAdult, TX_ML, PMTCT_ART_Already, TX_CURR_FemaleAdult_cum,
-       CASE WHEN tot = 0 AND TX_CURR_FemaleAdult_cum = 0 THEN 1.0::DOUBLE WHEN tot <> 0 THEN TX_CURR_FemaleAdult_cum / tot
-            WHEN TX_CURR_FemaleAdult_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_FemaleAdult_cum_per,
-       CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per
-FROM c
+  SELECT *, sum(TX_CURR) OVER (ORDER BY TX_CURR DESC, datim_uid
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS TX_CURR_cum,
+         sum(TX_CURR) OVER () AS tot FROM k)
+SELECT c.datim_uid, snu1, psnu, sitename, TX_CURR, TX_ML, PMTCT_ART_Already, TX_CURR_cum,
+       CASE WHEN tot = 0 AND TX_CURR_cum = 0 THEN 1.0::DOUBLE
+            WHEN tot <> 0 THEN TX_CURR_cum / tot
+            WHEN TX_CURR_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_cum_per,
+       CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per, m.partner_pepfar_clinical AS mech_name,
+       CASE WHEN m.partner_pepfar_clinical IN ({_sql_in(R.CLINICAL_PARTNERS_SITE_TYPE)})
+            THEN '99-AJUDA' ELSE '01-Sustainability' END AS site_type
+FROM c LEFT JOIN smap m ON c.datim_uid = m.datim_uid
 """)
 
 
-
-
-
 # ---------------------------------------------------------------------------
 # C17: viral-load crosswalk of three sources (programme, supplemental, lab)
 # ---------------------------------------------------------------------------
@@ -500,7 +501,7 @@ def _v1_sql() -> str:
     keys = "datim_uid, snu1, psnu, sitename, site_type, mech_name, partner_alt"
     return f"""
 , v0 AS (SELECT * REPLACE ({mech} AS mech_name) FROM ext3
-         WHERE indicator IN ({_sql_in(P.V1_INDICATORS)})),
+         WHERE indicator IN ({_sql_in(R.V1_INDICATORS)})),
 vm AS (SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
        FROM v0 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
         AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
@@ -613,11 +614,13 @@ SCORE_PERIOD = "2000 Q4"
 
 
 def q_site_scores_bundled(spark, sf_dir):
+    from indicata.functions.columns import with_null_measures
     from indicata.functions.expressions import recode
     r = results_table_proxy(spark, sf_dir).withColumn(
         "mech_name", recode("mech_name", proxy.PROXY_MECH_PARTNER))
     sites = proxy.site_map(spark, sf_dir).select("datim_uid", "partner_pepfar_clinical")
-    return P.site_scores(r, sites, SCORE_PERIOD)
+    # indicators that the proxy extract does not have are declared as null measures
+    return P.site_scores(with_null_measures(r, R.SCORE_INDICATORS), sites, SCORE_PERIOD)
 
 
 def _c8_sql() -> str:
@@ -873,7 +876,7 @@ def q_targets_report(spark, sf_dir):
     m = spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
                                                  "string, indicator_new string")
     t = P.targets_table(dg, m, long_rules=PROXY_LONG_DERIVED)
-    return t.groupBy("indicator", "fiscal_year").agg(
+    return t.groupBy("indicator", "fiscal_year", "period").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("cumulative"),
         F.sum("targets").alias("targets"))
 
@@ -901,7 +904,8 @@ tc AS (
 tw AS (SELECT ind AS indicator, fiscal_year,
               CASE WHEN period_type = 'cumulative' THEN value END AS cumulative,
               CASE WHEN period_type = 'targets' THEN value END AS targets FROM tc)
-SELECT indicator, fiscal_year, count(*) AS n, sum(cumulative) AS cumulative, sum(targets) AS targets
+SELECT indicator, fiscal_year, 'FY' || lpad(CAST(fiscal_year % 100 AS VARCHAR), 2, '0') AS period,
+       count(*) AS n, sum(cumulative) AS cumulative, sum(targets) AS targets
 FROM tw WHERE indicator IN (SELECT indicator FROM tw WHERE targets IS NOT NULL)
 GROUP BY indicator, fiscal_year
 """

@@ -9,7 +9,7 @@ Join plan (chosen for scale, see README):
   * nation and region have a fixed size (25 / 5 rows): broadcast.
   * orders x customer is joined first (orders is ~1/4 of lineitem), so the
     lineitem side is shuffled once on the order key; that join is a hinted
-    shuffled hash join (never a broadcast: both sides grow with the data).
+    sort-merge join (never a broadcast: both sides grow with the data).
   * supplier and customer grow with the data: no broadcast hint; AQE turns
     the join into a broadcast at run time only when the measured side is
     below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
@@ -84,7 +84,7 @@ def site_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
-         ship_from: str | None = None, order_join: str = "shuffle_hash",
+         ship_from: str | None = None, order_join: str = "merge",
          with_sites: bool = True) -> DataFrame:
     """Long indicator fact with fiscal fields (fy, q, period, date).
 
@@ -95,8 +95,8 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
     grow with the data, so it is a shuffled join on the order key at every
     scale: left to itself, AQE broadcasts whichever side is just under the
     threshold (at small scale the *lineitem* side, built on the driver).
-    ``shuffle_hash`` builds on the orders side (unique key, no skew); use
-    ``merge`` where executor memory per shuffle partition is tight.
+    ``merge`` (the default) spills, so it holds at any size; with
+    ``shuffle_hash`` the table built from orders must fit a task's memory.
 
     ``with_sites=False`` leaves out the site join (``site_uid`` is the
     line's supplier key, site attributes absent): callers that aggregate

@@ -184,9 +184,8 @@ def site_scores(results: DataFrame, sites: DataFrame, period: str, *,
            "date", "sex", "ageasentered", "agecoarse", "standardizeddisaggregate",
            "otherdisaggregate"]
     base = results.filter(F.col("period_type") == "results")
-    present = [c for c in R.SCORE_INDICATORS if c in base.columns]
-    long = gather(base.select(*[c for c in ids if c in base.columns], *present),
-                  [c for c in ids if c in base.columns], present)
+    kept = [c for c in ids if c in base.columns]
+    long = gather(base, kept, R.SCORE_INDICATORS)
     long = long.filter(is_in("mech_name", partners))
     sc = score_sites(long, site="datim_uid", period=period, scores=scores,
                      window_months=R.SCORE_WINDOW_MONTHS)
@@ -213,19 +212,18 @@ def tpt_scores(tpt: DataFrame, *, bands=R.BANDS_TPT) -> DataFrame:
 # Running share of patients and the regional roll-up
 # ---------------------------------------------------------------------------
 
-SHARE_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
-                  "PMTCT_EID_D"]
-
-
-def running_share(results: DataFrame, period: str, *, measures=SHARE_MEASURES,
+def running_share(results: DataFrame, period: str, *, measures=R.SHARE_MEASURES,
                   share_measure: str = "TX_CURR",
                   site_partner: DataFrame | None = None) -> DataFrame:
     """C11: site sums in a period, all-zero sites removed, cumulative share
     of ``share_measure`` (0/0 -> 1), HEI positivity (0/0 -> 0), site type."""
     r = results.filter((F.col("period") == period) & (F.col("period_type") == "results")
                        & F.col("sitetype").isin("Facility", "Military"))
-    present = [m for m in measures if m in r.columns]
-    g = drop_all_zero(group_sum(r, ["datim_uid", "snu1", "psnu", "sitename"], present), present)
+    absent = [m for m in measures if m not in r.columns]
+    if absent:
+        raise ValueError(f"running_share: absent measures: {', '.join(absent)}")
+    g = drop_all_zero(group_sum(r, ["datim_uid", "snu1", "psnu", "sitename"], measures), measures,
+                      "datim_uid")
     g = cumulative_share(g, share_measure, ["datim_uid"], zero_total_share=1.0)
     hei = (ratio("PMTCT_HEI_POS", "PMTCT_EID_D")
            if {"PMTCT_HEI_POS", "PMTCT_EID_D"} <= set(g.columns) else F.lit(None).cast("double"))
@@ -339,7 +337,7 @@ def targets_table(dg_psnu: DataFrame, dedup_map: DataFrame, *, long_rules=R.LONG
     df = df.filter(F.col("period_type").isin("cumulative", "targets")).withColumn(
         "indicator_temp", suffix_denominator("indicator", "numeratordenom"))
     df = derive_long(df, long_rules)
-    wide = spread(df.drop("period"), "period_type", "value", ["cumulative", "targets"])
+    wide = spread(df, "period_type", "value", ["cumulative", "targets"])
     drop = [c for c in ("numeratordenom", "hiv_treatment_status", "indicator") if c in wide.columns]
     wide = (wide.drop(*drop)
                 .withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse",
@@ -383,14 +381,10 @@ def vl_quarter(submissions: DataFrame, site_map: DataFrame) -> tuple[DataFrame,
 # Running share, first version (from the site fact)
 # ---------------------------------------------------------------------------
 
-V1_INDICATORS = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
-                 "PMTCT_EID"]
-
-
 def running_share_v1(dg: DataFrame, dedup_map: DataFrame, partner_alt: DataFrame, *,
                      period: str, remove_sites: Sequence[str] = (),
                      mech_overrides: Mapping[str, str] | None = None,
-                     indicators=V1_INDICATORS) -> DataFrame:
+                     indicators=R.V1_INDICATORS) -> DataFrame:
     """Running share of TX_CURR by site from the site fact, with the
     clinical site type; ``period`` is the extract's label (e.g. "FY22Q4")."""
     df = dg.filter(is_in("indicator", indicators) & not_in("orgunituid", remove_sites))
@@ -408,9 +402,9 @@ def running_share_v1(dg: DataFrame, dedup_map: DataFrame, partner_alt: DataFrame
                        .when(F.col("mech_name") == "MISAU", F.lit("01-Sustainability"))
                        .otherwise(F.lit("non-clinical")))
     df = df.filter(F.col("site_type") != "non-clinical")
-    measures = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
-                "PMTCT_EID_D"]
-    wide = spread(df, "indicator", "value", measures)
+    measures = R.SHARE_MEASURES
+    # other indicators of the extract take no part in the share
+    wide = spread(df, "indicator", "value", measures, strict=False)
     wide = enrich(wide, partner_alt, "datim_uid", left_on="orgunituid")
     keys = ["orgunituid", "snu1", "psnu", "sitename", "site_type", "mech_name", "partner_alt"]
     g = group_sum(fill_zero(wide, measures), keys, measures).withColumnRenamed("orgunituid",

@@ -383,3 +383,13 @@ WATERFALL_LOSSES = [
     ("TX_ML_Interruption_6o", "IIT 6+m ART"),
     ("TX_ML_Interruption_Transfer_Out", "Transferred Out"),
 ]
+
+# ---------------------------------------------------------------------------
+# Measures of the running share, and the indicators its first
+# version reads from the site fact.
+# ---------------------------------------------------------------------------
+
+SHARE_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+                  "PMTCT_EID_D"]
+V1_INDICATORS = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
+                 "PMTCT_EID"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -62,7 +63,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written stage tables."""
     base = checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name + "-" + os.urandom(4).hex()
+    path = base.rstrip("/") + "/" + name + "-" + os.urandom(4).hex()
+    _WRITTEN.append((spark, path))
+    return path
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    """Remove this driver's stage tables when its Python ends."""
+    for spark, path in _WRITTEN:
+        try:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # noqa: BLE001 - the session may have ended before
+            return
 
 
 def materialize(df, *, how: str = "table"):
@@ -82,14 +99,4 @@ def materialize(df, *, how: str = "table"):
         return df.checkpoint(eager=True)
     path = scratch_path(spark, "stage")
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    # A small intermediate may come back as a few files (AQE coalesced the
-    # shuffle before the write); spread it so the branches reading it use
-    # every core.  A large one has at least as many files as cores: no-op.
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        if out.rdd.getNumPartitions() < cores:
-            out = out.repartition(cores)
-    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD view
-        pass
-    return out
+    return spark.read.schema(df.schema).parquet(path)

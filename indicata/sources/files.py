@@ -24,14 +24,15 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
              sep: str = "\t", null_value: str = READ_NULL) -> DataFrame:
     """Header, whitespace-trimmed, typed delimited scan (``read_delim``).
 
-    "NA" and empty fields read as null; quoted fields use ``"`` and a doubled
-    quote is not an escape (``escape_double=FALSE``).  Unparsable values
-    become null (PERMISSIVE) rather than failing the job.
+    "NA" and empty fields read as null; quoted fields use ``"``, a doubled
+    quote stands for one, and a backslash is an ordinary character.
+    Unparsable values become null (PERMISSIVE) rather than failing the job;
+    :func:`bad_rows` lists the lines they came from.
     """
     df = (spark.read.option("header", True).option("sep", sep)
           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
           .option("nullValue", null_value)
-          .option("escape", "\\").option("quote", '"').option("mode", "PERMISSIVE")
+          .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE")
           .schema(schema).csv(path if isinstance(path, str) else list(path)))
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not strings:
@@ -39,6 +40,20 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in strings})
 
 
+def bad_rows(spark: SparkSession, path: str, schema: T.StructType, *,
+             sep: str = "\t", null_value: str = READ_NULL) -> DataFrame:
+    """The lines that do not fit ``schema`` (a value of another type, a wrong number of
+    fields), as a QA table of one column ``line``; header lines are left out."""
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    options = {"sep": sep, "nullValue": null_value, "escape": '"', "quote": '"',
+               "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    parsed = F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                                           for f in marked.fields), options)
+    heads = sorted(set(file_headers(spark, path).values()))
+    lines = spark.read.text(path).filter(~F.col("value").isin(heads))
+    return lines.filter(parsed["_corrupt_record"].isNotNull()).select(F.col("value").alias("line"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Comma-separated variant of :func:`read_tsv`."""
     return read_tsv(spark, path, schema, sep=",")
@@ -109,9 +124,17 @@ def write_stage(df: DataFrame, path: str, *, partition_by: Sequence[str] = ("fy"
        .partitionBy(*partition_by).parquet(path))
 
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stage table; filters on partition columns prune directories."""
-    return spark.read.parquet(path)
+def read_stage(spark: SparkSession, path: str,
+               schema: T.StructType | str | None = None) -> DataFrame:
+    """Read a stage table; filters on partition columns prune directories.
+
+    Partitions written at different times may differ in columns: with a
+    declared ``schema`` absent ones read as null, without one the files'
+    schemas are merged, so no column is lost.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def load_dim(spark: SparkSession, path: str, columns: Sequence[str], *,
@@ -124,14 +147,23 @@ def load_dim(spark: SparkSession, path: str, columns: Sequence[str], *,
     return df.select(*columns)
 
 
-def upsert_period(df: DataFrame, table: str, *, period: str = "period") -> DataFrame:
+def upsert_period(df: DataFrame, table: str, *, period: str = "period",
+                  schema: T.StructType | str | None = None) -> DataFrame:
     """Write this batch's periods into a history table and return the full history.
 
     Only the partitions of the periods present in ``df`` are replaced
-    (dynamic overwrite), so re-running a quarter is idempotent.
+    (dynamic overwrite), so re-running a quarter is idempotent.  With the
+    history's contract as ``schema``, a column that it does not name is an
+    error; without one, a quarter may add columns, which read as null in the
+    quarters before it.
     """
+    if schema is not None:
+        known = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+        extra = [c for c in df.columns if c not in known]
+        if extra:
+            raise ValueError(f"columns outside the history's contract: {', '.join(extra)}")
     write_stage(df, table, partition_by=(period,))
-    return df.sparkSession.read.parquet(table)
+    return read_stage(df.sparkSession, table, schema)
 
 
 def export_period(df: DataFrame, directory: str, *, period: str = "period",

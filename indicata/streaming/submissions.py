@@ -29,7 +29,7 @@ BATCH_COL = "ingest_batch"
 
 def read_history(spark: SparkSession, history: str) -> DataFrame:
     """The full history written by :func:`ingest_submissions`."""
-    return spark.read.parquet(history).drop(BATCH_COL)
+    return spark.read.option("mergeSchema", True).parquet(history).drop(BATCH_COL)
 
 
 def submission_stream(spark: SparkSession, folder: str, file_schema: T.StructType, *,

@@ -45,12 +45,11 @@ def test_exclude_where_with_column(spark):
 
 def test_cumulative_share_all_zero(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 0.0)], "k long, v double")
-    for method in ("window", "two_phase"):
-        plain = {r.k: r.v_cum_per for r in cumulative_share(df, "v", ["k"], method=method).collect()}
-        assert plain == {1: None, 2: None}                     # 0/0 is NA in R
-        filled = {r.k: r.v_cum_per for r in cumulative_share(
-            df, "v", ["k"], method=method, zero_total_share=1.0).collect()}
-        assert filled == {1: 1.0, 2: 1.0}                      # replace_na(., 1)
+    plain = {r.k: r.v_cum_per for r in cumulative_share(df, "v", ["k"]).collect()}
+    assert plain == {1: None, 2: None}                     # 0/0 is NA in R
+    filled = {r.k: r.v_cum_per for r in cumulative_share(
+        df, "v", ["k"], zero_total_share=1.0).collect()}
+    assert filled == {1: 1.0, 2: 1.0}                      # replace_na(., 1)
 
 
 def test_map_indicator_on_single_shared_key(spark):

@@ -3,6 +3,9 @@
 import datetime as dt
 import random
 
+import pytest
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +57,34 @@ def test_group_sum_rest_and_fill_zero(spark):
 def test_drop_all_zero(spark):
     df = spark.createDataFrame([("a", 0.0, 0.0), ("b", 0.0, 1.0), ("c", None, 0.0)],
                                "s string, x double, y double")
-    assert [r.s for r in drop_all_zero(df, ["x", "y"]).orderBy("s").collect()] == ["b", "c"]
+    assert [r.s for r in drop_all_zero(df, ["x", "y"], "s").orderBy("s").collect()] == ["b", "c"]
+
+
+def test_drop_all_zero_removes_every_row_of_the_uid(spark):
+    df = spark.createDataFrame([("u", "A", 0.0), ("u", "B", 5.0), ("w", "C", 1.0)],
+                               "uid string, sitename string, x double")
+    assert rows(drop_all_zero(df, ["x"], "uid"), "uid", "sitename") == [("w", "C")]
+
+
+def test_spread_fails_on_an_unlisted_name(spark):
+    df = spark.createDataFrame([(1, "TX_CURR", 1.0), (2, "TX_OTHER", 9.0), (3, None, 2.0)],
+                               "id int, ind string, v double")
+    with pytest.raises(Exception, match="TX_OTHER"):
+        spread(df, "ind", "v", ["TX_CURR"]).collect()
+    assert spread(df, "ind", "v", ["TX_CURR", "TX_OTHER"]).count() == 3
+    assert spread(df, "ind", "v", ["TX_CURR"], strict=False).count() == 3
+
+
+def test_gather_fails_on_an_absent_column(spark):
+    df = spark.createDataFrame([(1, 2.0)], "id int, A double")
+    with pytest.raises(ValueError, match="B"):
+        gather(df, ["id"], ["A", "B"])
+
+
+def test_group_sum_rest_takes_names_that_contain_the_part(spark):
+    df = spark.createDataFrame([("s", 1.0, 2.0), ("s", 3.0, 4.0)],
+                               "site string, TX_A double, old_tx_b double")
+    assert rows(group_sum_rest(df, "TX_"), "site", "TX_A", "old_tx_b") == [("s", 4.0, 6.0)]
 
 
 def test_pivot_sum_zero_fill_vs_null_side(spark):
@@ -210,8 +240,10 @@ def test_cumulative_share_two_phase_equals_window(spark):
     random.seed(7)
     data = [(i, float(random.choice([0, 1, 5, 5, 5, 9, 20]))) for i in range(3000)]
     df = spark.createDataFrame(data, "k long, v double")
-    a = cumulative_share(df, "v", ["k"], method="window")
-    b = cumulative_share(df, "v", ["k"], method="two_phase", num_partitions=7)
+    w = Window.orderBy(F.col("v").desc(), "k").rowsBetween(Window.unboundedPreceding, 0)
+    a = df.withColumn("v_cum", F.sum("v").over(w)).withColumn(
+        "v_cum_per", F.col("v_cum") / sum(v for _, v in data))
+    b = cumulative_share(df, "v", ["k"], num_partitions=7)
     assert rows(a, "k", "v_cum", "v_cum_per") == rows(b, "k", "v_cum", "v_cum_per")
     assert max(r.v_cum_per for r in b.collect()) == 1.0
 

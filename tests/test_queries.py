@@ -1,7 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest test tables.
 
 The driver runs the same comparison at sf0.01; this keeps it in the suite.
-Queries without an oracle are only executed (rows >= 0, stable schema).
+Queries without an oracle are compared with brute force in their own tests;
+here they are only executed, and must give rows.
 """
 
 import os
@@ -50,7 +51,7 @@ def test_query_matches_oracle(spark, duck, name):
     s_cols, s_rows = _canon(df.columns, [tuple(r) for r in df.collect()])
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(s_rows) >= 0
+        assert s_rows
         return
     cur = duck.execute(sql)
     d_cols, d_rows = _canon([d[0] for d in cur.description], cur.fetchall())
@@ -59,6 +60,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_rows == d_rows
 
 
-def test_every_query_has_an_oracle_or_is_declared():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"site_scores_unused"}, missing
+def test_every_reference_query_has_an_oracle():
+    from indicata.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)

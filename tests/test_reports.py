@@ -3,8 +3,10 @@
 import datetime as dt
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from indicata.functions.columns import with_null_measures
 from indicata.plans import reports as P
 from indicata.plans import rules as R
 from tests import fixtures as X
@@ -116,6 +118,7 @@ def test_targets_table_keeps_indicators_with_targets(spark):
                    ("TB_STAT_POS", None, 8.0), ("TB_STAT_POS_NEW", 5.0, None),
                    ("TB_STAT_POS_NEW", None, 8.0)}
     assert "agecoarse" in out.columns and "fiscal_year" in out.columns
+    assert {r.period for r in out.collect()} == {"FY24"}
 
 
 def test_transfer_in_labels(spark):
@@ -244,6 +247,9 @@ def test_site_scores_with_tpt_and_wo_volume(spark):
     sites = spark.createDataFrame(X.SITE_ROWS, X.SITE_MAP).select("datim_uid",
                                                                  "partner_pepfar_clinical")
     tpt = spark.createDataFrame([("s1", 0.95), ("s2", None)], "orgunituid string, TPT_CUM_PER double")
+    with pytest.raises(ValueError, match="absent"):
+        P.site_scores(r.drop("TX_CURR"), sites, "2024 Q4")
+    r = with_null_measures(r, R.SCORE_INDICATORS)
     out = P.site_scores(r, sites, "2024 Q4", partners=["ECHO", "MISAU"],
                         extra=P.tpt_scores(tpt)).collect()
     # s2 has no clinical partner (null != 'MISAU' is null): dropped like the R filter

@@ -3,6 +3,8 @@
 import glob
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,3 +109,32 @@ def test_export_period_parquet(spark, tmp_dir):
     export_period(df, out, fmt="parquet")
     back = read_stage(spark, out).filter(F.col("period") == "2024 Q2")
     assert [(r.uid, r.TX_CURR) for r in back.collect()] == [("u2", 2.0)]
+
+
+def test_history_keeps_columns_that_a_later_quarter_adds(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "drift")
+    q1 = spark.createDataFrame([("u1", "2024 Q1", 1.0)], "uid string, period string, TX_A double")
+    q2 = spark.createDataFrame([("u2", "2024 Q2", 2.0, 7.0)],
+                               "uid string, period string, TX_A double, TX_B double")
+    upsert_period(q1, table)
+    got = sorted((r.uid, r.TX_A, r.TX_B) for r in upsert_period(q2, table).collect())
+    assert got == [("u1", 1.0, None), ("u2", 2.0, 7.0)]
+    contract = "uid string, TX_A double, TX_B double, period string"
+    assert sorted((r.uid, r.TX_B) for r in upsert_period(q2, table, schema=contract).collect()) \
+        == [("u1", None), ("u2", 7.0)]
+    with pytest.raises(ValueError, match="TX_C"):
+        upsert_period(q2.withColumn("TX_C", F.lit(1.0)), table, schema=contract)
+
+
+def test_read_tsv_quotes_and_backslashes(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "quotes.txt")
+    _write(p, 'uid\tperiod\tTX_CURR\n1\t"C:\\"\t5\n2\t"say ""hi"""\t6\n')
+    got = [(r.uid, r.period, r.TX_CURR) for r in read_tsv(spark, p, SCHEMA).collect()]
+    assert got == [("1", "C:\\", 5.0), ("2", 'say "hi"', 6.0)]
+
+
+def test_bad_rows_lists_lines_that_do_not_fit(spark, tmp_dir):
+    from indicata.sources.files import bad_rows
+    p = os.path.join(tmp_dir, "bad.txt")
+    _write(p, "uid\tperiod\tTX_CURR\nu1\t2024 Q1\t5\nu2\t2024 Q1\tabc\nu3\t2024 Q1\n")
+    assert sorted(r.line.split("\t")[0] for r in bad_rows(spark, p, SCHEMA).collect()) == ["u2", "u3"]
