@@ -19,7 +19,8 @@ from indicata.operators.select import apply_exclusions
 from indicata.plans import proxy
 from indicata.plans import rules as R
 from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_lookup,
-                                     _sql_recode, register)
+                                     _sql_predicate, _sql_recode, _sql_value, label_pool, pick,
+                                     register)
 
 IND = proxy.INDICATORS
 
@@ -32,58 +33,63 @@ def _nv(df, *keys):
 # Exclusion rules (a null condition keeps the row)
 # ---------------------------------------------------------------------------
 
-PROXY_EXCLUSIONS = [
-    [[("mech_name", "==", "BUILDING"), ("fy", "==", 2000),
-      ("standardizeddisaggregate", "==", "1-URGENT")]],
-    [[("mech_name", "==", "HOUSEHOLD"), ("fy", "==", 1999),
-      ("psnu", "not_in", ["NATION_1", "NATION_2"])]],
-    [[("mech_name", "==", "MACHINERY"), ("q", "==", 2), ("indicator", "in", ["TX_CURR", "TX_PVLS"]),
-      ("snu1", "in", ["ASIA", "EUROPE"])]],
-]
-
-
-@register("exclude_where", """
-SELECT mech_name, fy, count(*) AS n, sum(value) AS v FROM dated
-WHERE NOT coalesce(mech_name = 'BUILDING' AND fy = 2000 AND standardizeddisaggregate = '1-URGENT', false)
-  AND NOT coalesce(mech_name = 'HOUSEHOLD' AND fy = 1999
-                   AND NOT coalesce(psnu IN ('NATION_1', 'NATION_2'), false), false)
-  AND NOT coalesce(mech_name = 'MACHINERY' AND q = 2 AND indicator IN ('TX_CURR', 'TX_PVLS')
-                   AND snu1 IN ('ASIA', 'EUROPE'), false)
-GROUP BY mech_name, fy
+def _dealt(columns: dict, *keep: str):
+    """The proxy fact with each column of ``columns`` dealt from its pool: a function of the
+    fact's frame, and the CTE body in SQL."""
+    picked = {c: pick(v, 5 + 2 * i, 3 + 4 * i) for i, (c, v) in enumerate(columns.items())}
+    sql = (f"SELECT {', '.join(keep)}, "
+           + ", ".join(f"{x[1]} AS {c}" for c, x in picked.items()) + " FROM dated")
+    return (lambda f: f.selectExpr(*keep, *[f"{x[0]} AS {c}" for c, x in picked.items()]),
+            sql)
+
+
+_EXCLUDED = [list(rule) for rule in R.EXCLUSIONS]
+_EXCLUDE_COLUMNS = {c: label_pool(_EXCLUDED, c)
+                    for c in ("mech_name", "partner_recode", "indicator", "orgunituid")}
+_EXCLUDE_FRAME, _EXCLUDE_SQL = _dealt(_EXCLUDE_COLUMNS, "fy + 24 AS fy",
+                                      "concat('Q', CAST(q AS STRING)) AS quarter", "value")
+
+
+@register("exclude_where", f"""
+, x AS ({_EXCLUDE_SQL})
+SELECT mech_name, partner_recode, fy, quarter, orgunituid, count(*) AS n, sum(value) AS v FROM x
+WHERE {' AND '.join(f'NOT coalesce({_sql_predicate(r)}, false)' for r in _EXCLUDED)}
+GROUP BY mech_name, partner_recode, fy, quarter, orgunituid
 """)
 def exclude_where_q(spark, sf_dir):
-    return _nv(apply_exclusions(proxy.fact(spark, sf_dir), PROXY_EXCLUSIONS), "mech_name", "fy")
+    x = _EXCLUDE_FRAME(proxy.fact(spark, sf_dir))
+    return _nv(apply_exclusions(x, R.EXCLUSIONS), "mech_name", "partner_recode", "fy", "quarter",
+               "orgunituid")
 
 
 # ---------------------------------------------------------------------------
 # Ordered corrections (a later rule matches values set by an earlier one)
 # ---------------------------------------------------------------------------
 
-PROXY_CORRECTIONS = [
-    ({"site_uid": 3, "mech_name": "BUILDING"}, {"site_uid": 5, "sitename": "Corrected 5"}),
-    ({"site_uid": 5, "mech_name": "MACHINERY"}, {"site_uid": 3, "psnu": "SWAPPED"}),
-    ({"site_uid": 5, "mech_name": "BUILDING"}, {"snu1": "MOVED"}),
-]
-
-
-@register("corrections", """
-, r1 AS (SELECT * REPLACE (
-           CASE WHEN site_uid = 3 AND mech_name = 'BUILDING' THEN 5 ELSE site_uid END AS site_uid,
-           CASE WHEN site_uid = 3 AND mech_name = 'BUILDING' THEN 'Corrected 5' ELSE sitename END
-             AS sitename) FROM dated),
-r2 AS (SELECT * REPLACE (
-           CASE WHEN site_uid = 5 AND mech_name = 'MACHINERY' THEN 3 ELSE site_uid END AS site_uid,
-           CASE WHEN site_uid = 5 AND mech_name = 'MACHINERY' THEN 'SWAPPED' ELSE psnu END AS psnu)
-       FROM r1),
-r3 AS (SELECT * REPLACE (
-           CASE WHEN site_uid = 5 AND mech_name = 'BUILDING' THEN 'MOVED' ELSE snu1 END AS snu1)
-       FROM r2)
-SELECT site_uid, sitename, psnu, snu1, mech_name, count(*) AS n, sum(value) AS v
-FROM r3 GROUP BY site_uid, sitename, psnu, snu1, mech_name
-""")
+_CORRECTED = {c: label_pool([[[(c, "in", [m[c] for m, _ in R.CORRECTIONS if c in m])]]], c)
+              for c in ("orgunituid", "mech_name")}
+_CORRECT_FRAME, _CORRECT_SQL = _dealt(_CORRECTED, "sitename", "snu1", "psnu",
+                                      "'uid' AS psnuuid", "value")
+_CORRECT_KEYS = ["orgunituid", "mech_name", "sitename", "snu1", "psnu", "psnuuid"]
+
+
+def _sql_corrections() -> str:
+    """One step per rule, each over the step before it."""
+    steps = [f"c0 AS ({_CORRECT_SQL})"]
+    for i, (match, sets) in enumerate(R.CORRECTIONS):
+        cond = " AND ".join(f"{c} = {_sql_value(v)}" for c, v in match.items())
+        new = ", ".join(f"CASE WHEN {cond} THEN {_sql_value(v)} ELSE {c} END AS {c}"
+                        for c, v in sets.items())
+        steps.append(f"c{i + 1} AS (SELECT * REPLACE ({new}) FROM c{i})")
+    keys = ", ".join(_CORRECT_KEYS)
+    return (", " + ",\n".join(steps) + f"\nSELECT {keys}, count(*) AS n, sum(value) AS v "
+            f"FROM c{len(R.CORRECTIONS)} GROUP BY {keys}")
+
+
+@register("corrections", _sql_corrections())
 def corrections_q(spark, sf_dir):
-    f = apply_corrections(proxy.fact(spark, sf_dir), PROXY_CORRECTIONS)
-    return _nv(f, "site_uid", "sitename", "psnu", "snu1", "mech_name")
+    return _nv(apply_corrections(_CORRECT_FRAME(proxy.fact(spark, sf_dir)), R.CORRECTIONS),
+               *_CORRECT_KEYS)
 
 
 # ---------------------------------------------------------------------------
@@ -326,53 +332,52 @@ def bround_q(spark, sf_dir):
 # Derived indicator columns with sequential semantics
 # ---------------------------------------------------------------------------
 
-PROXY_DERIVED = [
-    {"out": "standardizeddisaggregate", "col": "standardizeddisaggregate",
-     "recode": {"1-URGENT": "URGENT", "2-HIGH": "HIGH"}},
-    {"out": "TX_CURR_ALL", "src": "TX_CURR", "when": None},
-    {"out": "TX_CURR", "src": "TX_CURR",
-     "when": [[("standardizeddisaggregate", "in", ["URGENT", "HIGH"])]]},
-    {"out": "TX_PVLS_NOTLOW", "src": "TX_PVLS", "when": [[("standardizeddisaggregate", "!=", "5-LOW")]]},
-    {"out": "TX_PVLS_D_MOD", "src": "TX_PVLS_D",
-     "when": [[("standardizeddisaggregate", "==", "HIGH")], [("standardizeddisaggregate", "is_null")]]},
-    {"out": "TX_PVLS_D_MOD_O", "src": "TX_PVLS_D_MOD", "when": [[("numeratordenom", "==", "D")]]},
-    {"out": "TX_MIX", "src": "TX_PVLS",
-     "when": [[("fy", "<", 1998), ("mech_name", "==", "BUILDING")],
-              [("fy", ">", 1997), ("mech_name", "in", ["MACHINERY", "HOUSEHOLD"])]]},
-    {"out": "TX_EXPECTED", "coalesce": [("TX_CURR", 1), ("TX_PVLS_D", -1), ("TX_PVLS", 1)]},
-    {"out": "TX_CIRA", "coalesce": [("TX_PVLS_NOTLOW", 1), ("TX_PVLS_D_MOD", 1)]},
-]
-_DERIVED_OUT = ["TX_CURR_ALL", "TX_CURR", "TX_PVLS_NOTLOW", "TX_PVLS_D_MOD", "TX_PVLS_D_MOD_O",
-                "TX_MIX", "TX_EXPECTED", "TX_CIRA"]
-
-
-@register("derive_indicators", """
-, w AS (
-  SELECT fy, mech_name, numeratordenom,
-         CASE standardizeddisaggregate WHEN '1-URGENT' THEN 'URGENT' WHEN '2-HIGH' THEN 'HIGH'
-              ELSE standardizeddisaggregate END AS sd,
-         CASE WHEN indicator = 'TX_CURR' THEN value END AS TX_CURR0,
-         CASE WHEN indicator = 'TX_PVLS_D' THEN value END AS TX_PVLS_D,
-         CASE WHEN indicator = 'TX_PVLS' THEN value END AS TX_PVLS
-  FROM dated),
-d AS (
-  SELECT *, TX_CURR0 AS TX_CURR_ALL,
-         CASE WHEN sd IN ('URGENT', 'HIGH') THEN TX_CURR0 END AS TX_CURR,
-         CASE WHEN sd <> '5-LOW' THEN TX_PVLS END AS TX_PVLS_NOTLOW,
-         CASE WHEN sd = 'HIGH' OR sd IS NULL THEN TX_PVLS_D END AS TX_PVLS_D_MOD,
-         CASE WHEN (fy < 1998 AND mech_name = 'BUILDING')
-                OR (fy > 1997 AND mech_name IN ('MACHINERY', 'HOUSEHOLD')) THEN TX_PVLS END AS TX_MIX
-  FROM w),
-d2 AS (
-  SELECT *, CASE WHEN numeratordenom = 'D' THEN TX_PVLS_D_MOD END AS TX_PVLS_D_MOD_O,
-         coalesce(TX_CURR, -TX_PVLS_D, TX_PVLS) AS TX_EXPECTED,
-         coalesce(TX_PVLS_NOTLOW, TX_PVLS_D_MOD) AS TX_CIRA
-  FROM d)
-SELECT fy, """ + ", ".join(f"sum({c}) AS {c}" for c in _DERIVED_OUT) + """
-FROM d2 GROUP BY fy
-""")
+def _sources() -> list[str]:
+    """Measures that the derived-indicator rules read and that no earlier rule makes."""
+    made, out = set(), []
+    for r in R.DERIVED_INDICATORS:
+        reads = [r["src"]] if "src" in r else [c for c, _ in r.get("coalesce", [])]
+        out += [c for c in reads if c not in made and c not in out]
+        made.add(r["out"])
+    return out
+
+
+_SOURCES = _sources()
+_WHEN = [r.get("when") for r in R.DERIVED_INDICATORS]
+_DERIVE_COLUMNS = {"indicator": _SOURCES} | {
+    c: label_pool(_WHEN, c) for c in ("sex", "agecoarse", "ageasentered", "modality", "statushiv",
+                                      "statustb")}
+_DERIVE_COLUMNS["otherdisaggregate"] = [*R.OTHERDISAGGREGATE_RECODE,
+                                        *label_pool(_WHEN, "otherdisaggregate")]
+_DERIVE_FRAME, _DERIVE_SQL = _dealt(_DERIVE_COLUMNS, "fy + 24 AS fiscal_year", "value")
+_DERIVED_OUT = list(dict.fromkeys(r["out"] for r in R.DERIVED_INDICATORS if "recode" not in r))
+
+
+def _sql_derived() -> str:
+    """One step per rule, each over the step before it."""
+    wide = ", ".join(f"CASE WHEN indicator = '{c}' THEN value END AS {c}" for c in _SOURCES)
+    steps = [f"x AS ({_DERIVE_SQL})", f"d0 AS (SELECT *, {wide} FROM x)"]
+    known = {*_DERIVE_COLUMNS, *_SOURCES}
+    for i, r in enumerate(R.DERIVED_INDICATORS):
+        if "recode" in r:
+            expr = _sql_recode(r["col"], r["recode"])
+        elif "coalesce" in r:
+            expr = "coalesce(" + ", ".join(f"{'-' if k < 0 else ''}{c}"
+                                           for c, k in r["coalesce"]) + ")"
+        elif r["when"] is None:
+            expr = r["src"]
+        else:
+            expr = f"CASE WHEN {_sql_predicate(r['when'])} THEN {r['src']} END"
+        new = f"* REPLACE ({expr} AS {r['out']})" if r["out"] in known else f"*, {expr} AS {r['out']}"
+        known.add(r["out"])
+        steps.append(f"d{i + 1} AS (SELECT {new} FROM d{i})")
+    sums = ", ".join(f"sum({c}) AS {c}" for c in _DERIVED_OUT)
+    return (", " + ",\n".join(steps) + f"\nSELECT fiscal_year, {sums} "
+            f"FROM d{len(R.DERIVED_INDICATORS)} GROUP BY fiscal_year")
+
+
+@register("derive_indicators", _sql_derived())
 def derive_indicators_q(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir).select("fy", "mech_name", "numeratordenom",
-                                         "standardizeddisaggregate", "indicator", "value")
-    wide = derive_indicators(spread(f, "indicator", "value", IND), PROXY_DERIVED)
-    return wide.groupBy("fy").agg(*[F.sum(c).alias(c) for c in _DERIVED_OUT])
+    wide = spread(_DERIVE_FRAME(proxy.fact(spark, sf_dir)), "indicator", "value", _SOURCES)
+    wide = derive_indicators(wide, R.DERIVED_INDICATORS)
+    return wide.groupBy("fiscal_year").agg(*[F.sum(c).alias(c) for c in _DERIVED_OUT])

@@ -16,32 +16,13 @@ from indicata.operators.scoring import composite, score_sites
 from indicata.plans import proxy
 from indicata.plans import rules as R
 from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_lookup,
-                                     _sql_ratio, _sql_recode, register)
+                                     _sql_ratio, _sql_recode, pick, register)
 
 # Proxy age split: the two highest priorities stand for the "<15" band.
 PED_PRIORITIES = ["1-URGENT", "2-HIGH"]
 
-PROXY_SCORES = [
-    {"name": "txcurr", "kind": "sum", "num": "TX_CURR", "rows": "period", "bands": R.BANDS_TXCURR},
-    {"name": "txcurr_ped", "kind": "sum", "num": "TX_CURR", "rows": "period", "ped": True,
-     "bands": R.BANDS_TXCURR_PED},
-    {"name": "vlc", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
-     "fill0": True, "bands": R.BANDS_VLC},
-    {"name": "vlc_ped", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
-     "ped": True, "fill0": True, "bands": R.BANDS_VLC},
-    {"name": "vls", "kind": "ratio", "num": "TX_PVLS", "den": "TX_PVLS_D", "rows": "period",
-     "fill0": True, "bands": R.BANDS_VLS},
-    {"name": "pmtct_pos", "kind": "sum", "num": "TX_PVLS", "rows": "window",
-     "bands": R.BANDS_PMTCT_POS},
-    {"name": "hei_pos", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_PVLS", "rows": "window",
-     "fill0": False, "num_fill0": True, "ped": True, "bands": R.BANDS_HEI_POS},
-    {"name": "eid_u2m", "kind": "ratio", "num": "TX_PVLS", "den": "TX_CURR", "rows": "window",
-     "fill0": False, "ped": True, "bands": R.BANDS_EID_U2M},
-    {"name": "txtb", "kind": "ratio", "num": "TX_PVLS", "den": "TX_CURR", "rows": "txtb",
-     "fill0": True, "bands": R.BANDS_TXTB},
-    {"name": "txml", "kind": "ratio", "num": "TX_PVLS_D", "den": "TX_CURR", "rows": "period",
-     "fill0": True, "bands": R.BANDS_TXML},
-]
+# Every indicator that the scores read, dealt to the lines of the proxy fact.
+_INDICATOR, _INDICATOR_SQL = pick(R.SCORE_INDICATORS, 5, 3)
 
 
 def score_base(spark, sf_dir):
@@ -49,7 +30,7 @@ def score_base(spark, sf_dir):
     f = proxy.fact(spark, sf_dir)
     partner = recode("mech_name", PROXY_PARTNER)
     return (f.filter(is_in(partner, R.SCORE_PARTNERS) & F.col("value").isNotNull())
-             .select("site_uid", "indicator", "value", "period", "date",
+             .select("site_uid", F.expr(_INDICATOR).alias("indicator"), "value", "period", "date",
                      F.when(is_in("standardizeddisaggregate", PED_PRIORITIES), F.lit("<15"))
                       .otherwise(F.lit("15+")).alias("agecoarse")))
 
@@ -64,7 +45,7 @@ def scored_sites(spark, sf_dir):
 @register("site_scores", None)
 def site_scores(spark, sf_dir):
     base = score_base(spark, sf_dir)
-    scores = score_sites(base, site="site_uid", period=PERIOD, scores=PROXY_SCORES,
+    scores = score_sites(base, site="site_uid", period=PERIOD, scores=R.SITE_SCORES,
                          window_months=R.SCORE_WINDOW_MONTHS)
     out = enrich(scored_sites(spark, sf_dir), scores, "site_uid")
     out = composite(out, subset_patterns=R.SCORE_WO_VOLUME_PATTERNS)
@@ -96,18 +77,18 @@ def _sql_score_cte(s) -> str:
 
 
 def _site_scores_sql() -> str:
-    names = [s["name"] for s in PROXY_SCORES]
+    names = [s["name"] for s in R.SITE_SCORES]
     sub = [f"score_{n}" for n in names
            if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
-    ctes = ",\n".join(_sql_score_cte(s) for s in PROXY_SCORES)
+    ctes = ",\n".join(_sql_score_cte(s) for s in R.SITE_SCORES)
     joins = "\n".join(f"LEFT JOIN s_{n} ON st.site_uid = s_{n}.site_uid" for n in names)
     values = ", ".join(f"s_{n}.value_{n}" for n in names)
     bands = ", ".join(f"{_sql_band(f's_{n}.value_{n}', s['bands'])} AS score_{n}"
-                      for n, s in zip(names, PROXY_SCORES))
+                      for n, s in zip(names, R.SITE_SCORES))
     site_partner = _sql_lookup("snu1", proxy.PROXY_SITE_PARTNER)
     return f"""
 , base AS (
-  SELECT site_uid, indicator, value, period, date,
+  SELECT site_uid, {_INDICATOR_SQL} AS indicator, value, period, date,
          CASE WHEN standardizeddisaggregate IN ({_sql_in(PED_PRIORITIES)}) THEN '<15' ELSE '15+' END
            AS agecoarse
   FROM dated

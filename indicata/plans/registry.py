@@ -50,6 +50,44 @@ def _sql_ratio(n: str, d: str) -> str:
             f"WHEN {d} = 0 AND {n} < 0 THEN CAST('-Infinity' AS DOUBLE) END")
 
 
+def _sql_value(x) -> str:
+    return "NULL" if x is None else _sql_lit(x)
+
+
+def _sql_predicate(spec) -> str:
+    """A predicate rule (alternatives of terms) in SQL."""
+    def term(c, op, arg=None):
+        if op in ("==", "!=", "<", ">"):
+            return f"{c} {dict(zip(('==', '!='), ('=', '<>'))).get(op, op)} {_sql_lit(arg)}"
+        if op == "in":
+            return f"{c} IN ({_sql_in(arg)})"
+        if op == "not_in":
+            return f"NOT coalesce({c} IN ({_sql_in(arg)}), false)"
+        if op == "is_null":
+            return f"{c} IS NULL"
+        raise ValueError(op)
+    return " OR ".join("(" + " AND ".join(term(*t) for t in alt) + ")" for alt in spec)
+
+
+def label_pool(specs, column) -> list:
+    """Every value that the rules compare ``column`` with, one other value, and null."""
+    found = []
+    for spec in specs:
+        for alt in spec or ():
+            for c, op, *arg in alt:
+                if c == column and arg:
+                    found += arg[0] if isinstance(arg[0], (list, tuple)) else [arg[0]]
+    return [*dict.fromkeys(found), "another", None]
+
+
+def pick(values, a: int, b: int) -> tuple[str, str]:
+    """A value per line of the proxy fact, dealt by its order and part keys: an expression for
+    Spark, and one for the oracle."""
+    at = f"CAST((order_key * {a} + part_key * {b}) % {len(values)} AS INT) + 1"
+    items = ", ".join(map(_sql_value, values))
+    return f"element_at(array({items}), {at})", f"([{items}])[{at}]"
+
+
 def _sql_lookup(c: str, mapping) -> str:
     """Dictionary lookup in SQL; unmatched values become NULL (no pass-through)."""
     return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
