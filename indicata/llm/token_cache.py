@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import new_columns, worker_store
+from indicata.llm.common import new_columns, stage, worker_store
 
-SCHEMA = "version string, digest string, n_tokens bigint"
+SCHEMA = "version string, digest binary, n_tokens bigint"
 COLUMNS = ["n_bytes", "n_tokens"]
 #: Entries of a worker's memo of pieces; characters of a piece that is kept there.
-MEMO_ENTRIES, MEMO_CHARS = 800_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 500_000, 64
 #: A piece is white space and what follows it; see ``cuts_at_space``.
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -44,10 +44,14 @@ def cuts_at_space(spec: dict) -> bool:
                         for t in spec.get("added_tokens", [])))
 
 
-class Counter:
-    """Counts of tokens by the library of the file's kind, without added special tokens."""
+class Counter(dict):
+    """Counts of tokens by the library of the file's kind, without added special tokens.
+
+    As a dict it is a bounded memo of pieces, which encodes a piece that it lacks.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         self.pieces = False
         if path.endswith(".model"):
             import sentencepiece
@@ -64,27 +68,19 @@ class Counter:
             len(e) for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as f:
             self.pieces = cuts_at_space(json.load(f))
-        self.memo: dict[str, int] = {}
+
+    def __missing__(self, piece: str) -> int:
+        n = self.encode([piece])[0]
+        if len(self) < MEMO_ENTRIES and len(piece) <= MEMO_CHARS:
+            self[piece] = n
+        return n
 
     def count(self, texts: list[str]) -> list[int]:
         if not self.pieces:
             return self.encode(texts)
-        memo, out = self.memo, [0] * len(texts)
-        whole = [i for i, t in enumerate(texts) if not t.isascii() and OTHER_SPACE.search(t)]
-        for i, n in zip(whole, self.encode([texts[i] for i in whole]) if whole else []):
-            out[i] = n
-        rest = sorted(set(range(len(texts))).difference(whole))
-        pieces = [PIECE.findall(texts[i]) for i in rest]
-        new = list({p for own in pieces for p in own if p not in memo})
-        found = dict(zip(new, self.encode(new))) if new else {}
-        if len(memo) + len(found) <= MEMO_ENTRIES and all(len(p) <= MEMO_CHARS for p in new):
-            memo.update(found)
-            found = memo
-        else:
-            found |= {p: memo[p] for own in pieces for p in own if p in memo}
-        for i, own in zip(rest, pieces):
-            out[i] = sum(map(found.__getitem__, own))
-        return out
+        return [sum(map(self.__getitem__, PIECE.findall(t)))
+                if t.isascii() or not OTHER_SPACE.search(t) else self.encode([t])[0]
+                for t in texts]
 
 
 def tokenizer_version(path: str) -> str:
@@ -124,12 +120,13 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
                      pa.array(counter.count(part.column(1).to_pylist()), pa.int64())],
                     ["version", "digest", "n_tokens"])
 
-    distinct = docs.select(F.sha2(text, 256).alias("__digest"), text.alias("__text")) \
+    distinct = docs.select(F.unhex(F.sha2(text, 256)).alias("__digest"), text.alias("__text")) \
         .dropDuplicates(["__digest"])
     misses = distinct.join(stored(), "__digest", "left_anti").select("__digest", "__text")
     misses.mapInArrow(encode, SCHEMA).write.mode("append").parquet(cache)
     rows = docs.select(*new_columns(docs, [c for c in COLUMNS if c not in (id_col, text_col)]),
-                       F.sha2(text, 256).alias("__digest"),
+                       F.unhex(F.sha2(text, 256)).alias("__digest"),
                        F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.join(stored(), "__digest").withColumn("n_tokens", F.col("__n")) \
+    counts = stage(stored(), "counts")  # a table, so that Spark can split a hot digest's rows
+    return rows.join(counts, "__digest").withColumn("n_tokens", F.col("__n")) \
         .drop("__digest", "__n")
