@@ -42,12 +42,11 @@ def rates(docs: DataFrame, source_col: str = "source", text_col: str = "text",
         mass = (mass.join(given, mass["source"].eqNullSafe(given["source"]), "left")
                 .select(mass["source"], "mass",
                         F.coalesce("weight", F.lit(0.0)).alias("weight")))
-    total = mass.agg(F.sum("mass").alias("all_mass"), F.sum("weight").alias("all_weight"))
-    rate = (F.lit(float(scale)) * F.col("all_mass") * F.col("weight")
-            / F.col("all_weight") / F.col("mass"))
-    out = mass.crossJoin(F.broadcast(total)).select(  # total: one row
-        "source", "mass", "weight",
-        F.when(F.col("all_weight") > 0, rate).otherwise(0.0).alias("rate"))
+    mass = stage(mass, "mass")
+    all_mass, all_weight = mass.agg(F.sum("mass"), F.sum("weight")).first()  # one row
+    rate = (F.lit(float(scale)) * F.lit(all_mass) * F.col("weight") / F.lit(all_weight)
+            / F.col("mass")) if all_weight else F.lit(0.0)
+    out = mass.withColumn("rate", rate.cast("double"))
     top = F.ceil(F.col("rate") + 10 * F.sqrt("rate") + 30).cast("int")
     step = F.struct(F.lit(0.0).alias("logp"), F.array().cast("array<double>").alias("cdf"))
     grown = F.aggregate(
