@@ -35,7 +35,8 @@ from indicata.llm.common import bucketed, stage, worker_store
 BLOCK_TOKENS = 1 << 21
 #: Partitions in one group of the prefix sums.
 GROUP = 1024
-MEMO_ENTRIES, MEMO_CHARS = 800_000, 64
+#: Entries of a worker's memos of words and of their parts; bytes or characters of a kept one.
+MEMO_ENTRIES, MEMO_CHARS = 250_000, 64
 #: Fixed value: the pattern by which this kind of tokenizer splits words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters with one code point in lower case and no other composed form.
