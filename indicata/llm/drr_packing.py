@@ -36,7 +36,7 @@ BLOCK_TOKENS = 1 << 21
 #: Partitions in one group of the prefix sums.
 GROUP = 1024
 #: Entries of a worker's memos of words and of their parts; bytes or characters of a kept one.
-MEMO_ENTRIES, MEMO_CHARS = 250_000, 64
+MEMO_ENTRIES, PART_ENTRIES, MEMO_CHARS = 450_000, 250_000, 64
 #: Fixed value: the pattern by which this kind of tokenizer splits words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters with one code point in lower case and no other composed form.
@@ -46,13 +46,14 @@ PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]+")
 class Words(dict):
     """Ids of words as bytes; a word that is not there is encoded, and kept while there is room."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, entries: int):
         super().__init__()
         self.encode = encode
+        self.entries = entries
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.encode(word)
-        if len(self) < MEMO_ENTRIES and len(word) <= MEMO_CHARS:
+        if len(self) < self.entries and len(word) <= MEMO_CHARS:
             self[word] = ids
         return ids
 
@@ -87,8 +88,8 @@ class Encoder:
                         and not any(len(s.split()) != 1 for s in self.special))
         self.split = regex.compile(SPLIT).findall
         self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self.words = Words(self._word)
-        self.parts = Words(self._part)
+        self.words = Words(self._word, MEMO_ENTRIES)
+        self.parts = Words(self._part, PART_ENTRIES)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
