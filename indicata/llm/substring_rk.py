@@ -33,7 +33,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 BYTE_KEYS[SPACE] = 0
 #: Bytes of text in a block and in a range.
-BLOCK_BYTES, RANGE_BYTES = 8 << 20, 8 << 20
+BLOCK_BYTES, RANGE_BYTES = 4 << 20, 8 << 20
 PIECE = 1 << 20
 
 
