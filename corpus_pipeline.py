@@ -32,10 +32,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of near copies."""
+    """Keep the document with the least id of each group of near copies.
+
+    Rows with a null id stay where a group has no other id.
+    """
     groups = simhash_bktree.near_groups(docs, shingle=3, radius=2)
-    first = groups.select(F.col("component").alias("doc_id")).distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    first = groups.select(F.col("component").alias("first_id")).distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
