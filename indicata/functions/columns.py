@@ -58,6 +58,20 @@ def cols(df: DataFrame, *, starts: str | Sequence[str] | None = None,
     return out
 
 
+def ordered(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
+    """The columns that ``patterns`` name, in their order.
+
+    A star at one end of a pattern stands for any rest of a name; a plain name
+    that ``df`` does not have is an error.
+    """
+    out: list[str] = []
+    for p in patterns:
+        found = (cols(df, ends=p[1:]) if p.startswith("*")
+                 else cols(df, starts=p[:-1]) if p.endswith("*") else [p])
+        out += [c for c in found if c not in out]
+    return df.select(*out)
+
+
 def with_null_measures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add each absent column as a null double, for callers that declare them so."""
     absent = [c for c in columns if c not in df.columns]

@@ -262,11 +262,12 @@ _WF_COLS = (["TX_NEW", "TX_RTT", "TX_ML", "TX_NET_NEW"]
             + [name for name, _ in R.WATERFALL_LOSSES])
 
 
-def _wf_sql() -> str:
+def _wf_ctes() -> str:
     losses = ", ".join(f"CASE WHEN otherdisaggregate = '{lab}' THEN TX_ML END AS {name}"
                        for name, lab in R.WATERFALL_LOSSES)
-    parts = " UNION ALL ".join(f"SELECT period, ageasentered, '{c}' AS indicator, {c} AS value FROM w"
-                               for c in _WF_COLS if c != "TX_ML")
+    parts = " UNION ALL ".join(
+        f"SELECT datim_uid, period, ageasentered, '{c}' AS indicator, {c} AS value FROM w"
+        for c in _WF_COLS if c != "TX_ML")
     return f"""
 , w0 AS (
   SELECT * REPLACE (CASE WHEN period IN ({_sql_in(WATERFALL_PLUS)})
@@ -276,12 +277,16 @@ def _wf_sql() -> str:
     AND NOT coalesce(ageasentered IN ({_sql_in(R.WATERFALL_EXCLUDED_AGES)}), false)),
 w AS (SELECT *, {losses} FROM w0),
 g AS ({parts})
+"""
+
+
+_WF_SQL = _wf_ctes() + """
 SELECT period, indicator, ageasentered, count(*) AS n, sum(value) AS v
 FROM g WHERE value IS NOT NULL GROUP BY period, indicator, ageasentered
 """
 
 
-_register("waterfall", q_waterfall, _wf_sql())
+_register("waterfall", q_waterfall, _WF_SQL)
 
 _register("running_share", q_running_share, f"""
 , s AS (
@@ -619,8 +624,13 @@ def q_site_scores_bundled(spark, sf_dir):
     r = results_table_proxy(spark, sf_dir).withColumn(
         "mech_name", recode("mech_name", proxy.PROXY_MECH_PARTNER))
     sites = proxy.site_map(spark, sf_dir).select("datim_uid", "partner_pepfar_clinical")
+    # the TPT completion rate per site is a series of its own; some sites have none
+    tpt = proxy.site_map(spark, sf_dir).select(
+        F.col("datim_uid").alias("orgunituid"),
+        F.when(F.col("latitude") >= 0, F.col("latitude") / 10000).alias("TPT_CUM_PER"))
     # indicators that the proxy extract does not have are declared as null measures
-    return P.site_scores(with_null_measures(r, R.SCORE_INDICATORS), sites, SCORE_PERIOD)
+    return P.site_scores(with_null_measures(r, R.SCORE_INDICATORS), sites, SCORE_PERIOD,
+                         extra=P.tpt_scores(tpt))
 
 
 def _c8_sql() -> str:
@@ -633,7 +643,7 @@ def _c8_sql() -> str:
         f"SELECT datim_uid, period, date, agecoarse, {mech} AS mech, '{c}' AS indicator, "
         f"{c} AS value FROM rt WHERE period_type = 'results'" for c in present)
     names = [s["name"] for s in R.SITE_SCORES]
-    sub = [f"score_{n}" for n in names if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
+    sub = [f"score_{n}" for n in [*names, "tpt"] if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
     ctes = ",\n".join(_sql_score_cte(s) for s in R.SITE_SCORES)
     joins = "\n".join(f"LEFT JOIN s_{n} ON st.site_uid = s_{n}.site_uid" for n in names)
     values = ", ".join(f"s_{n}.value_{n}" for n in names)
@@ -648,9 +658,14 @@ mx AS (SELECT max(date) AS d FROM base WHERE period = '{SCORE_PERIOD}'),
 wmx AS (SELECT max(date) AS d FROM base),
 {ctes},
 st AS (SELECT datim_uid AS site_uid FROM smap WHERE partner_pepfar_clinical <> 'MISAU'),
-j AS (SELECT st.site_uid AS datim_uid, {values}, {bands} FROM st
-{joins})
-SELECT *, {' + '.join(f'score_{n}' for n in names)} AS score_clin,
+tp AS (SELECT CAST(site_uid AS VARCHAR) AS site_uid, acctbal / 10000 AS value_tpt
+       FROM site_dim WHERE acctbal >= 0),
+j AS (SELECT st.site_uid AS datim_uid, {values}, {bands}, tp.value_tpt,
+             {_sql_band('tp.value_tpt', R.BANDS_TPT)} AS score_tpt
+      FROM st
+{joins}
+LEFT JOIN tp ON st.site_uid = tp.site_uid)
+SELECT *, {' + '.join(f'score_{n}' for n in [*names, 'tpt'])} AS score_clin,
        {' + '.join(sub) if sub else '0'} AS score_clin_wo_volume,
        '{SCORE_PERIOD}' AS period
 FROM j
@@ -670,11 +685,11 @@ TRN_REMOVED = ["7"]
 TRN_KEYS = ["indicator", "funding_agency", "agecoarse", "ageasentered", "sex", "partner_recode"]
 
 
-def q_transfer_in(spark, sf_dir):
+def _trn_history(spark, sf_dir):
     from indicata.functions.expressions import lookup, recode
     f = proxy.fact(spark, sf_dir)
     ind = F.col("indicator")
-    hist = f.groupBy(
+    return f.groupBy(
         F.when(F.col("standardizeddisaggregate").isNotNull(), F.col("site_uid").cast("string"))
          .alias("datim_uid"),
         F.col("snu1").alias("snu"), "psnu", "sitename", "period",
@@ -684,11 +699,14 @@ def q_transfer_in(spark, sf_dir):
         lookup("mech_name", TRN_AGE).alias("ageasentered")).agg(
         F.sum(F.when(ind == "TX_PVLS", F.col("value"))).alias("TX_RTT"),
         F.sum(F.when(ind == "TX_CURR", F.col("value"))).alias("TX_NEW"))
-    out = P.transfer_in(hist, site_removal=TRN_REMOVED)
+
+
+def q_transfer_in(spark, sf_dir):
+    out = P.transfer_in(_trn_history(spark, sf_dir), site_removal=TRN_REMOVED)
     return out.groupBy(*TRN_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
 
 
-def _trn_sql() -> str:
+def _trn_ctes() -> str:
     mech = ("CASE mech_name " + " ".join(f"WHEN '{k}' THEN '{v}'"
                                          for k, v in proxy.PROXY_MECH_PARTNER.items())
             + " ELSE mech_name END")
@@ -705,7 +723,7 @@ def _trn_sql() -> str:
 l AS (SELECT *, 'TX_RTT' AS indicator, TX_RTT AS value FROM h
       UNION ALL SELECT *, 'TX_NEW' AS indicator, TX_NEW AS value FROM h),
 t AS (
-  SELECT CASE WHEN indicator = 'TX_RTT' THEN 'TX_RTT_SUP' ELSE indicator END AS indicator,
+  SELECT datim_uid, period, CASE WHEN indicator = 'TX_RTT' THEN 'TX_RTT_SUP' ELSE indicator END AS indicator,
          CASE WHEN partner = 'ECHO' THEN 'USAID' WHEN partner = 'JHPIEGO-DoD' THEN 'DOD'
               ELSE 'HHS/CDC' END AS funding_agency,
          CASE WHEN ageasentered IN ({_sql_in(R.AGES_UNDER_15)}) THEN '<15'
@@ -717,12 +735,56 @@ t AS (
   FROM l
   WHERE value IS NOT NULL AND datim_uid IS NOT NULL
     AND NOT coalesce(datim_uid IN ({_sql_in(TRN_REMOVED)}), false))
-SELECT {', '.join(TRN_KEYS)}, count(*) AS n, sum(value) AS v FROM t GROUP BY {', '.join(TRN_KEYS)}
 """
 
 
+MILITARY_PROXY = ("3", "_Military")
+
+
+def full_site_map(spark, sf_dir):
+    """The site map with every attribute of the final tables."""
+    uid, lat = F.col("datim_uid"), F.col("latitude")
+    flag = {"his_emr": lat <= 0, "his_idart": lat > 2000, "his_disa": lat > 8000}
+    return proxy.site_map(spark, sf_dir).select(
+        "datim_uid", F.concat(F.lit("S"), uid).alias("sisma_uid"),
+        (uid.cast("long") % 100).alias("site_nid"), (lat > 0).alias("grm_sernap"), "latitude",
+        "partner_pepfar_clinical", "his_epts",
+        *[F.when(c, F.lit(1.0)).alias(n) for n, c in flag.items()])
+
+
+def _places(spark, sf_dir):
+    return proxy.sites(spark, sf_dir).select(F.col("site_uid").cast("string").alias("datim_uid"),
+                                             "snu1", "psnu", "sitename")
+
+
+def q_waterfall_final(spark, sf_dir):
+    wf = P.waterfall(results_table_proxy(spark, sf_dir), start=WATERFALL_START,
+                     plus_periods=WATERFALL_PLUS)
+    trn = P.transfer_in(_trn_history(spark, sf_dir), site_removal=TRN_REMOVED)
+    out = P.waterfall_final(wf, trn, _places(spark, sf_dir), full_site_map(spark, sf_dir),
+                            site_removal=TRN_REMOVED, military=MILITARY_PROXY)
+    return out.groupBy("indicator", "period", "ageasentered", "snu1", "his_epts").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+
+
+_register("waterfall_final", q_waterfall_final, _wf_ctes() + _trn_ctes() + f"""
+, u AS (SELECT datim_uid, period, indicator, ageasentered, value FROM g
+        WHERE value IS NOT NULL AND NOT coalesce(datim_uid IN ({_sql_in(TRN_REMOVED)}), false)
+        UNION ALL SELECT datim_uid, period, indicator, ageasentered, value FROM t),
+uf AS (
+  SELECT u.*, CASE WHEN u.datim_uid = '{MILITARY_PROXY[0]}' THEN '{MILITARY_PROXY[1]}'
+                   ELSE s.snu1 END AS snu1,
+         CASE WHEN s.acctbal > 5000 THEN CAST(1 AS DOUBLE) END AS his_epts
+  FROM u LEFT JOIN site_dim s ON u.datim_uid = CAST(s.site_uid AS VARCHAR))
+SELECT indicator, period, ageasentered, snu1, his_epts, count(*) AS n, sum(value) AS v
+FROM uf GROUP BY indicator, period, ageasentered, snu1, his_epts
+""")
+
+
 QUERIES["transfer_in"] = q_transfer_in
-ORACLE["transfer_in"] = ORACLE_CTE + _trn_sql()
+ORACLE["transfer_in"] = ORACLE_CTE + _trn_ctes() + f"""
+SELECT {', '.join(TRN_KEYS)}, count(*) AS n, sum(value) AS v FROM t GROUP BY {', '.join(TRN_KEYS)}
+"""
 
 
 # ---------------------------------------------------------------------------
@@ -733,11 +795,11 @@ KEYPOP = {"AUTOMOBILE": "MSM", "BUILDING": "FSW", "FURNITURE": "PWID", "HOUSEHOL
           "MACHINERY": "PRI"}
 
 
-def q_kp_history(spark, sf_dir):
+def _kp_rows(spark, sf_dir):
     from indicata.functions.expressions import lookup
     f = proxy.fact(spark, sf_dir)
     ind = F.col("indicator")
-    sub = f.select(
+    return f.select(
         F.when(F.col("standardizeddisaggregate").isNotNull(), F.col("site_uid").cast("string"))
          .alias("datim_uid"),
         F.col("snu1").alias("snu"), "psnu", "sitename", "period",
@@ -745,7 +807,10 @@ def q_kp_history(spark, sf_dir):
         lookup("mech_name", TRN_AGE).alias("age"),
         F.when(ind == "TX_CURR", F.col("value")).alias("TX_CURR"),
         F.when(ind == "TX_PVLS", F.col("value")).alias("TX_PVLS"))
-    summed, _uncoded = P.kp_quarter(sub)
+
+
+def q_kp_history(spark, sf_dir):
+    summed, _uncoded = P.kp_quarter(_kp_rows(spark, sf_dir))
     site_map = proxy.sites(spark, sf_dir).select(
         F.col("site_uid").cast("string").alias("datim_uid"), F.col("snu1").alias("snu"),
         "psnu", "sitename")
@@ -780,6 +845,33 @@ FROM hist GROUP BY snu, period, keypop
 QUERIES["kp_history"] = q_kp_history
 ORACLE["kp_history"] = ORACLE_CTE + _kp_sql()
 
+KP_SUBMISSION = ("datim_uid string, snu string, psnu string, sitename string, period string, "
+                 "pop_type string, keypop string, age string, TX_CURR double, TX_PVLS double")
+KP_AGAIN = "2000 Q4"
+
+
+def q_kp_submissions(spark, sf_dir):
+    """C14 from the submission folder to the history; one quarter is handed in twice."""
+    from pyspark.sql import types as T
+
+    from indicata.operators.union import Contract
+    from indicata.session import scratch_path
+    from indicata.sources.files import read_folder, write_tsv
+    folder, table = scratch_path(spark, "kp-submissions"), scratch_path(spark, "kp-history")
+    write_tsv(_kp_rows(spark, sf_dir), folder, na="NA")
+    sub = read_folder(spark, f"{folder}/*.csv", Contract(T.StructType.fromDDL(KP_SUBMISSION)))
+    site_map = full_site_map(spark, sf_dir).join(
+        _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
+    P.kp_report(sub, table, site_map)
+    hist, _uncoded = P.kp_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map)
+    return hist.groupBy("snu", "period", "keypop").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("TX_CURR").alias("TX_CURR"),
+        F.sum("TX_PVLS").alias("TX_PVLS"))
+
+
+QUERIES["kp_submissions"] = q_kp_submissions
+ORACLE["kp_submissions"] = ORACLE_CTE + _kp_sql()
+
 
 # ---------------------------------------------------------------------------
 # MI series, long form since a start date, enriched from site and district maps

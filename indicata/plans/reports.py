@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.functions.columns import cols, relocate
+from indicata.functions.columns import cols, ordered, relocate
 from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agency,
                                        null_for_pregnancy, pop_type, support_class,
                                        unknown_label)
@@ -34,6 +34,7 @@ from indicata.operators.select import apply_exclusions, drop_all_zero, fill_zero
 from indicata.operators.union import Contract, align, union_all
 from indicata.plans import rules as R
 from indicata.session import materialize
+from indicata.sources.files import upsert_period
 
 # ---------------------------------------------------------------------------
 # Yearly extracts -> one fact
@@ -253,7 +254,7 @@ def regional_rollup(site_level: DataFrame) -> DataFrame:
 
 
 def transfer_in(history: DataFrame, site_removal: Sequence[str] = ()) -> DataFrame:
-    """C15 (part): transfer-in history in long form with harmonised labels."""
+    """C15 (head): transfer-in history in long form with harmonised labels."""
     ids = [c for c in history.columns if not c.startswith("TX_")]
     long = gather(history, ids, [c for c in history.columns if c.startswith("TX_")])
     long = long.withColumns({
@@ -266,6 +267,25 @@ def transfer_in(history: DataFrame, site_removal: Sequence[str] = ()) -> DataFra
     return long.filter(not_in("datim_uid", site_removal) & F.col("datim_uid").isNotNull())
 
 
+def waterfall_final(cascade: DataFrame, transfers: DataFrame, org_units: DataFrame,
+                    site_map: DataFrame, *, site_removal: Sequence[str] = R.SITE_REMOVAL,
+                    military: tuple[str, str] = R.MILITARY_SITE,
+                    columns: Sequence[str] = R.WATERFALL_COLUMNS) -> DataFrame:
+    """The treatment cascade (C6) and the transfer-in history as one table.
+
+    Bound by name, place names taken from the organisation units (one site
+    carries a fixed label instead), site attributes from the site map, rows
+    without a value left out before the joins.
+    """
+    places = ["snu1", "psnu", "sitename"]
+    both = union_all([cascade.filter(not_in("datim_uid", site_removal)), transfers])
+    uid, label = military
+    both = refresh_attrs(both.filter(F.col("value").isNotNull()), org_units, "datim_uid", places,
+                         overrides={uid: dict.fromkeys(places, label)})
+    attrs = [c for c in site_map.columns if c not in both.columns]
+    return ordered(enrich(both, site_map.select("datim_uid", *attrs), "datim_uid"), columns)
+
+
 def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFrame,
                  psnu_map: DataFrame, *, anchors=R.VL_ANCHORS, months_back=R.VL_MONTHS_BACK,
                  start=R.VL_PROGRAMME_START) -> DataFrame:
@@ -377,6 +397,30 @@ def vl_quarter(submissions: DataFrame, site_map: DataFrame) -> tuple[DataFrame,
     return submissions, orphans(sites, site_map, "datim_uid")
 
 
+def kp_report(submissions: DataFrame, table: str, site_map: DataFrame, *,
+              columns: Sequence[str] = R.KP_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """C14: sum a quarter's submissions, put them into the history at ``table``
+    in place of what it had for their periods, and return the whole history with
+    the site map's attributes, and the QA table."""
+    summed, uncoded = kp_quarter(submissions)
+    history = refreshed_history(upsert_period(summed, table), site_map)
+    return ordered(history, columns), uncoded
+
+
+def vl_report(submissions: DataFrame, table: str, site_map: DataFrame, *,
+              columns: Sequence[str] = R.VL_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """As :func:`kp_report`, for viral-load rows, which are not summed."""
+    rows, orphan_sites = vl_quarter(submissions, site_map)
+    history = refreshed_history(upsert_period(rows, table), site_map)
+    return ordered(history, columns), orphan_sites
+
+
+def score_history(history: DataFrame, sites: DataFrame, *,
+                  columns: Sequence[str] = R.SCORE_HISTORY_COLUMNS) -> DataFrame:
+    """The scores of all quarters with the site list's place names."""
+    return ordered(refreshed_history(history, sites), columns)
+
+
 # ---------------------------------------------------------------------------
 # Running share, first version (from the site fact)
 # ---------------------------------------------------------------------------
@@ -460,5 +504,6 @@ def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
 __all__ = ["union_extracts", "attribute_partner", "results_long", "results_table",
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
            "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",
-           "refreshed_history", "kp_quarter", "vl_quarter", "running_share_v1", "support_list",
+           "refreshed_history", "waterfall_final", "kp_report", "vl_report", "score_history",
+           "kp_quarter", "vl_quarter", "running_share_v1", "support_list",
            "mi_extract", "tpt_scores"]

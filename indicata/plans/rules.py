@@ -116,6 +116,22 @@ VL_INDICATOR_RECODE = {"TX_PVLS_N": "TX_PVLS"}
 VL_SOURCE_RECODE = {"Clinical Module": "EPTS-Clinical", "Lab Module": "EPTS-Lab"}
 TRN_INDICATOR_RECODE = {"TX_RTT": "TX_RTT_SUP"}
 
+# Sites left out of the transfer-in history, and the site that is shown by a fixed label.
+SITE_REMOVAL = ["jKg6rpNATKH_ITECH", "W04POMswKUF"]
+MILITARY_SITE = ("siMZUtd2cJW", "_Military Mozambique")
+
+# Column order of the final tables; a star stands for any rest of a name.
+WATERFALL_COLUMNS = ["datim_uid", "sisma_uid", "site_nid", "period", "funding_agency",
+                     "partner_recode", "grm_sernap", "snu1", "psnu", "sitename", "*tude",
+                     "program*", "his_epts", "his_emr", "his_idart", "his_disa", "sex", "age*",
+                     "otherdisaggregate", "indicator", "value"]
+KP_COLUMNS = ["datim_uid", "sisma_uid", "site_nid", "period", "partner_*", "grm_sernap", "snu",
+              "psnu", "sitename", "*tude", "support*", "his*", "pop_type", "keypop", "age", "TX_*"]
+VL_COLUMNS = ["datim_uid", "sisma_uid", "site_nid", "period", "partner_*", "grm_sernap", "snu",
+              "psnu", "sitename", "*tude", "support*", "his*", "security_insecure", "sex", "age",
+              "pop_type", "pop_subtype", "keypop", "motive", "source", "indicator", "value"]
+SCORE_HISTORY_COLUMNS = ["snu", "psnu", "sitename", "datim_uid", "period", "score_*"]
+
 # ---------------------------------------------------------------------------
 # Ordered data corrections (uid, mechanism) -> new attributes.
 # Each rule matches on the row as left by the previous rules; within a rule

@@ -266,3 +266,91 @@ def test_site_scores_with_tpt_and_wo_volume(spark):
                                                                         "score_clin_wo_volume"))
     s3 = [x for x in out if x.datim_uid == "s3"][0]
     assert s3.score_clin == 0 and s3.value_txcurr is None
+
+
+def test_waterfall_final(spark):
+    cascade = spark.createDataFrame([
+        ("u1", "2024 Q1", "HHS/CDC", "FGH", "old", "old", "old", "Male", "20-24", "15+", "Died",
+         "TX_NEW", 1.0),
+        ("W04POMswKUF", "2024 Q1", "HHS/CDC", "FGH", "S", "P", "n", "Male", "20-24", "15+", None,
+         "TX_NEW", 9.0),
+        ("siMZUtd2cJW", "2024 Q1", "DOD", "JHPIEGO-DoD", "S", "P", "n", "Male", "20-24", "15+",
+         None, "TX_RTT", 2.0),
+        ("u1", "2024 Q1", "HHS/CDC", "FGH", "S", "P", "n", "Male", "20-24", "15+", None, "TX_RTT",
+         None)],
+        "datim_uid string, period string, funding_agency string, partner_recode string, "
+        "snu1 string, psnu string, sitename string, sex string, ageasentered string, "
+        "agecoarse string, otherdisaggregate string, indicator string, value double")
+    hist = spark.createDataFrame([("u2", "S", "P", "n", "2024 Q1", "ECHO", "Female", "05-09", 4.0)],
+                                 "datim_uid string, snu string, psnu string, sitename string, "
+                                 "period string, partner string, sex string, ageasentered string, "
+                                 "TX_RTT double")
+    units = spark.createDataFrame([("u1", "A", "B", "C"), ("siMZUtd2cJW", "A", "B", "D")],
+                                  "datim_uid string, snu1 string, psnu string, sitename string")
+    sites = spark.createDataFrame(
+        [("u1", "s1", 1, True, 2.0, 3.0, "y", 1.0, 1.0, None, 0.0)],
+        "datim_uid string, sisma_uid string, site_nid int, grm_sernap boolean, latitude double, "
+        "longitude double, program_x string, his_epts double, his_emr double, his_idart double, "
+        "his_disa double")
+    out = P.waterfall_final(cascade, P.transfer_in(hist), units, sites)
+    assert out.columns == [
+        "datim_uid", "sisma_uid", "site_nid", "period", "funding_agency", "partner_recode",
+        "grm_sernap", "snu1", "psnu", "sitename", "latitude", "longitude", "program_x", "his_epts",
+        "his_emr", "his_idart", "his_disa", "sex", "ageasentered", "agecoarse",
+        "otherdisaggregate", "indicator", "value"]
+    got = {(r.datim_uid, r.indicator): (r.snu1, r.sitename, r.sisma_uid, r.value)
+           for r in out.collect()}
+    assert got == {("u1", "TX_NEW"): ("A", "C", "s1", 1.0),
+                   ("siMZUtd2cJW", "TX_RTT"): ("_Military Mozambique",) * 2 + (None, 2.0),
+                   ("u2", "TX_RTT_SUP"): (None, None, None, 4.0)}
+    with pytest.raises(Exception, match="his_disa"):
+        P.waterfall_final(cascade, P.transfer_in(hist), units, sites.drop("his_disa"))
+
+
+def test_submission_reports_replace_their_quarter(spark, tmp_path):
+    site_map = spark.createDataFrame(
+        [("u1", "s1", 1, "ECHO", "yes", "S2", "P2", "N2", 5.0, "x", 1.0, "no")],
+        "datim_uid string, sisma_uid string, site_nid int, partner_pepfar_clinical string, "
+        "grm_sernap string, snu string, psnu string, sitename string, latitude double, "
+        "support_x string, his_epts double, security_insecure string")
+    kp = "datim_uid string, snu string, psnu string, sitename string, period string, " \
+         "pop_type string, keypop string, age string, TX_CURR double"
+    one = spark.createDataFrame([("u1", "S", "P", "n", "2024 Q1", "KP", "MSM", "All", 1.0),
+                                 ("u1", "S", "P", "n", "2024 Q2", "KP", "MSM", "All", 2.0)], kp)
+    again = spark.createDataFrame([("u1", "S", "P", "n", "2024 Q2", "KP", "MSM", "All", 5.0),
+                                   ("u1", "S", "P", "n", "2024 Q2", "KP", "MSM", "All", 2.0)], kp)
+    table = str(tmp_path / "kp")
+    P.kp_report(one, table, site_map)
+    hist, uncoded = P.kp_report(again, table, site_map)
+    assert sorted((r.period, r.sitename, r.TX_CURR) for r in hist.collect()) == [
+        ("2024 Q1", "N2", 1.0), ("2024 Q2", "N2", 7.0)]
+    assert hist.columns[:4] == ["datim_uid", "sisma_uid", "site_nid", "period"]
+    assert hist.columns[-1] == "TX_CURR" and uncoded.count() == 0
+
+    vl = spark.createDataFrame(
+        [("u1", "S", "P", "n", "2024 Q1", "F", "All", "Age", None, None, "r", "src", "TX_PVLS", 3.0),
+         ("u7", "S", "P", "m", "2024 Q1", "F", "All", "Age", None, None, "r", "src", "TX_PVLS", 4.0)],
+        "datim_uid string, snu string, psnu string, sitename string, period string, sex string, "
+        "age string, pop_type string, pop_subtype string, keypop string, motive string, "
+        "source string, indicator string, value double")
+    hist, orphan_sites = P.vl_report(vl, str(tmp_path / "vl"), site_map)
+    assert hist.columns == ["datim_uid", "sisma_uid", "site_nid", "period",
+                            "partner_pepfar_clinical", "grm_sernap", "snu", "psnu", "sitename",
+                            "latitude", "support_x", "his_epts", "security_insecure", "sex", "age",
+                            "pop_type", "pop_subtype", "keypop", "motive", "source", "indicator",
+                            "value"]
+    assert sorted((r.datim_uid, r.sitename, r.value) for r in hist.collect()) == [
+        ("u1", "N2", 3.0), ("u7", None, 4.0)]
+    assert [r.datim_uid for r in orphan_sites.collect()] == ["u7"]
+
+
+def test_score_history_takes_the_sites_names(spark):
+    hist = spark.createDataFrame([("u1", "2024 Q1", 3, 0.2, 7)],
+                                 "datim_uid string, period string, score_a int, value_a double, "
+                                 "score_clin int")
+    sites = spark.createDataFrame([("u1", "S", "P", "N")],
+                                  "datim_uid string, snu string, psnu string, sitename string")
+    out = P.score_history(hist, sites)
+    assert out.columns == ["snu", "psnu", "sitename", "datim_uid", "period", "score_a",
+                           "score_clin"]
+    assert tuple(out.first()) == ("S", "P", "N", "u1", "2024 Q1", 3, 7)
