@@ -19,6 +19,7 @@ from indicata.plans import reports as P
 from indicata.operators.reshape import pivot_sum
 from indicata.plans import proxy
 from indicata.plans import rules as R
+from indicata.session import materialize
 from indicata.plans.registry import (ORACLE, PERIOD, PROXY_PARTNER, QUERIES,  # noqa: F401
                                      _sql_band, _sql_ratio, _sql_recode, _sql_values,
                                      register)
@@ -135,6 +136,12 @@ def shift_period_q(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 PROXY_ANCHORS = ["2000-03-20", "2000-06-20", "2000-09-20", "2000-12-20", "2001-03-20"]
+# Ship dates whose reporting date can be in a window: a quarter more on either side.
+TRAILING_SHIP = ("1998-12-20", "2001-06-20")
+
+
+def _dated_sums(f, keys):
+    return f.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
 
 
 @register("trailing_12m", """
@@ -146,10 +153,13 @@ SELECT anchor, max(period) AS period, max(date) AS date, count(*) AS n, sum(valu
 FROM win GROUP BY anchor
 """)
 def trailing_12m(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir).select("period", "date", "value")
-    w = anchor_windows(f, "date", PROXY_ANCHORS, 12, lower_strict=True)
+    # one pass over the lines: every line within a quarter of a window, summed to one row per
+    # reporting date, which the windows and their labels both read
+    f = proxy.fact(spark, sf_dir, ship_from=TRAILING_SHIP[0], ship_to=TRAILING_SHIP[1])
+    days = materialize(_dated_sums(f, ["period", "date"]))
+    w = anchor_windows(days, "date", PROXY_ANCHORS, 12, lower_strict=True)
     return (label_windows(w, "anchor").groupBy("anchor", "period", "date")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v")))
+            .agg(F.sum("n").alias("n"), F.sum("v").alias("v")))
 
 
 # ---------------------------------------------------------------------------
@@ -174,14 +184,14 @@ SELECT k,
 FROM w GROUP BY k
 """)
 def pmtct_cohorts(spark, sf_dir):
-    f = proxy.fact(spark, sf_dir)
+    f = materialize(_dated_sums(proxy.fact(spark, sf_dir), ["indicator", "period", "date"]))
     b = period_bounds(f, where=F.col("indicator") == "TX_CURR")
     mx, mp = b["max_date"], b["max_period"]
-    src = f.filter(F.col("indicator") == "TX_PVLS").select("period", "date", "value")
+    src = f.filter(F.col("indicator") == "TX_PVLS")
     w = relative_windows(src, "date", mx, R.PMTCT_ART_COHORT["windows"], window_col="k")
     labelled = label_windows(w, "k", fixed={0: (mx, mp)})
     return (labelled.groupBy("k", "period", "date")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v")))
+            .agg(F.sum("n").alias("n"), F.sum("v").alias("v")))
 
 
 # ---------------------------------------------------------------------------

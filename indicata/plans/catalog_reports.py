@@ -16,7 +16,7 @@ from indicata.plans import proxy
 from indicata.plans import rules as R
 from indicata.plans.proxy import ORACLE_CTE
 from indicata.plans.registry import (ORACLE, QUERIES, _sql_band, _sql_in, _sql_lookup,
-                                     _sql_values)
+                                     _sql_recode, _sql_values)
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -306,7 +306,9 @@ SELECT c.datim_uid, snu1, psnu, sitename, TX_CURR, TX_ML, PMTCT_ART_Already, TX_
        CASE WHEN tot = 0 AND TX_CURR_cum = 0 THEN 1.0::DOUBLE
             WHEN tot <> 0 THEN TX_CURR_cum / tot
             WHEN TX_CURR_cum > 0 THEN 'Infinity'::DOUBLE END AS TX_CURR_cum_per,
-       CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per, m.partner_pepfar_clinical AS mech_name,
+       CAST(0 AS DOUBLE) AS PMTCT_HEI_POS_per,
+       CASE m.partner_pepfar_clinical WHEN 'MISAU' THEN 'MISAU Graduation'
+            ELSE m.partner_pepfar_clinical END AS mech_name,
        CASE WHEN m.partner_pepfar_clinical IN ({_sql_in(R.CLINICAL_PARTNERS_SITE_TYPE)})
             THEN '99-AJUDA' ELSE '01-Sustainability' END AS site_type
 FROM c LEFT JOIN smap m ON c.datim_uid = m.datim_uid
@@ -556,29 +558,39 @@ PROXY_FACT_CORRECTIONS = [
 ]
 
 
-def q_site_fact_union(spark, sf_dir):
-    from pyspark.sql import types as T
+def _year(e, layout, years):
+    """The extract's rows of ``years`` in the layout of a yearly file: renamed columns under
+    their old names, and filler in the columns that the layout leaves out."""
+    d = e.filter(years).withColumnsRenamed({new: old for old, new in layout["rename"].items()})
+    return d.withColumns({c: F.lit("filler") for c in layout["drop"] if c not in d.columns})
+
+
+def _extract_columns(e, *more):
     from indicata.functions.expressions import lookup
-    from indicata.operators.union import Contract
-    e = proxy.canonical_extract(spark, sf_dir).select(
-        "orgunituid", "sitename", "psnu", lookup("mech_name", LONG_MECH).alias("mech_name"),
+    return e.select(
+        *more, "psnu", F.concat(F.lit("P-"), "psnu").alias("psnuuid"),
+        lookup("mech_name", LONG_MECH).alias("mech_name"),
         F.when(F.col("indicator") == "TX_PVLS", F.lit("Index"))
          .when(F.col("indicator") == "TX_PVLS_D", F.lit("IndexMod")).alias("modality"),
         "fiscal_year", "cumulative")
-    canon = T.StructType([T.StructField(c, t) for c, t in [
-        ("orgunituid", T.StringType()), ("sitename", T.StringType()), ("psnu", T.StringType()),
-        ("mech_name", T.StringType()), ("modality", T.StringType()),
-        ("fiscal_year", T.IntegerType()), ("cumulative", T.DoubleType())]])
-    fy = F.col("fiscal_year")
-    y1 = e.filter(fy <= 1997).withColumnRenamed("psnu", "snu2")
-    y2 = e.filter(fy.between(1998, 1999)).withColumn("fiscal_year", fy.cast("string")) \
-          .withColumnRenamed("psnu", "cop22_psnu")
-    y3 = e.filter(fy >= 2000).withColumn("extra_column", F.lit("x"))
-    out = P.union_extracts([(y1, Contract(canon, rename={"snu2": "psnu"})),
-                            (y2, Contract(canon, rename={"cop22_psnu": "psnu"})),
-                            (y3, Contract(canon, drop=["extra_column"]))],
+
+
+def q_site_fact_union(spark, sf_dir):
+    from pyspark.sql import types as T
+    e = _extract_columns(proxy.canonical_extract(spark, sf_dir), "orgunituid", "sitename")
+    canon = T.StructType.fromDDL(
+        "orgunituid string, sitename string, psnu string, psnuuid string, mech_name string, "
+        "modality string, fiscal_year int, cumulative double")
+    fy, lay = F.col("fiscal_year"), R.SITE_LAYOUTS
+    years = {"2021": _year(e, lay["2021"], fy <= 1997),
+             "2022": _year(e, lay["2022"], fy.between(1998, 1999))
+                     .withColumn("fiscal_year", fy.cast("string")),
+             "2023": _year(e, lay["2023"], fy == 2000),
+             "2024_2025": _year(e, lay["2024_2025"], fy >= 2001)}
+    out = P.union_extracts(P.yearly_extracts(years, lay, canon),
                            corrections=PROXY_FACT_CORRECTIONS)
-    return (out.groupBy("orgunituid", "sitename", "psnu", "mech_name", "modality", "fiscal_year")
+    return (out.groupBy("orgunituid", "sitename", "psnu", "psnuuid", "mech_name", "modality",
+                        "fiscal_year")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("v")))
 
 
@@ -587,11 +599,11 @@ def _c1_sql() -> str:
     rec = ("CASE mech0 " + " ".join(f"WHEN '{k.replace(chr(39), chr(39) * 2)}' THEN '{v}'"
                                     for k, v in R.MECH_NAME_RECODE.items()) + " ELSE mech0 END")
     return f"""
-, u0 AS (SELECT orgunituid, sitename, psnu, {longm} AS mech0,
+, u0 AS (SELECT orgunituid, sitename, psnu, 'P-' || psnu AS psnuuid, {longm} AS mech0,
                 CASE WHEN indicator = 'TX_PVLS' THEN 'Index'
                      WHEN indicator = 'TX_PVLS_D' THEN 'IndexMod' END AS modality0,
                 fiscal_year, cumulative FROM ext3),
-u1 AS (SELECT orgunituid, sitename, psnu, {rec} AS mech_name,
+u1 AS (SELECT orgunituid, sitename, psnu, psnuuid, {rec} AS mech_name,
               CASE modality0 WHEN 'Index' THEN 'Index Facility' WHEN 'IndexMod' THEN 'Index Community'
                    ELSE modality0 END AS modality, fiscal_year, cumulative FROM u0),
 u2 AS (SELECT * REPLACE (
@@ -602,15 +614,54 @@ u3 AS (SELECT * REPLACE (
          CASE WHEN orgunituid = '5' AND mech_name = 'MISAU' THEN '3' ELSE orgunituid END AS orgunituid,
          CASE WHEN orgunituid = '5' AND mech_name = 'MISAU' THEN 'SWAPPED' ELSE psnu END AS psnu)
        FROM u2)
-SELECT orgunituid, sitename, psnu, mech_name, modality, fiscal_year, count(*) AS n,
+SELECT orgunituid, sitename, psnu, psnuuid, mech_name, modality, fiscal_year, count(*) AS n,
        sum(cumulative) AS v
-FROM u3 GROUP BY orgunituid, sitename, psnu, mech_name, modality, fiscal_year
+FROM u3 GROUP BY orgunituid, sitename, psnu, psnuuid, mech_name, modality, fiscal_year
 """
 
 
 _register("site_fact_union", q_site_fact_union, _c1_sql())
 
 
+# ---------------------------------------------------------------------------
+# The district extracts of three layouts -> one fact
+# ---------------------------------------------------------------------------
+
+
+def q_psnu_fact_union(spark, sf_dir):
+    from pyspark.sql import types as T
+    districts = proxy.canonical_extract(spark, sf_dir).groupBy(
+        "psnu", "mech_name", "indicator", "numeratordenom", "standardizeddisaggregate",
+        "fiscal_year").agg(F.sum("cumulative").alias("cumulative"))
+    e = _extract_columns(districts, "numeratordenom", "standardizeddisaggregate")
+    canon = T.StructType.fromDDL(
+        "psnu string, psnuuid string, mech_name string, modality string, numeratordenom string, "
+        "standardizeddisaggregate string, fiscal_year int, cumulative double")
+    fy, lay = F.col("fiscal_year"), R.PSNU_LAYOUTS
+    years = {"2022": _year(e, lay["2022"], fy <= 1998),
+             "2023": _year(e, lay["2023"], fy.between(1999, 2000)),
+             "2024_2025": _year(e, lay["2024_2025"], fy >= 2001)}
+    out = P.union_extracts(P.yearly_extracts(years, lay, canon))
+    return (out.groupBy("psnu", "psnuuid", "mech_name", "modality", "numeratordenom", "fiscal_year")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("v")))
+
+
+def _c2_sql() -> str:
+    return f"""
+, p0 AS (SELECT psnu, {_sql_lookup("mech_name", LONG_MECH)} AS mech0, indicator, numeratordenom,
+                standardizeddisaggregate, fiscal_year, sum(cumulative) AS cumulative
+         FROM ext3 GROUP BY psnu, mech_name, indicator, numeratordenom, standardizeddisaggregate,
+                            fiscal_year)
+SELECT psnu, 'P-' || psnu AS psnuuid, {_sql_recode("mech0", R.MECH_NAME_RECODE)} AS mech_name,
+       CASE indicator WHEN 'TX_PVLS' THEN 'Index Facility' WHEN 'TX_PVLS_D' THEN 'Index Community'
+       END AS modality, numeratordenom, fiscal_year, count(*) AS n, sum(cumulative) AS v
+FROM p0 GROUP BY ALL
+"""
+
+
+_register("psnu_fact_union", q_psnu_fact_union, _c2_sql())
+
+
 # ---------------------------------------------------------------------------
 # Site scores with the bundled score rule set, on the results table
 # ---------------------------------------------------------------------------
@@ -957,6 +1008,61 @@ QUERIES["vl_orphans"] = q_vl_orphans
 ORACLE["vl_orphans"] = ORACLE_CTE + _VL_ORPHANS_SQL
 
 
+VL_SUBMISSION = ("datim_uid string, snu string, psnu string, sitename string, period string, "
+                 "sex string, age string, pop_type string, pop_subtype string, keypop string, "
+                 "motive string, source string, indicator string, value double")
+
+
+def _vl_rows(spark, sf_dir):
+    from indicata.functions.expressions import lookup
+    key = F.col("mech_name") == "FURNITURE"
+    return proxy.fact(spark, sf_dir).select(
+        F.when(F.col("standardizeddisaggregate").isNotNull(), F.col("site_uid").cast("string"))
+         .alias("datim_uid"),
+        F.col("snu1").alias("snu"), "psnu", "sitename", "period",
+        F.when(F.col("numeratordenom") == "D", F.lit("F")).otherwise(F.lit("M")).alias("sex"),
+        lookup("mech_name", SUP_AGE).alias("age"),
+        F.when(key, F.lit("KeyPop")).otherwise(F.lit("Age")).alias("pop_type"),
+        lookup("standardizeddisaggregate", SUP_SUBTYPE).alias("pop_subtype"),
+        F.when(key, lookup("mech_name", KEYPOP)).alias("keypop"), F.lit("Routine").alias("motive"),
+        lookup("mech_name", SUP_SOURCE).alias("source"), "indicator", "value")
+
+
+def q_vl_submissions(spark, sf_dir):
+    """C16 from the submission folder to the history; one quarter is handed in twice."""
+    from pyspark.sql import types as T
+
+    from indicata.operators.union import Contract
+    from indicata.session import scratch_path
+    from indicata.sources.files import read_folder, write_tsv
+    folder, table = scratch_path(spark, "vl-submissions"), scratch_path(spark, "vl-history")
+    write_tsv(_vl_rows(spark, sf_dir), folder, na="NA")
+    sub = read_folder(spark, f"{folder}/*.csv", Contract(T.StructType.fromDDL(VL_SUBMISSION)))
+    site_map = full_site_map(spark, sf_dir).withColumn(
+        "security_insecure", F.col("latitude") < 0).join(
+        _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
+    P.vl_report(sub, table, site_map)
+    hist, _orphans = P.vl_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map)
+    return hist.groupBy("snu", "period", "source", "age", "pop_subtype", "indicator",
+                        "security_insecure").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+
+
+QUERIES["vl_submissions"] = q_vl_submissions
+ORACLE["vl_submissions"] = ORACLE_CTE + f"""
+, s AS (
+  SELECT CASE WHEN standardizeddisaggregate IS NOT NULL THEN site_uid END AS site_uid, period,
+         {_sql_lookup('mech_name', SUP_SOURCE)} AS source,
+         {_sql_lookup('mech_name', SUP_AGE)} AS age,
+         {_sql_lookup('standardizeddisaggregate', SUP_SUBTYPE)} AS pop_subtype, indicator, value
+  FROM dated)
+SELECT d.snu1 AS snu, s.period, s.source, s.age, s.pop_subtype, s.indicator,
+       d.acctbal < 0 AS security_insecure, count(*) AS n, sum(s.value) AS v
+FROM s LEFT JOIN site_dim d ON s.site_uid = d.site_uid
+GROUP BY ALL
+"""
+
+
 # ---------------------------------------------------------------------------
 # Targets table through the report function (cumulative and targets per row)
 # ---------------------------------------------------------------------------

@@ -14,9 +14,12 @@ from indicata.functions.expressions import is_in, lookup, recode
 from indicata.operators.joins import enrich
 from indicata.operators.scoring import composite, score_sites
 from indicata.plans import proxy
+from indicata.plans import reports as P
 from indicata.plans import rules as R
 from indicata.plans.registry import (PERIOD, PROXY_PARTNER, _sql_band, _sql_in, _sql_lookup,
                                      _sql_ratio, _sql_recode, pick, register)
+from indicata.session import materialize, scratch_path
+from indicata.sources.files import upsert_period
 
 # Proxy age split: the two highest priorities stand for the "<15" band.
 PED_PRIORITIES = ["1-URGENT", "2-HIGH"]
@@ -52,11 +55,11 @@ def site_scores(spark, sf_dir):
     return out.withColumn("period", F.lit(PERIOD))
 
 
-def _sql_score_cte(s) -> str:
+def _sql_score_cte(s, period: str = PERIOD) -> str:
     name, num = s["name"], s["num"]
-    rows = {"period": f"period = '{PERIOD}'",
+    rows = {"period": f"period = '{period}'",
             "window": "date BETWEEN (SELECT d FROM wmx) - INTERVAL 9 MONTH AND (SELECT d FROM wmx)",
-            "txtb": ("date = (SELECT d FROM mx)" if PERIOD.endswith(("Q2", "Q4"))
+            "txtb": ("date = (SELECT d FROM mx)" if period.endswith(("Q2", "Q4"))
                      else "date = (SELECT d FROM mx) - INTERVAL 3 MONTH")}[s["rows"]]
     if s.get("ped"):
         rows += " AND agecoarse = '<15'"
@@ -76,11 +79,11 @@ def _sql_score_cte(s) -> str:
             f"WHERE indicator IN ('{num}', '{den}') AND {rows} GROUP BY site_uid)")
 
 
-def _site_scores_sql() -> str:
+def _site_scores_sql(period: str = PERIOD) -> str:
     names = [s["name"] for s in R.SITE_SCORES]
     sub = [f"score_{n}" for n in names
            if any(p in f"score_{n}" for p in R.SCORE_WO_VOLUME_PATTERNS)]
-    ctes = ",\n".join(_sql_score_cte(s) for s in R.SITE_SCORES)
+    ctes = ",\n".join(_sql_score_cte(s, period) for s in R.SITE_SCORES)
     joins = "\n".join(f"LEFT JOIN s_{n} ON st.site_uid = s_{n}.site_uid" for n in names)
     values = ", ".join(f"s_{n}.value_{n}" for n in names)
     bands = ", ".join(f"{_sql_band(f's_{n}.value_{n}', s['bands'])} AS score_{n}"
@@ -94,7 +97,7 @@ def _site_scores_sql() -> str:
   FROM dated
   WHERE {_sql_recode('mech_name', PROXY_PARTNER)} IN ({_sql_in(R.SCORE_PARTNERS)})
     AND value IS NOT NULL),
-mx AS (SELECT max(date) AS d FROM base WHERE period = '{PERIOD}'),
+mx AS (SELECT max(date) AS d FROM base WHERE period = '{period}'),
 wmx AS (SELECT max(date) AS d FROM base),
 {ctes},
 st AS (SELECT site_uid FROM site_dim WHERE {site_partner} <> 'MISAU'),
@@ -102,7 +105,7 @@ j AS (SELECT st.site_uid, {values}, {bands} FROM st
 {joins})
 SELECT *, {' + '.join(f'score_{n}' for n in names)} AS score_clin,
        {' + '.join(sub) if sub else '0'} AS score_clin_wo_volume,
-       '{PERIOD}' AS period
+       '{period}' AS period
 FROM j
 """
 
@@ -111,3 +114,42 @@ from indicata.plans.proxy import ORACLE_CTE  # noqa: E402
 from indicata.plans.registry import ORACLE  # noqa: E402
 
 ORACLE["site_scores"] = ORACLE_CTE + _site_scores_sql()
+
+
+# ---------------------------------------------------------------------------
+# Scores of several quarters, kept as a history and shown with the sites' names
+# ---------------------------------------------------------------------------
+
+HISTORY_PERIODS = ["2000 Q3", PERIOD]
+
+
+@register("score_history", None)
+def score_history(spark, sf_dir):
+    base = materialize(score_base(spark, sf_dir))     # every quarter's scores read it
+    table = scratch_path(spark, "score-history")
+    for period in HISTORY_PERIODS:
+        scores = score_sites(base, site="site_uid", period=period, scores=R.SITE_SCORES,
+                             window_months=R.SCORE_WINDOW_MONTHS)
+        out = composite(enrich(scored_sites(spark, sf_dir), scores, "site_uid"),
+                        subset_patterns=R.SCORE_WO_VOLUME_PATTERNS)
+        history = upsert_period(
+            out.withColumn("datim_uid", F.col("site_uid").cast("string")).drop("site_uid")
+               .withColumn("period", F.lit(period)), table)
+    sites = proxy.sites(spark, sf_dir).select(F.col("site_uid").cast("string").alias("datim_uid"),
+                                              F.col("snu1").alias("snu"), "psnu", "sitename")
+    return P.score_history(history, sites)
+
+
+def _score_history_sql() -> str:
+    parts = [f"h{i} AS (WITH {_site_scores_sql(p).strip()[1:]})"
+             for i, p in enumerate(HISTORY_PERIODS)]
+    every = " UNION ALL ".join(f"SELECT * FROM h{i}" for i in range(len(parts)))
+    scores = ", ".join(f"h.score_{s['name']}" for s in R.SITE_SCORES)
+    return ", " + ",\n".join(parts) + f"""
+SELECT d.snu1 AS snu, d.psnu, d.sitename, CAST(h.site_uid AS VARCHAR) AS datim_uid, h.period,
+       {scores}, h.score_clin, h.score_clin_wo_volume
+FROM ({every}) h LEFT JOIN site_dim d ON h.site_uid = d.site_uid
+"""
+
+
+ORACLE["score_history"] = ORACLE_CTE + _score_history_sql()

@@ -84,11 +84,11 @@ def site_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = None,
-         ship_from: str | None = None, order_join: str = "merge",
+         ship_from: str | None = None, ship_to: str | None = None, order_join: str = "merge",
          with_sites: bool = True) -> DataFrame:
     """Long indicator fact with fiscal fields (fy, q, period, date).
 
-    ``periods`` / ``ship_from`` restrict the lineitem scan by ship date; the
+    ``periods`` / ``ship_from`` / ``ship_to`` (exclusive) restrict the lineitem scan by ship date; the
     derived ``period`` filter is then redundant but kept exact.
 
     ``order_join`` is the strategy of the lineitem x orders join.  Both sides
@@ -115,6 +115,8 @@ def fact(spark: SparkSession, sf_dir: str, *, periods: Sequence[str] | None = No
         li = li.filter(cond)
     if ship_from:
         li = li.filter(ts >= F.lit(ship_from).cast("timestamp_ntz"))
+    if ship_to:
+        li = li.filter(ts < F.lit(ship_to).cast("timestamp_ntz"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     oc = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderpriority",

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from indicata.functions.columns import cols, ordered, relocate
 from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agency,
@@ -53,6 +54,24 @@ def union_extracts(extracts: Sequence[tuple[DataFrame, Contract]], *,
     return apply_corrections(df, corrections) if corrections else df
 
 
+def yearly_extracts(extracts: Mapping[str, DataFrame], layouts: Mapping[str, Mapping],
+                    schema: T.StructType) -> list[tuple[DataFrame, Contract]]:
+    """Each year's extract with its bundled layout (``R.SITE_LAYOUTS``, ``R.PSNU_LAYOUTS``)
+    as a contract to ``schema``, for :func:`union_extracts`.
+
+    A year without a layout, or an extract without a column that its layout
+    renames, is an error.
+    """
+    out = []
+    for year, df in extracts.items():
+        layout = layouts[year]
+        absent = [c for c in layout["rename"] if c not in df.columns]
+        if absent:
+            raise ValueError(f"extract {year}: absent columns: {', '.join(absent)}")
+        out.append((df, Contract(schema, drop=layout["drop"], rename=layout["rename"])))
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Results table
 # ---------------------------------------------------------------------------
@@ -230,6 +249,8 @@ def running_share(results: DataFrame, period: str, *, measures=R.SHARE_MEASURES,
            if {"PMTCT_HEI_POS", "PMTCT_EID_D"} <= set(g.columns) else F.lit(None).cast("double"))
     g = g.withColumn("PMTCT_HEI_POS_per", F.coalesce(hei, F.lit(0.0)))
     if site_partner is not None:
+        site_partner = site_partner.withColumn("mech_name",
+                                               recode("mech_name", R.V2_SITE_PARTNER_RECODE))
         g = enrich(g, site_partner, "datim_uid")
         g = g.withColumn("site_type", F.when(is_in("mech_name", R.CLINICAL_PARTNERS_SITE_TYPE),
                                              F.lit("99-AJUDA")).otherwise(F.lit("01-Sustainability")))
@@ -426,8 +447,8 @@ def score_history(history: DataFrame, sites: DataFrame, *,
 # ---------------------------------------------------------------------------
 
 def running_share_v1(dg: DataFrame, dedup_map: DataFrame, partner_alt: DataFrame, *,
-                     period: str, remove_sites: Sequence[str] = (),
-                     mech_overrides: Mapping[str, str] | None = None,
+                     period: str, remove_sites: Sequence[str] = R.V1_REMOVED_SITES,
+                     mech_overrides: Mapping[str, str] = R.V1_MECH_OVERRIDES,
                      indicators=R.V1_INDICATORS) -> DataFrame:
     """Running share of TX_CURR by site from the site fact, with the
     clinical site type; ``period`` is the extract's label (e.g. "FY22Q4")."""
@@ -438,7 +459,7 @@ def running_share_v1(dg: DataFrame, dedup_map: DataFrame, partner_alt: DataFrame
                    & F.col("sitetype").isin("Facility", "Military"))
     df = df.withColumn("indicator", suffix_denominator("indicator", "numeratordenom"))
     mech = F.col("mech_name")
-    for uid, m in (mech_overrides or {}).items():
+    for uid, m in mech_overrides.items():
         mech = F.when(F.col("orgunituid") == uid, F.lit(m)).otherwise(mech)
     df = df.withColumn("mech_name", mech)
     df = df.withColumn("site_type", F.when(is_in("mech_name", R.CLINICAL_PARTNERS_SITE_TYPE),
@@ -501,7 +522,7 @@ def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
     return enrich(long, psnu_map.select("psnu", "psnuuid"), "psnu")
 
 
-__all__ = ["union_extracts", "attribute_partner", "results_long", "results_table",
+__all__ = ["union_extracts", "yearly_extracts", "attribute_partner", "results_long", "results_table",
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
            "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",
            "refreshed_history", "waterfall_final", "kp_report", "vl_report", "score_history",

@@ -409,3 +409,49 @@ SHARE_MEASURES = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMT
                   "PMTCT_EID_D"]
 V1_INDICATORS = ["HTS_TST_POS", "TX_CURR", "PMTCT_STAT", "PMTCT_STAT_POS", "PMTCT_HEI_POS",
                  "PMTCT_EID"]
+
+# First version of the running share: sites left out as reporting duplicates, and
+# sites counted for another mechanism.
+V1_REMOVED_SITES = ["ChVIuS0HRZ8", "KzmQ90ne3V1", "ftbjGljVY2B"]
+V1_MECH_OVERRIDES = {"FThJa71HEEs": "ICAP", "iJax0w1KHEN": "ICAP", "OgLIyzin181": "ICAP",
+                     "FNUYBvpbWaA": "FGH", "EslaBcDD5mZ": "ECHO"}
+
+# Second version: the ministry's sites under their graduated name.
+V2_SITE_PARTNER_RECODE = {"MISAU": "MISAU Graduation"}
+
+# ---------------------------------------------------------------------------
+# Layouts of the yearly extracts, as columns left out and columns
+# renamed.  Every other column is kept.
+# ---------------------------------------------------------------------------
+
+_SITE_DROP = ["country", "prime_partner_uei", "age_2018", "age_2019", "indicatortype", "source_name",
+              "mech_code", "typemilitary", "prime_partner_name", "prime_partner_duns",
+              "award_number", "community", "communityuid", "facilityuid", "operatingunituid",
+              "facility", "operatingunit", "otherdisaggregate_sub", "approvallevel",
+              "approvalleveldescription", "dataelementuid", "categoryoptioncombouid",
+              "snuprioritization"]
+_SITE_DROP_2022 = ["use_for_age", "target_age_2024", "target_modality_2024", "safe_for_net_new",
+                   "safe_for_vlc"]
+_SITE_2023 = {"drop": [*_SITE_DROP, "psnu", "psnuuid", "snu2", "snu2uid", "cop22_snuprioritization",
+                       "local_prime_partner", *_SITE_DROP_2022],
+              "rename": {"cop22_psnu": "psnu", "cop22_psnuuid": "psnuuid"}}
+SITE_LAYOUTS = {
+    "2021": {"drop": ["disaggregate", *_SITE_DROP], "rename": {}},
+    "2022": {"drop": [*_SITE_DROP, "psnu", "psnuuid", "cop22_psnu", "cop22_psnuuid",
+                      "cop22_snuprioritization", "is_indigenous_prime_partner", *_SITE_DROP_2022],
+             "rename": {"snu2": "psnu", "snu2uid": "psnuuid"}},
+    "2023": _SITE_2023,
+    "2024_2025": _SITE_2023,
+}
+
+_PSNU_DROP = ["operatingunit", "operatingunituid", "country", "snuprioritization", "typemilitary",
+              "prime_partner_name", "mech_code", "prime_partner_duns", "award_number",
+              "indicatortype", "categoryoptioncomboname", "age_2018", "age_2019",
+              "otherdisaggregate_sub", "source_name"]
+_PSNU_2023 = {"drop": [*_PSNU_DROP, "cop22_psnu", "cop22_psnuuid"], "rename": {}}
+PSNU_LAYOUTS = {
+    "2022": {"drop": [*_PSNU_DROP, "psnu", "psnuuid"],
+             "rename": {"cop22_psnu": "psnu", "cop22_psnuuid": "psnuuid"}},
+    "2023": _PSNU_2023,
+    "2024_2025": _PSNU_2023,
+}

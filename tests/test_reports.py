@@ -354,3 +354,34 @@ def test_score_history_takes_the_sites_names(spark):
     assert out.columns == ["snu", "psnu", "sitename", "datim_uid", "period", "score_a",
                            "score_clin"]
     assert tuple(out.first()) == ("S", "P", "N", "u1", "2024 Q1", 3, 7)
+
+
+def test_yearly_layouts_choose_each_years_district_columns(spark):
+    from pyspark.sql import types as T
+    from indicata.plans import rules as R
+    canon = T.StructType.fromDDL("orgunituid string, psnu string, psnuuid string, mech_name string")
+    rows = [("a", "old", "o1", "s2", "s2u", "c22", "c22u", "Ariel", "x")]
+    names = ["orgunituid", "psnu", "psnuuid", "snu2", "snu2uid", "cop22_psnu", "cop22_psnuuid",
+             "mech_name", "country"]
+    df = spark.createDataFrame(rows, names)
+    out = {}
+    for year in R.SITE_LAYOUTS:
+        got = P.union_extracts(P.yearly_extracts({year: df}, R.SITE_LAYOUTS, canon))
+        out[year] = tuple(got.first())
+    assert out == {"2021": ("a", "old", "o1", "ARIEL"), "2022": ("a", "s2", "s2u", "ARIEL"),
+                   "2023": ("a", "c22", "c22u", "ARIEL"), "2024_2025": ("a", "c22", "c22u", "ARIEL")}
+    out = {}
+    for year in R.PSNU_LAYOUTS:
+        got = P.union_extracts(P.yearly_extracts({year: df}, R.PSNU_LAYOUTS, canon))
+        out[year] = got.first()["psnu"]
+    assert out == {"2022": "c22", "2023": "old", "2024_2025": "old"}
+
+
+def test_yearly_extract_without_a_renamed_column_is_an_error(spark):
+    from pyspark.sql import types as T
+    from indicata.plans import rules as R
+    df = spark.createDataFrame([("a", "p")], "orgunituid string, psnu string")
+    with pytest.raises(ValueError, match="snu2"):
+        P.yearly_extracts({"2022": df}, R.SITE_LAYOUTS, T.StructType([]))
+    with pytest.raises(KeyError):
+        P.yearly_extracts({"1999": df}, R.SITE_LAYOUTS, T.StructType([]))
