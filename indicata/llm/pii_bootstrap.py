@@ -3,9 +3,9 @@
 1. *Seeds.*  Fixed patterns with checks find e-mail addresses, IP addresses,
    card and phone numbers.  The same pass notes every other token that looks
    like an identifier, with the words around it.
-2. *Graph.*  A lexical pattern is the words around a token and the token's
-   shape (runs of digits and of letters as one character each); an edge joins
-   a pattern to each instance it was seen with.
+2. *Graph.*  A lexical pattern is the words around a token and its class (with
+   an @, else with a digit); an edge joins a pattern to each instance it was
+   seen with, of whatever shape.
 3. *Rounds.*  A pattern's confidence in a kind is the weight of that kind's
    instances among all its instances; an instance's score is one less the
    product of one less the confidences of its trusted patterns.  Instances
@@ -88,7 +88,7 @@ def _bare(word: str) -> str:
 
 def mentions(text: str | None, spans: list[tuple[int, int, int]]):
     """Base spans and other identifier-like tokens: start, end, kind or None, surface,
-    shape, and the two lexical patterns."""
+    and the two lexical patterns."""
     if not text or not MARK.search(text):
         return []
     found = [(a, b, kind) for kind, a, b in spans]
@@ -113,14 +113,14 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]):
     out = []
     for a, b, kind in found:
         surface = text[a:b]
-        shape = re.sub("[A-Za-z]+", "a", re.sub("[0-9]+", "0", surface))
+        sort = "@" if "@" in surface else "0"
         left = [_bare(w) for w in text[max(0, a - CONTEXT):a].split()][-2:]
         right = [_bare(w) for w in text[b:b + CONTEXT].split()][:1]
         patterns = []
         if len(left) == 2 and left[1]:
-            patterns.append(" ".join(left) + " _ " + shape)
+            patterns.append(" ".join(left) + " _ " + sort)
         if left and right and left[-1] and right[0]:
-            patterns.append(left[-1] + " _ " + right[0] + " " + shape)
+            patterns.append(left[-1] + " _ " + right[0] + " " + sort)
         out.append((a, b, None if kind is None else KINDS[kind], surface, patterns))
     return out
 

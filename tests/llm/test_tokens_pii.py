@@ -232,6 +232,17 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert got[101] == [] and got[102] == [] and got[103] == []
 
 
+def test_contexts_of_seeds_find_shapes_that_no_seed_has(spark):
+    rows = [(i, f"w{i} please call me at +1 (555) 010-{1000 + i} today or later") for i in range(20)]
+    rows += [(20 + i, f"v{i} then write to jane{i}@example.com again") for i in range(20)]
+    texts = {100: "x call me at 020-7946-0958 today or later", 101: "x room 020-7946-0958 is free",
+             102: "y then write to jane1234@intranet again"}
+    docs = spark.createDataFrame(rows + list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans]
+           for r in B.find(docs).collect() if r.doc_id in texts}
+    assert got == {100: [("phone", "020-7946-0958")], 101: [], 102: [("email", "jane1234@intranet")]}
+
+
 def test_pii_edges(edge_docs, no_docs):
     rows = B.find(edge_docs).collect()
     assert len(rows) == 17 and all(len(r.base) <= len(r.spans) for r in rows)
