@@ -1,8 +1,8 @@
 """Operator 4, personal data: bootstrapped contextual extraction.
 
 1. *Seeds.*  Fixed patterns with checks find e-mail addresses, IP addresses,
-   card and phone numbers.  The same pass notes every other token that looks
-   like an identifier, with the words around it.
+   card and phone numbers.  The same pass notes every other short run of
+   tokens that has a digit or an @, with the words around it.
 2. *Graph.*  A lexical pattern is the words around a token and its class (with
    an @, else with a digit); an edge joins a pattern to each instance it was
    seen with, of whatever shape.
@@ -17,11 +17,12 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.llm.common import stage
@@ -33,11 +34,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
+DIGIT_OR_AT = re.compile(r"[\d@]")
 TOKEN = re.compile(r"\S+")
 EDGE = " .,;:!?()[]{}<>\"'=|*#$%&\t\n\r\x0b\x0c"
-#: Characters looked at on either side of a token for its words; of a token that is noted.
-CONTEXT, LONGEST = 80, 64
-SPACE = " \t\n\r\x0b\x0c"
+#: Tokens of a candidate between two words.
+RUN = 5
 
 
 def luhn(digits: str) -> bool:
@@ -87,41 +88,90 @@ def _bare(word: str) -> str:
 
 
 def mentions(text: str | None, spans: list[tuple[int, int, int]]):
-    """Base spans and other identifier-like tokens: start, end, kind or None, surface,
-    and the two lexical patterns."""
-    if not text or not MARK.search(text):
+    """Base spans and candidates: start, end, kind or None, surface, and the lexical patterns.
+
+    A candidate is a run of tokens with a digit or an @ that touches no base
+    span.  In a slot between two words it is any run of RUN tokens at most (and
+    the longest run of tokens that all have a digit or an @, however long);
+    after two words it is that longest run.  The text's ends count as words.
+    """
+    if not text or not DIGIT_OR_AT.search(text):
         return []
-    found = [(a, b, kind) for kind, a, b in spans]
-    taken = sorted((a, b) for _, a, b in spans)
-    at, k = 0, 0
-    while m := MARK.search(text, at):
-        a, b = m.start(), m.end()
-        while a > at and text[a - 1] not in SPACE:
-            a -= 1
-        stop = TOKEN.match(text, m.start())
-        b = stop.end()
-        at = b
+    tokens = [m.span() for m in TOKEN.finditer(text)]
+    starts = [a for a, _ in tokens]
+    taken: list[list[int]] = []                 # base spans, overlapping ones joined
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+
+    def word(i: int) -> str:
+        if not 0 <= i < len(tokens):
+            return "^" if i < 0 else "$"
+        raw = text[slice(*tokens[i])]
+        return _bare(raw) or raw
+
+    def noted(a, b, kind, left, right, after):
+        surface = text[a:b]
+        sort = "@" if "@" in surface else "0"
+        patterns = [f"{left[-1]} _ {right} {sort}"] if right is not None else []
+        if after:
+            patterns.append(f"{left[0]} {left[1]} {sort} _")
+        return a, b, kind, surface, patterns
+
+    out = []
+    for kind, a, b in spans:
+        i = bisect_right(starts, a) - 1
+        j = bisect_left(starts, b) - 1
+        glued = _bare(text[starts[i]:a])
+        left = [word(i - 1), glued] if glued else [word(i - 2), word(i - 1)]
+        right = _bare(text[b:max(b, tokens[j][1])]) or word(j + 1)
+        out.append(noted(a, b, KINDS[kind], left, right, True))
+
+    def free(i: int) -> bool:
+        k = bisect_right(taken, starts[i], key=lambda x: x[1])
+        return k == len(taken) or taken[k][0] >= tokens[i][1]
+
+    def edges(i: int, j: int) -> tuple[int, int]:
+        a, b = starts[i], tokens[j][1]
         while a < b and text[a] in EDGE:
             a += 1
         while b > a and text[b - 1] in EDGE:
             b -= 1
-        while k < len(taken) and taken[k][1] <= a:
-            k += 1
-        free = not any(x < b and a < y for x, y in taken[k:k + 4])
-        if free and 6 <= b - a <= LONGEST and sum(map(str.isdigit, text[a:b])) >= 4:
-            found.append((a, b, None))
-    out = []
-    for a, b, kind in found:
-        surface = text[a:b]
-        sort = "@" if "@" in surface else "0"
-        left = [_bare(w) for w in text[max(0, a - CONTEXT):a].split()][-2:]
-        right = [_bare(w) for w in text[b:b + CONTEXT].split()][:1]
-        patterns = []
-        if len(left) == 2 and left[1]:
-            patterns.append(" ".join(left) + " _ " + sort)
-        if left and right and left[-1] and right[0]:
-            patterns.append(left[-1] + " _ " + right[0] + " " + sort)
-        out.append((a, b, None if kind is None else KINDS[kind], surface, patterns))
+        return a, b
+
+    marked, at = [], 0                          # free tokens with a digit or an @
+    while m := DIGIT_OR_AT.search(text, at):
+        i = bisect_right(starts, m.start()) - 1
+        at = tokens[i][1]
+        if free(i):
+            marked.append(i)
+    seen = -1                                   # starts up to this one have had their runs
+    for n, i in enumerate(marked):
+        if n == 0 or marked[n - 1] != i - 1:    # the longest run from here
+            last = n
+            while last + 1 < len(marked) and marked[last + 1] == marked[last] + 1:
+                last += 1
+            j = marked[last]
+            out.append(noted(*edges(i, j), None, (word(i - 2), word(i - 1)),
+                             word(j + 1) if j - i >= RUN else None, True))
+        for first in range(max(seen + 1, i - RUN + 1, 0), i + 1):
+            if not all(free(k) for k in range(first, i)):
+                continue
+            left, inside = word(first - 1), {word(k) for k in range(first, i)}
+            for j in range(i, min(first + RUN, len(tokens))):
+                if not free(j):
+                    break
+                inside.add(word(j))
+                right = word(j + 1)
+                a, b = edges(first, j)
+                if left in inside:
+                    break
+                # A run whose end is punctuation only is the run without that end.
+                if right not in inside and all(edges(k, k)[0] < tokens[k][1] for k in (first, j)):
+                    out.append(noted(a, b, None, (None, left), right, False))
+        seen = i
     return out
 
 
@@ -134,19 +184,21 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            spans, noted = [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                own = base_spans(text)
-                spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                noted.append([dict(zip(("start", "end", "kind", "surface", "patterns"), m))
-                              for m in mentions(text, own)])
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(uid, uid + n), pa.int64()), batch.column(0),
-                 pa.array(spans, span), pa.array(noted, found)],
-                ["uid", "id", "spans", "noted"])
-            uid += n
+            for i in range(0, batch.num_rows, 256):
+                some = batch.slice(i, 256)
+                spans, noted = [], []
+                for text in some.column(1):
+                    text = text.as_py()
+                    own = base_spans(text)
+                    spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
+                    noted.append([dict(zip(("start", "end", "kind", "surface", "patterns"), m))
+                                  for m in mentions(text, own)])
+                n = some.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(uid, uid + n), pa.int64()), some.column(0),
+                     pa.array(spans, span), pa.array(noted, found)],
+                    ["uid", "id", "spans", "noted"])
+                uid += n
 
     return docs.select(id_col, text_col).mapInArrow(
         run, f"uid bigint, id {kind}, spans array<struct<kind:int,start:bigint,end:bigint>>, "
@@ -201,7 +253,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     """The id of every row, ``base`` and ``spans``: arrays of kind, start and end.
 
     ``spans`` has the base spans and those that the method adds, by kind as in
-    KINDS, then start.  A null text counts as empty and has none.  Repeated
+    KINDS, then start; of added spans of a kind inside one another the widest
+    is kept.  A null text counts as empty and has none.  Repeated
     rows have their spans each; an empty table gives an empty result.
     """
     rows = stage(_scan(docs, id_col, text_col), "scan")
@@ -213,6 +266,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
            .join(trusted.select("pattern", "kind"), "pattern")
            .join(accepted.select("surface", "kind"), ["surface", "kind"]))
     place = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    new = new.select("uid", "start", "end", "kind").distinct()
+    before = Window.partitionBy("uid", "kind").orderBy("start", F.desc("end")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    new = new.withColumn("reach", F.max("end").over(before)) \
+        .filter(F.col("reach").isNull() | (F.col("end") > F.col("reach")))
     new = new.select("uid", F.struct(place.alias("kind"), "start", "end").alias("s")) \
         .groupBy("uid").agg(F.collect_set("s").alias("more"))
     named = lambda c: F.transform(

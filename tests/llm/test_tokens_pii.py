@@ -243,6 +243,48 @@ def test_contexts_of_seeds_find_shapes_that_no_seed_has(spark):
     assert got == {100: [("phone", "020-7946-0958")], 101: [], 102: [("email", "jane1234@intranet")]}
 
 
+def test_candidates_have_no_digit_length_or_space_gates(spark):
+    rows = [(i, f"w{i} please call me at +1 (555) 010-{1000 + i} today or later") for i in range(20)]
+    rows += [(20 + i, f"v{i} then write to jane{i}@example.com again") for i in range(20)]
+    rows += [(40 + i, f"mail jo{i}@example.org") for i in range(20)]
+    name = "j" * 90 + "@intranet"
+    texts = {100: ("x call me at 020 7946 0958 today or later", "phone", "020 7946 0958"),
+             101: ("y then write to jane@intranet again", "email", "jane@intranet"),
+             102: (f"y then write to {name} again", "email", name),
+             103: ("y then write to jane @ intranet again", "email", "jane @ intranet"),
+             104: ("mail jane@intranet", "email", "jane@intranet"),
+             105: ("z call me at 01 23 45 67 89 10 please", "phone", "01 23 45 67 89 10"),
+             106: ("x room 020 7946 0958 is free", None, None)}
+    docs = spark.createDataFrame(rows + [(i, t) for i, (t, _, _) in texts.items()],
+                                 "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][0][s.start:s.end]) for s in r.spans]
+           for r in B.find(docs).collect() if r.doc_id in texts}
+    assert got == {i: [(k, x)] if k else [] for i, (_, k, x) in texts.items()}
+
+
+def test_mentions_of_runs_equal_plain_enumeration():
+    rng = random.Random(6)
+    parts = ["a", "b", "12", "x@", "(3)", "##", "a@b.c", "+1 555 010 1000", "c.", "7,"]
+    for _ in range(3000):
+        text = " ".join(rng.choices(parts, k=rng.randint(1, 12)))
+        spans = B.base_spans(text)
+        tokens = [m.span() for m in re.finditer(r"\S+", text)]
+        words = ["^", *(text[a:b].strip(B.EDGE).lower() or text[a:b] for a, b in tokens), "$"]
+        free = [all(y <= a or b <= x for _, x, y in spans) for a, b in tokens]
+        bare = [bool(text[a:b].strip(B.EDGE)) for a, b in tokens]
+        want = set()
+        for i in range(len(tokens)):
+            for j in range(i, min(i + B.RUN, len(tokens))):
+                raw = text[tokens[i][0]:tokens[j][1]]
+                if (all(free[i:j + 1]) and bare[i] and bare[j] and re.search("[0-9@]", raw)
+                        and not {words[i], words[j + 2]} & set(words[i + 1:j + 2])):
+                    surface = raw.strip(B.EDGE)
+                    want.add((surface, f"{words[i]} _ {words[j + 2]} {'@' if '@' in raw else '0'}"))
+        got = {(s, p) for _, _, k, s, ps in B.mentions(text, spans) if k is None for p in ps
+               if not p.endswith("_") and len(s.split()) <= B.RUN}
+        assert got == want, text
+
+
 def test_pii_edges(edge_docs, no_docs):
     rows = B.find(edge_docs).collect()
     assert len(rows) == 17 and all(len(r.base) <= len(r.spans) for r in rows)
