@@ -66,7 +66,7 @@ FROM drawn, unnest(range(1, copies + 1)) AS c(copy_no)
 
 def op7_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule ledger of ``documents`` and the verdict of policy v2."""
-    led = rule_ledger.ledger(table(spark, sf_dir, "documents"))
+    led = rule_ledger.stored(table(spark, sf_dir, "documents"))
     led = rule_ledger.apply_policy(led, "base", "base_ok")
     led = rule_ledger.apply_policy(led, "v2", "kept")
     return led.select("doc_id", *rule_ledger.MEASURES[:5],
@@ -109,6 +109,21 @@ FROM f
 """
 
 
+def op7_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v2 does in ``documents``, from the stored ledger."""
+    return rule_ledger.ablation(rule_ledger.stored(table(spark, sf_dir, "documents")), "v2")
+
+
+OP7_ABLATION_SQL = f"""
+WITH ledger AS ({OP7_SQL}),
+rules(rule, bit) AS (VALUES {", ".join(f"('{r}', {b})" for r, b in rule_ledger.BIT.items())})
+SELECT rule, count(*) FILTER (WHERE fail_bits & bit <> 0) AS failed,
+       count(*) FILTER (WHERE fail_bits = bit) AS failed_alone,
+       count(*) FILTER (WHERE fail_bits IN (0, bit)) AS kept_without
+FROM ledger, rules GROUP BY rule
+"""
+
+
 def op1_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of ``documents``, through a cache that starts empty."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -167,5 +182,6 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_cache, op2_simhash_bktree, op3_pairwise_quality, op4_pii_bootstrap, op5_exact_dedup,
-    op6_poisson_mix, op7_rule_ledger, op8_drr_packing, op9_substring_rk, op10_byte_cnn)}
-ORACLE = {"op5_exact_dedup": OP5_SQL, "op6_poisson_mix": OP6_SQL, "op7_rule_ledger": OP7_SQL}
+    op6_poisson_mix, op7_rule_ledger, op7_rule_ablation, op8_drr_packing, op9_substring_rk, op10_byte_cnn)}
+ORACLE = {"op5_exact_dedup": OP5_SQL, "op6_poisson_mix": OP6_SQL, "op7_rule_ledger": OP7_SQL,
+          "op7_rule_ablation": OP7_ABLATION_SQL}

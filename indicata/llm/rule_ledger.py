@@ -1,9 +1,9 @@
 """Operator 7, quality rules: a bitmask ledger.
 
 DataFrame functions only.  Every rule is evaluated once per document; the
-ledger keeps the measurements and one bit per failed rule.  A policy is a
-versioned set of bits, applied later without a second look at the texts, and
-ablations are bitwise aggregations over the ledger.
+ledger keeps the measurements and one bit per failed rule, and is written once.
+A policy is a versioned set of bits, applied to the stored ledger without a
+second look at the texts, and ablations are bitwise aggregations over it.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import new_columns
+from indicata.llm.common import new_columns, stage
 
 WS = r"[\x20\x09-\x0D]+"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
@@ -101,6 +101,12 @@ def ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.withColumn("fail_bits", bits)
 
 
+def stored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger of every row without its text, written once and read again."""
+    led = ledger(docs.select(id_col, text_col), text_col)
+    return stage(led.select(id_col, *MEASURES, "fail_bits"), "ledger")
+
+
 def apply_policy(led: DataFrame, policy: str | int, out: str = "kept") -> DataFrame:
     """The ledger with the verdict of a policy (a name of POLICIES or a mask)."""
     mask = POLICIES[policy] if isinstance(policy, str) else policy

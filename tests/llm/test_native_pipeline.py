@@ -13,6 +13,7 @@ import corpus_pipeline
 from indicata.llm import byte_cnn as C
 from indicata.llm import exact_index as X
 from indicata.llm import poisson_mix as M
+from indicata.llm import queries as Q
 from indicata.llm import rule_ledger as L
 from indicata.llm.common import table
 from tests.llm.test_simhash_substring import brute_fp, brute_groups
@@ -100,6 +101,19 @@ def test_ledger_edges_policies_and_ablation(edge_docs, no_docs):
     led.unpersist()
 
 
+def test_policies_and_ablation_read_the_stored_ledger(spark):
+    led = L.stored(table(spark, SF, "documents"))
+    assert led.columns == ["doc_id", *L.MEASURES, "fail_bits"]
+    found = Q.op7_rule_ledger(spark, SF)
+    assert found.inputFiles() and all("/ledger-" in f for f in found.inputFiles())
+    bits = [r.fail_bits for r in found.collect()]
+    got = {r.rule: (r.failed, r.failed_alone, r.kept_without)
+           for r in Q.op7_rule_ablation(spark, SF).collect()}
+    assert len(bits) == table(spark, SF, "documents").count()
+    assert got == {name: (sum(b & bit != 0 for b in bits), sum(b == bit for b in bits),
+                          sum(b in (0, bit) for b in bits)) for name, bit in L.BIT.items()}
+
+
 def test_pipeline_equals_plain_python(spark):
     docs = table(spark, SF, "documents")
     rows = docs.collect()
