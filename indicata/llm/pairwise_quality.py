@@ -2,27 +2,29 @@
 
 From labelled documents, preference pairs (one of label 1, one of label 0) are
 drawn; a linear score is learned by logistic loss on the difference of the two
-documents' features.  The threshold is the quantile of the training scores at
-the share of label 0, and the reported score is a logistic curve that takes
-the value 0.3 there.
+documents' features.  The fit is on a bounded sample.  The threshold is the
+quantile of the scores of all labelled training rows at the share of label 0,
+and the reported score is a logistic curve that takes the value 0.3 there.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import id_text
+from indicata.llm.common import id_text, stage
 
 #: Bounds of the fit: labelled rows, preference pairs.
 SAMPLE_ROWS, PAIRS = 20_000, 200_000
 CUT = 0.3
+#: Intervals of a step of the quantile search.
+INTERVALS = 4096
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
@@ -59,8 +61,11 @@ class Model:
     weights: np.ndarray
     threshold: float
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return ((x - self.mean) / self.spread) @ self.weights
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        s = ((x - self.mean) / self.spread) @ self.weights - self.threshold
+        s = self.raw(x) - self.threshold
         return 1 / (1 + np.exp(-np.clip(s + math.log(CUT / (1 - CUT)), -500, 500)))
 
 
@@ -89,9 +94,31 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(id_text(id_col)), F.lit(5)) == 0
 
 
+def smallest(scores: DataFrame, k: int) -> float:
+    """The ``k``-th smallest (from 1) of the column ``s``, which must be finite.
+
+    Counts by interval, then by interval of the one that has it, until that
+    one holds a single value: exact, with INTERVALS rows at the driver.
+    """
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    while low < high:
+        step = (high - low) / INTERVALS
+        place = F.floor((F.col("s") - low) / step) if step else F.col("s") > low
+        rows = (scores.filter(F.col("s").between(low, high)).groupBy(place.alias("i"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("a"), F.max("s").alias("b"))
+                .orderBy("i").collect())
+        for r in rows:
+            if k <= r.n:
+                break
+            k -= r.n
+        low, high = r.a, r.b
+    return low
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> Model | None:
-    """A model from at most about SAMPLE_ROWS labelled rows outside the held-out fold."""
+    """A model fitted to at most about SAMPLE_ROWS labelled rows outside the held-out fold,
+    with the threshold of all of these rows."""
     known = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))) \
         .select(id_col, label_col)
     n = known.count()
@@ -111,7 +138,29 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return None
     x, y = np.array(got["x"].tolist()), got["y"].to_numpy()
     order = np.lexsort(x.T)
-    return fit(x[order], y[order])
+    model = fit(x[order], y[order])
+    if model is None:
+        return None
+
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.array([features(t.as_py()) for t in batch.column(1)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(model.raw(rows.reshape(-1, len(FEATURES))),
+                                           pa.float64())], ["id", "s"])
+
+    # Scored before the join, so that it moves numbers and no texts.
+    every = docs.select(id_col, text_col).filter(~held_out(F.col(id_col))) \
+        .mapInArrow(score, f"id {kind}, s double")
+    scores = stage(every.join(known.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")),
+                              "id").select("s", "y"), "scores")
+    total, bad = scores.agg(F.count(F.lit(1)), F.sum(F.when(F.col("y") == 0, 1).otherwise(0))) \
+        .first()
+    # The quantile at the share of label 0, between two scores.
+    return replace(model, threshold=(smallest(scores, bad)
+                                     + smallest(scores, min(bad + 1, total))) / 2)
 
 
 def rank(docs: DataFrame, model: Model | None, id_col: str = "doc_id",

@@ -74,6 +74,27 @@ def test_quality_edges(spark, edge_docs, no_docs):
     assert P.learn(no_docs, labels) is None
 
 
+def test_quality_threshold_covers_all_labelled_rows(spark, monkeypatch):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    labels = labels.filter("doc_id IS NOT NULL")
+    monkeypatch.setattr(P, "SAMPLE_ROWS", labels.count() // 4)
+    model = P.learn(docs, labels)
+    rows = docs.join(labels.filter(~P.held_out(F.col("doc_id"))), "doc_id").toPandas()
+    s = np.sort(model.raw(np.array([P.features(t) for t in rows.text])))
+    k = int((rows.quality == 0).sum())
+    assert 0 < k < len(s) and np.isclose(model.threshold, (s[k - 1] + s[k]) / 2, atol=1e-9)
+
+
+def test_quantile_search_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(P, "INTERVALS", 3)
+    rng = np.random.default_rng(5)
+    values = [*rng.normal(size=200), *[0.25] * 50, 1e9, -1e9, 5e-324, 0.0]
+    scores = spark.createDataFrame([(float(v),) for v in values], "s double").repartition(3).cache()
+    for k in (1, 2, 100, 140, 200, 253, 254):
+        assert P.smallest(scores, k) == sorted(values)[k - 1]
+    scores.unpersist()
+
+
 def test_bradley_terry_orders_and_cuts_at_the_quantile():
     rng = np.random.default_rng(3)
     y = (rng.random(2000) < 0.8).astype(int)
