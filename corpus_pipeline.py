@@ -27,18 +27,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of equal texts."""
-    return exact_index.exact_dedup(docs).filter("kept").select(*docs.columns)
+    """Keep one document of each group of equal texts, also where rows repeat an id or have none."""
+    kept = exact_index.exact_dedup(docs).filter("kept")
+    return kept.dropDuplicates(["text_sha256"]).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each group of near copies.
 
-    Rows with a null id stay where a group has no other id.
+    Rows are told apart by id and text, which differ after ``exact_dedup``: a
+    repeated id or rows without one do not keep a second row of a group.  A null
+    id stays where its group has no other.
     """
-    groups = simhash_bktree.near_groups(docs, shingle=3, radius=2)
-    first = groups.select(F.col("component").alias("first_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                   F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("digest"))
+    groups = simhash_bktree.near_groups(docs.select(row.alias("row"), "text"), id_col="row",
+                                        shingle=3, radius=2)
+    first = groups.select("component.*").distinct()
+    keyed = docs.select("*", row.alias("__row"))
+    return keyed.join(first, F.col("__row.id").eqNullSafe(first["id"])
+                      & (F.col("__row.digest") == first["digest"]), "left_semi").drop("__row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

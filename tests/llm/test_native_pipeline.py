@@ -114,6 +114,27 @@ def test_policies_and_ablation_read_the_stored_ledger(spark):
                           sum(b in (0, bit) for b in bits)) for name, bit in L.BIT.items()}
 
 
+def test_dedup_stages_keep_one_row_of_a_group(spark):
+    base = " ".join(f"word{i}" for i in range(300))
+    rows = [(1, "same ROW"), (1, "same row"), (1, "same row"), (None, "no id here"), (None, "no id here"),
+            (None, base), (7, base + " tail"), (7, base + " tall"), (7, "another text altogether of id seven"),
+            (None, "a lone text without any id at all"), (7, "same row")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    exact = corpus_pipeline.exact_dedup(spark, docs, SF)
+    assert exact.columns == ["doc_id", "text"]
+    groups = {t for _, t in rows} - {"same ROW"}
+    left = [tuple(r) for r in exact.collect()]
+    assert sorted(t for _, t in left) == sorted(groups) and (7, "same row") in left
+    prints = {t: brute_fp(t) for t in groups}
+    of = {i: c for i, _, c in brute_groups(list(zip(range(len(left)), [prints[t] for _, t in left])))}
+    near = [tuple(r) for r in corpus_pipeline.simhash_near_dedup(spark, exact, SF).collect()]
+    assert len(near) == len(set(of.values())) < len(left)
+    assert {of[left.index(r)] for r in near} == set(of.values())
+    for r in near:
+        ids = [left[k][0] for k in of if of[k] == of[left.index(r)] and left[k][0] is not None]
+        assert r[0] == min(ids, default=None)
+
+
 def test_pipeline_equals_plain_python(spark):
     docs = table(spark, SF, "documents")
     rows = docs.collect()
