@@ -10,8 +10,9 @@ from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agen
                                        site_type, support_class, unknown_label)
 from indicata.functions.expressions import is_in, lookup, recode
 from indicata.functions.periods import suffix_denominator
-from indicata.operators.derive import apply_corrections, derive_indicators
-from indicata.operators.joins import enrich, orphans, qa_missing_key, refresh_attrs, restrict_to
+from indicata.operators.derive import apply_corrections, derive_indicators, derive_long
+from indicata.operators.joins import (enrich, keep_with_any, orphans, qa_missing_key, refresh_attrs,
+                                      restrict_to)
 from indicata.operators.measures import group_sum, period_bounds
 from indicata.operators.reshape import spread
 from indicata.operators.scoring import site_volume
@@ -381,3 +382,43 @@ def derive_indicators_q(spark, sf_dir):
     wide = spread(_DERIVE_FRAME(proxy.fact(spark, sf_dir)), "indicator", "value", _SOURCES)
     wide = derive_indicators(wide, R.DERIVED_INDICATORS)
     return wide.groupBy("fiscal_year").agg(*[F.sum(c).alias(c) for c in _DERIVED_OUT])
+
+
+# ---------------------------------------------------------------------------
+# The bundled long-form rules, on dealt labels
+# ---------------------------------------------------------------------------
+
+_LONG_WHEN = [r["when"] for r in R.LONG_DERIVED]
+# Pools of lengths without a common factor where a rule reads both, so that their values meet.
+_LONG_COLUMNS = {"indicator": ["TB_STAT", "TX_TB", "TB_PREV", "TX_CURR"],
+                 "period_type": ["cumulative", "targets", "cumulative"]} | {
+    c: (2 * label_pool(_LONG_WHEN, c))[:n] for c, n in (
+        ("statushiv", 3), ("statustb", 5), ("otherdisaggregate", 7), ("hiv_treatment_status", 7))}
+_LONG_FRAME, _LONG_SQL = _dealt(_LONG_COLUMNS, "numeratordenom", "value")
+
+
+def _sql_long_derived() -> str:
+    """One copy after another, as the rules are listed."""
+    copies = ["SELECT indicator_temp AS ind, period_type, value FROM b"] + [
+        f"SELECT CASE WHEN indicator_temp = '{r['src']}' THEN '{r['label']}' ELSE indicator_temp END, "
+        f"period_type, value FROM b WHERE {r['match_col']} = '{r['src']}' "
+        f"AND ({_sql_predicate(r['when'])})" for r in R.LONG_DERIVED]
+    return f""", x AS ({_LONG_SQL}),
+b AS (SELECT *, indicator || CASE WHEN numeratordenom = 'D' THEN '_D' ELSE '' END AS indicator_temp
+      FROM x),
+c AS ({" UNION ALL ".join(copies)}),
+w AS (SELECT ind AS indicator, CASE WHEN period_type = 'cumulative' THEN value END AS cumulative,
+             CASE WHEN period_type = 'targets' THEN value END AS targets FROM c)
+SELECT indicator, count(*) AS n, sum(cumulative) AS cumulative, sum(targets) AS targets
+FROM w WHERE indicator IN (SELECT indicator FROM w WHERE targets IS NOT NULL) GROUP BY indicator"""
+
+
+@register("targets_bundled", _sql_long_derived())
+def targets_bundled(spark, sf_dir):
+    f = _LONG_FRAME(proxy.fact(spark, sf_dir)).withColumn(
+        "indicator_temp", suffix_denominator("indicator", "numeratordenom"))
+    wide = spread(derive_long(f, R.LONG_DERIVED), "period_type", "value", ["cumulative", "targets"]) \
+        .drop("indicator").withColumnRenamed("indicator_temp", "indicator")
+    return keep_with_any(wide, "indicator", "targets").groupBy("indicator").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cumulative").alias("cumulative"),
+        F.sum("targets").alias("targets"))

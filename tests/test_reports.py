@@ -385,3 +385,9 @@ def test_yearly_extract_without_a_renamed_column_is_an_error(spark):
         P.yearly_extracts({"2022": df}, R.SITE_LAYOUTS, T.StructType([]))
     with pytest.raises(KeyError):
         P.yearly_extracts({"1999": df}, R.SITE_LAYOUTS, T.StructType([]))
+
+
+def test_bundled_long_rules_all_run_in_a_query(spark):
+    from indicata.plans.catalog import QUERIES
+    found = {r.indicator for r in QUERIES["targets_bundled"](spark, "/root/testdata/sf0.001").collect()}
+    assert {r["label"] for r in R.LONG_DERIVED} <= found
