@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import (byte_cnn, drr_packing, exact_index, pairwise_quality, pii_bootstrap,
-                          poisson_mix, rule_ledger, simhash_bktree, substring_rk, token_cache)
+from indicata.llm import (byte_cnn, drr_packing, exact_index, filter_diagram, merkle_windows,
+                          pairwise_quality, pii_bootstrap, poisson_mix, rp_forest, rule_ledger,
+                          simhash_bktree, substring_rk, token_cache)
 from indicata.llm.common import stage_path, table
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -180,8 +183,153 @@ def op10_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_filter_diagram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction of five filters over ``documents``, by source, in all orders."""
+    masks = filter_diagram.failure_masks(table(spark, sf_dir, "documents"),
+                                         table(spark, sf_dir, "labels"))
+    return filter_diagram.audit(masks)
+
+
+_ORDERS = ", ".join(f"('{''.join(o)}')" for o in permutations(filter_diagram.FILTERS))
+OP11_SQL = f"""
+WITH firsts AS (SELECT coalesce(text, '') AS t, min(doc_id) AS least FROM documents GROUP BY 1),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+      FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                     lambda x: x <> '') AS ws
+  FROM documents),
+m AS (
+  SELECT d.part, (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+         + 4 * (100 * (strlen(t) - strlen(regexp_replace(t, '[A-Z]', '', 'g')))
+                > 2 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(d.doc_id > f.least, false)::INT AS mask,
+         coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic
+  FROM d JOIN firsts f USING (t) LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+      FROM m GROUP BY part, mask),
+orders(filter_order) AS (VALUES {_ORDERS}),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS f,
+         (1 << (instr('ABCDE', filter_order[step]) - 1)) AS bit,
+         list_sum([1 << (instr('ABCDE', filter_order[j]) - 1) for j in range(1, step)]) AS before
+  FROM orders, range(1, 6) AS s(step)),
+r AS (
+  SELECT part, filter_order, step, f,
+         sum(n) FILTER (mask & (coalesce(before, 0)::INT | bit) = 0) AS kept,
+         sum(n) FILTER (mask & bit <> 0 AND mask & coalesce(before, 0)::INT = 0) AS removed,
+         sum(n) FILTER (mask & bit <> 0 AND mask & coalesce(before, 0)::INT <> 0) AS redundant,
+         sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & bit <> 0 AND mask & coalesce(before, 0)::INT = 0) AS good_lost,
+         sum(toxic) FILTER (mask & bit <> 0 AND mask & coalesce(before, 0)::INT = 0) AS toxic_lost
+  FROM c, steps GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept,
+       coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r
+"""
+
+
+def op12_merkle_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of ``documents`` by source, and a check of tampered texts against it."""
+    return merkle_windows.manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _crc_sql(text: str) -> str:
+    """crc32 of an ASCII text in SQL, four bits at a time."""
+    steps = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    halves = (f"flatten([[ascii(ch) & 15, ascii(ch) >> 4] for ch in string_split({text}, '')])")
+    return (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {halves}), "
+            f"lambda c, x: xor(c >> 4, (CAST({steps} AS BIGINT[]))[(xor(c, x) & 15) + 1])))")
+
+
+def _merkle_sql(depth: int = 6) -> str:
+    """The manifest with ``depth`` levels in either tree, written out (16**6 rows a source)."""
+    def h(cols):
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+            for c in cols) + ")"
+
+    def tree(name, key, start):
+        """Levels, then per first node (key, i) the left and right siblings of every level."""
+        parts = [f"{name}0 AS ({start})"]
+        for k in range(depth):
+            parts.append(
+                f"{name}r{k} AS (SELECT {key}, i // 16 AS run, list(d ORDER BY i) AS ds, "
+                f"any_value(n) AS n FROM {name}{k} GROUP BY ALL)")
+            parts.append(
+                f"{name}{k + 1} AS (SELECT {key}, run AS i, CASE WHEN n = 1 THEN ds[1] ELSE "
+                f"sha256(array_to_string(ds, '')) END AS d, (n + 15) // 16 AS n FROM {name}r{k})")
+        cols = ", ".join(
+            f"CASE WHEN r{k}.n > 1 THEN [array_to_string(r{k}.ds[1:(z.i // {16 ** k}) % 16], ''), "
+            f"array_to_string(r{k}.ds[(z.i // {16 ** k}) % 16 + 2:], '')] END AS s{k}"
+            for k in range(depth))
+        joins = " ".join(
+            f"JOIN {name}r{k} r{k} ON r{k}.{key} = z.{key} AND r{k}.run = z.i // {16 ** (k + 1)}"
+            for k in range(depth))
+        parts.append(f"{name}s AS (SELECT z.*, {cols} FROM {name}0 z {joins})")
+        return ", ".join(parts)
+
+    def folded(value, rows):
+        out = value
+        for row in rows:
+            out = f"(CASE WHEN {row} IS NULL THEN {out} ELSE sha256({row}[1] || {out} || {row}[2]) END)"
+        return out
+
+    lower = f"translate(text, '{_UP}', '{_LOW}')"
+    changed = h(["doc_id", "source", "lang", "n_chars", "other"])
+    steps = [f"l.s{k}" for k in range(depth)] + [f"t.s{k}" for k in range(depth)]
+    proof = " || ".join(f"coalesce({s}[1] || {s}[2], '')" for s in steps)
+    # nested folds are written level by level, as an expression would double at each
+    fold, last = [], "start"
+    for k, s in enumerate(steps):
+        col = f"w{k}"
+        fold.append(f"f{k} AS (SELECT *, CASE WHEN p{k} IS NULL THEN {last} ELSE "
+                    f"sha256(p{k}[1] || {last} || p{k}[2]) END AS {col} "
+                    f"FROM {'base' if k == 0 else f'f{k - 1}'})")
+        last = col
+    named = ", ".join(f"{s} AS p{k}" for k, s in enumerate(steps))
+    return f"""
+WITH docs AS (
+  SELECT *, coalesce('s' || source, 'n') AS g,
+         CASE WHEN doc_id IS NOT NULL AND text IS NOT NULL AND {_crc_sql("doc_id::VARCHAR")} % 5 = 0
+              THEN {lower} ELSE text END AS other
+  FROM documents),
+hashed AS (
+  SELECT doc_id, g, {h(["doc_id", "source", "lang", "n_chars", "text"])} AS d, {changed} AS other
+  FROM docs),
+{tree("l", "g", "SELECT doc_id, other, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS i, d, count(*) OVER (PARTITION BY g) AS n FROM hashed")},
+tops AS (SELECT g AS name, d FROM l{depth}),
+{tree("t", "one", "SELECT 1 AS one, name, row_number() OVER (ORDER BY name) - 1 AS i, d, count(*) OVER () AS n FROM tops")},
+base AS (
+  SELECT l.doc_id, l.d AS leaf, t.d AS subroot, (SELECT d FROM t{depth}) AS root, l.other AS start,
+         sha256({proof}) AS proof_sha256, {named}
+  FROM ls l JOIN ts t ON t.name = l.g),
+{", ".join(fold)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, {last} AS folded_root, {last} = root AS verified
+FROM f{len(steps) - 1}
+"""
+
+
+def op13_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector of ``embeddings`` by inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return rp_forest.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_cache, op2_simhash_bktree, op3_pairwise_quality, op4_pii_bootstrap, op5_exact_dedup,
-    op6_poisson_mix, op7_rule_ledger, op7_rule_ablation, op8_drr_packing, op9_substring_rk, op10_byte_cnn)}
+    op6_poisson_mix, op7_rule_ledger, op7_rule_ablation, op8_drr_packing, op9_substring_rk,
+    op10_byte_cnn, op11_filter_diagram, op12_merkle_windows, op13_rp_forest)}
 ORACLE = {"op5_exact_dedup": OP5_SQL, "op6_poisson_mix": OP6_SQL, "op7_rule_ledger": OP7_SQL,
-          "op7_rule_ablation": OP7_ABLATION_SQL}
+          "op7_rule_ablation": OP7_ABLATION_SQL, "op11_filter_diagram": OP11_SQL,
+          "op12_merkle_windows": _merkle_sql()}
