@@ -169,9 +169,8 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source",
     over = levels(stage(numbered(over, "g", ["name"]), "subroots"))
     last = tops(over).first()
     root = F.lit(last["digest"] if last else None).cast("string")
-    none = docs.sparkSession.range(1).select(F.lit(0).alias("g"),
-                                             F.array().cast(STEP).alias("proof"),
-                                             root.alias("top"))
+    none = docs.sparkSession.createDataFrame([(0, [], last["digest"] if last else None)],
+                                             f"g int, proof {STEP}, top string")
     above = stage(proofs(over, none, ["name"]).select(F.col("name").alias("g"), "proof",
                                                       F.col("digest").alias("top")), "above")
     found = proofs(trees, above, ["id", "changed"])
