@@ -8,24 +8,25 @@ in batches of windows, whose log-probabilities are averaged by bytes.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import id_text, worker_store
+from indicata.llm.common import id_text, worker_slot
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 STRIDE = WINDOW - max(WIDTHS) + 1  # every run of bytes that a filter sees lies in one window
-#: Bounds of the training sample: documents per language, windows per document.
-DOCS_PER_LANG, WINDOWS_PER_DOC = 300, 4
+#: Bounds of the training sample: documents per language (in expectation), windows per document,
+#: languages (the most frequent ones) and documents in total.
+DOCS_PER_LANG, WINDOWS_PER_DOC, MAX_LANGS, MAX_DOCS = 300, 4, 200, 30_000
 BATCH = 64
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -50,13 +51,19 @@ def held_out(id_col: Column) -> Column:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
-    """Windows (n, 256) and languages of at most about DOCS_PER_LANG documents a language."""
+    """Windows (n, 256) and languages of a bounded sample.
+
+    It has about DOCS_PER_LANG documents of each language, fewer where there
+    are many languages; of more than MAX_LANGS the most frequent are learned.
+    """
     rows = docs.filter(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull()
                        & F.col(text_col).isNotNull())
-    sizes = dict(rows.groupBy(lang_col).agg(F.count(F.lit(1))).collect())
+    counts = rows.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n"))
+    sizes = dict(counts.orderBy(F.desc("n"), lang_col).limit(MAX_LANGS).collect())
     if not sizes:
         return np.empty((0, WINDOW), np.uint8), []
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, DOCS_PER_LANG / n)])
+    each = min(DOCS_PER_LANG, MAX_DOCS / 2 / len(sizes))
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, each / n)])
     draw = F.pmod(F.xxhash64(id_text(F.col(id_col)), F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,8 +77,10 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(parts, pa.binary())], ["lang", "part"])
 
-    picked = rows.filter(draw < F.element_at(share, F.col(lang_col))) \
-        .select(lang_col, text_col).mapInArrow(cut, "lang string, part binary")
+    # the limit is met only where many rows repeat one id
+    picked = rows.filter(draw < F.try_element_at(share, F.col(lang_col))) \
+        .select(lang_col, text_col).mapInArrow(cut, "lang string, part binary") \
+        .limit(MAX_DOCS * WINDOWS_PER_DOC)
     got = sorted(picked.toPandas().itertuples(index=False))
     x = np.frombuffer(b"".join(r.part for r in got), np.uint8).reshape(-1, WINDOW)
     return x, [r.lang for r in got]
@@ -163,11 +172,7 @@ def log_probabilities(model: Model, b: np.ndarray, tables=None) -> np.ndarray:
 
 def classify(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and probability of each text; ``und`` and 0 where no letter is."""
-    store = worker_store()
-    key = ("byte_cnn", model.dense.tobytes())
-    if store.get("byte_cnn", (None,))[0] != key:
-        store["byte_cnn"] = (key, _tables(model))
-    tables = store["byte_cnn"][1]
+    tables = worker_slot(("byte_cnn", model.dense.tobytes()), lambda: _tables(model))
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     queue: list[tuple[int, np.ndarray, np.ndarray]] = []
     held = 0
@@ -216,10 +221,12 @@ def detect(docs: DataFrame, model: Model | None, text_col: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = classify(model, batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+            for i in range(0, batch.num_rows, 512):
+                some = batch.slice(i, 512)
+                langs, scores = classify(model, some.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    [*batch.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*keep, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import string
 import sys
 import types
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +90,27 @@ def new_columns(df: DataFrame, names: list[str], text_col: str | None = None) ->
     return [F.col(f"`{c}`") for c in df.columns if c not in names]
 
 
-def worker_store() -> dict:
-    """A dict that lives from task to task in a reused Python worker."""
-    name = "_indicata_worker_store"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+def worker_slot(key, make: Callable[[], object]):
+    """What ``make`` gives for ``key``, kept from task to task in a reused Python worker.
+
+    A worker keeps one thing: another key's replaces it, and the memory goes
+    back to the system first.  So an operator's memo does not stay beside the
+    next one's.
+    """
+    name = "_indicata_worker_slot"
+    store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if store.get("key") != key:
+        store.pop("value", None)
+        release()
+        store["key"], store["value"] = key, make()
+    return store["value"]
+
+
+def release() -> None:
+    """Give unused memory of this process back to the system, where it can be."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicata.llm.common import bucketed, stage, worker_store
+from indicata.llm.common import bucketed, stage, worker_slot
 
 #: Tokens of a block.
 BLOCK_TOKENS = 1 << 21
@@ -113,10 +113,7 @@ class Encoder:
 
 
 def _encoder(path: str) -> Encoder:
-    store = worker_store()
-    if store.get("encoder", (None,))[0] != path:
-        store["encoder"] = (path, Encoder(path))
-    return store["encoder"][1]
+    return worker_slot(("encoder", path), lambda: Encoder(path))
 
 
 def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, source_col: str,

@@ -8,14 +8,19 @@
    document is one entry per block.
 3. Each range counts its keys over the blocks and returns, block by block, one
    bit per key.  A range has a bounded number of keys, as their number follows
-   the size of the input.
-4. Every block marks its repeated windows, merges them into maximal intervals
-   of words and removes those.
+   the size of the input; rows are sent for ranges with keys only.
+4. Rolling hashes can agree by chance or by design of a text, so what they find
+   is a screen.  The windows that pass it are counted once more, by a 128-bit
+   BLAKE2 digest of their words, and only those count as repeated.
+5. Every block merges its repeated windows into maximal intervals of words and
+   removes those.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import bucketed
+from indicata.llm.common import bucketed, stage
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -94,39 +99,80 @@ def _window_hashes(w: np.ndarray, length: int, base: int) -> np.ndarray:
     return out
 
 
-def _block_keys(texts: list[bytes], length: int, ranges: int):
-    """Of one block: words per text, starts of windows, each window's place among the distinct
-    keys, how often a key occurs here, and the keys' ranges and values, in order of range."""
-    counts, w = _words(texts)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
-    starts = np.flatnonzero(doc[:len(w) - length + 1] == doc[length - 1:]) \
-        if len(w) >= length else np.empty(0, np.int64)
-    keys = _window_hashes(w, length, BASES[0])[starts]
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    new = np.empty(len(keys), bool)
-    new[:1] = True
-    new[1:] = keys[1:] != keys[:-1]
+class Keys(NamedTuple):
+    """A block's windows by their keys, in order of range."""
+
+    starts: np.ndarray   # first words of the windows
+    place: np.ndarray    # each window's place among the distinct keys
+    times: np.ndarray    # how often a key occurs here
+    part: np.ndarray     # the keys' ranges
+    keys: np.ndarray     # the distinct keys, rows of 64-bit numbers
+
+    def again(self, hits: list[dict] | None) -> np.ndarray:
+        """First words of the windows whose key occurs twice, here or with another block."""
+        twice = self.times > 1
+        for x in hits or []:
+            a, b = np.searchsorted(self.part, [x["part"], x["part"] + 1])
+            twice[a:b] |= np.unpackbits(np.frombuffer(x["hits"], np.uint8),
+                                        count=b - a).astype(bool)
+        return self.starts[twice[self.place]]
+
+
+def _order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of keys, and which of them, in that order, differ from the one before."""
+    order = np.lexsort(keys.T[::-1])
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+    return order, new
+
+
+def _by_range(starts: np.ndarray, keys: np.ndarray, ranges: int, part_of) -> Keys:
+    """``part_of(first)`` deals the keys at these places in ``keys`` to ranges."""
+    order, new = _order(keys)
     place = np.empty(len(keys), np.int64)
     place[order] = np.cumsum(new) - 1
-    first = starts[order[new]]
+    first = order[new]
     times = np.diff(np.append(np.flatnonzero(new), len(keys)))
-    part = (_window_hashes(w, length, BASES[1])[first] >> np.uint64(20)) % np.uint64(ranges)
+    part = (part_of(first) >> np.uint64(20)) % np.uint64(ranges)
     by_range = np.argsort(part, kind="stable")
     back = np.empty(len(by_range), np.int64)
     back[by_range] = np.arange(len(by_range))
-    return counts, starts, back[place], times[by_range], part[by_range].astype(np.int64), \
-        keys[new][by_range]
+    return Keys(starts, back[place], times[by_range], part[by_range].astype(np.int64),
+                keys[first][by_range])
+
+
+def _rolling(texts: list[bytes], length: int, ranges: int) -> tuple[np.ndarray, Keys]:
+    """Words per text, and the windows by their rolling hashes."""
+    counts, w = _words(texts)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
+    starts = np.flatnonzero(doc[:len(w) - length + 1] == doc[length - 1:]) \
+        if len(w) >= length else np.empty(0, np.int64)
+    keys = _window_hashes(w, length, BASES[0])[starts]
+    return counts, _by_range(starts, keys[:, None], ranges,
+                             lambda first: _window_hashes(w, length, BASES[1])[starts[first]])
+
+
+def _exact(texts: list[bytes], counts: np.ndarray, starts: np.ndarray, length: int,
+           ranges: int) -> Keys:
+    """The windows at ``starts`` by digests of their words."""
+    digests, first = [], np.append(0, np.cumsum(counts))
+    cuts = np.searchsorted(starts, first)
+    for i in np.flatnonzero(np.diff(cuts)).tolist():
+        words = texts[i].split()
+        digests += [hashlib.blake2b(b" ".join(words[k:k + length]), digest_size=16).digest()
+                    for k in (starts[cuts[i]:cuts[i + 1]] - first[i]).tolist()]
+    keys = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    return _by_range(starts, keys, ranges, lambda first: keys[first, 0])
 
 
 def _pack(keys: np.ndarray) -> bytes:
     """Sorted keys with their bytes in planes, the first of which compress well."""
-    return keys.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return np.ascontiguousarray(keys).view(np.uint8).T.tobytes()
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T) \
-        .view(np.uint64).ravel()
+def _unpack(data: bytes, width: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8 * width, -1).T) \
+        .view(np.uint64)
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -177,48 +223,60 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = _blocks(docs, id_col, text_col, size)
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(block: int, found: Keys) -> pa.RecordBatch:
+        cuts = np.append(np.flatnonzero(np.diff(found.part, prepend=-1)), len(found.part))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.part[cuts[:-1]], pa.int64()),
+             pa.array([block] * (len(cuts) - 1), pa.int64()),
+             pa.array([_pack(found.keys[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())],
+            ["part", "block", "keys"])
+
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                _, _, _, _, part, keys = _block_keys(
-                    [t.encode() for t in texts.as_py()], window, ranges)
-                cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[cuts[:-1]], pa.int64()),
-                     pa.array([block] * (len(cuts) - 1), pa.int64()),
-                     pa.array([_pack(keys[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())],
-                    ["part", "block", "keys"])
-
-    def count(group: pd.DataFrame) -> pd.DataFrame:
-        sets = [_unpack(k) for k in group["keys"]]
-        ends = np.cumsum([len(s) for s in sets])
-        keys = np.concatenate(sets)
-        order = np.argsort(keys, kind="stable")
-        same = keys[order[1:]] == keys[order[:-1]]
-        hit = np.zeros(len(keys), bool)
-        hit[order[1:][same]] = True
-        hit[order[:-1][same]] = True
-        bits = np.split(hit, ends[:-1])
-        some = [b.any() for b in bits]
-        return pd.DataFrame({"part": group["part"][some], "block": group["block"][some],
-                             "hits": [np.packbits(b).tobytes() for b in bits if b.any()]})
-
-    sent = blocks.select("block", "texts").mapInArrow(
-        send, "part bigint, block bigint, keys binary")
-    hits = (sent.groupBy("part").applyInPandas(count, "part bigint, block bigint, hits binary")
-            .groupBy("block").agg(F.collect_list(F.struct("part", "hits")).alias("hits")))
+                data = [t.encode() for t in texts.as_py()]
+                yield sent(block, _rolling(data, window, ranges)[1])
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, texts, found in zip(*(batch.column(c) for c in ("block", "texts", "hits"))):
+                data = [t.encode() for t in texts.as_py()]
+                counts, own = _rolling(data, window, ranges)
+                yield sent(block.as_py(),
+                           _exact(data, counts, own.again(found.as_py()), window, ranges))
+
+    def counted(sent: DataFrame, width: int) -> DataFrame:
+        """Per block the ranges and bits of the keys that another block has sent as well."""
+
+        def count(group: pd.DataFrame) -> pd.DataFrame:
+            sets = [_unpack(k, width) for k in group["keys"]]
+            ends = np.cumsum([len(s) for s in sets])
+            order, new = _order(np.concatenate(sets))
+            same = ~new[1:]
+            hit = np.zeros(len(order), bool)
+            hit[order[1:][same]] = True
+            hit[order[:-1][same]] = True
+            bits = np.split(hit, ends[:-1])
+            some = [b.any() for b in bits]
+            return pd.DataFrame({"part": group["part"][some], "block": group["block"][some],
+                                 "hits": [np.packbits(b).tobytes() for b in bits if b.any()]})
+
+        hits = sent.groupBy("part").applyInPandas(count, "part bigint, block bigint, hits binary")
+        return hits.groupBy("block").agg(F.collect_list(F.struct("part", "hits")).alias("hits"))
+
+    keys = "part bigint, block bigint, keys binary"
+    rolling = stage(counted(blocks.select("block", "texts").mapInArrow(screen, keys), 1), "screen")
+    passed = blocks.join(rolling.hint("shuffle_hash"), "block", "left")
+    exact = counted(passed.select("block", "texts", "hits").mapInArrow(confirm, keys), 2)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts, found in zip(*(batch.column(c) for c in ("ids", "texts", "hits"))):
+            for ids, texts, found, sure in zip(*(batch.column(c)
+                                                 for c in ("ids", "texts", "hits", "sure"))):
                 data = [t.encode() for t in texts.as_py()]
-                counts, starts, place, times, part, _ = _block_keys(data, window, ranges)
-                again = times > 1
-                for x in found.as_py() or []:
-                    a, b = np.searchsorted(part, [x["part"], x["part"] + 1])
-                    again[a:b] |= np.unpackbits(np.frombuffer(x["hits"], np.uint8),
-                                                count=b - a).astype(bool)
-                at = starts[again[place]]
+                counts, own = _rolling(data, window, ranges)
+                own = _exact(data, counts, own.again(found.as_py()), window, ranges)
+                at = own.again(sure.as_py())
                 change = np.zeros(int(counts.sum()) + 1, np.int32)
                 np.add.at(change, at, 1)
                 np.add.at(change, at + window, -1)
@@ -245,6 +303,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      pa.array(out["kept"], pa.string())],
                     [id_col, "n_words", "n_removed", "removed", "kept_text"])
 
-    return (blocks.join(hits.hint("shuffle_hash"), "block", "left").select("ids", "texts", "hits")
+    sure = exact.withColumnRenamed("hits", "sure").hint("shuffle_hash")
+    return (passed.join(sure, "block", "left").select("ids", "texts", "hits", "sure")
             .mapInArrow(remove, f"`{id_col}` {kind}, n_words bigint, n_removed bigint, "
                                 "removed array<struct<start:int,end:int>>, kept_text string"))

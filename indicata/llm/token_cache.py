@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicata.llm.common import new_columns, stage, worker_store
+from indicata.llm.common import new_columns, stage, worker_slot
 
 SCHEMA = "version string, digest binary, n_tokens bigint"
 COLUMNS = ["n_bytes", "n_tokens"]
@@ -108,10 +108,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
         return rows.groupBy(F.col("digest").alias("__digest")).agg(F.max("n_tokens").alias("__n"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = worker_store()
-        if store.get("counter", (None,))[0] != version:
-            store["counter"] = (version, Counter(tokenizer))
-        counter = store["counter"][1]
+        counter = worker_slot(("counter", version), lambda: Counter(tokenizer))
         for batch in batches:
             for i in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(i, DOCS_AT_ONCE)

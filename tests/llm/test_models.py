@@ -33,6 +33,52 @@ def test_language_edges(spark, edge_docs, no_docs):
         "lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_only_unicode_letters_make_a_language(spark):
+    docs = spark.createDataFrame([(i, "plain words of a text", "en") for i in range(20)],
+                                 "doc_id bigint, text string, lang string")
+    model = C.train(*C.sample(docs, "doc_id", "text", "lang"))
+    none = ["\u00bd", "\u00b2 \u00b3", "\u2460\u2461", "\u2167", "\u0301", "1_2", "\u0661", "\U0001f600", "_"]
+    some = ["\u00aa", "\u02b0", "\u00df", "\u0436", "\u05d0", "\u4e2d", "\u01c5", "1 x"]
+    langs, scores = C.classify(model, none + some)
+    assert langs == ["und"] * len(none) + ["en"] * len(some)
+    assert scores[:len(none)] == [0.0] * len(none) and min(scores[len(none):]) > 0
+
+
+def test_language_query_equals_plain_network(spark):
+    """Each document's windows, one by one, through a plain convolution of the same model."""
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    model = C.train(*C.sample(docs, "doc_id", "text", "lang"))
+    want = {}
+    for r in docs.collect():
+        if not any(c.isalpha() for c in r.text or ""):
+            want[r.doc_id] = ("und", 0.0)
+            continue
+        x = C.windows(r.text.encode())
+        pooled = np.concatenate([
+            sum(k[j][x[:, j:C.WINDOW - w + 1 + j]] for j in range(w)).max(axis=1)
+            for w, k in model.filters.items()], axis=1)
+        logit = np.maximum(pooled + model.bias, 0) @ model.dense + model.offset
+        logp = logit - np.log(np.exp(logit).sum(axis=1, keepdims=True))
+        weight = np.full(len(x), C.STRIDE, float)
+        weight[-1] = max(1, len(r.text.encode()) - C.STRIDE * (len(x) - 1))
+        mean = (logp * (weight / weight.sum())[:, None]).sum(axis=0)
+        prob = np.exp(mean - mean.max())
+        want[r.doc_id] = (model.langs[int(mean.argmax())], float(prob.max() / prob.sum()))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in Q.op10_byte_cnn(spark, SF).collect()}
+    assert set(got) == set(want)
+    assert all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 1e-3 for i in want)
+
+
+def test_training_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(C, "MAX_LANGS", 3)
+    monkeypatch.setattr(C, "MAX_DOCS", 10)
+    rows = [(7, "one text again and again", "l0")] * 200 \
+        + [(i, f"text {i}", f"l{i % 9}") for i in range(300)]
+    x, langs = C.sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"),
+                        "doc_id", "text", "lang")
+    assert len(x) <= 40 and len(set(langs)) <= 3
+
+
 def test_windows_hold_every_run_of_bytes():
     for n in (0, 1, 3, 255, 256, 257, 509, 512, 5000):
         data = np.random.default_rng(n).integers(1, 255, n).astype(np.uint8).tobytes()

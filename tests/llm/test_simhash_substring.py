@@ -132,3 +132,30 @@ def test_substring_edges_small_blocks(spark, edge_docs, no_docs, monkeypatch):
         assert sum(s.end - s.start for s in r.removed) == r.n_removed
         assert all(a.end < b.start for a, b in zip(r.removed, r.removed[1:]))
     assert R.repeated_spans(no_docs).count() == 0
+
+
+def thue_morse(n: int) -> str:
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_words_that_rolling_hashes_confuse_stay(spark, monkeypatch, blocks):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64."""
+    if blocks == 2:
+        monkeypatch.setattr(R, "BLOCK_BYTES", 10_000)
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert len(np.unique(R._piece_words(f"{word} {other}".encode())[1])) == 1
+    rows = [(1, " ".join([word] * 35)), (2, " ".join([other] * 35)), (3, " ".join([word] * 36))]
+    got = R.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1),
+                           window=35).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {1: 35, 2: 0, 3: 36}
+
+
+def test_screened_windows_are_confirmed_by_their_words():
+    data = [b"a b c d e", b"x a b c y", b"a b c"]
+    counts, own = R._rolling(data, 3, 4)
+    exact = R._exact(data, counts, own.starts, 3, 4)
+    assert exact.starts[exact.times[exact.place] > 1].tolist() == [0, 6, 10]
+    assert (R._unpack(R._pack(exact.keys), 2) == exact.keys).all()
+    assert (R._unpack(R._pack(own.keys), 1) == own.keys).all()
