@@ -156,8 +156,10 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, source_co
         if ids:
             yield block(id_type)
 
-    dealt = docs.select(id_col, F.col(source_col).cast("string"), text_col) \
-        .repartition(F.xxhash64(id_col, text_col))
+    # by row number, so that copies of a document and rows without an id are spread as well
+    dealt = docs.select(id_col, F.col(source_col).cast("string"), text_col,
+                        F.monotonically_increasing_id().alias("__row")) \
+        .repartition(F.xxhash64(id_col, "__row")).drop("__row")
     rows = dealt.mapInArrow(run, f"block bigint, ids array<{kind}>, sources array<string>, "
                                  "lengths array<bigint>, tokens binary")
     return bucketed(rows, "tokens", "block", size)
@@ -293,7 +295,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 4096,
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = _encoder(tokenizer).dtype
         for batch in batches:
             rows = batch.select(["sources", "lengths", "state", "first"]).to_pylist()
             for at, row in enumerate(rows):
@@ -302,8 +303,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, length: int = 4096,
                     lengths, row["sources"], row["first"], total, length,
                     {s["source"]: s["share"] for s in row["state"]},
                     {s["source"]: s["before"] for s in row["state"]}))
-                data = memoryview(np.frombuffer(batch.column("tokens")[at].as_py(), dtype)
-                                  .astype("<u4").tobytes())
+                data = batch.column("tokens")[at].as_py()
+                dtype = f"<u{len(data) // sum(lengths)}"
+                data = memoryview(np.frombuffer(data, dtype).astype("<u4").tobytes())
                 begin = [0, *np.cumsum(lengths).tolist()]
                 cut = [data[4 * (begin[i] + a):4 * (begin[i] + a + n)] for i, a, n, _, _ in pieces]
                 doc, start, size, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces))

@@ -2,17 +2,19 @@
 
 DataFrame functions only.
 
-1. *Entries.*  Rows are grouped by (64-bit key, normalised text).  The grouping
-   compares the texts' bytes, so two texts with one key stay two entries, and
-   Spark combines copies before the shuffle, so a hot group sends one row per
-   task.
-2. *Directory.*  It starts with ``2**g`` slots and doubles while a bucket holds
-   more than ``bucket_capacity`` entries; only overfull buckets are split, the
-   others are shared by several slots.  Only counts are moved.
+1. *Directory.*  From the 64-bit keys of the normalised texts, of which only
+   counts are moved.  It starts with ``2**g`` slots and doubles while a bucket
+   holds more keys than ``bucket_capacity``; only overfull buckets are split,
+   the others are shared by several slots.
+2. *Entries.*  A row's key names its slot, and the slot its bucket.  Rows are
+   grouped by bucket, key and normalised text, which compares the texts' bytes:
+   two texts with one key are two entries.  Spark combines copies before the
+   shuffle, so a hot group sends one row per task.
 3. *Index files.*  Buckets are prefixes of the key, so a range of keys is a run
    of buckets: each owner task gets one range, chains the entries that share a
    key and writes them in order.
-4. *Probe.*  A row's key and the digest of its normalised text name its entry.
+4. *Probe.*  A row looks its bucket up in the directory again, and there its
+   key and the digest of its normalised text name its entry.
 """
 
 from __future__ import annotations
@@ -27,31 +29,20 @@ from indicata.llm.common import ascii_lower, new_columns, stage
 
 COLUMNS = ["keep_id", "group_size", "kept", "text_sha256"]
 MAX_DEPTH = 48
+#: A directory of at most so many slots (16 bytes each) is broadcast; beyond it the join shuffles.
+BROADCAST_SLOTS = 1 << 20
 
 
 def _prefix(key: Column, depth: int) -> Column:
     return F.shiftrightunsigned(key, 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def entries(docs: DataFrame, id_col: str, text_col: str,
-            key: Callable[[Column], Column]) -> DataFrame:
-    """One row per distinct normalised text: key, digest, largest id, rows."""
-    norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
-    rows = rows.select("id", "norm", key(F.col("norm")).cast("long").alias("key"))
-    return (rows.groupBy("key", "norm")
-            .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-            .select("key", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size"))
+def directory(keys: DataFrame, bucket_capacity: int) -> DataFrame:
+    """Slots of the directory over distinct keys: slot, bucket, depth, global depth.
 
-
-def directory(found: DataFrame, bucket_capacity: int) -> DataFrame:
-    """Slots of the directory: slot, bucket, depth of the bucket, global depth.
-
-    A bucket that cannot be split further (one key, or the greatest depth)
-    keeps its overflow as chains.
+    A bucket at the greatest depth is not split further and keeps its overflow.
     """
-    keys = found.groupBy("key").count().select("key")
-    total = found.count()
+    total = keys.count()
     depth = max(0, math.ceil(math.log2(max(1, total) / bucket_capacity)))
     leaves, rest = None, keys
     while True:
@@ -75,22 +66,36 @@ def directory(found: DataFrame, bucket_capacity: int) -> DataFrame:
                          F.lit(depth).alias("global_depth"))
 
 
+def located(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their ``key``."""
+    size, depth = slots.agg(F.count(F.lit(1)), F.max("global_depth")).first()
+    known = slots.select("slot", "bucket")
+    known = F.broadcast(known) if size <= BROADCAST_SLOTS else known
+    return rows.withColumn("slot", _prefix(F.col("key"), depth or 0)).join(known, "slot") \
+        .drop("slot")
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 bucket_capacity: int = 200_000,
-                key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """The index as a table of shared files, ordered by bucket and key.
+                key: Callable[[Column], Column] = F.xxhash64) -> tuple[DataFrame, DataFrame]:
+    """The directory, and the index as a table of shared files, ordered by bucket and key.
 
-    Columns: bucket, key, chain (place among the entries of one key),
-    text_sha256, keep_id, group_size.
+    Columns of the index: bucket, key, chain (place among the entries of one
+    key), text_sha256, keep_id, group_size.
     """
-    found = stage(entries(docs, id_col, text_col, key), "entries")
-    slots = stage(directory(found, bucket_capacity), "slots")
-    depth = slots.agg(F.max("global_depth")).first()[0] or 0
-    placed = (found.withColumn("slot", _prefix(F.col("key"), depth))
-              .join(slots.select("slot", "bucket"), "slot").drop("slot"))
+    norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
+    rows = rows.select("id", "norm", key(F.col("norm")).cast("long").alias("key"))
+    keys = stage(rows.select("key").distinct(), "keys")
+    slots = stage(directory(keys, bucket_capacity), "slots")
+    entries = (located(rows, slots).groupBy("bucket", "key", "norm")
+               .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+               .select("bucket", "key", F.sha2("norm", 256).alias("text_sha256"), "keep_id",
+                       "group_size"))
+    entries = stage(entries, "entries")
     chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text_sha256"))
-    owned = placed.repartitionByRange(F.col("bucket"), F.col("key")).withColumn("chain", chain)
-    return stage(owned.sortWithinPartitions("bucket", "key", "chain"), "index")
+    owned = entries.repartitionByRange(F.col("bucket"), F.col("key")).withColumn("chain", chain)
+    return slots, stage(owned.sortWithinPartitions("bucket", "key", "chain"), "index")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -104,14 +109,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     no other.  Input columns with the names of the new ones are replaced.  An
     empty table gives an empty result.
     """
-    index = build_index(docs, id_col, text_col, bucket_capacity, key)
+    slots, index = build_index(docs, id_col, text_col, bucket_capacity, key)
     norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(*new_columns(docs, [c for c in COLUMNS if c != id_col]),
-                       norm.alias("__norm"))
-    rows = rows.withColumns({"__key": key(F.col("__norm")).cast("long"),
-                             "__sha": F.sha2("__norm", 256)}).drop("__norm")
-    found = index.select(F.col("key").alias("__key"), F.col("text_sha256").alias("__sha"),
-                         "keep_id", "group_size")
-    return (rows.join(found, ["__key", "__sha"])
-            .withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
-            .withColumnRenamed("__sha", "text_sha256").drop("__key"))
+    kept = new_columns(docs, [c for c in COLUMNS if c != id_col])
+    rows = docs.select(F.struct(*kept).alias("__row"), norm.alias("norm"))
+    rows = located(rows.select("__row", key(F.col("norm")).cast("long").alias("key"),
+                               F.sha2("norm", 256).alias("text_sha256")), slots)
+    found = index.select("bucket", "key", "text_sha256", "keep_id", "group_size")
+    return (rows.join(found, ["bucket", "key", "text_sha256"])
+            .select("__row.*", "keep_id", "group_size", "text_sha256")
+            .withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id"))))

@@ -1,9 +1,10 @@
 """Operator 1, token counts: a digest cache.
 
 The cache is a Parquet table of (tokenizer version, content digest, count) on
-shared storage.  Documents are reduced to distinct digests before the shuffle,
-digests with a stored count drop out, only the others are encoded and appended,
-and every document takes its count from the cache.  An append is one atomic
+shared storage.  Distinct digests, without texts, drop out where the cache has
+their count.  Only texts of the others are read again, reduced to one of each
+digest before the shuffle, encoded and appended, and every document takes its
+count from the cache.  An append is one atomic
 Spark job; a digest appended twice by two runs counts once.
 """
 
@@ -28,6 +29,8 @@ MEMO_ENTRIES, MEMO_CHARS = 500_000, 64
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 DOCS_AT_ONCE = 64
+#: So many digests without a stored count (32 bytes each) are broadcast to find their texts.
+BROADCAST_MISSES = 500_000
 
 
 def cuts_at_space(spec: dict) -> bool:
@@ -117,10 +120,15 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, id_col: str = "doc
                      pa.array(counter.count(part.column(1).to_pylist()), pa.int64())],
                     ["version", "digest", "n_tokens"])
 
-    distinct = docs.select(F.unhex(F.sha2(text, 256)).alias("__digest"), text.alias("__text")) \
-        .dropDuplicates(["__digest"])
-    misses = distinct.join(stored(), "__digest", "left_anti").select("__digest", "__text")
-    misses.mapInArrow(encode, SCHEMA).write.mode("append").parquet(cache)
+    texts = docs.select(F.unhex(F.sha2(text, 256)).alias("__digest"), text.alias("__text"))
+    known = stored()
+    if not known.isEmpty():
+        misses = stage(texts.select("__digest").distinct().join(known, "__digest", "left_anti"),
+                       "misses")
+        few = misses.limit(BROADCAST_MISSES + 1).count() <= BROADCAST_MISSES
+        texts = texts.join(F.broadcast(misses) if few else misses, "__digest", "left_semi")
+    (texts.dropDuplicates(["__digest"]).select("__digest", "__text").mapInArrow(encode, SCHEMA)
+     .write.mode("append").parquet(cache))
     rows = docs.select(*new_columns(docs, [c for c in COLUMNS if c not in (id_col, text_col)]),
                        F.unhex(F.sha2(text, 256)).alias("__digest"),
                        F.octet_length(text).cast("long").alias("n_bytes"))

@@ -62,17 +62,35 @@ def test_exact_dedup_edges_collisions_and_splits(edge_docs, no_docs):
             assert (r.keep_id, r.group_size, r.kept) == (top, len(ids), r.doc_id == top)
             assert r.text_sha256 == hashlib.sha256(low(r.text).encode()).hexdigest()
     assert X.exact_dedup(no_docs).count() == 0
-    index = X.build_index(edge_docs, bucket_capacity=2, key=weak)
+    index = X.build_index(edge_docs, bucket_capacity=2, key=weak)[1]
     assert index.agg(F.max("chain")).first()[0] > 1
 
 
 def test_directory_buckets_fit(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
-    index = X.build_index(docs, bucket_capacity=100)
+    slots, index = X.build_index(docs, bucket_capacity=100)
+    assert slots.agg(F.max("global_depth")).first()[0] >= 5
     assert index.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 100
     assert index.count() == 3000
 
 
+def test_rows_are_found_through_the_directory(spark, monkeypatch):
+    """Without half of its slots, the rows of those slots are in no bucket and in no result."""
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"),
+                                    (F.col("id") % 1500).cast("string").alias("text"))
+    whole = X.directory
+    monkeypatch.setattr(X, "directory", lambda keys, capacity: whole(keys, capacity)
+                        .filter("slot % 2 = 0"))
+    assert 0 < X.exact_dedup(docs, bucket_capacity=100).count() < 1500
+
+
+def test_large_directory_is_joined_by_a_shuffle(edge_docs, monkeypatch):
+    monkeypatch.setattr(X, "BROADCAST_SLOTS", 0)
+    got = X.exact_dedup(edge_docs)
+    assert got.count() == edge_docs.count()
+    assert "ResolvedHint (strategy=broadcast)" not in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_mixing_edges(edge_docs, no_docs):
     rows = [tuple(r) for r in edge_docs.select("doc_id", "source", "text").collect()]
     want, seen = plain_copies(rows), Counter(i for i, _, _ in rows)
@@ -157,3 +175,43 @@ def test_pipeline_equals_plain_python(spark):
         filled[p.sequence_id] += p.length
     assert got == Counter(want)
     assert all(n == 4096 or n & (n - 1) == 0 for n in filled.values())
+
+
+def test_copies_of_high_rates_follow_the_inversion(spark):
+    """Above MAX_TABLE the walk from the lower tail equals the sum of the probabilities."""
+    cases = [(r, u / 97) for r in (1001.0, 5000.5, 250_000.0) for u in range(1, 97, 8)]
+    rows = spark.createDataFrame(cases, "rate double, u double")
+    got = rows.select("rate", "u", M.walked(F.col("rate"), F.col("u")).alias("n")).collect()
+    for rate, u, n in got:
+        k = max(0, math.floor(rate - 12 * math.sqrt(rate)))
+        p = math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        total, near = p, []
+        while total <= u + 1e-9:
+            if total > u - 1e-9:
+                near.append(k)
+            k += 1
+            p *= rate / k
+            total += p
+        assert n == k or n in near or n - 1 in near, (rate, u, n, k)
+
+
+def test_mix_repeats_a_small_source_to_a_large_weight(spark):
+    rows = [(i, "big", "x" * 1000) for i in range(300)] + [(1000, "small", "y" * 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = M.poisson_mix(docs, weights={"big": 0.5, "small": 0.5}).groupBy("source") \
+        .agg(F.count("*").alias("n"), F.max("copy_no").alias("top"), F.max("rate")).collect()
+    small = next(r for r in got if r["source"] == "small")
+    assert small[3] > M.MAX_TABLE and small["n"] == small["top"]
+    assert abs(small["n"] - small[3]) < 5 * math.sqrt(small[3])
+
+
+def test_copies_of_one_id_are_dealt_to_many_tasks(spark):
+    docs = spark.createDataFrame([(None, "s", "t")] * 4000,
+                                 "doc_id bigint, source string, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # no small partitions joined
+    try:
+        sizes = [r["count"] for r in M.poisson_mix(docs, scale=2.0, seed=2)
+                 .groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
