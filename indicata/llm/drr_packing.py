@@ -156,10 +156,10 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, source_co
         if ids:
             yield block(id_type)
 
-    # by row number, so that copies of a document and rows without an id are spread as well
+    # where copies of a row make a partition too large, Spark splits it at run time
     dealt = docs.select(id_col, F.col(source_col).cast("string"), text_col,
-                        F.monotonically_increasing_id().alias("__row")) \
-        .repartition(F.xxhash64(id_col, "__row")).drop("__row")
+                        F.xxhash64(id_col, text_col).alias("__deal")) \
+        .hint("rebalance", "__deal").drop("__deal")
     rows = dealt.mapInArrow(run, f"block bigint, ids array<{kind}>, sources array<string>, "
                                  "lengths array<bigint>, tokens binary")
     return bucketed(rows, "tokens", "block", size)

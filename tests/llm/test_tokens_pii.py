@@ -141,6 +141,19 @@ def test_packing_many_blocks_keeps_the_shares(spark, monkeypatch):
             assert abs(served[group][s] / (40 * 512) - n / whole) < 0.05
 
 
+def test_copies_of_one_row_are_packed_by_many_tasks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one row " * 200, "s")] * 3000,
+                                 "doc_id bigint, text string, source string").repartition(8)
+    monkeypatch.setattr(D, "bucketed", lambda rows, *_: rows)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        blocks = D._blocks(docs, WORD, 2, "doc_id", "source", "text")
+        tasks = {r.block >> 32 for r in blocks.select("block").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(tasks) > 1
+
+
 def test_packing_weights_tokens_and_edges(spark, edge_docs, no_docs):
     rows = edge_docs.filter("doc_id IS NOT NULL AND doc_id != 11")
     got = D.pack(rows, WORD, 2, 64, weights={"a": 3, "c": 1}, with_tokens=True).collect()
