@@ -9,12 +9,13 @@ from a grouped aggregate joined back on the anchor.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.functions.periods import shifted
+from indicata.session import materialize
 
 
 def shift_period(df: DataFrame, shifts: Sequence[tuple[int, Mapping[str, str]]], *,
@@ -109,21 +110,58 @@ def label_windows(df: DataFrame, window_col: str, *, date: str = "date",
     return out.withColumns({date: new_date, period: new_period}).drop("__ld", "__lp")
 
 
+def _relabelled(rows: DataFrame, marked: Callable[[DataFrame], DataFrame], key: str, date: str,
+                period: str, fixed: Mapping) -> DataFrame:
+    """Copies of ``rows`` per window, re-dated by labels from the grid of reporting days.
+
+    ``rows`` is a written table.  Its grid has one row per date with the greatest
+    period of the date, so a window's label is a maximum over the days that it
+    holds, and one row per window is fetched; the copies are then made in one
+    scan that carries the labels as literals.
+    """
+    grid = rows.groupBy(date).agg(F.max(period).alias(period))
+    labels = marked(grid).groupBy(key).agg(F.max(date).alias("d"), F.max(period).alias("p")).collect()
+    new_date, new_period = F.lit(None).cast("date"), F.lit(None).cast("string")
+    for r in labels:
+        here = F.col(key) == F.lit(r[key])
+        d, p = fixed.get(r[key], (F.lit(r["d"]), F.lit(r["p"])))
+        new_date, new_period = F.when(here, d).otherwise(new_date), F.when(here, p).otherwise(new_period)
+    kinds = dict(rows.dtypes)
+    return marked(rows).withColumns({date: new_date.cast(kinds[date]),
+                                     period: new_period.cast(kinds[period])})
+
+
 def trailing_cohort(df: DataFrame, *, date: str, anchors: Sequence[str], months_back: int,
                     period: str = "period", label: tuple[str, str] | None = None,
-                    anchor_col: str = "anchor", keep_anchor: bool = False) -> DataFrame:
+                    anchor_col: str = "anchor", keep_anchor: bool = False,
+                    lower_strict: bool = False, stored: bool = False) -> DataFrame:
     """Rows of each trailing window, re-dated to the window's max date/period.
 
     ``label=(column, value)`` also overwrites a label column (e.g. the
-    indicator) on the copies.
+    indicator) on the copies.  The input is computed once, into a written table,
+    unless it is one (``stored``); the labels come from its grid of dates.
     """
-    w = anchor_windows(df, date, anchors, months_back, anchor_col=anchor_col)
-    out = label_windows(w, anchor_col, date=date, period=period)
+    rows = df if stored else materialize(df)
+    out = _relabelled(rows, lambda d: anchor_windows(d, date, anchors, months_back,
+                                                     anchor_col=anchor_col,
+                                                     lower_strict=lower_strict),
+                      anchor_col, date, period, {})
     if label is not None:
         out = out.withColumn(label[0], F.lit(label[1]))
     return out if keep_anchor else out.drop(anchor_col)
 
 
+def relative_cohort(df: DataFrame, *, date: str, base: Column,
+                    windows: Sequence[tuple[int, int, int | None]], period: str = "period",
+                    fixed: Mapping | None = None, window_col: str = "__window",
+                    keep_window: bool = False) -> DataFrame:
+    """As :func:`trailing_cohort` for windows relative to ``base``; ``fixed`` maps a window to
+    the (date, period) columns it takes instead.  ``df`` is a selection of a written table."""
+    out = _relabelled(df, lambda d: relative_windows(d, date, base, windows, window_col=window_col),
+                      window_col, date, period, fixed or {})
+    return out if keep_window else out.drop(window_col)
+
+
 def rolling_sum(df: DataFrame, keys: Sequence[str], order: str, value: str, n: int = 4, *,
                 name: str | None = None) -> DataFrame:
     """Sum over the current and previous ``n-1`` rows per key, null until ``n`` rows.

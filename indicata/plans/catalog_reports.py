@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from indicata.plans import reports as P
 from indicata.plans import proxy
+from indicata.plans import results_store as S
 from indicata.plans import rules as R
 from indicata.plans.proxy import ORACLE_CTE
 from indicata.plans.registry import (ORACLE, QUERIES, _sql_band, _sql_in, _sql_lookup,
@@ -32,11 +33,25 @@ SHARE_MEASURES_PROXY = ["TX_CURR", "TX_ML", "PMTCT_ART_Already"]
 WATERFALL_PLUS = ["2000 Q4", "2001 Q1", "2001 Q2"]
 
 
+def _dedup_map(spark):
+    return spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
+                                                    "string, indicator_new string")
+
+
+def _put(spark, sf_dir, store, extract, quarters=None):
+    partner = proxy.site_map(spark, sf_dir).select("datim_uid", "partner_pepfar_clinical")
+    return S.update_results(store, extract, _dedup_map(spark), partner, proxy.PROXY_NAMES,
+                            quarters=quarters)
+
+
+def results_store(spark, sf_dir):
+    """Folder of the stored results table (C3), which C4-C8, C11, C15 and C17 read."""
+    return proxy.staged(spark, sf_dir, "results", lambda store: _put(
+        spark, sf_dir, store, proxy.canonical_extract(spark, sf_dir)))
+
+
 def results_table_proxy(spark, sf_dir):
-    dg = proxy.canonical_extract(spark, sf_dir)
-    m = spark.createDataFrame(proxy.PROXY_DEDUP, "indicator string, standardizeddisaggregate "
-                                                 "string, indicator_new string")
-    return P.results_table(dg, m, proxy.site_map(spark, sf_dir), proxy.PROXY_NAMES)
+    return S.read_results(spark, results_store(spark, sf_dir), proxy.site_map(spark, sf_dir))
 
 
 def _nsum(df, keys, measures):
@@ -45,7 +60,29 @@ def _nsum(df, keys, measures):
 
 
 def q_results_table(spark, sf_dir):
-    return _nsum(results_table_proxy(spark, sf_dir), RT_KEYS, RT_MEASURES)
+    rt = P.results_table(proxy.canonical_extract(spark, sf_dir), _dedup_map(spark),
+                         proxy.site_map(spark, sf_dir), proxy.PROXY_NAMES)
+    return _nsum(rt, RT_KEYS, RT_MEASURES)
+
+
+RESUBMITTED = (2000, 2)
+
+
+def q_results_resubmitted(spark, sf_dir):
+    """The stored results table after one quarter came in again: one mechanism withdrew it, the
+    others reported twice as much."""
+    from indicata.session import scratch_path
+    e = proxy.canonical_extract(spark, sf_dir)
+    store = scratch_path(spark, "resubmitted")
+    _put(spark, sf_dir, store, e)
+    year, quarter = RESUBMITTED
+    was = F.col(f"qtr{quarter}")
+    now = F.when(F.col("mech_name") != "MACHINERY", 2 * was)
+    again = e.filter(F.col("fiscal_year") == year).withColumns({
+        "cumulative": F.col("cumulative") - F.coalesce(was, F.lit(0)) + F.coalesce(now, F.lit(0)),
+        f"qtr{quarter}": now})
+    _put(spark, sf_dir, store, again, [RESUBMITTED])
+    return _nsum(S.read_results(spark, store, proxy.site_map(spark, sf_dir)), RT_KEYS, RT_MEASURES)
 
 
 def q_tb_summary(spark, sf_dir):
@@ -53,8 +90,12 @@ def q_tb_summary(spark, sf_dir):
 
 
 def q_supply_triangulation(spark, sf_dir):
-    r = results_table_proxy(spark, sf_dir)
-    return P.supply_triangulation(r, r.agg(F.max("date")).scalar())
+    return P.supply_triangulation(results_table_proxy(spark, sf_dir), _last_date(spark, sf_dir))
+
+
+def _last_date(spark, sf_dir):
+    """The last reporting date, from the state of the stored table."""
+    return F.lit(S.read_state(spark, results_store(spark, sf_dir))["max_date"]).cast("date")
 
 
 def q_waterfall(spark, sf_dir):
@@ -244,6 +285,24 @@ SELECT {', '.join(RT_KEYS)}, count(*) AS n, {', '.join(f'sum({m}) AS {m}' for m
 FROM rt GROUP BY {', '.join(RT_KEYS)}
 """)
 
+def _resubmitted_chain() -> str:
+    """The chain on an extract whose rows of RESUBMITTED were replaced."""
+    year, quarter = RESUBMITTED
+    was, here = f"qtr{quarter}", f"fiscal_year = {year}"
+    now = f"CASE WHEN mech_name <> 'MACHINERY' THEN 2 * {was} END"
+    again = (f"(SELECT * REPLACE (CASE WHEN {here} THEN {now} ELSE {was} END AS {was}, "
+             f"CASE WHEN {here} THEN cumulative - coalesce({was}, 0) + coalesce({now}, 0) "
+             f"ELSE cumulative END AS cumulative) FROM ext)")
+    assert RESULTS_CHAIN.count("FROM ext)") == 1
+    return RESULTS_CHAIN.replace("FROM ext)", f"FROM {again})")
+
+
+QUERIES["results_resubmitted"] = q_results_resubmitted
+ORACLE["results_resubmitted"] = ORACLE_CTE + _resubmitted_chain() + f"""
+SELECT {', '.join(RT_KEYS)}, count(*) AS n, {', '.join(f'sum({m}) AS {m}' for m in RT_MEASURES)}
+FROM rt GROUP BY {', '.join(RT_KEYS)}
+"""
+
 _register("tb_summary", q_tb_summary, """
 SELECT snu1, date, partner_pepfar_clinical AS partner, period,
        coalesce(sum(TX_CURR), 0) AS TX_CURR, coalesce(sum(TX_PVLS), 0) AS TX_PVLS
@@ -334,7 +393,7 @@ VL_KEYS = ["source", "period", "date", "indicator", "pop_type", "ageasentered",
 def _vl_inputs(spark, sf_dir):
     from indicata.functions.expressions import lookup
     # aggregate the lines first, then attach site attributes to the aggregates
-    f = proxy.fact(spark, sf_dir, with_sites=False)
+    f = proxy.daily_lines(spark, sf_dir)
     site_attrs = proxy.sites(spark, sf_dir).drop("acctbal")
     uid = F.col("site_uid").cast("string").alias("datim_uid")
     s0 = f.groupBy("site_uid", "period", "mech_name", "numeratordenom",
@@ -374,7 +433,8 @@ def _vl_inputs(spark, sf_dir):
 def q_vl_crosswalk(spark, sf_dir):
     sup, disa, sites, nation = _vl_inputs(spark, sf_dir)
     out = P.vl_crosswalk(results_table_proxy(spark, sf_dir), sup, disa, sites, nation,
-                         anchors=VL_ANCHORS, months_back=R.VL_MONTHS_BACK, start=VL_START)
+                         anchors=VL_ANCHORS, months_back=R.VL_MONTHS_BACK, start=VL_START,
+                         max_date=_last_date(spark, sf_dir))
     return out.groupBy(*VL_KEYS).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
 
 

@@ -359,9 +359,9 @@ FROM win JOIN lab ON win.anchor = lab.anchor GROUP BY lab.lp, lab.ld
 """)
 def daily_windows(spark, sf_dir):
     from indicata.functions.periods import fiscal_quarter, fiscal_year, period_label
-    from indicata.operators.cohorts import anchor_windows, label_windows
+    from indicata.operators.cohorts import trailing_cohort
     f = proxy.fact(spark, sf_dir).filter(F.col("indicator") == "TX_PVLS_D")
     daily = f.groupBy("site_uid", F.col("ship_date").alias("date")).agg(F.sum("value").alias("value"))
     daily = daily.withColumn("period", period_label(fiscal_year("date"), fiscal_quarter("date")))
-    w = label_windows(anchor_windows(daily, "date", DAILY_ANCHORS, 11), "anchor")
+    w = trailing_cohort(daily, date="date", anchors=DAILY_ANCHORS, months_back=11)
     return w.groupBy("period", "date").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))

@@ -22,8 +22,7 @@ from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agen
 from indicata.functions.expressions import band_score, is_in, not_in, ratio, recode
 from indicata.functions.periods import (fiscal_period_columns, period_date, period_label,
                                         quarter_number, suffix_denominator)
-from indicata.operators.cohorts import (anchor_windows, label_windows, relative_windows,
-                                        shift_period)
+from indicata.operators.cohorts import relative_cohort, shift_period, trailing_cohort
 from indicata.operators.derive import apply_corrections, derive_indicators, derive_long
 from indicata.operators.joins import (enrich, keep_with_any, map_indicator, orphans,
                                       qa_missing_key, refresh_attrs)
@@ -88,8 +87,13 @@ def attribute_partner(df: DataFrame, *, clinical: Sequence[str] = R.CLINICAL_IND
 
 
 def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *,
-                 exclusions=R.EXCLUSIONS, shifts=R.COHORT_SHIFTS) -> DataFrame:
-    """Mapped, attributed, long, de-noised, cohort-shifted and dated fact."""
+                 exclusions=R.EXCLUSIONS, shifts=R.COHORT_SHIFTS,
+                 keep_source: bool = False) -> DataFrame:
+    """Mapped, attributed, long, de-noised, cohort-shifted and dated fact.
+
+    ``keep_source`` keeps the fiscal year and quarter a row was reported for,
+    before any shift, as ``src_fy`` and ``src_q`` (0 for cumulative rows).
+    """
     df = map_indicator(dg, dedup_map)
     df = enrich(df, site_partner, "datim_uid", left_on="orgunituid")
     df = df.withColumn("partner_recode", attribute_partner(df)).drop("datim_uid")
@@ -100,6 +104,8 @@ def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *
                          "q": qn,
                          "indicator_temp": suffix_denominator("indicator", "numeratordenom")})
     df = apply_exclusions(df, exclusions)
+    if keep_source:
+        df = df.withColumns({"src_fy": F.col("fy"), "src_q": F.coalesce("q", F.lit(0))})
     df = shift_period(df, shifts, indicator="indicator_temp", fy="fy", q="q")
     return (df.withColumns({"period": period_label("fy", "q"), "date": period_date("fy", "q")})
               .drop("indicator", "quarter", "q", "partner_pepfar_clinical"))
@@ -124,26 +130,47 @@ def results_table(dg: DataFrame, dedup_map: DataFrame, site_map: DataFrame,
                       & (F.col("period_type") == "results"))
     # PMTCT_ART 12-month cohorts, one scan, labelled per window
     art = long.filter(F.col("indicator_temp") == cohort["indicator"])
-    w = relative_windows(art, "date", b["max_date"], cohort["windows"], window_col="__k")
-    cohorts = (label_windows(w, "__k", fixed={0: (b["max_date"], b["max_period"])})
-               .drop("__k").withColumn("indicator_temp", F.lit(cohort["label"])))
+    cohorts = relative_cohort(art, date="date", base=b["max_date"], windows=cohort["windows"],
+                              fixed={0: (b["max_date"], b["max_period"])}) \
+        .withColumn("indicator_temp", F.lit(cohort["label"]))
     full = long.unionByName(cohorts)
+    wide = results_wide(full, indicator_names, b)
+    vol = results_volume(wide, b["max_date"], facility)
+    return results_with_sites(results_measures(wide, derived),
+                              vol.withColumnRenamed("orgunituid", "datim_uid"), site_map)
+
+
+def results_wide(full: DataFrame, indicator_names: Sequence[str],
+                 bounds: Mapping[str, Column]) -> DataFrame:
+    """One column per indicator; rows dated outside the bounds are left out."""
     wide = spread(full, "indicator_temp", "value", indicator_names)
-    wide = (wide.withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse"})
+    return (wide.withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse"})
                 .drop("numeratordenom")
-                .filter(((F.col("date") >= b["min_date"]) & (F.col("date") <= b["max_date"]))
+                .filter(((F.col("date") >= bounds["min_date"]) & (F.col("date") <= bounds["max_date"]))
                         | F.col("period").isNull()))
-    # Site volume at the latest period, facilities only
-    vol_rows = wide.filter((F.col("sitetype") == facility) & (F.col("date") == b["max_date"]))
-    vol = site_volume(vol_rows, site="orgunituid", value="TX_CURR", bands=R.SITE_VOLUME_BANDS,
-                      default=R.SITE_VOLUME_DEFAULT)
+
+
+def results_volume(wide: DataFrame, max_date: Column, facility: str = "Facility", *,
+                   site: str = "orgunituid") -> DataFrame:
+    """Site volume at the latest period, facilities only."""
+    rows = wide.filter((F.col("sitetype") == facility) & (F.col("date") == max_date))
+    return site_volume(rows, site=site, value="TX_CURR", bands=R.SITE_VOLUME_BANDS,
+                       default=R.SITE_VOLUME_DEFAULT)
+
+
+def results_measures(wide: DataFrame, derived=R.DERIVED_INDICATORS) -> DataFrame:
+    """Derived indicators; result and cumulative rows, by site uid."""
     wide = derive_indicators(wide, derived)
-    out = (wide.filter(F.col("period_type").isin("results", "cumulative"))
-               .drop(*[c for c in ("statushiv", "statustb", "statuscx", "hiv_treatment_status")
-                       if c in wide.columns])
-               .withColumnRenamed("orgunituid", "datim_uid"))
+    return (wide.filter(F.col("period_type").isin("results", "cumulative"))
+                .drop(*[c for c in ("statushiv", "statustb", "statuscx", "hiv_treatment_status")
+                        if c in wide.columns])
+                .withColumnRenamed("orgunituid", "datim_uid"))
+
+
+def results_with_sites(out: DataFrame, volume: DataFrame, site_map: DataFrame) -> DataFrame:
+    """Site attributes and volume, families filled, identifiers first."""
     out = enrich(out, site_map, "datim_uid")
-    out = enrich(out, vol.withColumnRenamed("orgunituid", "datim_uid"), "datim_uid")
+    out = enrich(out, volume, "datim_uid")
     fam = cols(out, starts=["his_", "grm_", "security_", "program_"])
     out = fill_zero(out, fam)
     front = (cols(out, contains="_uid") + ["funding_agency", "mech_name"]
@@ -309,10 +336,11 @@ def waterfall_final(cascade: DataFrame, transfers: DataFrame, org_units: DataFra
 
 def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFrame,
                  psnu_map: DataFrame, *, anchors=R.VL_ANCHORS, months_back=R.VL_MONTHS_BACK,
-                 start=R.VL_PROGRAMME_START) -> DataFrame:
+                 start=R.VL_PROGRAMME_START, max_date: Column | None = None) -> DataFrame:
     """C17: programme, supplemental and laboratory viral-load series on one grain.
 
-    The laboratory series is copied to every trailing window of the anchor
+    ``max_date`` is the last date of ``mer``, where it is known (a stored
+    results table has it in its state).  The laboratory series is copied to every trailing window of the anchor
     list and re-dated to the window's own last period/date (one scan, not
     one filtered copy per anchor).
     """
@@ -349,8 +377,8 @@ def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFra
                            F.col("VL").alias("TX_PVLS_D"), F.col("VLS").alias("TX_PVLS")),
                ["datim_uid", "partner", "snu", "psnu", "sitename", "date", "ageasentered",
                 "pop_type", "sex"], ["TX_PVLS_D", "TX_PVLS"])
-    d = d.filter((F.col("date") >= lo) & (F.col("date") <= mer.agg(F.max("date")).scalar())
-                 & (F.col("value") > 0))
+    max_date = mer.agg(F.max("date")).scalar() if max_date is None else max_date
+    d = d.filter((F.col("date") >= lo) & (F.col("date") <= max_date) & (F.col("value") > 0))
     d = d.withColumns({
         "source": F.lit(R.VL_SOURCE_LAB),
         "pop_type": F.when(F.col("pop_type") == "Age", F.lit("Age/Sex")).otherwise(F.col("pop_type")),
@@ -358,7 +386,7 @@ def vl_crosswalk(mer: DataFrame, sup: DataFrame, disa: DataFrame, sites: DataFra
     d = d.withColumns({"ageasentered": null_for_pregnancy("ageasentered", "pop_type"),
                        "sex": null_for_pregnancy("sex", "pop_type")})
     d = d.join(sites.select("datim_uid").distinct(), "datim_uid", "left_semi")
-    windows = label_windows(anchor_windows(d, "date", anchors, months_back), "anchor").drop("anchor")
+    windows = trailing_cohort(d, date="date", anchors=anchors, months_back=months_back)
     combined = union_all([m, s, windows]).drop("partner", "snu", "psnu", "sitename")
     combined = enrich(combined, sites, "datim_uid")
     return enrich(combined, psnu_map.select("psnu", "psnuuid"), "psnu")
@@ -522,7 +550,8 @@ def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
     return enrich(long, psnu_map.select("psnu", "psnuuid"), "psnu")
 
 
-__all__ = ["union_extracts", "yearly_extracts", "attribute_partner", "results_long", "results_table",
+__all__ = ["results_wide", "results_volume", "results_measures", "results_with_sites",
+           "union_extracts", "yearly_extracts", "attribute_partner", "results_long", "results_table",
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
            "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",
            "refreshed_history", "waterfall_final", "kp_report", "vl_report", "score_history",

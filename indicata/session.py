@@ -82,6 +82,20 @@ def _remove_scratch() -> None:
             return
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table or a partition's folder, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and time of the last change of a table, which tell two versions apart."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(target)
+    return held.getLength(), held.getFileCount(), fs.getFileStatus(target).getModificationTime()
+
+
 def materialize(df, *, how: str = "table"):
     """Cut lineage of an intermediate read by several branches of one job.
 
