@@ -4,7 +4,8 @@ and long-form derived indicators."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from itertools import product
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,22 +14,66 @@ from indicata.functions.expressions import (predicate, predicate_columns, recode
                                             signed_coalesce)
 
 
-def apply_corrections(df: DataFrame,
-                      rules: Sequence[tuple[Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+Rules = Sequence[tuple[Mapping[str, str], Mapping[str, str]]]
+#: Any value of a matched column that no rule names; null in the table of states.
+OTHER = None
+#: Greatest number of states that are compiled into a table.
+MAX_STATES = 200_000
+
+
+def compile_corrections(rules: Rules) -> tuple[list[str], list[str], list[tuple]]:
+    """The ordered rules as one table: matched columns, set columns, and rows.
+
+    A state has a value per matched column: one that a rule names, or OTHER.  A
+    row holds a state in which some rule applies, and per set column whether it
+    is set and its final value, as the rules one after another leave it.
+    """
+    matched = list(dict.fromkeys(c for match, _ in rules for c in match))
+    assigned = list(dict.fromkeys(c for _, sets in rules for c in sets))
+    named = {c: list(dict.fromkeys(v for r in rules for part in r for k, v in part.items()
+                                   if k == c and v is not None)) for c in matched}
+    if prod(len(v) + 1 for v in named.values()) > MAX_STATES:
+        raise ValueError(f"the rules name more than {MAX_STATES} combinations")
+    rows = []
+    for state in product(*[[*named[c], OTHER] for c in matched]):
+        now, out = dict(zip(matched, state)), {}
+        for match, sets in rules:
+            if all(now[c] is not OTHER and now[c] == v for c, v in match.items()):
+                out |= sets
+                now |= {c: v for c, v in sets.items() if c in now}
+        if out:
+            rows.append((*state, *[x for c in assigned for x in (c in out, out.get(c))]))
+    return matched, assigned, rows
+
+
+def apply_corrections(df: DataFrame, rules: Rules) -> DataFrame:
     """Ordered conditional overwrites.
 
     Each rule is ``(match, set)``: where every ``match`` column equals its
     value, the ``set`` columns take their new values.  Rules apply in order,
     each seeing the previous rules' output (so a later rule can match a uid
     an earlier rule assigned); inside one rule every assignment reads the
-    row as it was before the rule.  Catalyst collapses the chain into one
-    projection.
+    row as it was before the rule.  The rules are folded before the query into a
+    table of final values, as large as the rules make it, which one broadcast
+    join looks up; the plan does not grow with the rules.
     """
-    for match, sets in rules:
-        cond = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in match.items()])
-        cond = F.coalesce(cond, F.lit(False))
-        df = df.withColumns({c: F.when(cond, F.lit(v)).otherwise(F.col(c)) for c, v in sets.items()})
-    return df
+    matched, assigned, rows = compile_corrections(rules)
+    if not rows:
+        return df
+    keys = [f"__m{i}" for i in range(len(matched))]
+    fields = [f"{k} string" for k in keys] + [f for i in range(len(assigned))
+                                              for f in (f"__on{i} boolean", f"__to{i} string")]
+    states = F.broadcast(df.sparkSession.createDataFrame(rows, ", ".join(fields)))
+    on = None
+    for i, (key, c) in enumerate(zip(keys, matched)):
+        named = sorted({r[i] for r in rows if r[i] is not OTHER})
+        value = F.col(c).cast("string")
+        here = F.when(value.isin(named), value).eqNullSafe(F.col(key))
+        on = here if on is None else on & here
+    found = df.join(states, on, "left")
+    return found.withColumns({
+        c: F.when(F.col(f"__on{i}"), F.col(f"__to{i}").cast(df.schema[c].dataType))
+        .otherwise(F.col(c)) for i, c in enumerate(assigned)}).select(*df.columns)
 
 
 def _rule_expr(rule: Mapping) -> tuple[Column, set[str]]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.functions.expressions import ratio
-from indicata.session import materialize
+from indicata.session import bucketed
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -97,10 +97,11 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     when the tie keys are unique, which makes the result deterministic).
 
     It scales: range-partition on the sort keys (balanced even when many rows
-    share a value, because the tie keys split them), pin the partitioning with
-    a reliable checkpoint, sum each partition (one row per partition), turn
-    those sums into offsets on a tiny table, and add each row's in-partition
-    running sum to its partition's offset.
+    share a value, because the tie keys split them) and write that as a table
+    bucketed by the partition number, the one shuffle of the rows.  Sums per
+    partition (one row each) become offsets on a tiny table, and each row's
+    in-partition running sum, a window that the buckets already serve, is added
+    to its partition's offset.
     """
     cum_col = cum_col or f"{measure}_cum"
     share_col = share_col or f"{measure}_cum_per"
@@ -108,8 +109,8 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     order = [F.col(measure).desc()] + [F.col(k).asc_nulls_last() for k in tie_keys]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order)
-                           .withColumn("_pid", F.spark_partition_id()), how="checkpoint")
+    ranged = bucketed(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()),
+                      "_pid", n, "share")
     part = ranged.groupBy("_pid").agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
     # `part` has one row per range partition (bounded by n): the window
     # over it and the broadcast below are small by construction.

@@ -69,11 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str]] = []
 
 
 @atexit.register
 def _remove_scratch() -> None:
     """Remove this driver's stage tables when its Python ends."""
+    for spark, table in _TABLES:
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        except Exception:  # noqa: BLE001 - the session may have ended before
+            break
     for spark, path in _WRITTEN:
         try:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -96,6 +102,17 @@ def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return held.getLength(), held.getFileCount(), fs.getFileStatus(target).getModificationTime()
 
 
+def bucketed(df, column: str, buckets: int, name: str = "bucketed"):
+    """``df`` as a written table bucketed by ``column``: groups, windows and joins on it need no
+    shuffle.  The table leaves the catalog when this driver's Python ends."""
+    spark = df.sparkSession
+    table = f"indicata_{name}_{os.urandom(8).hex()}"
+    _TABLES.append((spark, table))
+    (df.write.bucketBy(buckets, column).option("path", scratch_path(spark, name))
+       .saveAsTable(table))
+    return spark.table(table)
+
+
 def materialize(df, *, how: str = "table"):
     """Cut lineage of an intermediate read by several branches of one job.
 

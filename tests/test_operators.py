@@ -301,3 +301,54 @@ def test_property_window_copies_equal_rolling_sum(spark):
         assert got == want and len(got) == len(quarters) - 3
 
     check()
+
+
+def test_compiled_corrections_equal_rules_in_turn(spark):
+    """Random rules over two matched columns, one of them reassigned on the way."""
+    import random
+
+    from indicata.operators.derive import apply_corrections, compile_corrections
+    rng = random.Random(5)
+    values = {"uid": ["a", "b", "c", None, "zz"], "mech": ["m", "n", None, "other"]}
+    for _ in range(6):
+        rules = [({c: rng.choice(values[c][:3 if c == "uid" else 2])
+                   for c in rng.sample(["uid", "mech"], rng.randint(1, 2))},
+                  {c: rng.choice([*filter(None, values.get(c, ["x", "y"])), None])
+                   for c in rng.sample(["uid", "mech", "place"], rng.randint(1, 2))})
+                 for _ in range(5)]
+        rows = [(u, m, "p") for u in values["uid"] for m in values["mech"]]
+        want = []
+        for row in rows:
+            now = dict(zip(("uid", "mech", "place"), row))
+            for match, sets in rules:
+                if all(v is not None and now[c] == v for c, v in match.items()):
+                    now |= sets
+            want.append(tuple(now.values()))
+        got = apply_corrections(spark.createDataFrame(rows, "uid string, mech string, place string"),
+                                rules)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    # the plan has one join, however many rules
+    sizes = []
+    for n in (1, 40):
+        rules = [({"uid": f"u{i}"}, {"place": f"p{i}"}) for i in range(n)]
+        df = apply_corrections(spark.range(3).selectExpr("cast(id as string) uid", "'x' place"), rules)
+        sizes.append(df._jdf.queryExecution().analyzed().toString().count("CASE WHEN"))
+        assert len(compile_corrections(rules)[2]) == n
+    assert sizes[0] == sizes[1]
+
+
+def test_cumulative_share_shuffles_its_rows_once(spark):
+    from indicata.operators.measures import cumulative_share
+    df = spark.range(500).selectExpr("id", "cast(id % 7 as double) as v")
+    out = cumulative_share(df, "v", ["id"], num_partitions=8)
+    plan = out._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "Window" in text and "Bucketed: true" in text
+    rows = text.split("BroadcastExchange")[0]          # the rows' side; the other has one per range
+    assert "Exchange hashpartitioning" not in rows and "Exchange rangepartitioning" not in rows
+    got = sorted((r["v_cum"], r["v"], r["id"]) for r in out.collect())
+    want, total = [], 0.0
+    for i, v in sorted(((i, i % 7) for i in range(500)), key=lambda x: (-x[1], x[0])):
+        total += v
+        want.append((total, float(v), i))
+    assert got == sorted(want)
