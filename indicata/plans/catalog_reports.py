@@ -973,8 +973,9 @@ def q_kp_submissions(spark, sf_dir):
     sub = read_folder(spark, f"{folder}/*.csv", Contract(T.StructType.fromDDL(KP_SUBMISSION)))
     site_map = full_site_map(spark, sf_dir).join(
         _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
-    P.kp_report(sub, table, site_map)
-    hist, _uncoded = P.kp_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map)
+    P.kp_report(sub, table, site_map, schema=KP_SUBMISSION)
+    hist, _uncoded = P.kp_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map,
+                                 schema=KP_SUBMISSION)
     return hist.groupBy("snu", "period", "keypop").agg(
         F.count(F.lit(1)).alias("n"), F.sum("TX_CURR").alias("TX_CURR"),
         F.sum("TX_PVLS").alias("TX_PVLS"))
@@ -1101,8 +1102,9 @@ def q_vl_submissions(spark, sf_dir):
     site_map = full_site_map(spark, sf_dir).withColumn(
         "security_insecure", F.col("latitude") < 0).join(
         _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
-    P.vl_report(sub, table, site_map)
-    hist, _orphans = P.vl_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map)
+    P.vl_report(sub, table, site_map, schema=VL_SUBMISSION)
+    hist, _orphans = P.vl_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map,
+                                 schema=VL_SUBMISSION)
     return hist.groupBy("snu", "period", "source", "age", "pop_subtype", "indicator",
                         "security_insecure").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))

@@ -447,20 +447,23 @@ def vl_quarter(submissions: DataFrame, site_map: DataFrame) -> tuple[DataFrame,
 
 
 def kp_report(submissions: DataFrame, table: str, site_map: DataFrame, *,
-              columns: Sequence[str] = R.KP_COLUMNS) -> tuple[DataFrame, DataFrame]:
+              columns: Sequence[str] = R.KP_COLUMNS,
+              schema: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
     """C14: sum a quarter's submissions, put them into the history at ``table``
     in place of what it had for their periods, and return the whole history with
-    the site map's attributes, and the QA table."""
+    the site map's attributes, and the QA table.  ``schema`` is the history's
+    contract; without it the schemas of all its files are merged."""
     summed, uncoded = kp_quarter(submissions)
-    history = refreshed_history(upsert_period(summed, table), site_map)
+    history = refreshed_history(upsert_period(summed, table, schema=schema), site_map)
     return ordered(history, columns), uncoded
 
 
 def vl_report(submissions: DataFrame, table: str, site_map: DataFrame, *,
-              columns: Sequence[str] = R.VL_COLUMNS) -> tuple[DataFrame, DataFrame]:
+              columns: Sequence[str] = R.VL_COLUMNS,
+              schema: T.StructType | str | None = None) -> tuple[DataFrame, DataFrame]:
     """As :func:`kp_report`, for viral-load rows, which are not summed."""
     rows, orphan_sites = vl_quarter(submissions, site_map)
-    history = refreshed_history(upsert_period(rows, table), site_map)
+    history = refreshed_history(upsert_period(rows, table, schema=schema), site_map)
     return ordered(history, columns), orphan_sites
 
 

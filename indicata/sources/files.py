@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indicata.operators.joins import refresh_attrs
 from indicata.operators.union import Contract, align
+from indicata.session import materialize
+from indicata.sources.headers import header_rows, list_files, served
 
 # R's read_tsv reads both "NA" and empty fields as missing.
 READ_NULL = "NA"
@@ -76,11 +79,16 @@ def write_tsv(df: DataFrame, path: str, *, na: str = "NA", sep: str = "\t",
 def file_headers(spark: SparkSession, pattern: str) -> dict[str, str]:
     """First line of every file matching ``pattern``, in one distributed job.
 
-    A file's first split (block start 0) is read by one task in line order,
+    Where Arrow opens the store, a task reads each of its files up to the first
+    newline (:mod:`indicata.sources.headers`).  In other stores only Spark's
+    readers can, which read first blocks: a file's first split (block start 0) is read by one task in line order,
     and ``monotonically_increasing_id`` grows within a task, so the header is
     the line with the smallest id among that file's block-0 lines.  One row
     per file reaches the driver.
     """
+    paths = list_files(spark, pattern)
+    if served(paths):
+        return {r.path: r.header for r in header_rows(spark, paths).collect()}
     lines = (spark.read.text(pattern)
              .select(F.input_file_name().alias("path"),
                      F.input_file_block_start().alias("block"),
@@ -166,6 +174,32 @@ def upsert_period(df: DataFrame, table: str, *, period: str = "period",
     return read_stage(df.sparkSession, table, schema)
 
 
+def refresh_history(spark: SparkSession, table: str, old_master: DataFrame,
+                    new_master: DataFrame, on: str, attrs: Sequence[str], *,
+                    period: str = "period") -> list[str]:
+    """Bring a stored history's attributes from one master list to the next.
+
+    Only periods that hold a site whose attributes differ between the two lists
+    (or that only one of them has) are read in full and written again; the
+    others keep their files.  Returns the periods that were rewritten.  A master
+    list has one row per site; running it again changes nothing.
+    """
+    def side(master: DataFrame, name: str) -> DataFrame:
+        return master.select(F.col(on), F.struct(*attrs).alias(name))
+
+    both = side(old_master, "old").join(side(new_master, "new"), on, "full_outer")
+    changed = both.filter(~F.col("old").eqNullSafe(F.col("new"))).select(on)
+    history = spark.read.parquet(table)
+    held = history.select(on, period).distinct().join(changed, on, "left_semi")
+    periods = [r[0] for r in held.select(period).distinct().collect()]  # bounded by the periods
+    if periods:
+        here = F.col(period).isin([p for p in periods if p is not None])
+        rows = history.filter(here | F.col(period).isNull() if None in periods else here)
+        fresh = refresh_attrs(rows, new_master, on, attrs).select(*history.columns)
+        write_stage(materialize(fresh), table, partition_by=(period,))
+    return sorted(periods, key=lambda p: (p is not None, p))
+
+
 def export_period(df: DataFrame, directory: str, *, period: str = "period",
                   fmt: str = "tsv", na: str = "") -> None:
     """Write one folder per period (``period=2024 Q4``), so the file name

@@ -70,9 +70,11 @@ def read_history(spark: SparkSession, history: str, contract: Contract | None =
     if versions:
         return rows
     old = read_manifest(spark, history, period=period).filter(~F.col("newest")).select(
-        F.col(period).alias("p"), F.col(BATCH_COL).alias("b"), F.col("submission_file").alias("f"))
-    gone = F.col(period).eqNullSafe(F.col("p")) & (F.col(BATCH_COL) == F.col("b")) \
-        & (F.col("submission_file") == F.col("f"))
+        F.col(period).alias("p"), F.col("submission").alias("s"), F.col(BATCH_COL).alias("b"),
+        F.col("submission_file").alias("f"))
+    # a file may hold several submissions
+    gone = F.col(period).eqNullSafe(F.col("p")) & F.col("submission").eqNullSafe(F.col("s")) \
+        & (F.col(BATCH_COL) == F.col("b")) & (F.col("submission_file") == F.col("f"))
     return rows.join(old, gone, "left_anti").drop(
         BATCH_COL, "submission", "submission_file", "submitted_at")
 

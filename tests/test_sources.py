@@ -138,3 +138,43 @@ def test_bad_rows_lists_lines_that_do_not_fit(spark, tmp_dir):
     p = os.path.join(tmp_dir, "bad.txt")
     _write(p, "uid\tperiod\tTX_CURR\nu1\t2024 Q1\t5\nu2\t2024 Q1\tabc\nu3\t2024 Q1\n")
     assert sorted(r.line.split("\t")[0] for r in bad_rows(spark, p, SCHEMA).collect()) == ["u2", "u3"]
+
+
+def test_headers_read_no_more_than_a_line(spark, tmp_dir):
+    from indicata.sources.files import file_headers
+    from indicata.sources.headers import CHUNK, header_rows, list_files
+    for i in range(70):                                   # more than one bundle
+        with open(os.path.join(tmp_dir, f"part {i}.txt"), "w") as f:
+            f.write(f"uid\tc{i}\r\n" + "x\t1\n" * (400_000 if i == 0 else 2))
+    with open(os.path.join(tmp_dir, "long.txt"), "w") as f:
+        f.write("h" * 3 * CHUNK)
+    open(os.path.join(tmp_dir, "_hidden.txt"), "w").close()
+    paths = list_files(spark, tmp_dir + "/*.txt")
+    rows = header_rows(spark, paths).collect()
+    assert len(rows) == 71 and max(r.read for r in rows) == 3 * CHUNK
+    assert sum(r.read for r in rows) < 71 * CHUNK + 3 * CHUNK
+    got = {os.path.basename(k): v for k, v in file_headers(spark, tmp_dir + "/*.txt").items()}
+    assert got["part 5.txt"] == "uid\tc5" and got["long.txt"] == "h" * 3 * CHUNK
+
+
+def test_refresh_history_rewrites_changed_periods_only(spark, tmp_dir):
+    import glob
+
+    from indicata.sources.files import refresh_history, write_stage
+    table = os.path.join(tmp_dir, "hist")
+    rows = [("a", "old", 1.0, "2024 Q1"), ("b", "B", 2.0, "2024 Q1"), ("b", "B", 3.0, "2024 Q2"),
+            ("c", "C", 4.0, "2024 Q3"), (None, None, 5.0, "2024 Q2"), ("d", None, 6.0, "2024 Q4")]
+    write_stage(spark.createDataFrame(rows, "uid string, name string, v double, period string"),
+                table, partition_by=("period",))
+    old = spark.createDataFrame([("a", "old"), ("b", "B"), ("c", "C")], "uid string, name string")
+    new = spark.createDataFrame([("a", "new"), ("b", "B"), ("d", "D")], "uid string, name string")
+    before = {f: os.path.getmtime(f) for f in glob.glob(table + "/*/*.parquet")}
+    assert refresh_history(spark, table, old, new, "uid", ["name"]) == ["2024 Q1", "2024 Q3",
+                                                                       "2024 Q4"]
+    got = sorted(map(repr, map(tuple, spark.read.parquet(table).select("uid", "name", "v").collect())))
+    assert got == sorted(map(repr, [("a", "new", 1.0), ("b", "B", 2.0), ("b", "B", 3.0),
+                                    ("c", None, 4.0), (None, None, 5.0), ("d", "D", 6.0)]))
+    after = {f: os.path.getmtime(f) for f in glob.glob(table + "/*/*.parquet")}
+    assert {f for f in before if "Q2" in f} == {f for f in after if "Q2" in f}
+    assert all(after[f] == before[f] for f in before if "Q2" in f)
+    assert refresh_history(spark, table, new, new, "uid", ["name"]) == []

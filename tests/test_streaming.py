@@ -85,3 +85,18 @@ def test_submissions_named_by_columns(spark, tmp_dir):
                        submission=["uid"]).awaitTermination()
     got = sorted(((r.uid, r.period, r.TX_CURR) for r in read_history(spark, hist).collect()), key=repr)
     assert got == [("u1", None, 5.0), (None, None, 6.0)] or got == [(None, None, 6.0), ("u1", None, 5.0)]
+
+
+def test_a_file_of_several_submissions(spark, tmp_dir):
+    """One of them is corrected by a later file; the others of its file stay."""
+    src, hist, ckpt = (os.path.join(tmp_dir, n) for n in ("in", "hist", "ckpt"))
+    os.makedirs(src)
+    head = "uid\tperiod\tTX_CURR\n"
+    for n, text in enumerate(("u1\t2024 Q1\t1\nu2\t2024 Q1\t2\n", "u1\t2024 Q1\t9\n")):
+        path = os.path.join(src, f"f{n}.txt")
+        _write(path, head + text)
+        os.utime(path, (1000 + n, 1000 + n))
+        ingest_submissions(spark, src, FILE, Contract(CANON), hist, ckpt,
+                           submission=["uid"]).awaitTermination()
+    got = sorted((r.uid, r.TX_CURR) for r in read_history(spark, hist, Contract(CANON)).collect())
+    assert got == [("u1", 9.0), ("u2", 2.0)]
