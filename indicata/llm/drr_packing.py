@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
@@ -86,6 +87,9 @@ class Encoder:
                         and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"]
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
                         and not any(len(s.split()) != 1 for s in self.special))
+        #: Whether a word of ASCII letters is one part: no special string lies in such a word.
+        self.one_part = not any(s.isalpha() for s in self.special)
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.split = regex.compile(SPLIT).findall
         self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.words = Words(self._word, MEMO_ENTRIES)
@@ -98,10 +102,12 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         if not part.isascii():
             part = self.to_bytes(part)[0][0]
-        return np.array([t.id for t in self.tok.model.tokenize(part)], self.dtype).tobytes()
+        return array(self.code, [t.id for t in self.tok.model.tokenize(part)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if self.one_part and text.isalpha() and text.isascii():
+            return self.parts[text.lower()]
         if not PLAIN.fullmatch(text) or any(s in word for s in self.special):
             return self._whole(text)
         return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
