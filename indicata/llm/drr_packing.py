@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import zlib
 from array import array
 from collections import defaultdict
@@ -37,9 +38,10 @@ BLOCK_TOKENS = 1 << 21
 #: Partitions in one group of the prefix sums.
 GROUP = 1024
 #: Entries of a worker's memos of words and of their parts; bytes or characters of a kept one.
-MEMO_ENTRIES, PART_ENTRIES, MEMO_CHARS = 450_000, 250_000, 64
+MEMO_ENTRIES, PART_ENTRIES, MEMO_CHARS = 600_000, 350_000, 64
 #: Fixed value: the pattern by which this kind of tokenizer splits words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+MARKS = frozenset(string.punctuation)
 #: Characters with one code point in lower case and no other composed form.
 PLAIN = re.compile(r"[!-~\xa1-\u012f\u0131-\u024f]+")
 
@@ -87,8 +89,8 @@ class Encoder:
                         and steps[1]["type"] == "ByteLevel" and not steps[1]["use_regex"]
                         and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
                         and not any(len(s.split()) != 1 for s in self.special))
-        #: Whether a word of ASCII letters is one part: no special string lies in such a word.
-        self.one_part = not any(s.isalpha() for s in self.special)
+        #: Whether no special string lies in a word of letters and one mark at its end.
+        self.simple = all(len(s) > 1 and not s.decode()[0].isalpha() for s in self.special)
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.split = regex.compile(SPLIT).findall
         self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -106,8 +108,11 @@ class Encoder:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.one_part and text.isalpha() and text.isascii():
-            return self.parts[text.lower()]
+        if self.simple and (text.isascii() or PLAIN.fullmatch(text)):
+            if text.isalpha():
+                return self.parts[text.lower()]
+            if text[-1] in MARKS and text[:-1].isalpha():
+                return self.parts[text[:-1].lower()] + self.parts[text[-1]]
         if not PLAIN.fullmatch(text) or any(s in word for s in self.special):
             return self._whole(text)
         return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
