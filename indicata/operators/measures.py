@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indicata.functions.expressions import ratio
-from indicata.session import bucketed
+from indicata.session import bucket_keys, bucketed
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -109,22 +109,25 @@ def cumulative_share(df: DataFrame, measure: str, tie_keys: Sequence[str], *,
     order = [F.col(measure).desc()] + [F.col(k).asc_nulls_last() for k in tie_keys]
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = bucketed(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()),
-                      "_pid", n, "share")
-    part = ranged.groupBy("_pid").agg(F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
+    ranged = df.repartitionByRange(n, *order).withColumns({
+        "_pid": F.spark_partition_id(),
+        "_slot": F.element_at(F.lit(bucket_keys(spark, n)), F.spark_partition_id() + 1)})
+    ranged = bucketed(ranged, "_slot", n, "share")   # each range is a bucket of its own
+    part = ranged.groupBy("_slot").agg(F.min("_pid").alias("_pid"),
+                                       F.coalesce(F.sum(measure), F.lit(0.0)).alias("_psum"))
     # `part` has one row per range partition (bounded by n): the window
     # over it and the broadcast below are small by construction.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(
-        "_pid",
+        "_slot",
         F.coalesce(F.sum("_psum").over(before), F.lit(0.0)).alias("_offset"),
         F.sum("_psum").over(Window.partitionBy()).alias("_total"))
-    local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(
+    local = Window.partitionBy("_slot").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = (ranged.withColumn("_local", F.sum(measure).over(local))
-                 .join(F.broadcast(offsets), "_pid")
+                 .join(F.broadcast(offsets), "_slot")
                  .withColumn(cum_col, F.col("_local") + F.col("_offset"))
-                 .drop("_pid", "_local", "_offset"))
+                 .drop("_pid", "_slot", "_local", "_offset"))
     share = ratio(F.col(cum_col), F.col("_total"))
     if zero_total_share is not None:
         share = F.when((F.col("_total") == 0) & (F.col(cum_col) == 0),

@@ -7,6 +7,7 @@ import os
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Defaults a user would set for these workloads; every one can be overridden.
 DEFAULT_CONF = {
@@ -102,6 +103,15 @@ def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     return held.getLength(), held.getFileCount(), fs.getFileStatus(target).getModificationTime()
 
 
+def bucket_keys(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers that the hash of ``n`` buckets puts into one bucket each, so that no bucket
+    gets two of them (one row a bucket is fetched)."""
+    number = F.col("id").cast("int")
+    found = (spark.range(20 * n + 64).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("bucket"))
+             .agg(F.min(number).alias("key")).orderBy("bucket").collect())
+    return [r["key"] for r in found]
+
+
 def bucketed(df, column: str, buckets: int, name: str = "bucketed"):
     """``df`` as a written table bucketed by ``column``: groups, windows and joins on it need no
     shuffle.  The table leaves the catalog when this driver's Python ends."""
