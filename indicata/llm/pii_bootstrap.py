@@ -1,25 +1,34 @@
 """Operator 4, personal data: bootstrapped contextual extraction.
 
 1. *Seeds.*  Fixed patterns with checks find e-mail addresses, IP addresses,
-   card and phone numbers.  The same pass notes every other short run of
-   tokens that has a digit or an @, with the words around it.
-2. *Graph.*  A lexical pattern is the words around a token and its class (with
+   card and phone numbers.  A first pass marks the words around them in two
+   bitmaps of fixed size.
+2. *Candidates.*  A second pass notes the seeds and two sorts of candidates,
+   which have a digit or an @ and touch no base span: chains of tokens without
+   words, of any length and wherever they are, and short runs with words among
+   them, in slots whose words the bitmaps know.  A join with the seeds'
+   patterns then drops the runs that the bitmaps let through by chance.
+3. *Graph.*  A lexical pattern is the words around a token and its class (with
    an @, else with a digit); an edge joins a pattern to each instance it was
    seen with, of whatever shape.
-3. *Rounds.*  A pattern's confidence in a kind is the weight of that kind's
+4. *Rounds.*  A pattern's confidence in a kind is the weight of that kind's
    instances among all its instances; an instance's score is one less the
    product of one less the confidences of its trusted patterns.  Instances
-   with a high score count as seeds in the next round.
-4. Mentions of accepted instances in trusted patterns become spans of their
+   with a high score count as seeds in the next round.  What was trusted or
+   accepted stays so, and the rounds end when none is added.
+5. Mentions of accepted instances in trusted patterns become spans of their
    kind.  They never touch a base span, and base spans stay.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -37,8 +46,10 @@ MARK = re.compile(r"[0-9@]")
 DIGIT_OR_AT = re.compile(r"[\d@]")
 TOKEN = re.compile(r"\S+")
 EDGE = " .,;:!?()[]{}<>\"'=|*#$%&\t\n\r\x0b\x0c"
-#: Tokens of a candidate between two words.
+#: Tokens of a candidate that has words among them; a chain has any number.
 RUN = 5
+#: Bits of each bitmap of seed contexts.
+BITS = 1 << 23
 
 
 def luhn(digits: str) -> bool:
@@ -87,15 +98,51 @@ def _bare(word: str) -> str:
     return word.strip(EDGE).lower()
 
 
+def _bit(text: str) -> int:
+    return zlib.crc32(text.encode()) & (BITS - 1)
+
+
+def _key(text: str) -> bytes:
+    """What stands for a pattern or a surface, however long, in the graph."""
+    return blake2b(text.encode(), digest_size=16).digest()
+
+
+class Gate:
+    """Bitmaps of the seeds' patterns and of the words before them: 1 MB each, for any corpus.
+
+    They know every seed context, and others by chance.
+    """
+
+    def __init__(self, patterns: bytes, lefts: bytes):
+        self.patterns, self.lefts = patterns, lefts
+
+    def left(self, word: str) -> bool:
+        n = _bit(word)
+        return bool(self.lefts[n >> 3] >> (n & 7) & 1)
+
+    def pattern(self, pattern: str) -> bool:
+        n = _bit(pattern)
+        return bool(self.patterns[n >> 3] >> (n & 7) & 1)
+
+
 def mentions(text: str | None, spans: list[tuple[int, int, int]]):
-    """Base spans and candidates: start, end, kind or None, surface, and the lexical patterns.
+    """Base spans and candidates: start, end, kind or None, surface, and the lexical patterns."""
+    return [m[:5] for m in _mentions(text, spans, None)]
+
+
+def _mentions(text: str | None, spans: list[tuple[int, int, int]], gate: Gate | None,
+              seeds_only: bool = False):
+    """As ``mentions``, and whether the candidate is a short run that needs a seed's pattern.
 
     A candidate is a run of tokens with a digit or an @ that touches no base
-    span.  In a slot between two words it is any run of RUN tokens at most (and
-    the longest run of tokens that all have a digit or an @, however long);
-    after two words it is that longest run.  The text's ends count as words.
+    span.  A chain is the longest run of tokens that have a digit or an @, or
+    else no letter, from the first to the last of the former; it is a candidate
+    between two words and after two words, however long, and so is the
+    longest run without tokens of the latter sort.  Any other run of RUN tokens
+    at most is one between two words that ``gate`` knows (without a gate: any
+    two).  The text's ends count as words.
     """
-    if not text or not DIGIT_OR_AT.search(text):
+    if not text or not DIGIT_OR_AT.search(text) or seeds_only and not spans:
         return []
     tokens = [m.span() for m in TOKEN.finditer(text)]
     starts = [a for a, _ in tokens]
@@ -112,13 +159,13 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]):
         raw = text[slice(*tokens[i])]
         return _bare(raw) or raw
 
-    def noted(a, b, kind, left, right, after):
+    def noted(a, b, kind, left, right, after, short=False):
         surface = text[a:b]
         sort = "@" if "@" in surface else "0"
         patterns = [f"{left[-1]} _ {right} {sort}"] if right is not None else []
         if after:
             patterns.append(f"{left[0]} {left[1]} {sort} _")
-        return a, b, kind, surface, patterns
+        return a, b, kind, surface, patterns, short
 
     out = []
     for kind, a, b in spans:
@@ -128,6 +175,8 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]):
         left = [word(i - 1), glued] if glued else [word(i - 2), word(i - 1)]
         right = _bare(text[b:max(b, tokens[j][1])]) or word(j + 1)
         out.append(noted(a, b, KINDS[kind], left, right, True))
+    if seeds_only:
+        return out
 
     def free(i: int) -> bool:
         k = bisect_right(taken, starts[i], key=lambda x: x[1])
@@ -147,42 +196,88 @@ def mentions(text: str | None, spans: list[tuple[int, int, int]]):
         at = tokens[i][1]
         if free(i):
             marked.append(i)
+    chains, runs = [], []                       # first and last token
+    for i in marked:
+        if runs and runs[-1][1] == i - 1:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    for i, j in runs:
+        if chains and all(free(k) and not any(map(str.isalpha, text[slice(*tokens[k])]))
+                          for k in range(chains[-1][1] + 1, i)):
+            chains[-1][1] = j
+        else:
+            chains.append([i, j])
+    whole = set(map(tuple, chains))
+    for i, j in sorted(whole.union(map(tuple, runs))):
+        out.append(noted(*edges(i, j), None, (word(i - 2), word(i - 1)),
+                         word(j + 1) if j - i >= RUN else None, True))
     seen = -1                                   # starts up to this one have had their runs
-    for n, i in enumerate(marked):
-        if n == 0 or marked[n - 1] != i - 1:    # the longest run from here
-            last = n
-            while last + 1 < len(marked) and marked[last + 1] == marked[last] + 1:
-                last += 1
-            j = marked[last]
-            out.append(noted(*edges(i, j), None, (word(i - 2), word(i - 1)),
-                             word(j + 1) if j - i >= RUN else None, True))
+    for i in marked:
         for first in range(max(seen + 1, i - RUN + 1, 0), i + 1):
+            left = word(first - 1)
+            known = gate is None or gate.left(left)
+            if not known and (first != i or not any(
+                    (first, j) in whole for j in range(i, i + RUN))):
+                continue
             if not all(free(k) for k in range(first, i)):
                 continue
-            left, inside = word(first - 1), {word(k) for k in range(first, i)}
+            inside = {word(k) for k in range(first, i)}
             for j in range(i, min(first + RUN, len(tokens))):
                 if not free(j):
                     break
                 inside.add(word(j))
                 right = word(j + 1)
-                a, b = edges(first, j)
                 if left in inside:
                     break
                 # A run whose end is punctuation only is the run without that end.
-                if right not in inside and all(edges(k, k)[0] < tokens[k][1] for k in (first, j)):
-                    out.append(noted(a, b, None, (None, left), right, False))
+                if right in inside or any(edges(k, k)[0] == tokens[k][1] for k in (first, j)):
+                    continue
+                short = (first, j) not in whole
+                if short and not known:
+                    continue
+                m = noted(*edges(first, j), None, (None, left), right, False, short)
+                if not short or gate is None or gate.pattern(m[4][0]):
+                    out.append(m)
         seen = i
     return out
 
 
+def _gate(docs: DataFrame, text_col: str) -> Gate:
+    """The bitmaps of all base spans' contexts; the driver gets their words, 2 MB at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = set()
+            for text in batch.column(0):
+                text = text.as_py()
+                for m in _mentions(text, base_spans(text), None, seeds_only=True):
+                    for p in m[4]:
+                        if not p.endswith(" _"):
+                            got |= {(0, _bit(p)), (1, _bit(p[:p.rindex(" _ ")]))}
+            which, bit = zip(*got) if got else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()),
+                                              pa.array(bit, pa.int32())], ["which", "bit"])
+
+    bits = docs.select(text_col).mapInArrow(run, "which int, bit int")
+    words = (bits.groupBy("which", F.expr("bit div 64").alias("at"))
+             .agg(F.expr("bit_or(shiftleft(1L, bit % 64))").alias("word")).collect())
+    maps = np.zeros((2, BITS // 64), "<i8")
+    for r in words:
+        maps[r["which"], r["at"]] = r["word"]
+    return Gate(maps[0].tobytes(), maps[1].tobytes())
+
+
 def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
     found = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()),
-                                ("surface", pa.string()), ("patterns", pa.list_(pa.string()))]))
+                                ("surface", pa.binary()), ("patterns", pa.list_(pa.binary())),
+                                ("short", pa.bool_())]))
+    shared = docs.sparkSession.sparkContext.broadcast(_gate(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uid = TaskContext.get().partitionId() << 33
+        uid, gate = TaskContext.get().partitionId() << 33, shared.value
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 some = batch.slice(i, 256)
@@ -191,8 +286,10 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     text = text.as_py()
                     own = base_spans(text)
                     spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                    noted.append([dict(zip(("start", "end", "kind", "surface", "patterns"), m))
-                                  for m in mentions(text, own)])
+                    noted.append([
+                        {"start": a, "end": b, "kind": kind, "surface": _key(surface),
+                         "patterns": list(map(_key, patterns)), "short": short}
+                        for a, b, kind, surface, patterns, short in _mentions(text, own, gate)])
                 n = some.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(uid, uid + n), pa.int64()), some.column(0),
@@ -202,19 +299,22 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     return docs.select(id_col, text_col).mapInArrow(
         run, f"uid bigint, id {kind}, spans array<struct<kind:int,start:bigint,end:bigint>>, "
-             "noted array<struct<start:bigint,end:bigint,kind:string,surface:string,"
-             "patterns:array<string>>>")
+             "noted array<struct<start:bigint,end:bigint,kind:string,surface:binary,"
+             "patterns:array<binary>,short:boolean>>")
 
 
-def bootstrap(edges: DataFrame, rounds: int, min_confidence: float, min_support: int,
+def bootstrap(edges: DataFrame, min_confidence: float, min_support: int,
               min_score: float) -> tuple[DataFrame, DataFrame]:
     """Trusted patterns (pattern, kind, confidence) and accepted instances (surface, kind, score).
 
-    ``edges``: pattern, surface, kind (null unless a base span).
+    ``edges``: pattern, surface, kind (null unless a base span).  Every round
+    but the last accepts an instance at least, so the rounds end.
     """
     links = stage(edges.groupBy("pattern", "surface").agg(F.max("kind").alias("seed")), "edges")
-    accepted = None
-    for _ in range(rounds):
+    best = F.max_by(F.struct("kind", "w", "n"), F.struct("w", "kind"))
+    top = F.max_by(F.struct("kind", "score"), F.struct("score", "kind"))
+    trusted = accepted = None
+    while True:
         if accepted is None:
             rows = links.select("pattern", "surface", F.col("seed").alias("kind"),
                                 F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0).alias("w"))
@@ -226,29 +326,30 @@ def bootstrap(edges: DataFrame, rounds: int, min_confidence: float, min_support:
                 .otherwise(F.coalesce("score", F.lit(0.0))).alias("w"))
         sums = rows.groupBy("pattern", "kind").agg(
             F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
-        best = F.max_by(F.struct("kind", "w", "n"), F.struct("w", "kind"))
-        trusted = (sums.groupBy("pattern")
-                   .agg(F.sum("n").alias("all"), best.alias("top"))
-                   .select("pattern", F.col("top.kind").alias("kind"),
-                           (F.col("top.w") / F.col("all")).alias("confidence"),
-                           F.col("top.n").alias("support"))
-                   .filter(F.col("kind").isNotNull() & (F.col("support") >= min_support)
-                           & (F.col("confidence") >= min_confidence)))
-        trusted = stage(trusted.select("pattern", "kind", "confidence"), "patterns")
-        votes = (links.filter("seed IS NULL").select("pattern", "surface").join(trusted, "pattern")
-                 .groupBy("surface", "kind")
-                 .agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999))))))
-                      .alias("score")))
-        top = F.max_by(F.struct("kind", "score"), F.struct("score", "kind"))
-        accepted = stage(votes.groupBy("surface").agg(top.alias("t"))
-                         .select("surface", "t.kind", "t.score")
-                         .filter(F.col("score") >= min_score), "accepted")
-        if accepted.isEmpty():
-            break
-    return trusted, accepted
-
-
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
+        more = (sums.groupBy("pattern")
+                .agg(F.sum("n").alias("all"), best.alias("top"))
+                .select("pattern", F.col("top.kind").alias("kind"),
+                        F.round(F.col("top.w") / F.col("all"), 9).alias("confidence"),
+                        F.col("top.n").alias("support"))
+                .filter(F.col("kind").isNotNull() & (F.col("support") >= min_support)
+                        & (F.col("confidence") >= min_confidence)).drop("support"))
+        if trusted is not None:
+            more = trusted.union(more.join(trusted.select("pattern"), "pattern", "left_anti"))
+        trusted = stage(more, "patterns")
+        votes = links.filter("seed IS NULL").select("pattern", "surface").join(trusted, "pattern")
+        if accepted is not None:
+            votes = votes.join(accepted.select("surface"), "surface", "left_anti")
+        votes = votes.groupBy("surface", "kind").agg(F.round(
+            1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999))))), 9).alias("score"))
+        new = stage(votes.groupBy("surface").agg(top.alias("t"))
+                    .select("surface", "t.kind", "t.score")
+                    .filter(F.col("score") >= min_score), "accepted")
+        if new.isEmpty():
+            return trusted, new if accepted is None else accepted
+        accepted = new if accepted is None else stage(accepted.union(new), "accepted")
+
+
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          min_confidence: float = 0.8, min_support: int = 3, min_score: float = 0.8) -> DataFrame:
     """The id of every row, ``base`` and ``spans``: arrays of kind, start and end.
 
@@ -259,8 +360,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     """
     rows = stage(_scan(docs, id_col, text_col), "scan")
     noted = rows.select("uid", F.explode("noted").alias("m")) \
-        .select("uid", "m.*").withColumn("pattern", F.explode("patterns"))
-    trusted, accepted = bootstrap(noted.select("pattern", "surface", "kind"), rounds,
+        .select("uid", "m.*").withColumn("pattern", F.explode("patterns")).drop("patterns")
+    known = noted.filter("kind IS NOT NULL").select("pattern").distinct()
+    noted = stage(noted.filter("NOT short").union(
+        noted.filter("short").join(known, "pattern", "left_semi").select(noted.columns)), "noted")
+    trusted, accepted = bootstrap(noted.select("pattern", "surface", "kind"),
                                   min_confidence, min_support, min_score)
     new = (noted.filter("kind IS NULL").select("uid", "start", "end", "pattern", "surface")
            .join(trusted.select("pattern", "kind"), "pattern")

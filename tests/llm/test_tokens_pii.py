@@ -298,6 +298,151 @@ def test_mentions_of_runs_equal_plain_enumeration():
         assert got == want, text
 
 
+def plain_candidates(text):
+    """Start, end, surface, patterns, and whether a seed must have the pattern; by enumeration."""
+    spans = B.base_spans(text)
+    tokens = [m.span() for m in re.finditer(r"\S+", text)]
+    raw = [text[a:b] for a, b in tokens]
+    words = ["^", "^", *(r.strip(B.EDGE).lower() or r for r in raw), "$"]
+    n = len(tokens)
+    free = [all(y <= a or b <= x for _, x, y in spans) for a, b in tokens]
+    marked = [f and bool(re.search(r"[\d@]", r)) for f, r in zip(free, raw)]
+    bridge = [f and not any(c.isalpha() for c in r) for f, r in zip(free, raw)]
+
+    def longest(member):
+        every = [(i, j) for i in range(n) for j in range(i, n)
+                 if marked[i] and marked[j] and all(member[i:j + 1])]
+        return {(i, j) for i, j in every
+                if not any((x, y) != (i, j) and x <= i and j <= y for x, y in every)}
+
+    chains = longest([m or b for m, b in zip(marked, bridge)])
+    out = []
+
+    def add(i, j, pattern, short):
+        surface = text[tokens[i][0]:tokens[j][1]]
+        a = tokens[i][0] + len(surface) - len(surface.lstrip(B.EDGE))
+        surface = surface.strip(B.EDGE)
+        out.append((a, a + len(surface), surface, pattern.format("@" if "@" in surface else "0"), short))
+
+    for i, j in chains | longest(marked):
+        add(i, j, f"{words[i]} {words[i + 1]} {{}} _", False)
+        if j - i >= B.RUN:
+            add(i, j, f"{words[i + 1]} _ {words[j + 3]} {{}}", False)
+    for i in range(n):
+        for j in range(i, min(i + B.RUN, n)):
+            if (all(free[i:j + 1]) and any(marked[i:j + 1]) and raw[i].strip(B.EDGE)
+                    and raw[j].strip(B.EDGE)
+                    and not {words[i + 1], words[j + 3]} & set(words[i + 2:j + 3])):
+                add(i, j, f"{words[i + 1]} _ {words[j + 3]} {{}}", (i, j) not in chains)
+    return spans, out
+
+
+def plain_find(texts, confidence=0.8, support=3, score=0.8):
+    """Spans of every text, by the pattern-instance graph in dictionaries."""
+    seeds = [[m for m in B.mentions(t, B.base_spans(t)) if m[2]] for t in texts]
+    known = {p for ms in seeds for m in ms for p in m[4]}
+    found = [[c for c in plain_candidates(t)[1] if not c[4] or c[3] in known] for t in texts]
+    links = defaultdict(dict)
+    for ms in seeds:
+        for _, _, kind, surface, patterns in ms:
+            for p in patterns:
+                links[p][surface] = max(kind, links[p].get(surface) or "")
+    for cs in found:
+        for _, _, surface, p, _ in cs:
+            links[p].setdefault(surface, None)
+    trusted, accepted = {}, {}
+    while True:
+        for p, at in links.items():
+            w, count = defaultdict(float), defaultdict(int)
+            for surface, kind in at.items():
+                got = (kind, 1.0) if kind else accepted.get(surface, (None, 0.0))
+                w[got[0]] += got[1]
+                count[got[0]] += 1
+            kind = max(w, key=lambda k: (w[k], k or ""))
+            if kind and count[kind] >= support and round(w[kind] / len(at), 9) >= confidence:
+                trusted.setdefault(p, (kind, round(w[kind] / len(at), 9)))
+        votes = defaultdict(lambda: defaultdict(lambda: 1.0))
+        for p, (kind, c) in trusted.items():
+            for surface, seed in links[p].items():
+                if not seed and surface not in accepted:
+                    votes[surface][kind] *= 1 - min(c, 0.999)
+        new = {s: max(((k, 1 - x) for k, x in v.items()), key=lambda kx: (kx[1], kx[0]))
+               for s, v in votes.items()}
+        new = {s: v for s, v in new.items() if v[1] >= score}
+        if not new:
+            break
+        accepted.update(new)
+    out = []
+    for text, cs in zip(texts, found):
+        own = {(B.KINDS[k], a, b) for k, a, b in B.base_spans(text)}
+        more = {(trusted[p][0], a, b) for a, b, s, p, _ in cs
+                if p in trusted and accepted.get(s, (None,))[0] == trusted[p][0]}
+        out.append(own | {(k, a, b) for k, a, b in more if not any(
+            (x, y) != (a, b) and k == z and x <= a and b <= y for z, x, y in more)})
+    return out
+
+
+def test_spans_equal_the_plain_graph(spark):
+    rng = random.Random(21)
+    words = ["call", "me", "at", "mail", "to", "now", "room", "-", "|", "see", "##"]
+    values = [lambda: f"+1 555 010 {rng.randint(1000, 1400)}", lambda: f"jo{rng.randint(0, 400)}@a.org",
+              lambda: f"020 7946 {rng.randint(10, 15)}", lambda: f"jo{rng.randint(0, 9)}@intranet",
+              lambda: f"020 - 7946 - 09 - {rng.randint(10, 15)}", lambda: str(rng.randint(1, 40)),
+              lambda: f"ring {rng.randint(1, 9)} then", lambda: f"10.0.{rng.randint(0, 9)}.{rng.randint(0, 30)}"]
+    texts = []
+    for _ in range(400):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(4)
+            lead = [["call", "me", "at"], ["mail", "to"], ["host", "is"], rng.choices(words, k=2)][at]
+            pick = values[rng.choice([[0, 0, 0, 0, 0, 2, 4], [1, 1, 1, 1, 1, 3], [7, 7, 7, 5],
+                                      range(8)][at])]()
+            parts += [*lead, pick, rng.choice(["now", "please", "today"])]
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: {tuple(s) for s in r.spans} for r in B.find(docs).collect()}
+    want = plain_find(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    base = sum(len(B.base_spans(t)) for t in texts)
+    assert sum(map(len, want)) > base + 20
+
+
+def test_candidates_equal_plain_enumeration_and_the_gate_drops_short_runs_only():
+    rng = random.Random(8)
+    parts = ["a", "b", "12", "x@", "(3)", "##", "-", "a@b.c", "+1 555 010 1000", "c.", "7,", "½"]
+    shut = B.Gate(bytes(B.BITS // 8), bytes(B.BITS // 8))
+    for _ in range(2000):
+        text = " ".join(rng.choices(parts, k=rng.randint(1, 14)))
+        spans, want = plain_candidates(text)
+        got = {(a, b, s, p, short) for a, b, k, s, ps, short in B._mentions(text, spans, None)
+               if k is None for p in ps}
+        assert got == set(want), text
+        left = {(a, b, s, p, short) for a, b, k, s, ps, short in B._mentions(text, spans, shut)
+                if k is None for p in ps}
+        assert left == {c for c in want if not c[4]}, text
+
+
+def test_chains_of_any_length_are_found(spark):
+    rows = [(i, f"w{i} please call me at +1 (555) 010-{1000 + i} today or later") for i in range(20)]
+    digits = " - ".join(str(10 + i) for i in range(40))
+    texts = {100: ("x call me at 020 - 7946 - 09 - 58 today", "020 - 7946 - 09 - 58"),
+             101: (f"x call me at {digits} today", digits), 102: ("x room 020 - 7946 - 09 - 58 is free", None)}
+    docs = spark.createDataFrame(rows + [(i, t) for i, (t, _) in texts.items()],
+                                 "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][0][s.start:s.end]) for s in r.spans]
+           for r in B.find(docs).collect() if r.doc_id in texts}
+    assert got == {i: [("phone", x)] if x else [] for i, (_, x) in texts.items()}
+
+
+def test_long_texts_of_numbers_need_little():
+    shut = B.Gate(bytes(B.BITS // 8), bytes(B.BITS // 8))
+    text = " ".join(str(i) for i in range(150_000))
+    got = B._mentions(text, B.base_spans(text), shut)
+    assert sum(m[2] is None for m in got) <= 200
+    words = "a 1 " * 200_000
+    assert len(B._mentions(words, [], shut)) <= 400_000
+
+
 def test_pii_edges(edge_docs, no_docs):
     rows = B.find(edge_docs).collect()
     assert len(rows) == 17 and all(len(r.base) <= len(r.spans) for r in rows)
