@@ -153,11 +153,13 @@ def _mentions(text: str | None, spans: list[tuple[int, int, int]], gate: Gate |
         else:
             taken.append([a, b])
 
+    words = {}
+
     def word(i: int) -> str:
-        if not 0 <= i < len(tokens):
-            return "^" if i < 0 else "$"
-        raw = text[slice(*tokens[i])]
-        return _bare(raw) or raw
+        if i not in words:
+            raw = text[slice(*tokens[i])] if 0 <= i < len(tokens) else "^" if i < 0 else "$"
+            words[i] = _bare(raw) or raw
+        return words[i]
 
     def noted(a, b, kind, left, right, after, short=False):
         surface = text[a:b]
@@ -178,9 +180,11 @@ def _mentions(text: str | None, spans: list[tuple[int, int, int]], gate: Gate |
     if seeds_only:
         return out
 
+    ends = [b for _, b in taken]
+
     def free(i: int) -> bool:
-        k = bisect_right(taken, starts[i], key=lambda x: x[1])
-        return k == len(taken) or taken[k][0] >= tokens[i][1]
+        k = bisect_right(ends, starts[i])
+        return k == len(ends) or taken[k][0] >= tokens[i][1]
 
     def edges(i: int, j: int) -> tuple[int, int]:
         a, b = starts[i], tokens[j][1]
@@ -208,33 +212,30 @@ def _mentions(text: str | None, spans: list[tuple[int, int, int]], gate: Gate |
             chains[-1][1] = j
         else:
             chains.append([i, j])
-    whole = set(map(tuple, chains))
-    for i, j in sorted(whole.union(map(tuple, runs))):
+    for i, j in sorted({*map(tuple, chains), *map(tuple, runs)}):
         out.append(noted(*edges(i, j), None, (word(i - 2), word(i - 1)),
                          word(j + 1) if j - i >= RUN else None, True))
+    whole = dict(chains)
     seen = -1                                   # starts up to this one have had their runs
     for i in marked:
         for first in range(max(seen + 1, i - RUN + 1, 0), i + 1):
-            left = word(first - 1)
+            left, chain = word(first - 1), whole.get(first, -1)
             known = gate is None or gate.left(left)
-            if not known and (first != i or not any(
-                    (first, j) in whole for j in range(i, i + RUN))):
+            if not known and not first <= chain < first + RUN:
                 continue
-            if not all(free(k) for k in range(first, i)):
+            if not all(map(free, range(first, i))):
                 continue
-            inside = {word(k) for k in range(first, i)}
-            for j in range(i, min(first + RUN, len(tokens))):
+            inside = set(map(word, range(first, i)))
+            for j in range(i, min(first + RUN, len(tokens)) if known else chain + 1):
                 if not free(j):
                     break
                 inside.add(word(j))
-                right = word(j + 1)
                 if left in inside:
                     break
+                right, short = word(j + 1), j != chain
                 # A run whose end is punctuation only is the run without that end.
-                if right in inside or any(edges(k, k)[0] == tokens[k][1] for k in (first, j)):
-                    continue
-                short = (first, j) not in whole
-                if short and not known:
+                if (short and not known or right in inside
+                        or any(edges(k, k)[0] == tokens[k][1] for k in (first, j))):
                     continue
                 m = noted(*edges(first, j), None, (None, left), right, False, short)
                 if not short or gate is None or gate.pattern(m[4][0]):
