@@ -21,6 +21,7 @@ from indicata.session import checkpoint_dir
 BUCKET_BYTES, MAX_BUCKETS = 32 << 20, 50_000
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,18 +54,25 @@ def bucketed(df: DataFrame, name: str, col: str, size: int) -> DataFrame:
     """``df`` written as a table bucketed by ``col``, so that joins on it move only the other side.
 
     There are as many buckets as shuffle partitions at least (Spark deals a
-    table with fewer anew), and more where ``size`` bytes ask for it.
+    table with fewer anew), and more where ``size`` bytes ask for it.  The
+    table leaves the catalog with its files, when the driver's Python ends.
     """
     spark = df.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(MAX_BUCKETS, max(1, least, -(-size // BUCKET_BYTES)))
     full = f"indicata_{name}_{uuid.uuid4().hex}"
     (df.write.bucketBy(buckets, col).option("path", stage_path(spark, name)).saveAsTable(full))
+    _TABLES.append((spark, full))
     return spark.table(full)
 
 
 @atexit.register
 def _remove_stages() -> None:
+    for spark, name in _TABLES:
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # noqa: BLE001 - the session may have ended before
+            break
     for spark, path in _WRITTEN:
         try:
             jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
