@@ -281,3 +281,4 @@ from indicata.plans import catalog_rules  # noqa: E402,F401
 from indicata.plans import catalog_scores  # noqa: E402,F401
 from indicata.plans import catalog_reports  # noqa: E402,F401
 from indicata.plans import catalog_files  # noqa: E402,F401
+from indicata.plans import catalog_derived  # noqa: E402,F401

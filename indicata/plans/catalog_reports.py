@@ -123,9 +123,10 @@ K = ["orgunituid", "sitename", "snu1", "psnu", "mech_name", "indicator", "numera
      "sitetype", "trendscoarse", "partner_recode"]
 
 
-def _long_part(col, ptype, q) -> str:
+def _long_part(col, ptype, q, labels=()) -> str:
     qexpr = str(q) if q else "CAST(NULL AS INTEGER)"
-    return f"SELECT {', '.join(K)}, '{ptype}' AS period_type, {qexpr} AS q, {col} AS value FROM attr"
+    return (f"SELECT {', '.join([*K, *labels])}, '{ptype}' AS period_type, {qexpr} AS q, "
+            f"{col} AS value FROM attr")
 
 
 def _shift_part(k, src, label) -> str:
@@ -158,13 +159,33 @@ def _cohort_part(k, lo, hi) -> str:
 _IIT_ALL = ["IIT 0-3m ART", "IIT 3-5m ART", "IIT 6+m ART", "IIT 3+m ART"]
 
 
-def _results_chain() -> str:
+def _results_chain(extract: str = "ext3", dealt: str = "", labels=(), dedup=proxy.PROXY_DEDUP,
+                   names=proxy.PROXY_NAMES, derived: str | None = None) -> str:
+    """The chain over ``extract``, a CTE that ``dealt`` may define; ``labels`` are further label
+    columns of it, ``derived`` the steps from ``wide`` to ``dv3`` in place of those below."""
+    more = "".join(f", {c}" for c in labels)
     shifts = [_shift_part(k, s, lab) for k, m in R.COHORT_SHIFTS for s, lab in m.items()]
     onehot = ", ".join(f"CASE WHEN indicator_temp = '{n}' THEN value END AS {n}"
-                       for n in proxy.PROXY_NAMES)
+                       for n in names)
     recode = ("CASE otherdisaggregate " + " ".join(
         f"WHEN '{k}' THEN '{v}'" for k, v in R.OTHERDISAGGREGATE_RECODE.items())
         + " ELSE otherdisaggregate END")
+    if derived is None:
+        derived = f"""\
+dv1 AS (SELECT * REPLACE ({recode} AS otherdisaggregate) FROM wide),
+dv2 AS (
+  SELECT *,
+         CASE WHEN sex = 'Female' AND agecoarse = '15+' THEN TX_CURR END AS TX_CURR_FemaleAdult,
+         CASE WHEN otherdisaggregate IN ({_sql_in(_IIT_ALL)}) THEN TX_ML END AS TX_ML_IIT,
+         CASE WHEN otherdisaggregate = 'IIT 0-3m ART' THEN TX_ML END AS TX_ML_IIT_3_Months_Less,
+         CASE WHEN otherdisaggregate <> 'Transferred Out' THEN TX_ML END AS TX_PatientLoss,
+         CASE WHEN otherdisaggregate = 'Life-long ART, Already' THEN PMTCT_ART END
+           AS PMTCT_ART_Already,
+         TX_CURR AS TX_CURR_Expected,
+         CAST(NULL AS DOUBLE) AS TX_NEW, CAST(NULL AS DOUBLE) AS TX_RTT,
+         CAST(NULL AS DOUBLE) AS TX_NET_NEW
+  FROM dv1),
+dv3 AS (SELECT *, TX_ML_IIT AS TX_CIRA FROM dv2),"""
     return f"""
 , ext AS (
   SELECT CAST(site_uid AS VARCHAR) AS orgunituid, sitename, snu1, psnu, mech_name, indicator,
@@ -184,11 +205,11 @@ ext2 AS (
 ext3 AS (
   SELECT *, CASE WHEN ageasentered IN ({_sql_in(R.AGES_UNDER_15)}) THEN '<15'
                  WHEN ageasentered = 'Unknown' THEN 'Unknown Age' ELSE '15+' END AS trendscoarse
-  FROM ext2),
-dmap(indicator, standardizeddisaggregate, indicator_new) AS (VALUES {_sql_values(proxy.PROXY_DEDUP)}),
+  FROM ext2),{dealt}
+dmap(indicator, standardizeddisaggregate, indicator_new) AS (VALUES {_sql_values(dedup)}),
 mapped AS (
   SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
-  FROM ext3 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
+  FROM {extract} e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
    AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
   WHERE m.indicator_new IS NOT NULL),
 smap AS (
@@ -204,12 +225,12 @@ attr AS (
               ELSE mp.mech_name END AS partner_recode
   FROM mapped mp LEFT JOIN smap s ON mp.orgunituid = s.datim_uid),
 long AS (
-  {_long_part('qtr1', 'results', 1)}
-  UNION ALL {_long_part('qtr2', 'results', 2)}
-  UNION ALL {_long_part('qtr3', 'results', 3)}
-  UNION ALL {_long_part('qtr4', 'results', 4)}
-  UNION ALL {_long_part('cumulative', 'cumulative', None)}
-  UNION ALL {_long_part('targets', 'targets', None)}),
+  {_long_part('qtr1', 'results', 1, labels)}
+  UNION ALL {_long_part('qtr2', 'results', 2, labels)}
+  UNION ALL {_long_part('qtr3', 'results', 3, labels)}
+  UNION ALL {_long_part('qtr4', 'results', 4, labels)}
+  UNION ALL {_long_part('cumulative', 'cumulative', None, labels)}
+  UNION ALL {_long_part('targets', 'targets', None, labels)}),
 long2 AS (
   SELECT *, indicator || CASE WHEN numeratordenom = 'D' THEN '_D' ELSE '' END AS indicator_temp,
          fiscal_year AS fy, CASE WHEN q IS NOT NULL THEN 'Q' || CAST(q AS VARCHAR) END AS quarter
@@ -241,27 +262,14 @@ flt AS (
 wide AS (
   SELECT orgunituid, sitename, snu1, psnu, mech_name, standardizeddisaggregate,
          fy AS fiscal_year, otherdisaggregate, sex, ageasentered, sitetype,
-         trendscoarse AS agecoarse, partner_recode, period_type, period, date, {onehot}
+         trendscoarse AS agecoarse, partner_recode, period_type, period, date{more}, {onehot}
   FROM flt),
 vol AS (
   SELECT orgunituid,
          {_sql_band('s', R.SITE_VOLUME_BANDS, R.SITE_VOLUME_DEFAULT)} AS site_volume
   FROM (SELECT orgunituid, coalesce(sum(TX_CURR), 0) AS s FROM wide, b
         WHERE sitetype = 'Facility' AND date = b.mx GROUP BY orgunituid)),
-dv1 AS (SELECT * REPLACE ({recode} AS otherdisaggregate) FROM wide),
-dv2 AS (
-  SELECT *,
-         CASE WHEN sex = 'Female' AND agecoarse = '15+' THEN TX_CURR END AS TX_CURR_FemaleAdult,
-         CASE WHEN otherdisaggregate IN ({_sql_in(_IIT_ALL)}) THEN TX_ML END AS TX_ML_IIT,
-         CASE WHEN otherdisaggregate = 'IIT 0-3m ART' THEN TX_ML END AS TX_ML_IIT_3_Months_Less,
-         CASE WHEN otherdisaggregate <> 'Transferred Out' THEN TX_ML END AS TX_PatientLoss,
-         CASE WHEN otherdisaggregate = 'Life-long ART, Already' THEN PMTCT_ART END
-           AS PMTCT_ART_Already,
-         TX_CURR AS TX_CURR_Expected,
-         CAST(NULL AS DOUBLE) AS TX_NEW, CAST(NULL AS DOUBLE) AS TX_RTT,
-         CAST(NULL AS DOUBLE) AS TX_NET_NEW
-  FROM dv1),
-dv3 AS (SELECT *, TX_ML_IIT AS TX_CIRA FROM dv2),
+{derived}
 rt AS (
   SELECT d.* EXCLUDE (orgunituid), d.orgunituid AS datim_uid, v.site_volume,
          s.partner_pepfar_clinical, coalesce(s.his_epts, 0) AS his_epts
@@ -1143,7 +1151,7 @@ def q_targets_report(spark, sf_dir):
 
 _TARGETS_SQL = """
 , tmap AS (SELECT e.* EXCLUDE (indicator), m.indicator_new AS indicator
-           FROM ext3 e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
+           FROM {extract} e JOIN dmap m ON e.indicator IS NOT DISTINCT FROM m.indicator
             AND e.standardizeddisaggregate IS NOT DISTINCT FROM m.standardizeddisaggregate
            WHERE m.indicator_new IS NOT NULL),
 tl AS (SELECT indicator, numeratordenom, standardizeddisaggregate, fiscal_year,

@@ -343,22 +343,21 @@ def _sources() -> list[str]:
     return out
 
 
-_SOURCES = _sources()
-_WHEN = [r.get("when") for r in R.DERIVED_INDICATORS]
-_DERIVE_COLUMNS = {"indicator": _SOURCES} | {
-    c: label_pool(_WHEN, c) for c in ("sex", "agecoarse", "ageasentered", "modality", "statushiv",
-                                      "statustb")}
+DERIVED_SOURCES = _sources()
+DERIVED_WHEN = [r.get("when") for r in R.DERIVED_INDICATORS]
+_DERIVE_COLUMNS = {"indicator": DERIVED_SOURCES} | {
+    c: label_pool(DERIVED_WHEN, c) for c in ("sex", "agecoarse", "ageasentered", "modality",
+                                             "statushiv", "statustb")}
 _DERIVE_COLUMNS["otherdisaggregate"] = [*R.OTHERDISAGGREGATE_RECODE,
-                                        *label_pool(_WHEN, "otherdisaggregate")]
+                                        *label_pool(DERIVED_WHEN, "otherdisaggregate")]
 _DERIVE_FRAME, _DERIVE_SQL = _dealt(_DERIVE_COLUMNS, "fy + 24 AS fiscal_year", "value")
-_DERIVED_OUT = list(dict.fromkeys(r["out"] for r in R.DERIVED_INDICATORS if "recode" not in r))
+DERIVED_OUT = list(dict.fromkeys(r["out"] for r in R.DERIVED_INDICATORS if "recode" not in r))
 
 
-def _sql_derived() -> str:
-    """One step per rule, each over the step before it."""
-    wide = ", ".join(f"CASE WHEN indicator = '{c}' THEN value END AS {c}" for c in _SOURCES)
-    steps = [f"x AS ({_DERIVE_SQL})", f"d0 AS (SELECT *, {wide} FROM x)"]
-    known = {*_DERIVE_COLUMNS, *_SOURCES}
+def sql_derived_steps(known) -> list[str]:
+    """The derived-indicator rules as CTEs ``m1``, ``m2``, ...: one step per rule, each over the
+    step before it, from ``m0`` with the columns ``known``."""
+    known, steps = set(known), []
     for i, r in enumerate(R.DERIVED_INDICATORS):
         if "recode" in r:
             expr = _sql_recode(r["col"], r["recode"])
@@ -371,17 +370,24 @@ def _sql_derived() -> str:
             expr = f"CASE WHEN {_sql_predicate(r['when'])} THEN {r['src']} END"
         new = f"* REPLACE ({expr} AS {r['out']})" if r["out"] in known else f"*, {expr} AS {r['out']}"
         known.add(r["out"])
-        steps.append(f"d{i + 1} AS (SELECT {new} FROM d{i})")
-    sums = ", ".join(f"sum({c}) AS {c}" for c in _DERIVED_OUT)
+        steps.append(f"m{i + 1} AS (SELECT {new} FROM m{i})")
+    return steps
+
+
+def _sql_derived() -> str:
+    wide = ", ".join(f"CASE WHEN indicator = '{c}' THEN value END AS {c}" for c in DERIVED_SOURCES)
+    steps = [f"x AS ({_DERIVE_SQL})", f"m0 AS (SELECT *, {wide} FROM x)",
+             *sql_derived_steps({*_DERIVE_COLUMNS, *DERIVED_SOURCES})]
+    sums = ", ".join(f"sum({c}) AS {c}" for c in DERIVED_OUT)
     return (", " + ",\n".join(steps) + f"\nSELECT fiscal_year, {sums} "
-            f"FROM d{len(R.DERIVED_INDICATORS)} GROUP BY fiscal_year")
+            f"FROM m{len(R.DERIVED_INDICATORS)} GROUP BY fiscal_year")
 
 
 @register("derive_indicators", _sql_derived())
 def derive_indicators_q(spark, sf_dir):
-    wide = spread(_DERIVE_FRAME(proxy.fact(spark, sf_dir)), "indicator", "value", _SOURCES)
+    wide = spread(_DERIVE_FRAME(proxy.fact(spark, sf_dir)), "indicator", "value", DERIVED_SOURCES)
     wide = derive_indicators(wide, R.DERIVED_INDICATORS)
-    return wide.groupBy("fiscal_year").agg(*[F.sum(c).alias(c) for c in _DERIVED_OUT])
+    return wide.groupBy("fiscal_year").agg(*[F.sum(c).alias(c) for c in DERIVED_OUT])
 
 
 # ---------------------------------------------------------------------------

@@ -391,3 +391,10 @@ def test_bundled_long_rules_all_run_in_a_query(spark):
     from indicata.plans.catalog import QUERIES
     found = {r.indicator for r in QUERIES["targets_bundled"](spark, "/root/testdata/sf0.001").collect()}
     assert {r["label"] for r in R.LONG_DERIVED} <= found
+
+
+def test_every_derived_indicator_varies_in_the_results_table(spark):
+    from indicata.plans import catalog_derived as D
+    rows = D.q_results_derived(spark, "/root/testdata/sf0.001").collect()
+    constant = [c for c in D.DERIVED_OUT if len({r[c] for r in rows if r[c] is not None}) < 2]
+    assert len(D.DERIVED_OUT) == 36 and constant == []
