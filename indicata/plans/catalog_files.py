@@ -36,7 +36,8 @@ def q_kp_versions(spark, sf_dir):
     lines = T.StructType([T.StructField(f.name, T.StringType()) for f in contract.schema.fields])
 
     def hand_in(rows, version):
-        write_tsv(rows.repartition("keypop"), f"{folder}/{version}")  # a partner is in one file
+        # a partner's period is in one file: versions are told apart per period
+        write_tsv(rows.repartition("keypop", "period"), f"{folder}/{version}")
         ingest_submissions(spark, folder, lines, contract, table, ckpt, pattern="*.csv",
                            submission=["keypop"]).awaitTermination()
 

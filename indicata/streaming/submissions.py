@@ -75,7 +75,8 @@ def read_history(spark: SparkSession, history: str, contract: Contract | None =
     # a file may hold several submissions
     gone = F.col(period).eqNullSafe(F.col("p")) & F.col("submission").eqNullSafe(F.col("s")) \
         & (F.col(BATCH_COL) == F.col("b")) & (F.col("submission_file") == F.col("f"))
-    return rows.join(old, gone, "left_anti").drop(
+    # replaced versions only, a row per period and file
+    return rows.join(F.broadcast(old), gone, "left_anti").drop(
         BATCH_COL, "submission", "submission_file", "submitted_at")
 
 

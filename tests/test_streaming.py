@@ -100,3 +100,22 @@ def test_a_file_of_several_submissions(spark, tmp_dir):
                            submission=["uid"]).awaitTermination()
     got = sorted((r.uid, r.TX_CURR) for r in read_history(spark, hist, Contract(CANON)).collect())
     assert got == [("u1", 9.0), ("u2", 2.0)]
+
+
+def test_a_partners_periods_are_spread_over_tasks(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from indicata.plans import catalog_files as CF
+    rows = spark.createDataFrame([("MSM", f"20{y} Q1") for y in range(10, 30)],
+                                 "keypop string, period string")
+    seen = []
+
+    def record(df, path, **_):
+        seen.append(df._jdf.queryExecution().analyzed().toString())
+        raise StopIteration
+
+    monkeypatch.setattr(CF.C, "_kp_rows", lambda *_: rows)
+    monkeypatch.setattr(CF, "write_tsv", record)
+    with pytest.raises(StopIteration):
+        CF.q_kp_versions(spark, tmp_dir)
+    assert "RepartitionByExpression [keypop" in seen[0] and "period" in seen[0].splitlines()[0]
