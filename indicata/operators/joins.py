@@ -3,7 +3,7 @@ orphan detection and attribute refresh.
 
 Broadcast policy: a side is hinted for broadcast only when its size is
 bounded by construction (``bounded=True``: anchor lists, fixed-size
-geographies).  Any other dimension, rule tables included, is joined plainly and AQE
+geographies; the indicator map).  Any other dimension is joined plainly and AQE
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``) turns the join into a
 broadcast at run time only if the measured side is small, keeping a
 sort-merge join otherwise.  A join of two tables that both grow with the
@@ -51,13 +51,14 @@ def map_indicator(df: DataFrame, mapping: DataFrame, *, new: str = "indicator_ne
 
     A null key matches a null key (as in R's joins).  A key may map to several
     new indicators (deliberate fan-out).  Rows without a mapped indicator are
-    dropped, the old ``target`` column is replaced by the new one.  Spark
-    chooses the join by the measured size of the map.
+    dropped, the old ``target`` column is replaced by the new one.  The map is
+    a rule table and broadcast: its few keys would be the only partitions of a
+    shuffled join, however large the fact is.
     """
     shared = [c for c in mapping.columns if c in df.columns and c != new]
     m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in shared], F.col(new))
     cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(m[f"__m_{c}"]) for c in shared])
-    out = df.join(m, cond, "inner").filter(F.col(new).isNotNull())
+    out = df.join(_side(m, True), cond, "inner").filter(F.col(new).isNotNull())
     out = out.drop(*[f"__m_{c}" for c in shared])
     if target in out.columns:
         out = out.drop(target)

@@ -352,3 +352,13 @@ def test_cumulative_share_shuffles_its_rows_once(spark):
         total += v
         want.append((total, float(v), i))
     assert got == sorted(want)
+
+
+def test_map_indicator_does_not_shuffle_the_fact_by_the_maps_keys(spark):
+    from indicata.operators.joins import map_indicator
+    fact = spark.createDataFrame([("a", "x", 1.0), ("b", None, 2.0)], "indicator string, d string, v double")
+    m = spark.createDataFrame([("a", "x", "n"), ("b", None, "k")], "indicator string, d string, indicator_new string")
+    out = map_indicator(fact, m)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r.indicator for r in out.collect()) == ["k", "n"]
