@@ -35,6 +35,14 @@ def reshape_long(df: DataFrame, *, fiscal_year: str = "fiscal_year",
     return out if keep_null else out.filter(F.col("value").isNotNull())
 
 
+def listed(df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    """The rows as they are; a ``key`` outside ``names`` fails the query."""
+    known = F.col(key).isNull() | F.col(key).isin(list(names))
+    return df.filter(F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit(f"spread: {key} is not a listed name: "), F.col(key).cast("string")))
+        .cast("boolean")))
+
+
 def spread(df: DataFrame, key: str, value: str, names: Sequence[str], *,
            drop: bool = True, strict: bool = True) -> DataFrame:
     """Long -> one-hot wide, row-preserving (``pivot_wider`` on a row id).
@@ -46,10 +54,7 @@ def spread(df: DataFrame, key: str, value: str, names: Sequence[str], *,
     (``strict=False`` lets such rows pass with nulls).
     """
     if strict:
-        known = F.col(key).isNull() | F.col(key).isin(list(names))
-        df = df.filter(F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(
-            F.lit(f"spread: {key} is not a listed name: "), F.col(key).cast("string")))
-            .cast("boolean")))
+        df = listed(df, key, names)
     cols = [F.when(F.col(key) == F.lit(n), F.col(value)).alias(n) for n in names]
     base = [c for c in df.columns if not (drop and c in (key, value)) and c not in names]
     return df.select(*base, *cols)

@@ -247,8 +247,13 @@ def canonical_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(F.when(q == i, v)).alias(f"qtr{i}") for i in range(1, 5)],
         F.sum(v).alias("cumulative"),
         F.sum(F.when(F.col("numeratordenom") == "D", v)).alias("targets"))
-    g = g.join(sites(spark, sf_dir).drop("acctbal"), "site_uid").withColumn(
-        "orgunituid", F.col("site_uid").cast("string")).drop("site_uid")
+    # by the uid as later site joins have it, so that they find the rows in place
+    uid = F.col("site_uid").cast("string").alias("orgunituid")
+    attrs = sites(spark, sf_dir)
+    g = g.select(uid, *[c for c in g.columns if c != "site_uid"]).join(
+        attrs.select(uid, *[c for c in attrs.columns if c not in ("site_uid", "acctbal")]),
+        "orgunituid")
+    g = g.select(*[c for c in g.columns if c != "orgunituid"], "orgunituid")
     g = g.withColumns({
         "otherdisaggregate": lookup("standardizeddisaggregate", PROXY_OTHERDISAGG),
         "sex": F.when(F.col("numeratordenom") == "D", F.lit("Female")).otherwise(F.lit("Male")),

@@ -28,7 +28,7 @@ from indicata.operators.joins import (enrich, keep_with_any, map_indicator, orph
                                       qa_missing_key, refresh_attrs)
 from indicata.operators.measures import (cumulative_share, group_sum, group_sum_rest,
                                          period_bounds, sum_when)
-from indicata.operators.reshape import gather, reshape_long, spread
+from indicata.operators.reshape import gather, listed, reshape_long, spread
 from indicata.operators.scoring import composite, score_sites, site_volume
 from indicata.operators.select import apply_exclusions, drop_all_zero, fill_zero
 from indicata.operators.union import Contract, align, union_all
@@ -76,6 +76,9 @@ def yearly_extracts(extracts: Mapping[str, DataFrame], layouts: Mapping[str, Map
 # ---------------------------------------------------------------------------
 
 
+RESULT_TYPES = ("results", "cumulative")
+
+
 def attribute_partner(df: DataFrame, *, clinical: Sequence[str] = R.CLINICAL_INDICATORS,
                       site_partner: str = "partner_pepfar_clinical",
                       indicator: str = "indicator", mech: str = "mech_name") -> Column:
@@ -92,12 +95,15 @@ def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *
     """Mapped, attributed, long, de-noised, cohort-shifted and dated fact.
 
     ``keep_source`` keeps the fiscal year and quarter a row was reported for,
-    before any shift, as ``src_fy`` and ``src_q`` (0 for cumulative rows).
+    before any shift, as ``src_fy`` and ``src_q`` (0 for cumulative rows); a task
+    then gives its rows by year, for a write partitioned by source.
     """
     df = map_indicator(dg, dedup_map)
     df = enrich(df, site_partner, "datim_uid", left_on="orgunituid")
     df = df.withColumn("partner_recode", attribute_partner(df)).drop("datim_uid")
     df = df.withColumn("fy", F.col("fiscal_year").cast("int"))
+    if keep_source:
+        df = df.sortWithinPartitions("fy", "orgunituid")
     df = reshape_long(df.drop("fiscal_year"), fiscal_year="fy")
     qn = quarter_number("period")
     df = df.withColumns({"quarter": F.when(qn.isNotNull(), F.concat(F.lit("Q"), qn.cast("string"))),
@@ -145,9 +151,20 @@ def results_wide(full: DataFrame, indicator_names: Sequence[str],
     """One column per indicator; rows dated outside the bounds are left out."""
     wide = spread(full, "indicator_temp", "value", indicator_names)
     return (wide.withColumnsRenamed({"fy": "fiscal_year", "trendscoarse": "agecoarse"})
-                .drop("numeratordenom")
-                .filter(((F.col("date") >= bounds["min_date"]) & (F.col("date") <= bounds["max_date"]))
-                        | F.col("period").isNull()))
+                .drop("numeratordenom").filter(_within(bounds)))
+
+
+def _within(bounds: Mapping[str, Column]) -> Column:
+    return (((F.col("date") >= bounds["min_date"]) & (F.col("date") <= bounds["max_date"]))
+            | F.col("period").isNull())
+
+
+def results_rows(full: DataFrame, indicator_names: Sequence[str],
+                 bounds: Mapping[str, Column]) -> DataFrame:
+    """The long rows that :func:`results_wide` and :func:`results_measures` make rows of the
+    results table of, one each; an indicator that is not listed fails the query."""
+    return listed(full, "indicator_temp", indicator_names).filter(
+        _within(bounds) & F.col("period_type").isin(*RESULT_TYPES))
 
 
 def results_volume(wide: DataFrame, max_date: Column, facility: str = "Facility", *,
@@ -161,7 +178,7 @@ def results_volume(wide: DataFrame, max_date: Column, facility: str = "Facility"
 def results_measures(wide: DataFrame, derived=R.DERIVED_INDICATORS) -> DataFrame:
     """Derived indicators; result and cumulative rows, by site uid."""
     wide = derive_indicators(wide, derived)
-    return (wide.filter(F.col("period_type").isin("results", "cumulative"))
+    return (wide.filter(F.col("period_type").isin(*RESULT_TYPES))
                 .drop(*[c for c in ("statushiv", "statustb", "statuscx", "hiv_treatment_status")
                         if c in wide.columns])
                 .withColumnRenamed("orgunituid", "datim_uid"))
@@ -553,7 +570,7 @@ def mi_extract(mi: DataFrame, site_map: DataFrame, psnu_map: DataFrame, *,
     return enrich(long, psnu_map.select("psnu", "psnuuid"), "psnu")
 
 
-__all__ = ["results_wide", "results_volume", "results_measures", "results_with_sites",
+__all__ = ["results_rows", "results_wide", "results_volume", "results_measures", "results_with_sites",
            "union_extracts", "yearly_extracts", "attribute_partner", "results_long", "results_table",
            "tb_summary", "supply_triangulation", "waterfall", "site_scores", "running_share",
            "regional_rollup", "transfer_in", "vl_crosswalk", "targets_table",

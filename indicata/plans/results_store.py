@@ -5,9 +5,12 @@ A store is a folder of Parquet tables:
 - ``long``    the long fact by output partition and source quarter
 - ``grid``    one row per output partition and source quarter: its date, and
               whether it has rows that set the bounds or feed the cohorts
-- ``wide``    the results table without site attributes, by output partition
+- ``wide``    the results table's rows without site attributes, by output partition;
+              their indicator columns and the derived ones are projections of a
+              row, made where they are read, so a report computes those it names
 - ``volume``  the site volume at the latest date
-- ``state``   the bounds, and what the last update rebuilt
+- ``state``   the bounds, the names and rules of the columns, and what the last
+              update rebuilt
 
 An output partition is a period, or a fiscal year for cumulative rows.  A
 source quarter reaches the partitions of its own period and of the shifted
@@ -19,6 +22,7 @@ only what its quarters reach, and running it again gives the same store.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -32,7 +36,11 @@ from indicata.session import remove_path
 from indicata.sources.files import write_stage
 
 GRID = "part string, src string, date date, period string, bounds boolean, cohort boolean"
-STATE = "min_date date, max_date date, max_period string, volume string, rebuilt array<string>"
+#: Files that a task holds open in writing the long fact and the table: their partitions are a few
+#: per quarter, and a sort of all their rows would spill.
+OPEN_FILES = 200
+STATE = "min_date date, max_date date, max_period string, volume string, rebuilt array<string>, " \
+        "names array<string>, derived string"
 
 
 def _part(period: Column, src_fy: Column) -> Column:
@@ -72,8 +80,19 @@ class _State:
         return d is None or (self.low is not None and self.low <= d <= self.high)
 
     def bounds(self) -> dict[str, Column]:
-        return {"min_date": F.lit(self.low).cast("date"), "max_date": F.lit(self.high).cast("date"),
-                "max_period": F.lit(self.last).cast("string")}
+        return _bounds(self.low, self.high, self.last)
+
+
+def _bounds(low: date | None, high: date | None, last: str | None) -> dict[str, Column]:
+    return {"min_date": F.lit(low).cast("date"), "max_date": F.lit(high).cast("date"),
+            "max_period": F.lit(last).cast("string")}
+
+
+def _wide(spark: SparkSession, store: str, names: Sequence[str], derived,
+          bounds: Mapping[str, Column]) -> DataFrame:
+    """The stored rows with their indicator columns and the derived ones."""
+    rows = spark.read.parquet(f"{store}/wide")
+    return P.results_measures(P.results_wide(rows, names, bounds), derived)
 
 
 def _label_part(window) -> str:
@@ -133,7 +152,7 @@ def update_results(store: str, extract: DataFrame, dedup_map: DataFrame, site_pa
                 remove_path(spark, f"{store}/long/part={r['part']}/src={r['src']}")
         for src in sources:
             remove_path(spark, f"{store}/grid/src={src}")
-    write_stage(long, f"{store}/long", partition_by=("part", "src"))
+    write_stage(long, f"{store}/long", partition_by=("part", "src"), open_files=OPEN_FILES)
     whole = spark.read.schema(long.schema).parquet(f"{store}/long")
     fresh = whole if quarters is None else whole.filter(F.col("src").isin(sources))
     grid = fresh.groupBy("part", "src", "date", "period").agg(
@@ -167,19 +186,19 @@ def update_results(store: str, extract: DataFrame, dedup_map: DataFrame, site_pa
                                "part": of(_label_part),
                                "indicator_temp": F.lit(cohort["label"])}).drop("__k")
         full = full.unionByName(art)
-    wide = P.results_measures(P.results_wide(full, indicator_names, b), derived)
     for part in reached:
         remove_path(spark, f"{store}/wide/part={part}")
-    write_stage(wide, f"{store}/wide", partition_by=("part",))
+    write_stage(P.results_rows(full, indicator_names, b), f"{store}/wide", partition_by=("part",),
+                open_files=OPEN_FILES)
 
     latest = sorted({p for p, d in new.dates.items() if d == new.high})
     volume = f"{store}/volume"
     if old is None or old.high != new.high or set(latest) & set(reached):
-        stored = spark.read.schema(wide.schema).parquet(f"{store}/wide")
+        stored = _wide(spark, store, indicator_names, derived, b)
         P.results_volume(stored.filter(F.col("part").isin(latest)), b["max_date"], facility,
                          site="datim_uid").write.mode("overwrite").parquet(volume)
     state = {"min_date": new.low, "max_date": new.high, "max_period": new.last, "volume": volume,
-             "rebuilt": reached}
+             "rebuilt": reached, "names": list(indicator_names), "derived": json.dumps(list(derived))}
     spark.createDataFrame([tuple(state.values())], STATE).write.mode("overwrite") \
         .parquet(f"{store}/state")
     return state
@@ -188,6 +207,8 @@ def update_results(store: str, extract: DataFrame, dedup_map: DataFrame, site_pa
 def read_results(spark: SparkSession, store: str, site_map: DataFrame) -> DataFrame:
     """The results table of the store with the site map's attributes, as ``reports.results_table``
     gives it; a filter on ``part`` reads only those partitions."""
-    wide = spark.read.parquet(f"{store}/wide")
+    at = read_state(spark, store)
+    wide = _wide(spark, store, at["names"], json.loads(at["derived"]),
+                 _bounds(at["min_date"], at["max_date"], at["max_period"]))
     volume = spark.read.parquet(f"{store}/volume")
     return P.results_with_sites(wide.drop("part"), volume, site_map)

@@ -7,7 +7,8 @@ writes go through executors (``df.write``), never through the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from indicata.sources.headers import header_rows, list_files, served
 # R's read_tsv reads both "NA" and empty fields as missing.
 READ_NULL = "NA"
 
+WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, *,
              sep: str = "\t", null_value: str = READ_NULL) -> DataFrame:
@@ -121,15 +124,35 @@ def read_folder(spark: SparkSession, pattern: str, contract: Contract, *,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    """Partitioned writes inside need no sort of their rows up to ``n`` partitions a task."""
+    if not n:
+        yield
+        return
+    was = spark.conf.get(WRITERS_CONF, None)
+    spark.conf.set(WRITERS_CONF, str(n))
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(WRITERS_CONF)
+        else:
+            spark.conf.set(WRITERS_CONF, was)
+
+
 def write_stage(df: DataFrame, path: str, *, partition_by: Sequence[str] = ("fy",),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", open_files: int = 0) -> None:
     """Persist an intermediate fact as Parquet, partitioned (default by fy).
 
     Dynamic partition overwrite replaces only the partitions present in
-    ``df``, so re-running one year leaves the others untouched.
+    ``df``, so re-running one year leaves the others untouched.  A task sorts its
+    rows by partition; with ``open_files`` it holds that many files open instead
+    and sorts only the rows of further partitions.
     """
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+    with open_writers(df.sparkSession, open_files):
+        (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_by).parquet(path))
 
 
 def read_stage(spark: SparkSession, path: str,

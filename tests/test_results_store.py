@@ -137,3 +137,21 @@ def test_store_equals_results_table(spark, put, tmp_dir):
     assert got.columns == want.columns
     assert content(spark, store) == sorted(map(repr, want.select(*sorted(want.columns)).collect()))
     assert R.PMTCT_ART_COHORT["windows"]
+
+
+def test_rows_are_stored_narrow_and_unsorted(spark, put, tmp_dir, monkeypatch):
+    opened, write = [], S.write_stage
+    monkeypatch.setattr(S, "write_stage", lambda df, path, **k: (
+        opened.append((os.path.basename(path), k.get("open_files", 0))), write(df, path, **k)))
+    store = f"{tmp_dir}/store"
+    put(store, extract(spark, years=range(2021, 2023)))
+    held = spark.read.parquet(f"{store}/wide").columns
+    assert {"indicator_temp", "value"} <= set(held) and not {"TX_CURR", "TX_CURR_F"} & set(held)
+    assert {n for n, files in opened if files} == {"long", "wide"}
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_an_unlisted_indicator_fails_the_update(spark, put, tmp_dir, monkeypatch):
+    monkeypatch.setitem(globals(), "NAMES", NAMES[1:])
+    with pytest.raises(Exception, match="not a listed name"):
+        put(f"{tmp_dir}/store", extract(spark, years=range(2022, 2023)))
