@@ -876,6 +876,19 @@ def _places(spark, sf_dir):
                                              "snu1", "psnu", "sitename")
 
 
+def _placed_site_map(spark, sf_dir):
+    """The site map with places and the security flag, as a table of its own.
+
+    Read from files, its size is known before the job: a history takes a small one by a broadcast,
+    unshuffled.  With a large one each side of the join is one plain shuffle, so that AQE can deal
+    out the many rows without a site uid; joins left in the map's plan would keep them in one task.
+    """
+    from indicata.session import materialize
+    return materialize(full_site_map(spark, sf_dir).withColumn(
+        "security_insecure", F.col("latitude") < 0).join(
+        _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid"))
+
+
 def q_waterfall_final(spark, sf_dir):
     wf = P.waterfall(results_table_proxy(spark, sf_dir), start=WATERFALL_START,
                      plus_periods=WATERFALL_PLUS)
@@ -979,8 +992,7 @@ def q_kp_submissions(spark, sf_dir):
     folder, table = scratch_path(spark, "kp-submissions"), scratch_path(spark, "kp-history")
     write_tsv(_kp_rows(spark, sf_dir), folder, na="NA")
     sub = read_folder(spark, f"{folder}/*.csv", Contract(T.StructType.fromDDL(KP_SUBMISSION)))
-    site_map = full_site_map(spark, sf_dir).join(
-        _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
+    site_map = _placed_site_map(spark, sf_dir).drop("security_insecure")
     P.kp_report(sub, table, site_map, schema=KP_SUBMISSION)
     hist, _uncoded = P.kp_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map,
                                  schema=KP_SUBMISSION)
@@ -1107,9 +1119,7 @@ def q_vl_submissions(spark, sf_dir):
     folder, table = scratch_path(spark, "vl-submissions"), scratch_path(spark, "vl-history")
     write_tsv(_vl_rows(spark, sf_dir), folder, na="NA")
     sub = read_folder(spark, f"{folder}/*.csv", Contract(T.StructType.fromDDL(VL_SUBMISSION)))
-    site_map = full_site_map(spark, sf_dir).withColumn(
-        "security_insecure", F.col("latitude") < 0).join(
-        _places(spark, sf_dir).withColumnRenamed("snu1", "snu"), "datim_uid")
+    site_map = _placed_site_map(spark, sf_dir)
     P.vl_report(sub, table, site_map, schema=VL_SUBMISSION)
     hist, _orphans = P.vl_report(sub.filter(F.col("period") == KP_AGAIN), table, site_map,
                                  schema=VL_SUBMISSION)

@@ -33,17 +33,16 @@ def read_tsv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     "NA" and empty fields read as null; quoted fields use ``"``, a doubled
     quote stands for one, and a backslash is an ordinary character.
     Unparsable values become null (PERMISSIVE) rather than failing the job;
-    :func:`bad_rows` lists the lines they came from.
+    :func:`bad_rows` lists the lines they came from.  The columns are the scan's
+    own, so a filter on one is applied in parsing and the other fields of the
+    lines it drops are not converted.
     """
-    df = (spark.read.option("header", True).option("sep", sep)
-          .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-          .option("nullValue", null_value)
-          .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE")
-          .schema(schema).csv(path if isinstance(path, str) else list(path)))
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not strings:
-        return df
-    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in strings})
+    return (spark.read.option("header", True).option("sep", sep)
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+            # an empty field in quotes is read as the null value, one without quotes is null
+            .option("nullValue", null_value).option("emptyValue", null_value)
+            .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE")
+            .schema(schema).csv(path if isinstance(path, str) else list(path)))
 
 
 def bad_rows(spark: SparkSession, path: str, schema: T.StructType, *,
