@@ -45,10 +45,10 @@ def quarter_number(period: ColumnOrName) -> Column:
 
 def period_date(fy: ColumnOrName, q: ColumnOrName) -> Column:
     """Reporting date of (fiscal year, quarter): Q1 -> Dec 20 of fy-1, ..."""
-    fy_c, q_c = col(fy).cast("int"), col(q).cast("int")
-    month = F.when(q_c == 1, 12).when(q_c == 2, 3).when(q_c == 3, 6).when(q_c == 4, 9)
-    year = F.when(q_c == 1, fy_c - 1).when(q_c.isNotNull(), fy_c)
-    return F.make_date(year, month, F.lit(REPORTING_DAY))
+    q_c = col(q).cast("int")
+    first = F.make_date(col(fy).cast("int"), F.lit(1), F.lit(REPORTING_DAY))
+    # each argument is named once or twice: filters on the date repeat it wherever they are moved to
+    return F.when(q_c.isin(*QUARTER_END_MONTH), F.add_months(first, q_c * 3 - 4))
 
 
 def shifted(fy: ColumnOrName, q: ColumnOrName, k: ColumnOrName) -> tuple[Column, Column]:

@@ -15,21 +15,25 @@ QUARTER_COLUMNS = [("qtr1", "results", 1), ("qtr2", "results", 2), ("qtr3", "res
 
 def reshape_long(df: DataFrame, *, fiscal_year: str = "fiscal_year",
                  measures: Sequence[tuple[str, str, int | None]] = QUARTER_COLUMNS,
-                 keep_null: bool = False) -> DataFrame:
+                 keep_null: bool = False, quarter: str | None = None) -> DataFrame:
     """Wide-by-quarter extract -> long (``period_type``, ``period``, ``value``).
 
     ``period`` is "FY24Q2" for quarter columns and "FY24" for cumulative and
     targets, so only quarter rows carry a quarter.  One ``Generate`` over an
     array of structs: a narrow, single-scan operator.  Null measures are
-    dropped (zeros kept) unless ``keep_null``.
+    dropped (zeros kept) unless ``keep_null``.  ``quarter`` names a column for
+    the quarter's number in place of ``period``, null where the year is.
     """
     present = [(c, t, q) for c, t, q in measures if c in df.columns]
     ids = [c for c in df.columns if c not in {m[0] for m in measures}]
     yy = F.lpad(F.pmod(F.col(fiscal_year).cast("int"), F.lit(100)).cast("string"), 2, "0")
     structs = []
     for c, t, q in present:
-        period = F.concat(F.lit("FY"), yy, F.lit(f"Q{q}")) if q else F.concat(F.lit("FY"), yy)
-        structs.append(F.struct(F.lit(t).alias("period_type"), period.alias("period"),
+        if quarter:
+            period = F.when(F.col(fiscal_year).isNotNull(), F.lit(q)).cast("int").alias(quarter)
+        else:
+            period = F.concat(F.lit("FY"), yy, F.lit(f"Q{q}" if q else "")).alias("period")
+        structs.append(F.struct(F.lit(t).alias("period_type"), period,
                                 F.col(c).cast("double").alias("value")))
     out = df.select(*ids, F.inline(F.array(*structs)))
     return out if keep_null else out.filter(F.col("value").isNotNull())

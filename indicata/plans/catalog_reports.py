@@ -404,8 +404,10 @@ def _vl_inputs(spark, sf_dir):
     f = proxy.daily_lines(spark, sf_dir)
     site_attrs = proxy.sites(spark, sf_dir).drop("acctbal")
     uid = F.col("site_uid").cast("string").alias("datim_uid")
-    s0 = f.groupBy("site_uid", "period", "mech_name", "numeratordenom",
-                   "standardizeddisaggregate", "indicator").agg(
+    # by the reporting day itself: the series' own filter reads it out of the summed period again
+    s0 = f.filter(F.col("date") >= F.to_date(F.lit(VL_START))).groupBy(
+        "site_uid", "period", "mech_name", "numeratordenom",
+        "standardizeddisaggregate", "indicator").agg(
         F.sum("value").alias("value")).join(site_attrs, "site_uid")
     sup = s0.select(
         uid, lookup("snu1", proxy.PROXY_SITE_PARTNER).alias("partner_pepfar_clinical"),

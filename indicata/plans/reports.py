@@ -21,7 +21,7 @@ from indicata.functions.domain import (age_band_50plus, age_coarse, funding_agen
                                        unknown_label)
 from indicata.functions.expressions import band_score, is_in, not_in, ratio, recode
 from indicata.functions.periods import (fiscal_period_columns, period_date, period_label,
-                                        quarter_number, suffix_denominator)
+                                        suffix_denominator)
 from indicata.operators.cohorts import relative_cohort, shift_period, trailing_cohort
 from indicata.operators.derive import apply_corrections, derive_indicators, derive_long
 from indicata.operators.joins import (enrich, keep_with_any, map_indicator, orphans,
@@ -89,32 +89,34 @@ def attribute_partner(df: DataFrame, *, clinical: Sequence[str] = R.CLINICAL_IND
              .when(is_clin, F.lit("MISAU")).otherwise(F.col(mech)))
 
 
-def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *,
-                 exclusions=R.EXCLUSIONS, shifts=R.COHORT_SHIFTS,
-                 keep_source: bool = False) -> DataFrame:
-    """Mapped, attributed, long, de-noised, cohort-shifted and dated fact.
-
-    ``keep_source`` keeps the fiscal year and quarter a row was reported for,
-    before any shift, as ``src_fy`` and ``src_q`` (0 for cumulative rows); a task
-    then gives its rows by year, for a write partitioned by source.
-    """
+def results_source(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame) -> DataFrame:
+    """Mapped and attributed rows of the extract, their quarters still side by side."""
     df = map_indicator(dg, dedup_map)
     df = enrich(df, site_partner, "datim_uid", left_on="orgunituid")
     df = df.withColumn("partner_recode", attribute_partner(df)).drop("datim_uid")
-    df = df.withColumn("fy", F.col("fiscal_year").cast("int"))
-    if keep_source:
-        df = df.sortWithinPartitions("fy", "orgunituid")
-    df = reshape_long(df.drop("fiscal_year"), fiscal_year="fy")
-    qn = quarter_number("period")
-    df = df.withColumns({"quarter": F.when(qn.isNotNull(), F.concat(F.lit("Q"), qn.cast("string"))),
-                         "q": qn,
+    return df.withColumn("fy", F.col("fiscal_year").cast("int")).drop("fiscal_year")
+
+
+def results_reported(source: DataFrame, exclusions=R.EXCLUSIONS) -> DataFrame:
+    """Long, de-noised fact by the fiscal year ``fy`` and quarter ``q`` it was reported for."""
+    df = reshape_long(source, fiscal_year="fy", quarter="q")
+    df = df.withColumns({"quarter": F.concat(F.lit("Q"), F.col("q").cast("string")),
                          "indicator_temp": suffix_denominator("indicator", "numeratordenom")})
-    df = apply_exclusions(df, exclusions)
-    if keep_source:
-        df = df.withColumns({"src_fy": F.col("fy"), "src_q": F.coalesce("q", F.lit(0))})
-    df = shift_period(df, shifts, indicator="indicator_temp", fy="fy", q="q")
+    return apply_exclusions(df, exclusions).drop("indicator", "quarter")
+
+
+def results_shifted(reported: DataFrame, shifts=R.COHORT_SHIFTS) -> DataFrame:
+    """The fact with its shifted cohorts, dated."""
+    df = shift_period(reported, shifts, indicator="indicator_temp", fy="fy", q="q")
     return (df.withColumns({"period": period_label("fy", "q"), "date": period_date("fy", "q")})
-              .drop("indicator", "quarter", "q", "partner_pepfar_clinical"))
+              .drop("q"))
+
+
+def results_long(dg: DataFrame, dedup_map: DataFrame, site_partner: DataFrame, *,
+                 exclusions=R.EXCLUSIONS, shifts=R.COHORT_SHIFTS) -> DataFrame:
+    """Mapped, attributed, long, de-noised, cohort-shifted and dated fact."""
+    df = results_reported(results_source(dg, dedup_map, site_partner), exclusions)
+    return results_shifted(df, shifts).drop("partner_pepfar_clinical")
 
 
 def results_table(dg: DataFrame, dedup_map: DataFrame, site_map: DataFrame,

@@ -2,7 +2,9 @@
 
 A store is a folder of Parquet tables:
 
-- ``long``    the long fact by output partition and source quarter
+- ``long``    the long fact by source year, a row's quarters still side by side: rows
+              by quarter and their shifted copies are projections of it, made where
+              it is read, so each of its labels is written once
 - ``grid``    one row per output partition and source quarter: its date, and
               whether it has rows that set the bounds or feed the cohorts
 - ``wide``    the results table's rows without site attributes, by output partition;
@@ -29,20 +31,25 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicata.functions.periods import suffix_denominator
 from indicata.operators.cohorts import relative_windows
+from indicata.operators.reshape import QUARTER_COLUMNS
 from indicata.plans import reports as P
 from indicata.plans import rules as R
-from indicata.session import remove_path
+from indicata.session import materialize, remove_path
 from indicata.sources.files import write_stage
 
 GRID = "part string, src string, date date, period string, bounds boolean, cohort boolean"
 #: Files that a task holds open in writing the long fact and the table: their partitions are a few
-#: per quarter, and a sort of all their rows would spill.
+#: per year, and a sort of all their rows would spill.
 OPEN_FILES = 200
 STATE = "min_date date, max_date date, max_period string, volume string, rebuilt array<string>, " \
         "names array<string>, derived string"
 
 
+MEASURES = [c for c, _, _ in QUARTER_COLUMNS]
+
+
 def _part(period: Column, src_fy: Column) -> Column:
     """Name of the output partition: "2000Q4", or "FY2000" where there is no period."""
     return F.coalesce(F.replace(period, F.lit(" "), F.lit("")),
@@ -112,6 +119,58 @@ def _reached(old: _State | None, new: _State, touched: set[str]) -> set[str]:
     return out
 
 
+def _year(fy: Column) -> Column:
+    """Partition of the long fact: "s2000", or "snone" where there is no year."""
+    return F.concat(F.lit("s"), F.coalesce(fy.cast("string"), F.lit("none")))
+
+
+def _source(extract: DataFrame, dedup_map: DataFrame, site_partner: DataFrame) -> DataFrame:
+    """The extract's rows as the long fact keeps them, with every measure."""
+    df = P.results_source(extract, dedup_map, site_partner).drop("partner_pepfar_clinical")
+    df = df.withColumns({c: (F.col(c) if c in df.columns else F.lit(None)).cast("double")
+                         for c in MEASURES})
+    return df.withColumn("src", _year(F.col("fy")))
+
+
+def _reported(held: DataFrame) -> DataFrame:
+    """Rows by the quarter they were reported for, ``src`` (quarter 0 for cumulative rows)."""
+    return P.results_reported(held).withColumn("src", F.concat(
+        "src", F.lit("q"), F.coalesce("q", F.lit(0)).cast("string")))
+
+
+def _dated(reported: DataFrame) -> DataFrame:
+    """Rows with the shifted cohorts, by output partition."""
+    df = P.results_shifted(reported.withColumn("src_fy", F.col("fy")))
+    return df.withColumn("part", _part(F.col("period"), F.col("src_fy"))).drop("src_fy")
+
+
+def _before_shifts(indicator: str) -> list[str]:
+    """The indicators whose rows or shifted copies carry this one's name."""
+    return [indicator, *[was for _, names in R.COHORT_SHIFTS for was, name in names.items()
+                         if name == indicator]]
+
+
+def _put_source(spark: SparkSession, path: str, source: DataFrame,
+                quarters: Sequence[tuple[int, int]]) -> None:
+    """Replace the values of these quarters, and their years' cumulative values and targets, in the
+    long fact.  Its other values stay: a row whose values are replaced in part becomes two."""
+    def replaced(c: str) -> Column:
+        years = {fy for fy, q in quarters if c in (f"qtr{q}", "cumulative", "targets")}
+        return F.col("fy").isin(sorted(years))
+
+    years = sorted({fy for fy, _ in quarters})
+    found = F.coalesce(*MEASURES).isNotNull()
+    came = source.filter(F.col("fy").isin(years)).withColumns(
+        {c: F.when(replaced(c), F.col(c)) for c in MEASURES}).filter(found)
+    held = spark.read.schema(source.schema).parquet(path).filter(
+        F.col("src").isin([f"s{fy}" for fy in years]))
+    kept = materialize(held.withColumns(
+        {c: F.when(~replaced(c), F.col(c)) for c in MEASURES}).filter(found))
+    for fy in years:
+        remove_path(spark, f"{path}/src=s{fy}")
+    write_stage(kept.unionByName(came), path, partition_by=("src",), open_files=OPEN_FILES)
+
+
 def _grid(spark: SparkSession, store: str) -> list:
     return spark.read.schema(GRID).parquet(f"{store}/grid").collect()  # a few rows per quarter
 
@@ -136,26 +195,24 @@ def update_results(store: str, extract: DataFrame, dedup_map: DataFrame, site_pa
     """
     spark = extract.sparkSession
     old_grid = _grid(spark, store) if quarters is not None else []
-    long = P.results_long(extract, dedup_map, site_partner, keep_source=True)
-    long = long.withColumns({
-        "part": _part(F.col("period"), F.col("src_fy")),
-        "src": F.concat(F.lit("s"), F.coalesce(F.col("src_fy").cast("string"), F.lit("none")),
-                        F.lit("q"), F.col("src_q").cast("string"))}).drop("src_fy", "src_q")
+    source = _source(extract, dedup_map, site_partner)
     if quarters is None:
         for name in ("long", "grid", "wide", "volume"):
             remove_path(spark, f"{store}/{name}")
+        write_stage(source, f"{store}/long", partition_by=("src",), open_files=OPEN_FILES)
     else:
         sources = sorted({f"s{fy}q{x}" for fy, q in quarters for x in (q, 0)})
-        long = long.filter(F.col("src").isin(sources))
-        for r in old_grid:
-            if r["src"] in sources:
-                remove_path(spark, f"{store}/long/part={r['part']}/src={r['src']}")
+        _put_source(spark, f"{store}/long", source, quarters)
         for src in sources:
             remove_path(spark, f"{store}/grid/src={src}")
-    write_stage(long, f"{store}/long", partition_by=("part", "src"), open_files=OPEN_FILES)
-    whole = spark.read.schema(long.schema).parquet(f"{store}/long")
-    fresh = whole if quarters is None else whole.filter(F.col("src").isin(sources))
-    grid = fresh.groupBy("part", "src", "date", "period").agg(
+    whole = spark.read.schema(source.schema).parquet(f"{store}/long")
+    fresh = whole if quarters is None else whole.filter(
+        F.col("src").isin(sorted({f"s{fy}" for fy, _ in quarters})))
+    # a few kinds of rows per quarter, then their copies
+    kinds = _reported(fresh).select("fy", "q", "src", "indicator_temp", "period_type").distinct()
+    if quarters is not None:
+        kinds = kinds.filter(F.col("src").isin(sources))
+    grid = _dated(kinds).groupBy("part", "src", "date", "period").agg(
         F.max((F.col("indicator_temp") == "TX_CURR") & (F.col("period_type") == "results"))
          .alias("bounds"),
         F.max(F.col("indicator_temp") == cohort["indicator"]).alias("cohort"))
@@ -169,12 +226,21 @@ def update_results(store: str, extract: DataFrame, dedup_map: DataFrame, site_pa
     reached = sorted(_reached(old, new, touched))
 
     b = new.bounds()
-    full = whole.filter(F.col("part").isin(reached)).drop("src")
+
+    def of_parts(held: DataFrame, parts) -> DataFrame:
+        """Rows of these output partitions, from the years that reach them."""
+        years = sorted({r["src"].split("q")[0] for r in rows if r["part"] in parts})
+        found = _dated(_reported(held.filter(F.col("src").isin(years)))).drop(
+            "src", "numeratordenom")
+        return found if new.parts <= set(parts) else found.filter(F.col("part").isin(sorted(parts)))
+
+    full = of_parts(whole, reached)
     wanted = {k: w for k, w in new.windows.items() if _label_part(w) in reached}
     if wanted:
-        held = sorted(set().union(*(w[1] for w in wanted.values())))
-        art = whole.filter(F.col("part").isin(held)
-                           & (F.col("indicator_temp") == cohort["indicator"])).drop("src")
+        named = suffix_denominator("indicator", "numeratordenom").isin(
+            _before_shifts(cohort["indicator"]))
+        art = of_parts(whole.filter(named), set().union(*(w[1] for w in wanted.values()))).filter(
+            F.col("indicator_temp") == cohort["indicator"])
         spans = [w for w in cohort["windows"] if w[0] in wanted]
         art = relative_windows(art, "date", b["max_date"], spans, window_col="__k")
 
