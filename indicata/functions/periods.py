@@ -54,7 +54,7 @@ def period_date(fy: ColumnOrName, q: ColumnOrName) -> Column:
 def shifted(fy: ColumnOrName, q: ColumnOrName, k: ColumnOrName) -> tuple[Column, Column]:
     """(fy, q) moved by ``k`` quarters; integer arithmetic, no string recodes."""
     idx = col(fy).cast("int") * 4 + col(q).cast("int") - 1 + col(k).cast("int")
-    return F.floor(idx / 4).cast("int"), (F.pmod(idx, F.lit(4)) + 1).cast("int")
+    return F.shiftright(idx, 2), idx.bitwiseAND(F.lit(3)) + 1
 
 
 def with_fiscal_period(df, date_col: str, fy: str = "fy", q: str = "q",
